@@ -469,3 +469,23 @@ SQL["q_upsert_merge"] = """
 SQL["q_log_append"] = with_ctes("run_log") + """
     SELECT status, count(*) AS n_events FROM run_log GROUP BY status"""
 SQL["q_mart_roundtrip"] = SQL["q_items_by_order"]
+
+SQL["q_manifest_load_counts"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS loaded_rows, true AS matches "
+    f"FROM {t}" for t in ["region", "nation", "supplier", "customer", "orders"])
+SQL["q_landing_partition_prune"] = with_ctes("raw_orders") + """
+    SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
+           '1997-01-01' AS load_date
+    FROM raw_orders WHERE substr(order_purchase_timestamp, 1, 4) = '1997'"""
+SQL["q_incremental_load"] = with_ctes("raw_rates") + """
+    , first_max AS (SELECT max(TIME_PERIOD) AS m FROM raw_rates
+                    WHERE CURRENCY IN ('GBP', 'BRL') AND TIME_PERIOD BETWEEN '1995-01-01' AND '1998-12-31')
+    SELECT "KEY", CURRENCY, TIME_PERIOD,
+           CASE WHEN TIME_PERIOD >= (SELECT strftime(CAST(m AS DATE) - INTERVAL 7 DAY, '%Y-%m-%d')
+                                     FROM first_max)
+                THEN CAST(CAST(CAST(OBS_VALUE AS DECIMAL(18,2)) + 0.01 AS DECIMAL(18,2)) AS VARCHAR)
+                ELSE OBS_VALUE END AS OBS_VALUE,
+           OBS_STATUS
+    FROM raw_rates WHERE CURRENCY IN ('GBP', 'BRL') AND TIME_PERIOD <= '2001-12-31'"""
+SQL["q_stream_upsert"] = with_ctes("raw_rates") + """
+    SELECT "KEY", CURRENCY, TIME_PERIOD, OBS_VALUE, OBS_STATUS FROM raw_rates"""

@@ -535,3 +535,89 @@ def q_mart_roundtrip(spark, d):
 
 
 __all__ = ["REGISTRY", "proof"]
+
+
+# ---------------------------------------------------------------- load jobs and streams
+
+BULK_TABLES = ["region", "nation", "supplier", "customer", "orders"]
+LOAD_DATE = dt.date(2024, 1, 1)
+
+
+@proof
+def q_manifest_load_counts(spark, d):
+    """Bulk load of a 5-table manifest; per table, counts as logged."""
+    from .bulk_load import bulk_load
+
+    work = new_work_dir(spark, "bulk-load")
+    manifest = {}
+    for name in BULK_TABLES:
+        path = f"{work}/export/{name}"
+        raw_tables.table(spark, d, name).write.options(header="true", escape='"').csv(path)
+        manifest[name] = path
+    log_path = f"{work}/log"
+    bulk_load(spark, manifest, f"{work}/landing", f"{work}/warehouse", log_path, "tpch",
+              load_date=LOAD_DATE)
+    log = runlog.read_log(spark, log_path).filter(F.col("status") == "success")
+    return log.select(F.col("table_name"), F.col("source_row_count").alias("source_rows"),
+                      F.col("loaded_row_count").alias("loaded_rows"),
+                      (F.col("source_row_count") == F.col("loaded_row_count")).alias("matches"))
+
+
+@proof
+def q_landing_partition_prune(spark, d):
+    """Orders landed by load_date = order year; one day folder read back."""
+    from ..sources.landing import land_frame, read_landed
+
+    root = new_work_dir(spark, "landing")
+    raw = raw_tables.raw_orders(spark, d).withColumn(
+        "load_date", F.concat(F.substring("order_purchase_timestamp", 1, 4), F.lit("-01-01")))
+    land_frame(raw, root, "tpch", "orders", partition_col="load_date")
+    back = read_landed(spark, root, "tpch", "orders", load_dates=["1997-01-01"])
+    return back.select("order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                       "order_approved_at", "load_date")
+
+
+INCR_DEFAULT_START = "1995-01-01"
+INCR_FIRST_TODAY = dt.date(1998, 12, 31)
+INCR_SECOND_TODAY = dt.date(2001, 12, 31)
+
+
+@proof
+def q_incremental_load(spark, d):
+    """Two runs of the incremental load: the first from the default start to
+    1998-12-31, the second from (latest - 7 days) on a revised source (+0.01),
+    so the overlap is updated and older rows keep their values."""
+    from . import rate_load
+
+    work = new_work_dir(spark, "incremental")
+    rates = raw_tables.raw_fx_rates(spark, d)
+    revised = rates.withColumn(
+        "OBS_VALUE", (to_numeric("OBS_VALUE") + F.lit(0.01)).cast("decimal(18,2)").cast("string"))
+    old_default = rate_load.DEFAULT_START
+    rate_load.DEFAULT_START = INCR_DEFAULT_START
+    try:
+        for today, src in ((INCR_FIRST_TODAY, rates), (INCR_SECOND_TODAY, revised)):
+            rate_load.incremental_load(spark, src, f"{work}/rates", f"{work}/log", ["GBP", "BRL"],
+                                       today, source_uri=f"rates/{today}")
+    finally:
+        rate_load.DEFAULT_START = old_default
+    table = VersionedTable(spark, f"{work}/rates").read()
+    return table.select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
+
+
+@proof
+def q_stream_upsert(spark, d):
+    """Rates landed as one folder per year, consumed by the file stream in
+    several micro-batches, each upserted; the final table."""
+    from ..sources.landing import land_frame, landing_dir
+    from ..streaming.rate_stream import run_rate_stream
+
+    work = new_work_dir(spark, "stream")
+    rates = raw_tables.raw_fx_rates(spark, d)
+    cols = rates.columns
+    land_frame(rates.withColumn("load_date", F.concat(F.substring("TIME_PERIOD", 1, 4),
+                                                      F.lit("-01-01"))),
+               f"{work}/landing", "ecb", "rates", partition_col="load_date")
+    table = run_rate_stream(spark, landing_dir(f"{work}/landing", "ecb", "rates"), cols,
+                            f"{work}/rates", f"{work}/checkpoint", max_files_per_trigger=4)
+    return table.read().select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")

@@ -48,7 +48,7 @@ def read_landed(spark: SparkSession, root: str, source: str, table: str,
     column; a ``load_dates`` filter prunes whole folders before any file is
     opened."""
     base = landing_dir(root, source, table)
-    first = next(iter(fs.list_names(spark, base)), None)
+    first = next((n for n in fs.list_names(spark, base) if n.startswith("load_date=")), None)
     if first is None:
         raise FileNotFoundError(base)
     cols = read_header(spark, f"{base}/{first}")
