@@ -28,10 +28,10 @@ def strict_cast(c, dtype: DataType, what: str | None = None) -> Column:
     col = _col(c)
     tried = col.try_cast(dtype)
     label = what or dtype.simpleString()
-    return (F.when(col.isNotNull() & tried.isNull(),
-                   F.raise_error(F.concat(F.lit(f"cannot cast to {label}: '"),
-                                          col.cast("string"), F.lit("'"))))
-            .otherwise(tried))
+    # coalesce evaluates the cast once; the error branch runs only when it failed
+    failure = F.when(col.isNotNull(), F.raise_error(
+        F.concat(F.lit(f"cannot cast to {label}: '"), col.cast("string"), F.lit("'"))))
+    return F.coalesce(tried, failure.cast(dtype))
 
 
 def to_numeric(c) -> Column:

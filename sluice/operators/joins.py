@@ -9,12 +9,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the cluster's checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "small-side") -> DataFrame:
+    """Cut lineage by writing ``df`` as a table in the shared checkpoint folder
+    and reading it back: computed once, survives lost executors, and its row
+    count comes from the Parquet footers."""
+    from ..session import new_work_dir
+
+    spark = df.sparkSession
+    path = new_work_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def sized_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:

@@ -373,7 +373,10 @@ def q_test_accepted_range(spark, d):
 
 @proof
 def q_severity(spark, d):
-    fct = fct_orders(spark, d)
+    # The mart is a table: built once, then every test reads the written table.
+    mart = VersionedTable(spark, new_work_dir(spark, "mart-fct"))
+    mart.replace(fct_orders(spark, d))
+    fct = mart.read()
     sev = quality.Severity
     tests = {
         "assert_order_paid_matches_gross_revenue": (paid_vs_gross(fct), sev(">0", ">350"), None),

@@ -67,8 +67,12 @@ def ragged_rows(spark: SparkSession, path: str, columns: Sequence[str] | None =
     schema = string_schema(cols).add("_corrupt_record", T.StringType())
     opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
     df = spark.read.options(**opts).schema(schema).csv(path)
-    return df.filter(F.col("_corrupt_record").isNotNull()).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("record"))
+    # referencing the data columns too keeps the full parse (Spark refuses a
+    # query on the corrupt-record column alone)
+    touches_all = F.length(F.concat_ws("\u0001", *[F.col(c) for c in cols])) >= 0
+    return (df.filter(F.col("_corrupt_record").isNotNull() & touches_all)
+              .select(F.col("_metadata.file_path").alias("file"),
+                      F.col("_corrupt_record").alias("record")))
 
 
 _SUMMARY = T.StructType([
