@@ -489,3 +489,95 @@ SQL["q_incremental_load"] = with_ctes("raw_rates") + """
     FROM raw_rates WHERE CURRENCY IN ('GBP', 'BRL') AND TIME_PERIOD <= '2001-12-31'"""
 SQL["q_stream_upsert"] = with_ctes("raw_rates") + """
     SELECT "KEY", CURRENCY, TIME_PERIOD, OBS_VALUE, OBS_STATUS FROM raw_rates"""
+
+_STATES = "'created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered', 'unavailable', 'canceled'"
+CTES["stg_customers"] = "SELECT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer"
+CTES["stg_products"] = "SELECT CAST(p_partkey AS VARCHAR) AS product_id FROM part"
+CTES["stg_sellers"] = "SELECT CAST(s_suppkey AS VARCHAR) AS seller_id FROM supplier"
+
+
+def _t(name: str, count_sql: str, warn: str = "!=0", error: str = "!=0") -> str:
+    return _grade(name, count_sql, warn, error)
+
+
+def _unique(model: str, col: str) -> str:
+    return (f"SELECT count(*) FROM (SELECT {col} FROM {model} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col} HAVING count(*) > 1)")
+
+
+def _combo(model: str, cols: str) -> str:
+    return f"SELECT count(*) FROM (SELECT 1 FROM {model} GROUP BY {cols} HAVING count(*) > 1)"
+
+
+def _nulls(model: str, col: str) -> str:
+    return f"SELECT count(*) FROM {model} WHERE {col} IS NULL"
+
+
+def _rel(child: str, col: str, parent: str, field: str) -> str:
+    return (f"SELECT count(*) FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{field} = c.{col})")
+
+
+_BUILD = [
+    _t("unique_stg_orders_order_id", _unique("stg_orders", "order_id")),
+    _t("not_null_stg_orders_order_id", _nulls("stg_orders", "order_id")),
+    _t("unique_combination_stg_order_items", _combo("stg_items", "order_id, order_item_id")),
+    _t("not_null_stg_order_items_order_id", _nulls("stg_items", "order_id")),
+    _t("relationships_stg_order_items_order_id", _rel("stg_items", "order_id", "stg_orders", "order_id")),
+    _t("unique_combination_stg_order_payments", _combo("stg_payments", "order_id, payment_sequential")),
+    _t("not_null_stg_order_payments_order_id", _nulls("stg_payments", "order_id")),
+    _t("not_null_stg_order_payments_payment_installments", _nulls("stg_payments", "payment_installments")),
+    _t("relationships_stg_order_payments_order_id",
+       _rel("stg_payments", "order_id", "stg_orders", "order_id")),
+    _t("accepted_range_stg_order_payments_payment_installments",
+       "SELECT count(*) FROM stg_payments WHERE NOT (payment_installments >= 0 AND payment_installments <= 24)"),
+    _t("unique_stg_customers_customer_id", _unique("stg_customers", "customer_id")),
+    _t("not_null_stg_customers_customer_id", _nulls("stg_customers", "customer_id")),
+    _t("unique_stg_products_product_id", _unique("stg_products", "product_id")),
+    _t("not_null_stg_products_product_id", _nulls("stg_products", "product_id")),
+    _t("unique_stg_sellers_seller_id", _unique("stg_sellers", "seller_id")),
+    _t("not_null_stg_sellers_seller_id", _nulls("stg_sellers", "seller_id")),
+    _t("unique_combination_stg_fx_rates", _combo("stg_fx", "currency, rate_date")),
+    _t("accepted_values_stg_fx_rates_obs_status",
+       "SELECT count(DISTINCT obs_status) FROM stg_fx WHERE obs_status NOT IN ('A')"),
+    _t("unique_int_fx_rates_daily_rate_date", _unique("fx_daily", "rate_date")),
+    *[_t(f"not_null_int_fx_rates_daily_{c}", _nulls("fx_daily", c))
+      for c in ("rate_date", "gbp_per_brl", "last_ecb_date", "is_forward_filled")],
+    _t("unique_int_order_items_by_order_order_id", _unique("items_by_order", "order_id")),
+    *[_t(f"not_null_int_order_items_by_order_{c}", _nulls("items_by_order", c))
+      for c in ("order_id", "item_count")],
+    _t("unique_int_order_payments_by_order_order_id", _unique("payments_by_order", "order_id")),
+    *[_t(f"not_null_int_order_payments_by_order_{c}", _nulls("payments_by_order", c))
+      for c in ("order_id", "total_paid", "payment_count", "main_payment_type")],
+    _t("unique_fct_orders_order_id", _unique("fct_orders", "order_id")),
+    *[_t(f"not_null_fct_orders_{c}", _nulls("fct_orders", c))
+      for c in ("order_id", "customer_id", "order_status", "purchased_at", "gbp_per_brl",
+                "is_fx_forward_filled")],
+    _t("relationships_fct_orders_customer_id",
+       _rel("fct_orders", "customer_id", "stg_customers", "customer_id")),
+    _t("accepted_values_fct_orders_order_status",
+       f"SELECT count(DISTINCT order_status) FROM fct_orders WHERE order_status NOT IN ({_STATES})"),
+    _t("assert_fct_orders_has_every_order",
+       "SELECT count(*) FROM (SELECT 1) WHERE (SELECT count(*) FROM fct_orders) != (SELECT count(*) FROM stg_orders)"),
+    _t("assert_fx_rates_daily_sane", """
+       SELECT (SELECT count(*) FROM (SELECT count(*) AS n FROM fx_daily WHERE year(rate_date) = 2018) WHERE n != 365)
+            + (SELECT count(*) FROM fx_daily WHERE year(rate_date) = 2018
+                  AND (gbp_per_brl IS NULL OR NOT gbp_per_brl BETWEEN 0.15 AND 0.30))
+            + (SELECT count(*) FROM fx_daily WHERE strftime(rate_date, '%A') IN ('Saturday', 'Sunday')
+                  AND (NOT is_forward_filled OR last_ecb_date >= rate_date))
+            + (SELECT count(*) FROM fx_daily WHERE date_diff('day', last_ecb_date, rate_date) > 5)"""),
+    _t("assert_no_delivery_before_purchase",
+       "SELECT count(*) FROM stg_orders WHERE delivered_customer_at IS NOT NULL "
+       "AND delivered_customer_at < purchased_at"),
+    _t("assert_order_paid_matches_gross_revenue",
+       "SELECT count(*) FROM fct_orders WHERE item_count > 0 AND payment_count > 0 "
+       "AND abs(gross_revenue_brl - paid_brl) > 0.01", ">0", ">350"),
+    _t("assert_revenue_reconciles_to_raw", f"""
+       SELECT count(*) FROM (SELECT 1) WHERE abs(
+           (SELECT coalesce(sum(gross_revenue_brl), 0) FROM fct_orders)
+         - (SELECT coalesce(sum(CAST(price AS {N}) + CAST(freight_value AS {N})), 0) FROM raw_items)) > 0.01"""),
+    _t("assert_some_payments_have_instalments",
+       "SELECT count(*) FROM (SELECT count_if(payment_installments > 1) AS n FROM stg_payments) WHERE n = 0"),
+]
+SQL["q_build_tests"] = (with_ctes("fct_orders", "raw_items", "stg_customers", "stg_products",
+                                  "stg_sellers") + "\nUNION ALL\n".join(_BUILD))

@@ -624,3 +624,21 @@ def q_stream_upsert(spark, d):
     table = run_rate_stream(spark, landing_dir(f"{work}/landing", "ecb", "rates"), cols,
                             f"{work}/rates", f"{work}/checkpoint", max_files_per_trigger=4)
     return table.read().select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
+
+
+@proof
+def q_build_tests(spark, d):
+    """The whole build on the stand-in raw tables: staging views, intermediates,
+    the fact written once, then every model test and assertion, graded."""
+    from .build import build
+
+    raw = {
+        "olist_orders": raw_tables.raw_orders(spark, d),
+        "olist_customers": raw_tables.raw_customers(spark, d),
+        "olist_order_items": raw_tables.raw_order_items(spark, d),
+        "olist_order_payments": raw_tables.raw_order_payments(spark, d),
+        "olist_products": raw_tables.raw_products(spark, d),
+        "olist_sellers": raw_tables.raw_sellers(spark, d),
+        "ecb_fx_rates": raw_tables.raw_fx_rates(spark, d),
+    }
+    return build(spark, raw, new_work_dir(spark, "build-fct"), register_views=False).tests
