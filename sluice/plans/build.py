@@ -35,11 +35,11 @@ FX_MAX_STALE_DAYS = 5
 PAID_VS_GROSS = Severity(warn_if=">0", error_if=">350")
 
 STAGING = {  # raw table name -> staging model
-    "olist_orders": "orders", "olist_customers": "customers", "olist_order_items": "order_items",
-    "olist_order_payments": "order_payments", "olist_order_reviews": "order_reviews",
-    "olist_products": "products", "olist_sellers": "sellers", "olist_geolocation": "geolocation",
-    "olist_product_category_name_translation": "product_category_name_translation",
-    "ecb_fx_rates": "fx_rates",
+    "raw_orders": "orders", "raw_customers": "customers", "raw_order_items": "order_items",
+    "raw_order_payments": "order_payments", "raw_order_reviews": "order_reviews",
+    "raw_products": "products", "raw_sellers": "sellers", "raw_geolocation": "geolocation",
+    "raw_product_category_name_translation": "product_category_name_translation",
+    "raw_fx_rates": "fx_rates",
 }
 
 
@@ -170,5 +170,5 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
     fct = orders_mart.order_fact(stg["orders"], stg["order_items"], stg["order_payments"], fx)
     mart = VersionedTable(spark, mart_root)
     n = mart.replace(fct)
-    tests = test_suite(stg, raw["olist_order_items"], fx, items, pays, mart.read())
+    tests = test_suite(stg, raw["raw_order_items"], fx, items, pays, mart.read())
     return BuildResult(n, tests, stg)

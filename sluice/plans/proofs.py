@@ -633,12 +633,12 @@ def q_build_tests(spark, d):
     from .build import build
 
     raw = {
-        "olist_orders": raw_tables.raw_orders(spark, d),
-        "olist_customers": raw_tables.raw_customers(spark, d),
-        "olist_order_items": raw_tables.raw_order_items(spark, d),
-        "olist_order_payments": raw_tables.raw_order_payments(spark, d),
-        "olist_products": raw_tables.raw_products(spark, d),
-        "olist_sellers": raw_tables.raw_sellers(spark, d),
-        "ecb_fx_rates": raw_tables.raw_fx_rates(spark, d),
+        "raw_orders": raw_tables.raw_orders(spark, d),
+        "raw_customers": raw_tables.raw_customers(spark, d),
+        "raw_order_items": raw_tables.raw_order_items(spark, d),
+        "raw_order_payments": raw_tables.raw_order_payments(spark, d),
+        "raw_products": raw_tables.raw_products(spark, d),
+        "raw_sellers": raw_tables.raw_sellers(spark, d),
+        "raw_fx_rates": raw_tables.raw_fx_rates(spark, d),
     }
     return build(spark, raw, new_work_dir(spark, "build-fct"), register_views=False).tests

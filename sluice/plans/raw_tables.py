@@ -90,7 +90,8 @@ def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     ccy = F.when(F.col("o_orderstatus") == "F", F.lit(STATUS_CURRENCY["F"])).when(
         F.col("o_orderstatus") == "O", F.lit(STATUS_CURRENCY["O"]))
     day = F.to_date("o_orderdate")
-    daily = (o.select(ccy.alias("currency"), day.alias("rate_date"),
+    daily = (o.filter(F.col("o_orderstatus").isin(list(STATUS_CURRENCY)))   # pushed to the scan
+              .select(ccy.alias("currency"), day.alias("rate_date"),
                       F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
               .filter(F.col("currency").isNotNull() & ~F.dayofweek("rate_date").isin(1, 7))
               .groupBy("currency", "rate_date").agg(F.max("price").alias("rate")))
