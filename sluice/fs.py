@@ -89,3 +89,18 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of a path (scheme included)."""
     fs, p = _path(spark, path)
     return fs.makeQualified(p).toString()
+
+
+def max_file_size(spark: SparkSession, path: str) -> int:
+    """Largest data file under ``path`` (a file or a folder, recursively)."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return 0
+    it = fs.listFiles(p, True)
+    biggest = 0
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")):
+            biggest = max(biggest, int(st.getLen()))
+    return biggest

@@ -16,11 +16,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from .. import fs
 from ..operators import runlog
 from ..operators.quality import require_rows
 from ..operators.tables import VersionedTable, with_audit
 from ..sources.csv_files import read_raw_csv, total_records
-from ..sources.landing import land_file, landing_dir
+from ..sources.csv_split import read_csv_parallel
+from ..sources.landing import land_files, landing_dir
 from ..sources.manifest import check_manifest, source_files
 
 
@@ -54,14 +56,28 @@ class BulkLoadFailed(RuntimeError):
         self.report = report
 
 
+# Files larger than this are parsed split by split instead of one task per file.
+SPLIT_PARSE_ABOVE_BYTES = 1 << 30
+
+
+def read_source(spark: SparkSession, path: str,
+                split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES):
+    """All-string read of a landed folder: Spark's whole-file CSV reader for
+    ordinary files; the splittable parse when one file is big enough to make
+    a single task the bottleneck."""
+    if fs.max_file_size(spark, path) > split_above_bytes:
+        return read_csv_parallel(spark, path)
+    return read_raw_csv(spark, path)
+
+
 def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
-               warehouse_root: str, source: str, load_date: dt.date) -> LoadResult:
+               warehouse_root: str, source: str, load_date: dt.date,
+               split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES) -> LoadResult:
     day_dir = landing_dir(landing_root, source, table, load_date)
-    for f in source_files(spark, src):
-        land_file(spark, f, landing_root, source, table, load_date)
+    land_files(spark, source_files(spark, src), landing_root, source, table, load_date)
     src_rows = total_records(spark, day_dir)
     require_rows(src_rows, table)
-    df = with_audit(read_raw_csv(spark, day_dir), day_dir)
+    df = with_audit(read_source(spark, day_dir, split_above_bytes), day_dir)
     target = VersionedTable(spark, f"{warehouse_root}/{source}_{table}")
     loaded = target.replace(df, expected_rows=src_rows)
     return LoadResult(table, "success", src_rows, loaded, day_dir)
@@ -70,7 +86,8 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
 def bulk_load(spark: SparkSession, manifest: dict[str, str], landing_root: str,
               warehouse_root: str, log_path: str, source: str,
               load_date: dt.date | None = None, run_id: str | None = None,
-              raise_on_failure: bool = True) -> BulkLoadReport:
+              raise_on_failure: bool = True,
+              split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES) -> BulkLoadReport:
     check_manifest(spark, manifest)
     load_date = load_date or dt.date.today()
     report = BulkLoadReport(run_id or uuid.uuid4().hex)
@@ -78,7 +95,8 @@ def bulk_load(spark: SparkSession, manifest: dict[str, str], landing_root: str,
         started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         runlog.log_event(spark, log_path, report.run_id, source, table, "started", started)
         try:
-            res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date)
+            res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
+                             split_above_bytes)
             runlog.log_event(spark, log_path, report.run_id, source, table, "success", started,
                              uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
         except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest

@@ -1,0 +1,156 @@
+"""Splittable parse of CSV with quoted newlines.
+
+Spark's ``multiLine`` CSV reader parses a file in one task, so one huge source
+file becomes one huge task.  This reader splits the file like plain text:
+
+1. every input split is summarised in its own task: quote parity, and whether
+   a record starts in it (``csv_files._summarise_splits``);
+2. per file, a window over those one-row-per-split summaries gives each split
+   its starting parity and the split where the record crossing into it began;
+   only splits that start *inside* quotes need that, so only they are
+   broadcast (counted first; above the bound the whole-file reader is used);
+3. each split cuts its own lines into records (map only, no shuffle); the
+   record that crosses a split boundary is emitted in parts, and only those
+   parts are grouped and put back together;
+4. record text is parsed with the built-in ``from_csv`` under the same options
+   as the whole-file reader (strict: a ragged record fails the job).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.quality import DataCheckError, require_columns
+from .csv_files import CSV_OPTIONS, NULL_SENTINEL, _SUMMARY, _summarise_splits, read_header, read_raw_csv
+
+DEFAULT_BROADCAST_SPLITS = 1_000_000
+
+_PIECES = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("owner", T.LongType()),     # split where the record starts
+    T.StructField("rec", T.LongType()),       # record number inside that split
+    T.StructField("part", T.LongType()),      # split this piece comes from (order of parts)
+    T.StructField("whole", T.BooleanType()),  # record complete inside one split
+    T.StructField("text", T.StringType()),
+])
+
+
+def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of each split (in order) -> whole records and boundary pieces."""
+    out: list[tuple] = []
+    cur_key = None
+    buf: list[pd.DataFrame] = []
+
+    def flush(frames: list[pd.DataFrame]) -> None:
+        pdf = pd.concat(frames, ignore_index=True)
+        file, block = pdf["file"].iat[0], int(pdf["block"].iat[0])
+        start = int(pdf["start_parity"].iat[0])
+        owner = pdf["owner_block"].iat[0]
+        values = pdf["value"].tolist()
+        q = pdf["value"].str.count('"').to_numpy(dtype=np.int64)
+        before = (start + np.cumsum(q) - q) % 2
+        blank = (pdf["value"].str.len() == 0).to_numpy()
+        is_start = (before == 0) & ~blank
+        skip = (before == 0) & blank                    # blank line between records
+        rec = np.cumsum(is_start) - 1                   # -1: continues an earlier split
+        end_parity = (start + int(q.sum())) % 2
+        last = int(rec[-1]) if len(rec) else -1
+        groups: dict[int, list[str]] = {}
+        for v, r, s in zip(values, rec, skip):
+            if not s:
+                groups.setdefault(int(r), []).append(v)
+        for r, lines in groups.items():
+            text = "\n".join(lines)
+            if r == -1:
+                out.append((file, int(owner), -1, block, False, text))
+            elif r == last and end_parity == 1:
+                out.append((file, block, r, block, False, text))
+            else:
+                out.append((file, block, r, block, True, text))
+
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        keys = list(zip(pdf["file"], pdf["block"]))
+        start = 0
+        for i in range(1, len(keys) + 1):
+            if i == len(keys) or keys[i] != keys[start]:
+                if keys[start] != cur_key and buf:
+                    flush(buf)
+                    buf = []
+                cur_key = keys[start]
+                buf.append(pdf.iloc[start:i])
+                start = i
+    if buf:
+        flush(buf)
+    if out:
+        yield pd.DataFrame(out, columns=["file", "owner", "rec", "part", "whole", "text"])
+
+
+def _split_table(lines: DataFrame) -> DataFrame:
+    """(file, block, start_parity, owner_block) for splits starting inside quotes."""
+    splits = lines.mapInPandas(_summarise_splits, _SUMMARY)
+    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    start_parity = (F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2).cast("int")
+    has_start = F.when(start_parity == 0, F.col("starts_even") > 0).otherwise(F.col("starts_odd") > 0)
+    with_start = splits.withColumn("start_parity", start_parity).withColumn("has_start", has_start)
+    owner = F.max(F.when(F.col("has_start"), F.col("block"))).over(w)
+    return (with_start.withColumn("owner_block", owner)
+            .filter(F.col("start_parity") == 1)
+            .select("file", "block", "start_parity", "owner_block"))
+
+
+def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                      required: Sequence[str] = (),
+                      max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
+    """All-string scan of CSV with quoted newlines, split across tasks.
+
+    Same result as ``csv_files.read_raw_csv`` (header per file, blank lines
+    skipped, '' kept, empty -> NULL, ragged records fail).  Lines are joined
+    with '\\n' inside quoted values.
+    """
+    cols = list(columns) if columns is not None else read_header(spark, path)
+    require_columns(cols, required, path)
+    if not cols:
+        raise DataCheckError(f"{path}: no header row")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.when(F.col("_metadata.file_block_start") == 0,
+               F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value")).alias("value"),
+        F.monotonically_increasing_id().alias("_pos"))
+    from ..operators.joins import materialize
+
+    odd = materialize(_split_table(lines), "csv-splits")
+    if odd.count() > max_broadcast_splits:
+        return read_raw_csv(spark, path, cols)          # too many: whole-file reader
+    tagged = (lines.join(F.broadcast(odd), ["file", "block"], "left")
+              .withColumn("start_parity", F.coalesce("start_parity", F.lit(0)))
+              .sortWithinPartitions("_pos")             # restore line order, no shuffle
+              .select("file", "block", "value", "start_parity", "owner_block"))
+    pieces = tagged.mapInPandas(_cut_records, _PIECES)
+    whole = pieces.filter("whole").select("file", "owner", "rec", "text")
+    parts = pieces.filter(~F.col("whole"))
+    stitched = (parts.groupBy("file", "owner")
+                .agg(F.array_sort(F.collect_list(F.struct("part", "rec", "text"))).alias("ps"))
+                .select("file", "owner",
+                        F.expr("ps[0].rec").alias("rec"),
+                        F.array_join(F.transform("ps", lambda p: p["text"]), "\n").alias("text")))
+    records = whole.unionByName(stitched)
+    first_block = records.groupBy("file").agg(F.min("owner").alias("_first"))
+    body = (records.join(F.broadcast(first_block), "file")
+            .filter(~((F.col("owner") == F.col("_first")) & (F.col("rec") == 0))))
+    ddl = ", ".join(f"`{c}` STRING" for c in cols)
+    # FAILFAST: a record with fewer or more fields than the header raises
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine", "inferSchema")}
+    parsed = body.select(F.from_csv(F.col("text"), ddl, opts).alias("r"))
+    return parsed.select(*[F.col("r").getField(c).alias(c) for c in cols])
+
+
+__all__ = ["read_csv_parallel", "NULL_SENTINEL"]

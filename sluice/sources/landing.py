@@ -27,6 +27,50 @@ def land_file(spark: SparkSession, src: str, root: str, source: str, table: str,
     return fs.qualify(spark, dst)
 
 
+def _arrow_path(uri: str):
+    """(pyarrow FileSystem, path) for a Hadoop-style URI or an absolute path."""
+    import pyarrow.fs as pafs
+
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if uri.startswith("/"):
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _copy_batch(batches):
+    import shutil
+
+    import pandas as pd
+
+    for pdf in batches:
+        sizes = []
+        for src, dst in zip(pdf["src"], pdf["dst"]):
+            sfs, spath = _arrow_path(src)
+            dfs, dpath = _arrow_path(dst)
+            dfs.create_dir(dpath.rsplit("/", 1)[0], recursive=True)
+            with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(dpath) as fout:
+                shutil.copyfileobj(fin, fout, 8 << 20)
+            sizes.append(sfs.get_file_info(spath).size)
+        yield pd.DataFrame({"dst": list(pdf["dst"]), "bytes": sizes})
+
+
+def land_files(spark: SparkSession, files: list[str], root: str, source: str, table: str,
+               load_date: dt.date | str, max_tasks: int = 256) -> list[str]:
+    """Copy many files into one landing day folder as a Spark job: one row per
+    file, files spread over tasks, bytes streamed by the executors (never via
+    the driver).  A retried task rewrites the same objects.  Returns the URIs."""
+    if not files:
+        return []
+    day = landing_dir(root, source, table, load_date)
+    pairs = [(fs.qualify(spark, f), fs.qualify(spark, f"{day}/{f.rstrip('/').rsplit('/', 1)[-1]}"))
+             for f in files]
+    jobs = spark.createDataFrame(pairs, "src string, dst string").repartition(
+        min(len(pairs), max_tasks))
+    done = jobs.mapInPandas(_copy_batch, "dst string, bytes long").collect()  # one row per file
+    return sorted(r["dst"] for r in done)
+
+
 def land_frame(df: DataFrame, root: str, source: str, table: str,
                load_date: dt.date | str | None = None, partition_col: str | None = None) -> str:
     """Write a DataFrame as CSV files into the landing layout (one day folder,
@@ -64,5 +108,5 @@ def missing_files(spark: SparkSession, folder: str, names: list[str]) -> list[st
     return [n for n in names if n not in present]
 
 
-__all__ = ["landing_dir", "land_file", "land_frame", "read_landed", "missing_files",
+__all__ = ["landing_dir", "land_file", "land_files", "land_frame", "read_landed", "missing_files",
            "CSV_OPTIONS"]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.sources.csv_files import count_records, ragged_rows, read_header, read_raw_csv, total_records
-from sluice.sources.landing import land_file, read_landed
+from sluice.sources.landing import land_file, land_files, read_landed
 from sluice.sources.manifest import MissingSourceFiles, check_manifest
 
 TRICKY = ('\ufeffid,zip,comment,note\r\n'
@@ -92,3 +92,75 @@ def test_landing_and_manifest(spark, tmpdir_path):
     assert "PartitionFilters: [isnotnull(load_date" in plan
     with pytest.raises(MissingSourceFiles, match="nope.csv"):
         check_manifest(spark, {"orders": src, "x": os.path.join(tmpdir_path, "nope.csv")})
+
+
+def test_distributed_landing(spark, tmpdir_path):
+    srcs = [write(os.path.join(tmpdir_path, f"part-{i}.csv"), f"id\n{i}\n") for i in range(5)]
+    root = os.path.join(tmpdir_path, "landing")
+    uris = land_files(spark, srcs, root, "shop", "items", "2024-02-01")
+    assert len(uris) == 5 and all("load_date=2024-02-01" in u for u in uris)
+    assert sorted(r["id"] for r in read_landed(spark, root, "shop", "items").collect()) == list("01234")
+    assert land_files(spark, srcs[:1], root, "shop", "items", "2024-02-01") == uris[:1]  # re-run overwrites
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from sluice.sources.csv_split import read_csv_parallel  # noqa: E402
+
+
+def _csv_field(value):
+    if value is None:
+        return ""
+    if value == "" or any(ch in value for ch in ',"\n'):
+        return '"' + value.replace('"', '""') + '"'
+    return value
+
+
+def _tiny_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+
+def _reset(spark):
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_parallel_parse_matches_whole_file_reader(spark, tmpdir_path):
+    p = write(os.path.join(tmpdir_path, "t.csv"), TRICKY)
+    assert sorted(map(tuple, read_csv_parallel(spark, p).collect()), key=repr) == \
+        sorted(map(tuple, read_raw_csv(spark, p).collect()), key=repr)
+    rows_ = []
+    for i in range(400):
+        long = "x" * (i % 50) + ("\n\n" + '"q"' if i % 9 == 0 else "")
+        rows_.append(f"{i},{_csv_field(long)},{_csv_field('' if i % 5 == 0 else None)}")
+    big = write(os.path.join(tmpdir_path, "big.csv"), "id,text,note\n" + "\n".join(rows_) + "\n")
+    _tiny_splits(spark)
+    try:
+        par = read_csv_parallel(spark, big)
+        assert spark.read.text(big).select("_metadata.file_block_start").distinct().count() > 20
+        assert sorted(map(tuple, par.collect()), key=repr) == \
+            sorted(map(tuple, read_raw_csv(spark, big).collect()), key=repr)
+    finally:
+        _reset(spark)
+    bad = write(os.path.join(tmpdir_path, "bad.csv"), "a,b,c\n1,2,3\n4,5\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv_parallel(spark, bad).collect()
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.one_of(st.none(), st.text(alphabet='ab,"\n ', max_size=40)),
+                          st.one_of(st.none(), st.text(alphabet='ab,"\n ', max_size=40))),
+                min_size=1, max_size=40))
+def test_parallel_parse_property(spark, tmp_path_factory, data):
+    d = tmp_path_factory.mktemp("prop")
+    body = "".join(f"{i},{_csv_field(a)},{_csv_field(b)}\n" for i, (a, b) in enumerate(data))
+    p = write(str(d / "p.csv"), "id,a,b\n" + body)
+    _tiny_splits(spark)
+    try:
+        got = sorted(map(tuple, read_csv_parallel(spark, p).collect()), key=repr)
+    finally:
+        _reset(spark)
+    expect = sorted(map(tuple, read_raw_csv(spark, p).collect()), key=repr)
+    assert got == expect

@@ -43,6 +43,12 @@ def test_bulk_load(spark, tmpdir_path):
     log = runlog.read_log(spark, roots[2])
     assert rows(log.groupBy("status").count()) == [("failed", 2), ("started", 3), ("success", 1)]
     assert not VersionedTable(spark, f"{roots[1]}/shop_items").exists()
+    # the same load with the splittable parse for every file
+    split_roots = [f"{tmpdir_path}/split-{n}" for n in ("landing", "wh", "log")]
+    rep = bulk_load(spark, {"orders": good}, *split_roots, "shop", split_above_bytes=0)
+    assert rep.results["orders"].loaded_rows == 2
+    t2 = VersionedTable(spark, f"{split_roots[1]}/shop_orders").read()
+    assert rows(t2, "id", "note") == [("1", "multi\nline"), ("2", "x")]
 
 
 RATES = "KEY string, CURRENCY string, TIME_PERIOD string, OBS_VALUE string, OBS_STATUS string"
