@@ -6,6 +6,9 @@ Storage layout of a ``VersionedTable`` at ``root``::
     root/data/<version-id>/part-*.parquet     one folder per committed write
     root/_commits/<00000000000000000001>      text: the data folder of version 1
 
+A partitioned table writes ``root/data/<version-id>/slc_part=<value>/`` folders
+and its commit file is a JSON manifest {partition value: folder, schema}.
+
 A write goes to a fresh data folder; only after it is complete and counted is
 the next commit file created (create-if-absent, so two writers cannot both
 commit the same version).  Readers take the highest commit.  A failed write
@@ -15,11 +18,14 @@ leaves the previous version in place and its staged folder is removed.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fs
 from .quality import require_equal_counts, require_unique_keys
@@ -37,9 +43,19 @@ def with_audit(df: DataFrame, source_uri: str | Column,
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """Whole-table versions with atomic commits; optionally partitioned.
+
+    With ``partition_expr`` (a SQL expression over the key columns, e.g.
+    ``substring(TIME_PERIOD, 1, 4)``) each version is a set of partition
+    folders listed in the commit manifest.  An upsert then reads and rewrites
+    only the partitions its batch touches; the new manifest keeps pointing at
+    the untouched folders of the previous version.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, partition_expr: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition_expr = partition_expr
 
     # ------------------------------------------------------------ reading
     def _commits(self) -> list[str]:
@@ -52,20 +68,57 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.version() > 0
 
-    def current_path(self) -> str | None:
+    def _manifest(self) -> dict | None:
         v = self.version()
         if not v:
             return None
-        name = fs.read_text(self.spark, f"{self.root}/{_COMMITS}/{v:020d}").strip()
-        return f"{self.root}/{_DATA}/{name}"
+        text = fs.read_text(self.spark, f"{self.root}/{_COMMITS}/{v:020d}").strip()
+        return json.loads(text) if text.startswith("{") else {"path": text}
 
-    def read(self) -> DataFrame:
-        path = self.current_path()
-        if path is None:
+    def current_path(self) -> str | None:
+        m = self._manifest()
+        return f"{self.root}/{_DATA}/{m['path']}" if m and "path" in m else None
+
+    def partitions(self) -> dict[str, str]:
+        """Partition value -> data folder of the current version."""
+        m = self._manifest()
+        return {k: f"{self.root}/{_DATA}/{v}" for k, v in (m or {}).get("parts", {}).items()}
+
+    def read(self, partitions: Sequence | None = None) -> DataFrame:
+        """Current version; for a partitioned table optionally only the listed
+        partition values (the other folders are never opened)."""
+        m = self._manifest()
+        if m is None:
             raise FileNotFoundError(f"table at {self.root} has no committed version")
-        return self.spark.read.parquet(path)
+        if "path" in m:
+            return self.spark.read.parquet(f"{self.root}/{_DATA}/{m['path']}")
+        schema = T.StructType.fromJson(json.loads(m["schema"]))
+        parts = m["parts"]
+        wanted = parts if partitions is None else [_part_key(p) for p in partitions]
+        paths = [f"{self.root}/{_DATA}/{parts[k]}" for k in wanted if k in parts]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
 
     # ------------------------------------------------------------ writing
+    def _write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, str, dict]:
+        name = uuid.uuid4().hex
+        staged = f"{self.root}/{_DATA}/{name}"
+        writer = df
+        if self.partition_expr:
+            writer = df.withColumn(_PART, F.expr(self.partition_expr).cast("string"))
+            writer.write.mode("errorifexists").partitionBy(_PART).parquet(staged)
+            parts = {}
+            for folder in fs.list_names(self.spark, staged):
+                if folder.startswith(_PART + "="):
+                    parts[unquote(folder[len(_PART) + 1:])] = f"{name}/{folder}"
+            return name, staged, parts
+        w = writer.write.mode("errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(staged)
+        return name, staged, {}
+
     def replace(self, df: DataFrame, expected_rows: int | None = None,
                 partition_by: Sequence[str] = ()) -> int:
         """Write ``df`` as the new whole content; returns the rows written.
@@ -73,37 +126,60 @@ class VersionedTable:
         With ``expected_rows`` the written count must match (and be non-zero),
         else nothing is committed.
         """
-        name = uuid.uuid4().hex
-        staged = f"{self.root}/{_DATA}/{name}"
+        return self._write_and_commit(df, expected_rows, partition_by, keep={})
+
+    def _write_and_commit(self, df: DataFrame, expected_rows, partition_by, keep: dict) -> int:
+        name, staged, parts = self._write(df, partition_by)
         committed = False
         try:
-            writer = df.write.mode("errorifexists")
-            if partition_by:
-                writer = writer.partitionBy(*partition_by)
-            writer.parquet(staged)
-            written = self.spark.read.parquet(staged).count()  # count what was written
+            if self.partition_expr:
+                paths = [f"{self.root}/{_DATA}/{p}" for p in parts.values()]
+                written = self.spark.read.schema(df.schema).parquet(*paths).count() if paths else 0
+            else:
+                written = self.spark.read.parquet(staged).count()  # count what was written
             if expected_rows is not None:
                 require_equal_counts(expected_rows, written, self.root)
-            self._commit(name)
+            if self.partition_expr:
+                body = json.dumps({"parts": {**keep, **parts}, "schema": df.schema.json(),
+                                   "partition_expr": self.partition_expr}, sort_keys=True)
+            else:
+                body = name
+            self._commit(body)
             committed = True
             return written
         finally:
             if not committed:
                 fs.delete(self.spark, staged)  # staging area removed, also on error
 
-    def _commit(self, name: str) -> None:
+    def _commit(self, body: str) -> None:
         nxt = self.version() + 1
         # create-if-absent: a concurrent writer that took this number wins, we fail.
-        fs.write_text(self.spark, f"{self.root}/{_COMMITS}/{nxt:020d}", name, overwrite=False)
+        fs.write_text(self.spark, f"{self.root}/{_COMMITS}/{nxt:020d}", body, overwrite=False)
 
     def upsert(self, source: DataFrame, keys: Sequence[str],
                expected_rows: int | None = None) -> int:
-        """Create on first write, keyed MERGE afterwards; returns rows written."""
+        """Create on first write, keyed MERGE afterwards; returns rows written
+        (for a partitioned table: rows of the rewritten partitions)."""
         require_unique_keys(source, keys, self.root)
         if not self.exists():
             return self.replace(source, expected_rows=None)
-        merged = merge_by_keys(self.read(), source, keys)
-        return self.replace(merged)
+        if not self.partition_expr:
+            merged = merge_by_keys(self.read(), source, keys)
+            return self.replace(merged)
+        touched = [_part_key(r[0]) for r in  # distinct partition values: bounded, small
+                   source.select(F.expr(self.partition_expr).cast("string")).distinct().collect()]
+        current = self._manifest()["parts"]
+        merged = merge_by_keys(self.read(partitions=touched), source, keys)
+        keep = {k: v for k, v in current.items() if k not in set(touched)}
+        return self._write_and_commit(merged, None, (), keep=keep)
+
+
+_PART = "slc_part"
+_NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _part_key(value) -> str:
+    return _NULL_PART if value is None else str(value)
 
 
 def merge_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

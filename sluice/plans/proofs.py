@@ -604,7 +604,7 @@ def q_incremental_load(spark, d):
                                        today, source_uri=f"rates/{today}")
     finally:
         rate_load.DEFAULT_START = old_default
-    table = VersionedTable(spark, f"{work}/rates").read()
+    table = VersionedTable(spark, f"{work}/rates", rate_load.RATE_PARTITION).read()
     return table.select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
 
 

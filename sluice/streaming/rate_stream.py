@@ -21,7 +21,8 @@ from ..sources.csv_files import CSV_OPTIONS, string_schema
 
 def start_rate_stream(spark: SparkSession, landing_table_dir: str, columns: Sequence[str],
                       table_root: str, checkpoint: str, keys: Sequence[str] = ("KEY", "TIME_PERIOD"),
-                      max_files_per_trigger: int | None = None):
+                      max_files_per_trigger: int | None = None,
+                      partition_expr: str | None = "substring(TIME_PERIOD, 1, 4)"):
     schema = string_schema(list(columns))
     reader = (spark.readStream.schema(schema)
               .options(**{k: v for k, v in CSV_OPTIONS.items() if k != "inferSchema"}))
@@ -29,7 +30,7 @@ def start_rate_stream(spark: SparkSession, landing_table_dir: str, columns: Sequ
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = (reader.option("recursiveFileLookup", "true").csv(landing_table_dir)
               .withColumn("_source_uri", F.col("_metadata.file_path")))
-    target = VersionedTable(spark, table_root)
+    target = VersionedTable(spark, table_root, partition_expr)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -48,4 +49,4 @@ def run_rate_stream(spark: SparkSession, landing_table_dir: str, columns: Sequen
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
-    return VersionedTable(spark, table_root)
+    return VersionedTable(spark, table_root, kw.get("partition_expr", "substring(TIME_PERIOD, 1, 4)"))

@@ -73,7 +73,8 @@ def test_incremental_load(spark, tmpdir_path):
         ~((F.col("CURRENCY") == "GBP") & (F.col("TIME_PERIOD") == "2016-01-04") & (F.col("OBS_VALUE") == "0.73")))
     r2 = rate_load.incremental_load(spark, src2, table, log, ["GBP", "BRL"], dt.date(2016, 3, 31), "u2")
     assert r2["start"] == dt.date(2015, 12, 28) and r2["rows"] == 3
-    got = rows(VersionedTable(spark, table).read(), "CURRENCY", "TIME_PERIOD", "OBS_VALUE")
+    got = rows(VersionedTable(spark, table, rate_load.RATE_PARTITION).read(),
+               "CURRENCY", "TIME_PERIOD", "OBS_VALUE")
     assert got == [("BRL", "2016-01-04", "4.31"), ("GBP", "2016-01-04", "0.74"), ("GBP", "2016-03-01", "0.78")]
     # BRL absent from the new window but known: fine; nothing new -> success with 0 rows
     r3 = rate_load.incremental_load(spark, src2, table, log, ["BRL"], dt.date(2016, 3, 31), "u3")

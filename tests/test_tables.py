@@ -81,3 +81,27 @@ def test_high_water_mark(spark, tmpdir_path):
     t.replace(df)
     assert load_window(t, "TIME_PERIOD", today) == (dt.date(2018, 1, 3), today)
     assert load_window(t, "TIME_PERIOD", today, force_default=True)[0] == dt.date(2016, 1, 1)
+
+
+def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmpdir_path):
+    data = [(f"D.{c}", c, f"{y}-0{m}-01", f"{y}.{m}") for c in ("GBP", "BRL")
+            for y in (2016, 2017, 2018) for m in (1, 2)]
+    schema = "KEY string, CURRENCY string, TIME_PERIOD string, OBS_VALUE string"
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "p"), partition_expr="substring(TIME_PERIOD, 1, 4)")
+    t.upsert(spark.createDataFrame(data, schema), ["KEY", "TIME_PERIOD"])
+    before = t.partitions()
+    assert sorted(before) == ["2016", "2017", "2018"]
+    batch = spark.createDataFrame([("D.GBP", "GBP", "2018-02-01", "9.9"), ("D.GBP", "GBP", "2018-03-01", "8.8")],
+                                  schema)
+    written = t.upsert(batch, ["KEY", "TIME_PERIOD"])
+    after = t.partitions()
+    assert written == 5                                        # only 2018 was rewritten
+    assert after["2016"] == before["2016"] and after["2017"] == before["2017"]
+    assert after["2018"] != before["2018"]
+    flat = VersionedTable(spark, os.path.join(tmpdir_path, "flat"))
+    flat.upsert(spark.createDataFrame(data, schema), ["KEY", "TIME_PERIOD"])
+    flat.upsert(batch, ["KEY", "TIME_PERIOD"])
+    assert rows(t.read()) == rows(flat.read())
+    assert rows(t.read(partitions=["2018"]), "TIME_PERIOD", "OBS_VALUE")[-2:] == [
+        ("2018-02-01", "9.9"), ("2018-03-01", "8.8")]
+    assert t.read(partitions=["1999"]).count() == 0
