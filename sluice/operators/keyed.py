@@ -30,7 +30,8 @@ def sort_key(*parts: tuple[Column | str, str]) -> Column:
     """Struct that orders like ``ORDER BY``: each part is (column, 'desc'|'asc').
 
     NULLs follow the SQL default: first for ascending, last for descending.
-    Numeric descending parts are negated; use the result with ``min_by``.
+    Numeric descending parts are negated; use the result with ``min_by``
+    (the row that sorts first wins, with map-side partial aggregation).
     """
     fields = []
     for i, (col, direction) in enumerate(parts):
@@ -45,14 +46,6 @@ def sort_key(*parts: tuple[Column | str, str]) -> Column:
     return F.struct(*fields)
 
 
-def arg_best(df: DataFrame, key: str | Sequence[str], value: str, order: Column,
-             out: str) -> DataFrame:
-    """One row per key with the ``value`` of the row that sorts first by ``order``
-    (a ``sort_key``).  Partial aggregation, no sort, no window."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.min_by(F.col(value), order).alias(out))
-
-
 def rank_within(df: DataFrame, key: str | Sequence[str], order: Sequence[Column],
                 out: str = "rank") -> DataFrame:
     """row_number() over (partition by key order by ...)."""

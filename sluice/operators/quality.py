@@ -95,19 +95,27 @@ def row_count_parity(a: DataFrame, b: DataFrame, problem: str,
 
 def counts_side_by_side(a: DataFrame, b: DataFrame, problem: str,
                         a_name: str = "fct_rows", b_name: str = "stg_rows") -> DataFrame:
-    na = a.agg(F.count(F.lit(1)).alias(a_name), F.lit(1).alias("_one"))
-    nb = b.agg(F.count(F.lit(1)).alias(b_name), F.lit(1).alias("_one"))
-    return (na.join(nb, "_one")
-              .select(F.lit(problem).alias("problem"), F.col(a_name), F.col(b_name)))
+    """Both row counts in one row: one aggregation over the tagged union of the
+    two inputs (no join, no cross product; partial counts per task)."""
+    tagged = (a.select(F.lit(True).alias("_is_a"))
+               .unionByName(b.select(F.lit(False).alias("_is_a"))))
+    return tagged.agg(F.count_if(F.col("_is_a")).alias(a_name),
+                      F.count_if(~F.col("_is_a")).alias(b_name)).select(
+        F.lit(problem).alias("problem"), F.col(a_name), F.col(b_name))
 
 
 def totals_side_by_side(a: DataFrame, a_value: Column, b: DataFrame, b_value: Column,
                         a_name: str, b_name: str) -> DataFrame:
-    """coalesce(sum(a_value), 0) next to coalesce(sum(b_value), 0) and the difference."""
-    ta = a.agg(F.coalesce(F.sum(a_value), F.lit(0)).alias(a_name), F.lit(1).alias("_one"))
-    tb = b.agg(F.coalesce(F.sum(b_value), F.lit(0)).alias(b_name), F.lit(1).alias("_one"))
-    return (ta.join(tb, "_one")
-              .select(a_name, b_name, (F.col(a_name) - F.col(b_name)).alias("difference")))
+    """coalesce(sum(a_value), 0) next to coalesce(sum(b_value), 0) and the
+    difference, from one aggregation over the tagged union of both inputs."""
+    from ..functions.casts import NUMERIC
+
+    tagged = (a.select(F.lit(True).alias("_is_a"), a_value.cast(NUMERIC).alias("_v"))
+               .unionByName(b.select(F.lit(False).alias("_is_a"), b_value.cast(NUMERIC).alias("_v"))))
+    sums = tagged.agg(
+        F.coalesce(F.sum(F.when(F.col("_is_a"), F.col("_v"))), F.lit(0)).alias(a_name),
+        F.coalesce(F.sum(F.when(~F.col("_is_a"), F.col("_v"))), F.lit(0)).alias(b_name))
+    return sums.select(a_name, b_name, (F.col(a_name) - F.col(b_name)).alias("difference"))
 
 
 def totals_reconcile(a: DataFrame, a_value: Column, b: DataFrame, b_value: Column,

@@ -207,15 +207,27 @@ def merge_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 
 def high_water_mark_frame(df: DataFrame, col: str, lookback_days: int = 7,
-                          default_start: str = "2016-01-01") -> DataFrame:
+                          default_start: str = "2016-01-01",
+                          empty_when: Column | None = None) -> DataFrame:
     """One row: latest (text), start_date = latest - lookback, or the default
-    start when there is nothing to anchor on.  A malformed latest value fails."""
+    start when there is nothing to anchor on.  A malformed latest value fails.
+
+    ``empty_when`` adds ``empty_start_date``: the same mark over the rows that
+    satisfy it, computed in the same single aggregation.
+    """
     from ..functions.casts import to_date
 
-    latest = df.agg(F.max(col).alias("latest"))
-    start = F.coalesce(F.date_sub(to_date(F.col("latest")), lookback_days),
-                       F.lit(default_start).cast("date"))
-    return latest.withColumn("start_date", start)
+    def start_of(latest):
+        return F.coalesce(F.date_sub(to_date(latest), lookback_days),
+                          F.lit(default_start).cast("date"))
+
+    aggs = [F.max(col).alias("latest")]
+    if empty_when is not None:
+        aggs.append(F.max(F.when(empty_when, F.col(col))).alias("_sub_latest"))
+    out = df.agg(*aggs).withColumn("start_date", start_of(F.col("latest")))
+    if empty_when is not None:
+        out = out.withColumn("empty_start_date", start_of(F.col("_sub_latest"))).drop("_sub_latest")
+    return out
 
 
 def load_window(target: VersionedTable | None, col: str, today: dt.date,
