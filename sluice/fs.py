@@ -104,3 +104,26 @@ def max_file_size(spark: SparkSession, path: str) -> int:
         if not name.startswith(("_", ".")):
             biggest = max(biggest, int(st.getLen()))
     return biggest
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Atomic move of one file (on HDFS / local); the target folder is created."""
+    sfs, sp = _path(spark, src)
+    dfs, dp = _path(spark, dst)
+    dfs.mkdirs(dp.getParent())
+    if not sfs.rename(sp, dp):
+        raise OSError(f"rename failed: {src} -> {dst}")
+
+
+def list_tree(spark: SparkSession, path: str) -> list[str]:
+    """All data files under ``path`` (recursively), as full paths."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        st = it.next()
+        if not st.getPath().getName().startswith(("_", ".")):
+            out.append(st.getPath().toString())
+    return sorted(out)

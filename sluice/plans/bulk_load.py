@@ -1,6 +1,6 @@
 """Bulk load job: every table of a manifest, one after another.
 
-Per table: log 'started' -> land the source files byte for byte under
+Per table (tables run as concurrent Spark jobs): log 'started' -> land the source files byte for byte under
 ``landing/<source>/<table>/load_date=<D>/`` -> count the source records
 independently of the parse -> read all-string with audit columns -> write a
 new version, check the written count against the source count, commit ->
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -83,27 +84,44 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
     return LoadResult(table, "success", src_rows, loaded, day_dir)
 
 
+def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
+                 warehouse_root: str, log_path: str, source: str, load_date: dt.date,
+                 run_id: str, split_above_bytes: int) -> LoadResult:
+    started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    runlog.log_event(spark, log_path, run_id, source, table, "started", started)
+    try:
+        res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
+                         split_above_bytes)
+        runlog.log_event(spark, log_path, run_id, source, table, "success", started,
+                         uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
+    except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest
+        res = LoadResult(table, "failed", error=f"{type(exc).__name__}: {exc}")
+        runlog.log_event(spark, log_path, run_id, source, table, "failed", started,
+                         error=res.error)
+    return res
+
+
 def bulk_load(spark: SparkSession, manifest: dict[str, str], landing_root: str,
               warehouse_root: str, log_path: str, source: str,
               load_date: dt.date | None = None, run_id: str | None = None,
               raise_on_failure: bool = True,
-              split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES) -> BulkLoadReport:
+              split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES,
+              parallel_tables: int = 4) -> BulkLoadReport:
+    """Load every table of the manifest.  Tables load as concurrent Spark jobs
+    (``parallel_tables`` at a time; 1 loads them one after another)."""
     check_manifest(spark, manifest)
     load_date = load_date or dt.date.today()
     report = BulkLoadReport(run_id or uuid.uuid4().hex)
-    for table, src in manifest.items():
-        started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        runlog.log_event(spark, log_path, report.run_id, source, table, "started", started)
-        try:
-            res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
-                             split_above_bytes)
-            runlog.log_event(spark, log_path, report.run_id, source, table, "success", started,
-                             uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
-        except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest
-            res = LoadResult(table, "failed", error=f"{type(exc).__name__}: {exc}")
-            runlog.log_event(spark, log_path, report.run_id, source, table, "failed", started,
-                             error=res.error)
-        report.results[table] = res
+    args = (landing_root, warehouse_root, log_path, source, load_date, report.run_id,
+            split_above_bytes)
+    if parallel_tables <= 1:
+        results = [_load_logged(spark, t, src, *args) for t, src in manifest.items()]
+    else:
+        with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+            futures = [pool.submit(_load_logged, spark, t, src, *args) for t, src in manifest.items()]
+            results = [f.result() for f in futures]
+    for res in results:
+        report.results[res.table] = res
     if raise_on_failure and report.failures:
         raise BulkLoadFailed(report)
     return report

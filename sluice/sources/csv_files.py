@@ -5,9 +5,10 @@
   record instead of skipping it.
 * ``count_records`` counts records independently of that parse, from the text
   lines: a record starts on a non-blank line reached with an even number of
-  quote characters before it.  Each input split is summarised in its own task
-  (mapInPandas over the split's lines, in order); only one small row per split
-  is shuffled, and the quote parity is carried from split to split per file.
+  quote characters before it.  Quote counts per line are computed JVM-side;
+  each input split is summarised in its own task (mapInPandas over the split's
+  (quotes, blank) pairs, in order); only one small row per split is shuffled,
+  and the quote parity is carried from split to split per file.
 * ``ragged_rows`` lists records whose field count differs from the header.
 """
 
@@ -84,6 +85,22 @@ _SUMMARY = T.StructType([
 ])
 
 
+def line_facts(spark: SparkSession, path: str) -> DataFrame:
+    """One row per text line, in split order: (file, block, quotes, blank).
+
+    Quote counts and blank flags are computed JVM-side (codegen); only these
+    two small numbers per line cross into Python.  A byte-order mark at the
+    start of a file is ignored.
+    """
+    value = F.when(F.col("_metadata.file_block_start") == 0,
+                   F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        (F.length(value) - F.length(F.regexp_replace(value, '"', ""))).cast("int").alias("quotes"),
+        (F.length(value) == 0).alias("blank"))
+
+
 def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per input split, in line order: quote parity of the whole split and the
     number of record starts if the split begins outside / inside quotes."""
@@ -92,28 +109,28 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
     for pdf in batches:
         if pdf.empty:
             continue
-        quotes = pdf["value"].str.count('"').to_numpy(dtype=np.int64)
-        blank = (pdf["value"].str.len() == 0).to_numpy()
-        keys = list(zip(pdf["file"], pdf["block"]))
-        # consecutive runs of the same split inside this batch
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[start]:
-                k = keys[start]
-                st = state.get(k)
-                if st is None:
-                    st = state[k] = [0, 0, 0]
-                    order.append(k)
-                q = quotes[start:i]
-                before = (st[0] + np.cumsum(q) - q) % 2
-                live = ~blank[start:i]
-                st[1] += int(np.count_nonzero(live & (before == 0)))
-                st[2] += int(np.count_nonzero(live & (before == 1)))
-                st[0] = int((st[0] + q.sum()) % 2)
-                start = i
+        quotes = pdf["quotes"].to_numpy(dtype=np.int64)
+        blank = pdf["blank"].to_numpy(dtype=bool)
+        files = pdf["file"].to_numpy()
+        blocks = pdf["block"].to_numpy(dtype=np.int64)
+        # boundaries of consecutive runs of the same split inside this batch
+        change = np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        bounds = np.concatenate(([0], change, [len(pdf)]))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            k = (files[a], int(blocks[a]))
+            st = state.get(k)
+            if st is None:
+                st = state[k] = [0, 0, 0]
+                order.append(k)
+            q = quotes[a:b]
+            before = (st[0] + np.cumsum(q) - q) % 2
+            live = ~blank[a:b]
+            st[1] += int(np.count_nonzero(live & (before == 0)))
+            st[2] += int(np.count_nonzero(live & (before == 1)))
+            st[0] = int((st[0] + q.sum()) % 2)
     if order:
         yield pd.DataFrame({
-            "file": [k[0] for k in order], "block": [int(k[1]) for k in order],
+            "file": [k[0] for k in order], "block": [k[1] for k in order],
             "parity": [state[k][0] for k in order],
             "starts_even": [state[k][1] for k in order],
             "starts_odd": [state[k][2] for k in order]})
@@ -121,11 +138,7 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 
 def count_records(spark: SparkSession, path: str, has_header: bool = True) -> DataFrame:
     """(file, records): data records per file, blank lines not counted."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.regexp_replace(F.col("value"), "^\\ufeff", "").alias("value"))
-    splits = lines.mapInPandas(_summarise_splits, _SUMMARY)
+    splits = line_facts(spark, path).mapInPandas(_summarise_splits, _SUMMARY)
     w = (Window.partitionBy("file").orderBy("block")
          .rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import DataCheckError, require_columns
-from .csv_files import CSV_OPTIONS, NULL_SENTINEL, _SUMMARY, _summarise_splits, read_header, read_raw_csv
+from .csv_files import (CSV_OPTIONS, NULL_SENTINEL, _SUMMARY, _summarise_splits, line_facts,
+                        read_header, read_raw_csv)
 
 DEFAULT_BROADCAST_SPLITS = 1_000_000
 
@@ -53,9 +54,9 @@ def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         start = int(pdf["start_parity"].iat[0])
         owner = pdf["owner_block"].iat[0]
         values = pdf["value"].tolist()
-        q = pdf["value"].str.count('"').to_numpy(dtype=np.int64)
+        q = pdf["quotes"].to_numpy(dtype=np.int64)          # counted JVM-side
         before = (start + np.cumsum(q) - q) % 2
-        blank = (pdf["value"].str.len() == 0).to_numpy()
+        blank = pdf["blank"].to_numpy(dtype=bool)
         is_start = (before == 0) & ~blank
         skip = (before == 0) & blank                    # blank line between records
         rec = np.cumsum(is_start) - 1                   # -1: continues an earlier split
@@ -93,9 +94,9 @@ def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["file", "owner", "rec", "part", "whole", "text"])
 
 
-def _split_table(lines: DataFrame) -> DataFrame:
+def _split_table(spark: SparkSession, path: str) -> DataFrame:
     """(file, block, start_parity, owner_block) for splits starting inside quotes."""
-    splits = lines.mapInPandas(_summarise_splits, _SUMMARY)
+    splits = line_facts(spark, path).mapInPandas(_summarise_splits, _SUMMARY)
     w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     start_parity = (F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2).cast("int")
     has_start = F.when(start_parity == 0, F.col("starts_even") > 0).otherwise(F.col("starts_odd") > 0)
@@ -119,21 +120,24 @@ def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | N
     require_columns(cols, required, path)
     if not cols:
         raise DataCheckError(f"{path}: no header row")
+    text = F.when(F.col("_metadata.file_block_start") == 0,
+                  F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.when(F.col("_metadata.file_block_start") == 0,
-               F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value")).alias("value"),
+        text.alias("value"),
+        (F.length(text) - F.length(F.regexp_replace(text, '"', ""))).cast("int").alias("quotes"),
+        (F.length(text) == 0).alias("blank"),
         F.monotonically_increasing_id().alias("_pos"))
     from ..operators.joins import materialize
 
-    odd = materialize(_split_table(lines), "csv-splits")
+    odd = materialize(_split_table(spark, path), "csv-splits")
     if odd.count() > max_broadcast_splits:
         return read_raw_csv(spark, path, cols)          # too many: whole-file reader
     tagged = (lines.join(F.broadcast(odd), ["file", "block"], "left")
               .withColumn("start_parity", F.coalesce("start_parity", F.lit(0)))
               .sortWithinPartitions("_pos")             # restore line order, no shuffle
-              .select("file", "block", "value", "start_parity", "owner_block"))
+              .select("file", "block", "value", "quotes", "blank", "start_parity", "owner_block"))
     pieces = tagged.mapInPandas(_cut_records, _PIECES)
     whole = pieces.filter("whole").select("file", "owner", "rec", "text")
     parts = pieces.filter(~F.col("whole"))

@@ -75,3 +75,19 @@ def test_run_log(spark, tmpdir_path):
     assert max(len(e) for e in errs if e) == 2000
     assert log.filter("status = 'started'").agg(F.count("duration_seconds")).first()[0] == 0
     assert runlog.read_log(spark, path, event_date="2023-12-29").count() == 1   # day partition
+
+
+def test_concurrent_log_appends_lose_nothing(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{tmpdir_path}/log"
+    t0 = dt.datetime(2024, 1, 1, 8)
+
+    def write(i):
+        runlog.log_event(spark, path, f"r{i}", "src", f"t{i}", "started", t0,
+                         now=t0 + dt.timedelta(days=i % 3))
+
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(write, range(12)))
+    log = runlog.read_log(spark, path)
+    assert log.count() == 12 and log.select("run_id").distinct().count() == 12
