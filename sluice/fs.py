@@ -127,3 +127,12 @@ def list_tree(spark: SparkSession, path: str) -> list[str]:
         if not st.getPath().getName().startswith(("_", ".")):
             out.append(st.getPath().toString())
     return sorted(out)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()

@@ -7,8 +7,11 @@ local session, as in tests) do we create and register one of our own.
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,9 +35,37 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sluice`` importable in the Python workers (mapInPandas functions
+    live in it): the package is zipped in memory, written to the shared work
+    folder and registered with ``addPyFile`` -- once per application."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    from . import fs
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    target = f"{work_root(spark)}/pyfiles-{uuid.uuid4().hex[:12]}/sluice.zip"
+    fs.write_bytes(spark, target, buf.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering one only if unset."""
     sc = spark.sparkContext

@@ -45,3 +45,14 @@ def test_fact_joins_reuse_order_partitioning(spark, large_table_settings):
     assert plan.count("SortMergeJoin") == 2
     assert plan.count("Exchange hashpartitioning(order_id") == 4   # orders, items, payments x2
     assert plan.count("BroadcastExchange") == 1                    # the size-checked rate calendar
+
+
+@pytest.mark.parametrize("name", ["q_items_by_order", "q_payments_by_order", "q_test_unique_combo",
+                                  "q_test_relationships", "q_dead_runs", "q_test_accepted_values"])
+def test_keyed_work_combines_map_side(spark, large_table_settings, name):
+    """A hot key must be pre-aggregated in every task before the shuffle."""
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    first_exchange = max(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
+    below = "\n".join(lines[first_exchange:])
+    assert "partial_" in below, f"{name}: no map-side partial aggregate under its shuffle"
