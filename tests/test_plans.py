@@ -53,6 +53,7 @@ def test_keyed_work_combines_map_side(spark, large_table_settings, name):
     """A hot key must be pre-aggregated in every task before the shuffle."""
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
-    first_exchange = max(i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l)
-    below = "\n".join(lines[first_exchange:])
-    assert "partial_" in below, f"{name}: no map-side partial aggregate under its shuffle"
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert exchanges
+    for i in exchanges:   # the operator feeding every shuffle is a (partial) aggregate
+        assert "Aggregate" in lines[i + 1], f"{name}: shuffle not fed by an aggregate: {lines[i + 1]}"
