@@ -25,11 +25,16 @@ REQUIRED_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "sluice", extra: dict | None = None) -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.ui.enabled", "false")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    """Session with the settings the library relies on.  ``master=None`` leaves
+    the master (and ``shuffle_partitions=None`` the partition count) to
+    spark-submit / the cluster configuration."""
+    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
