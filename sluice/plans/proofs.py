@@ -18,7 +18,7 @@ from ..operators import keyed, quality, runlog, series
 from ..operators.joins import join_small
 from ..operators.tables import VersionedTable, high_water_mark_frame, with_audit
 from ..session import new_work_dir
-from . import fx_daily, orders_mart, raw_tables
+from . import fx_daily, orders_mart, rate_load, raw_tables
 from .models import (fct_orders, fx_rates_daily, stg_customers, stg_fx, stg_items,
                      stg_orders, stg_payments, stg_payments_by_quantity, stg_sellers)
 from .staging import BUSINESS_ZONE, products_counted_photos
@@ -430,41 +430,24 @@ def q_high_water_mark(spark, d):
     return high_water_mark_frame(rates, "TIME_PERIOD", empty_when=F.col("CURRENCY") == "XXX")
 
 
-def read_window(rates: DataFrame, currencies: list[str], start, end) -> DataFrame:
-    """Rows of the chosen keys with TIME_PERIOD in [start, end] (inclusive)."""
-    return rates.filter(F.col("CURRENCY").isin(currencies)
-                        & F.col("TIME_PERIOD").between(str(start), str(end)))
-
-
 @proof
 def q_window_extract(spark, d):
     rates = raw_tables.raw_fx_rates(spark, d)
     latest = rates.agg(F.max("TIME_PERIOD")).first()[0]  # one scalar
     end = dt.date.fromisoformat(latest)
     start = end - dt.timedelta(days=7)
-    return (read_window(rates, ["GBP", "BRL"], start, end)
+    return (rate_load.read_window(rates, ["GBP", "BRL"], start, end)
             .select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE"))
 
 
-def coverage(requested: DataFrame, window: DataFrame, history: DataFrame,
-             col: str = "CURRENCY") -> DataFrame:
-    """Requested keys absent from the window, flagged known / unknown."""
-    received = window.select(F.col(col).alias("currency")).distinct()
-    known = history.select(F.col(col).alias("currency")).distinct()
-    missing = requested.join(received, "currency", "left_anti")
-    return (missing.join(known.withColumn("known", F.lit(True)), "currency", "left")
-                   .select("currency", F.coalesce("known", F.lit(False)).alias("known"))
-                   .orderBy("currency"))
-
-
 @proof
 def q_missing_keys(spark, d):
     rates = raw_tables.raw_fx_rates(spark, d)
     latest = rates.agg(F.max("TIME_PERIOD")).first()[0]
     end = dt.date.fromisoformat(latest)
-    window = read_window(rates, REQUESTED_CCY, end - dt.timedelta(days=7), end)
+    window = rate_load.read_window(rates, REQUESTED_CCY, end - dt.timedelta(days=7), end)
     requested = spark.createDataFrame([(c,) for c in REQUESTED_CCY], "currency string")
-    return coverage(requested, window, rates)
+    return rate_load.coverage(requested, window, rates)
 
 
 # ---------------------------------------------------------------- tables and loads (write)
@@ -588,8 +571,6 @@ def q_incremental_load(spark, d):
     """Two runs of the incremental load: the first from the default start to
     1998-12-31, the second from (latest - 7 days) on a revised source (+0.01),
     so the overlap is updated and older rows keep their values."""
-    from . import rate_load
-
     work = new_work_dir(spark, "incremental")
     rates = raw_tables.raw_fx_rates(spark, d)
     revised = rates.withColumn(

@@ -164,3 +164,24 @@ def test_parallel_parse_property(spark, tmp_path_factory, data):
         _reset(spark)
     expect = sorted(map(tuple, read_raw_csv(spark, p).collect()), key=repr)
     assert got == expect
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.just(""), st.lists(
+           st.one_of(st.none(), st.text(alphabet='xy,"\n', max_size=12)), min_size=1, max_size=3)),
+       min_size=0, max_size=60))
+def test_record_count_property(spark, tmp_path_factory, rows_):
+    """The split-parallel count equals Python's csv reader (blank rows skipped)."""
+    import csv
+    import io
+
+    d = tmp_path_factory.mktemp("cnt")
+    body = "".join("\n" if r == "" else ",".join(_csv_field(v) for v in r) + "\n" for r in rows_)
+    text = "\ufeffh1,h2,h3\n" + body
+    p = write(str(d / "c.csv"), text)
+    expect = sum(1 for r in csv.reader(io.StringIO(text[1:], newline="")) if r) - 1
+    _tiny_splits(spark)
+    try:
+        assert total_records(spark, p) == expect
+    finally:
+        _reset(spark)
