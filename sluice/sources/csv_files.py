@@ -82,6 +82,7 @@ _SUMMARY = T.StructType([
     T.StructField("parity", T.IntegerType()),
     T.StructField("starts_even", T.LongType()),
     T.StructField("starts_odd", T.LongType()),
+    T.StructField("lines", T.LongType()),
 ])
 
 
@@ -120,8 +121,9 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             k = (files[a], int(blocks[a]))
             st = state.get(k)
             if st is None:
-                st = state[k] = [0, 0, 0]
+                st = state[k] = [0, 0, 0, 0]
                 order.append(k)
+            st[3] += int(b - a)
             q = quotes[a:b]
             before = (st[0] + np.cumsum(q) - q) % 2
             live = ~blank[a:b]
@@ -133,7 +135,8 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             "file": [k[0] for k in order], "block": [k[1] for k in order],
             "parity": [state[k][0] for k in order],
             "starts_even": [state[k][1] for k in order],
-            "starts_odd": [state[k][2] for k in order]})
+            "starts_odd": [state[k][2] for k in order],
+            "lines": [state[k][3] for k in order]})
 
 
 def count_records(spark: SparkSession, path: str, has_header: bool = True) -> DataFrame:

@@ -6,14 +6,15 @@ file becomes one huge task.  This reader splits the file like plain text:
 1. every input split is summarised in its own task: quote parity, and whether
    a record starts in it (``csv_files._summarise_splits``);
 2. per file, a window over those one-row-per-split summaries gives each split
-   its starting parity and the split where the record crossing into it began;
-   only splits that start *inside* quotes need that, so only they are
-   broadcast (counted first; above the bound the whole-file reader is used);
+   its starting parity, its first line number and the split where the record
+   crossing into it began; that small table is broadcast when its counted size
+   allows, else joined with a shuffle that moves each split's lines together;
 3. each split cuts its own lines into records (map only, no shuffle); the
    record that crosses a split boundary is emitted in parts, and only those
    parts are grouped and put back together;
 4. record text is parsed with the built-in ``from_csv`` under the same options
-   as the whole-file reader (strict: a ragged record fails the job).
+   as the whole-file reader (strict: a ragged record fails the job);
+   ``ragged_records`` lists such records with the line they start on.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ _PIECES = T.StructType([
     T.StructField("rec", T.LongType()),       # record number inside that split
     T.StructField("part", T.LongType()),      # split this piece comes from (order of parts)
     T.StructField("whole", T.BooleanType()),  # record complete inside one split
+    T.StructField("line", T.LongType()),      # physical line the record starts on (1-based)
     T.StructField("text", T.StringType()),
 ])
 
@@ -45,14 +47,12 @@ _PIECES = T.StructType([
 def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Lines of each split (in order) -> whole records and boundary pieces."""
     out: list[tuple] = []
-    cur_key = None
-    buf: list[pd.DataFrame] = []
 
-    def flush(frames: list[pd.DataFrame]) -> None:
-        pdf = pd.concat(frames, ignore_index=True)
+    def flush(pdf: pd.DataFrame) -> None:
         file, block = pdf["file"].iat[0], int(pdf["block"].iat[0])
         start = int(pdf["start_parity"].iat[0])
         owner = pdf["owner_block"].iat[0]
+        first_line = int(pdf["line_offset"].iat[0]) + 1
         values = pdf["value"].tolist()
         q = pdf["quotes"].to_numpy(dtype=np.int64)          # counted JVM-side
         before = (start + np.cumsum(q) - q) % 2
@@ -63,63 +63,61 @@ def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         end_parity = (start + int(q.sum())) % 2
         last = int(rec[-1]) if len(rec) else -1
         groups: dict[int, list[str]] = {}
-        for v, r, s in zip(values, rec, skip):
-            if not s:
-                groups.setdefault(int(r), []).append(v)
+        starts: dict[int, int] = {}
+        for i, (v, r, sk) in enumerate(zip(values, rec, skip)):
+            if not sk:
+                r = int(r)
+                groups.setdefault(r, []).append(v)
+                starts.setdefault(r, first_line + i)
         for r, lines in groups.items():
             text = "\n".join(lines)
             if r == -1:
-                out.append((file, int(owner), -1, block, False, text))
+                out.append((file, int(owner), -1, block, False, None, text))
             elif r == last and end_parity == 1:
-                out.append((file, block, r, block, False, text))
+                out.append((file, block, r, block, False, starts[r], text))
             else:
-                out.append((file, block, r, block, True, text))
+                out.append((file, block, r, block, True, starts[r], text))
 
+    pending: list[pd.DataFrame] = []
+    key = None
     for pdf in batches:
         if pdf.empty:
             continue
-        keys = list(zip(pdf["file"], pdf["block"]))
-        start = 0
-        for i in range(1, len(keys) + 1):
-            if i == len(keys) or keys[i] != keys[start]:
-                if keys[start] != cur_key and buf:
-                    flush(buf)
-                    buf = []
-                cur_key = keys[start]
-                buf.append(pdf.iloc[start:i])
-                start = i
-    if buf:
-        flush(buf)
+        files = pdf["file"].to_numpy()
+        blocks = pdf["block"].to_numpy(dtype=np.int64)
+        change = np.flatnonzero((files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])) + 1
+        bounds = np.concatenate(([0], change, [len(pdf)]))
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            k = (files[a], int(blocks[a]))
+            if k != key and pending:
+                flush(pd.concat(pending, ignore_index=True))
+                pending = []
+            key = k
+            pending.append(pdf.iloc[a:b])
+    if pending:
+        flush(pd.concat(pending, ignore_index=True))
     if out:
-        yield pd.DataFrame(out, columns=["file", "owner", "rec", "part", "whole", "text"])
+        yield pd.DataFrame(out, columns=["file", "owner", "rec", "part", "whole", "line", "text"])
 
 
 def _split_table(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, start_parity, owner_block) for splits starting inside quotes."""
+    """One row per split: starting quote parity, line offset, and (when it
+    starts inside quotes) the split where the crossing record began."""
     splits = line_facts(spark, path).mapInPandas(_summarise_splits, _SUMMARY)
     w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     start_parity = (F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2).cast("int")
     has_start = F.when(start_parity == 0, F.col("starts_even") > 0).otherwise(F.col("starts_odd") > 0)
-    with_start = splits.withColumn("start_parity", start_parity).withColumn("has_start", has_start)
+    with_start = (splits.withColumn("start_parity", start_parity).withColumn("has_start", has_start)
+                  .withColumn("line_offset", F.coalesce(F.sum("lines").over(w), F.lit(0))))
     owner = F.max(F.when(F.col("has_start"), F.col("block"))).over(w)
     return (with_start.withColumn("owner_block", owner)
-            .filter(F.col("start_parity") == 1)
-            .select("file", "block", "start_parity", "owner_block"))
+            .select("file", "block", "start_parity", "owner_block", "line_offset"))
 
 
-def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                      required: Sequence[str] = (),
-                      max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
-    """All-string scan of CSV with quoted newlines, split across tasks.
-
-    Same result as ``csv_files.read_raw_csv`` (header per file, blank lines
-    skipped, '' kept, empty -> NULL, ragged records fail).  Lines are joined
-    with '\\n' inside quoted values.
-    """
-    cols = list(columns) if columns is not None else read_header(spark, path)
-    require_columns(cols, required, path)
-    if not cols:
-        raise DataCheckError(f"{path}: no header row")
+def csv_records(spark: SparkSession, path: str,
+                max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
+    """Records of CSV files cut split by split: (file, line, text), header
+    records excluded; ``line`` is the physical line a record starts on."""
     text = F.when(F.col("_metadata.file_block_start") == 0,
                   F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
     lines = spark.read.text(path).select(
@@ -131,30 +129,62 @@ def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | N
         F.monotonically_increasing_id().alias("_pos"))
     from ..operators.joins import materialize
 
-    odd = materialize(_split_table(spark, path), "csv-splits")
-    if odd.count() > max_broadcast_splits:
-        return read_raw_csv(spark, path, cols)          # too many: whole-file reader
-    tagged = (lines.join(F.broadcast(odd), ["file", "block"], "left")
-              .withColumn("start_parity", F.coalesce("start_parity", F.lit(0)))
-              .sortWithinPartitions("_pos")             # restore line order, no shuffle
-              .select("file", "block", "value", "quotes", "blank", "start_parity", "owner_block"))
+    per_split = materialize(_split_table(spark, path), "csv-splits")
+    small = per_split.count() <= max_broadcast_splits
+    # Broadcast keeps the lines where they are; beyond the bound a shuffled join
+    # moves each split's lines together (hash of file, block).  Either way a
+    # sort inside each partition restores line order; no task gets a whole file.
+    tagged = (lines.join(F.broadcast(per_split) if small else per_split, ["file", "block"], "left")
+              .sortWithinPartitions("file", "block", "_pos")
+              .select("file", "block", "value", "quotes", "blank", "start_parity",
+                      "owner_block", "line_offset"))
     pieces = tagged.mapInPandas(_cut_records, _PIECES)
-    whole = pieces.filter("whole").select("file", "owner", "rec", "text")
+    whole = pieces.filter("whole").select("file", "owner", "rec", "line", "text")
     parts = pieces.filter(~F.col("whole"))
     stitched = (parts.groupBy("file", "owner")
-                .agg(F.array_sort(F.collect_list(F.struct("part", "rec", "text"))).alias("ps"))
+                .agg(F.array_sort(F.collect_list(F.struct("part", "rec", "line", "text"))).alias("ps"))
                 .select("file", "owner",
                         F.expr("ps[0].rec").alias("rec"),
+                        F.expr("ps[0].line").alias("line"),
                         F.array_join(F.transform("ps", lambda p: p["text"]), "\n").alias("text")))
     records = whole.unionByName(stitched)
-    first_block = records.groupBy("file").agg(F.min("owner").alias("_first"))
-    body = (records.join(F.broadcast(first_block), "file")
-            .filter(~((F.col("owner") == F.col("_first")) & (F.col("rec") == 0))))
+    # the header is the first record of every file
+    return records.filter(F.col("line") != 1).select("file", "line", "text")
+
+
+def _parse_options() -> dict:
+    return {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine", "inferSchema")}
+
+
+def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                      required: Sequence[str] = (),
+                      max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
+    """All-string scan of CSV with quoted newlines, split across tasks.
+
+    Same result as ``csv_files.read_raw_csv`` (header per file, blank lines
+    skipped, '' kept, empty -> NULL, ragged records fail).  Lines are joined
+    with '\\n' inside quoted values.
+    """
+    cols = list(columns) if columns is not None else read_header(spark, path)
+    require_columns(cols, required, path)
+    if not cols:
+        raise DataCheckError(f"{path}: no header row")
     ddl = ", ".join(f"`{c}` STRING" for c in cols)
     # FAILFAST: a record with fewer or more fields than the header raises
-    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine", "inferSchema")}
-    parsed = body.select(F.from_csv(F.col("text"), ddl, opts).alias("r"))
+    parsed = csv_records(spark, path, max_broadcast_splits).select(
+        F.from_csv(F.col("text"), ddl, _parse_options()).alias("r"))
     return parsed.select(*[F.col("r").getField(c).alias(c) for c in cols])
 
 
-__all__ = ["read_csv_parallel", "NULL_SENTINEL"]
+def ragged_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Records whose field count differs from the header: (file, line, record)."""
+    cols = list(columns) if columns is not None else read_header(spark, path)
+    ddl = ", ".join(f"`{c}` STRING" for c in cols) + ", `_corrupt_record` STRING"
+    opts = {**_parse_options(), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    recs = csv_records(spark, path)
+    parsed = recs.select("file", "line", F.from_csv(F.col("text"), ddl, opts).alias("r"))
+    return (parsed.filter(F.col("r._corrupt_record").isNotNull())
+                  .select("file", "line", F.col("r._corrupt_record").alias("record")))
+
+
+__all__ = ["read_csv_parallel", "csv_records", "ragged_records", "NULL_SENTINEL"]

@@ -80,8 +80,8 @@ def test_log_helpers(spark):
     from sluice.functions.text import clip_text, path_join
 
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 8, 0, 1, 500000),
-                                 "x" * 2500, "olx", "orders")],
+                                 "x" * 2500, "shop", "orders")],
                                "a timestamp_ntz, b timestamp_ntz, err string, src string, t string")
     r = df.select(timez.seconds_between("a", "b").alias("s"), clip_text("err").alias("e"),
                   path_join("src", "t", F.lit("load_date=2024-01-01")).alias("p")).first()
-    assert r["s"] == 1.5 and len(r["e"]) == 2000 and r["p"] == "olx/orders/load_date=2024-01-01"
+    assert r["s"] == 1.5 and len(r["e"]) == 2000 and r["p"] == "shop/orders/load_date=2024-01-01"

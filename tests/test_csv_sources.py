@@ -106,7 +106,7 @@ def test_distributed_landing(spark, tmpdir_path):
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
-from sluice.sources.csv_split import read_csv_parallel  # noqa: E402
+from sluice.sources.csv_split import ragged_records, read_csv_parallel  # noqa: E402
 
 
 def _csv_field(value):
@@ -144,9 +144,19 @@ def test_parallel_parse_matches_whole_file_reader(spark, tmpdir_path):
             sorted(map(tuple, read_raw_csv(spark, big).collect()), key=repr)
     finally:
         _reset(spark)
-    bad = write(os.path.join(tmpdir_path, "bad.csv"), "a,b,c\n1,2,3\n4,5\n")
+    bad = write(os.path.join(tmpdir_path, "bad.csv"), 'a,b,c\n1,2,3\n"x\ny",5\n6,7,8,9\n\n1,2,3\n')
     with pytest.raises(Exception, match="(?i)malformed"):
         read_csv_parallel(spark, bad).collect()
+    got = sorted((r["line"], r["record"]) for r in ragged_records(spark, bad).collect())
+    assert got == [(3, '"x\ny",5'), (5, "6,7,8,9")]
+    # beyond the broadcast bound the per-split table is joined with a shuffle
+    _tiny_splits(spark)
+    try:
+        shuffled = read_csv_parallel(spark, big, max_broadcast_splits=0)
+        assert sorted(map(tuple, shuffled.collect()), key=repr) == \
+            sorted(map(tuple, read_raw_csv(spark, big).collect()), key=repr)
+    finally:
+        _reset(spark)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
