@@ -581,3 +581,4 @@ _BUILD = [
 ]
 SQL["q_build_tests"] = (with_ctes("fct_orders", "raw_items", "stg_customers", "stg_products",
                                   "stg_sellers") + "\nUNION ALL\n".join(_BUILD))
+SQL["q_csv_split_roundtrip"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents"

@@ -621,3 +621,28 @@ def q_build_tests(spark, d):
         "raw_fx_rates": raw_tables.raw_fx_rates(spark, d),
     }
     return build(spark, raw, new_work_dir(spark, "build-fct"), register_views=False).tests
+
+
+SPLIT_BYTES = 64 * 1024     # small splits, so long multi-line texts cross split boundaries
+
+
+@proof
+def q_csv_split_roundtrip(spark, d):
+    """Every document (whole texts, with their newlines and quotes) landed as
+    CSV and loaded back by the splittable parser, split by split."""
+    from ..sources.csv_split import read_csv_parallel
+    from ..sources.landing import land_frame
+
+    work = new_work_dir(spark, "csv-split")
+    docs = raw_tables.table(spark, d, "documents").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    folder = land_frame(docs, work, "corpus", "documents", load_date=LOAD_DATE)
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(SPLIT_BYTES))
+    try:
+        t = VersionedTable(spark, f"{work}/loaded")
+        t.replace(read_csv_parallel(spark, folder))
+    finally:
+        spark.conf.set(key, old)
+    return t.read()
