@@ -137,12 +137,12 @@ def asof_join(left: DataFrame, left_date: str, spans: DataFrame, by: Sequence[st
     exploded, small = sized_side(exploded, limit)
 
     if by:
-        last = spans.groupBy(*by).agg(trunc(F.max(start)).alias("_last_bucket"))
+        last = exploded.groupBy(*by).agg(trunc(F.max(start)).alias("_last_bucket"))
         last, last_small = sized_side(last, limit)
         left = left.join(F.broadcast(last) if last_small else last, list(by), "left")
         clamp = F.col("_last_bucket")
     else:
-        last_start = spans.agg(F.max(start)).first()[0]  # one scalar from the small side
+        last_start = exploded.agg(F.max(start)).first()[0]  # one scalar, from the written spans
         clamp = F.lit(last_start).cast("date")
     bucket_of = F.when(clamp.isNull(), trunc(F.col(left_date))).otherwise(
         F.least(trunc(F.col(left_date)), trunc(clamp)))

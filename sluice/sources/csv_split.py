@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from ..operators.quality import DataCheckError, require_columns
 from .csv_files import (CSV_OPTIONS, NULL_SENTINEL, _SUMMARY, _summarise_splits, line_facts,
-                        read_header, read_raw_csv)
+                        read_header)
 
 DEFAULT_BROADCAST_SPLITS = 1_000_000
 
