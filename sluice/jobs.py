@@ -18,15 +18,16 @@ from pyspark.sql import functions as F
 
 from .functions.text import parse_codes
 from .operators.tables import VersionedTable
-from .session import build_session
+from .session import build_session, scale_conf
 
 RAW_TABLES = ["orders", "customers", "order_items", "order_payments", "order_reviews",
               "products", "sellers", "geolocation", "product_category_name_translation"]
 
 
 def _session(args):
-    return build_session(args.master, None if args.master is None else args.shuffle_partitions,
-                         app_name=f"sluice-{args.command}")
+    extra = scale_conf(int(args.input_gb * 2**30)) if args.input_gb else None
+    partitions = None if (args.master is None or args.input_gb) else args.shuffle_partitions
+    return build_session(args.master, partitions, app_name=f"sluice-{args.command}", extra=extra)
 
 
 def cmd_bulk_load(args) -> int:
@@ -100,6 +101,8 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice.jobs")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     p.add_argument("--shuffle-partitions", type=int, default=8)
+    p.add_argument("--input-gb", type=float, default=None,
+                   help="input volume: sizes shuffle partitions and splits (session.scale_conf)")
     sub = p.add_subparsers(dest="command", required=True)
     b = sub.add_parser("bulk-load")
     b.add_argument("--source", required=True)
