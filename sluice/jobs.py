@@ -4,6 +4,8 @@
   rate-load    --rates PATH --table T --log LOG --currencies GBP,BRL [--today D]
   rate-stream  --landing FOLDER --table T --checkpoint C
   build        --warehouse W --source S --rates T --mart M
+  freshness    --rates T [--field TIME_PERIOD] [--now TS] [--warn-days 4] [--error-days 6]
+  log-report   --log LOG
 
 Exit code 1 when a table failed to load or a blocking test failed.
 """
@@ -97,6 +99,38 @@ def cmd_build(args) -> int:
     return 1 if blocking else 0
 
 
+def cmd_freshness(args) -> int:
+    """Age of the newest rate (field TIME_PERIOD by default) at --now."""
+    from .operators.quality import freshness
+    from .plans.rate_load import RATE_PARTITION
+
+    spark = _session(args)
+    rates = VersionedTable(spark, args.rates, RATE_PARTITION).read()
+    field = F.col(args.field).cast("timestamp_ntz")
+    now = dt.datetime.fromisoformat(args.now) if args.now else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    r = freshness(rates, field, now, args.warn_days, args.error_days).first()
+    print(f"{r['status']} newest={r['max_loaded_at']} age_seconds={r['age_seconds']}")
+    return 1 if r["status"] == "error" else 0
+
+
+def cmd_log_report(args) -> int:
+    """Dead runs, tables whose latest outcome failed, and load-day skew."""
+    from .operators import runlog
+
+    spark = _session(args)
+    log = runlog.read_log(spark, args.log)
+    sections = {"dead runs": runlog.dead_runs(log), "failed tables": runlog.failed_tables(log),
+                "load skew": runlog.load_skew(log)}
+    bad = 0
+    for title, df in sections.items():
+        rows = df.collect()          # reports: one row per run/table, small
+        print(f"{title}: {len(rows)}")
+        for r in rows:
+            print("  " + ", ".join(f"{k}={v}" for k, v in r.asDict().items()))
+        bad += len(rows)
+    return 1 if bad else 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice.jobs")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
@@ -128,11 +162,20 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--source", required=True)
     m.add_argument("--rates", required=True)
     m.add_argument("--mart", required=True)
+    f = sub.add_parser("freshness")
+    f.add_argument("--rates", required=True)
+    f.add_argument("--field", default="TIME_PERIOD")
+    f.add_argument("--now")
+    f.add_argument("--warn-days", type=int, default=4)
+    f.add_argument("--error-days", type=int, default=6)
+    lr = sub.add_parser("log-report")
+    lr.add_argument("--log", required=True)
     return p
 
 
 COMMANDS = {"bulk-load": cmd_bulk_load, "rate-load": cmd_rate_load,
-            "rate-stream": cmd_rate_stream, "build": cmd_build}
+            "rate-stream": cmd_rate_stream, "build": cmd_build, "freshness": cmd_freshness,
+            "log-report": cmd_log_report}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -58,6 +58,14 @@ def test_clean_flow_passes(spark, tmpdir_path, capsys):
     assert run_flow(spark, tmpdir_path, PAYMENTS) == 0
     out = capsys.readouterr().out
     assert "4 succeeded, 0 failed" in out and "fct_orders: 2 rows; 0 blocking" in out
+    rates = f"{tmpdir_path}/rates"
+    assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-03T00:00:00"]) == 0
+    assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-05T00:00:00"]) == 0   # warn
+    assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-08T00:00:00"]) == 1   # error
+    out = capsys.readouterr().out
+    assert "pass newest=2019-01-31" in out and "warn newest" in out and "error newest" in out
+    assert jobs.main(["log-report", "--log", f"{tmpdir_path}/log"]) == 0
+    assert "dead runs: 0" in capsys.readouterr().out
 
 
 def test_planted_fault_blocks(spark, tmpdir_path, capsys):
