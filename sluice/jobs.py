@@ -52,10 +52,13 @@ def cmd_bulk_load(args) -> int:
 
 def cmd_rate_load(args) -> int:
     from .plans import rate_load
-    from .sources.csv_files import read_raw_csv
 
     spark = _session(args)
-    rates = read_raw_csv(spark, args.rates, required=list(rate_load.MERGE_KEYS) + ["CURRENCY"])
+    try:
+        rates = rate_load.validate_rate_source(spark, args.rates)
+    except Exception as exc:  # noqa: BLE001 - a bad source file is reported, exit 1
+        print(f"FAILED rates: {type(exc).__name__}: {exc}")
+        return 1
     today = dt.date.fromisoformat(args.today) if args.today else dt.date.today()
     try:
         out = rate_load.incremental_load(spark, rates, args.table, args.log,

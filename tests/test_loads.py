@@ -103,3 +103,18 @@ def test_stream_equals_batch_upsert(spark, tmpdir_path):
     # a restart with nothing new lands no new version (the checkpoint holds the position)
     t2 = run_rate_stream(spark, landing, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ckpt")
     assert t2.version() == 2
+
+
+def test_validate_rate_source(spark, tmpdir_path):
+    head = "KEY,CURRENCY,TIME_PERIOD,OBS_VALUE\n"
+    ok = write(f"{tmpdir_path}/ok.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.BRL,BRL,2024-01-02,5.4\n")
+    assert rate_load.validate_rate_source(spark, ok).count() == 2
+    ragged = write(f"{tmpdir_path}/r.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.BRL,BRL,2024-01-02\n")
+    with pytest.raises(DataCheckError, match="line 3"):
+        rate_load.validate_rate_source(spark, ragged)
+    dup = write(f"{tmpdir_path}/d.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.GBP,GBP,2024-01-02,0.87\n")
+    with pytest.raises(DataCheckError, match="duplicate"):
+        rate_load.validate_rate_source(spark, dup)
+    nokey = write(f"{tmpdir_path}/k.csv", "CURRENCY,OBS_VALUE\nGBP,1\n")
+    with pytest.raises(DataCheckError, match="KEY, TIME_PERIOD"):
+        rate_load.validate_rate_source(spark, nokey)
