@@ -126,9 +126,11 @@ class VersionedTable:
         With ``expected_rows`` the written count must match (and be non-zero),
         else nothing is committed.
         """
-        return self._write_and_commit(df, expected_rows, partition_by, keep={})
+        return self._write_and_commit(df, expected_rows, partition_by, keep={},
+                                      base=self.version())
 
-    def _write_and_commit(self, df: DataFrame, expected_rows, partition_by, keep: dict) -> int:
+    def _write_and_commit(self, df: DataFrame, expected_rows, partition_by, keep: dict,
+                          base: int) -> int:
         name, staged, parts = self._write(df, partition_by)
         committed = False
         try:
@@ -144,34 +146,45 @@ class VersionedTable:
                                    "partition_expr": self.partition_expr}, sort_keys=True)
             else:
                 body = name
-            self._commit(body)
+            self._commit(body, base)
             committed = True
             return written
         finally:
             if not committed:
                 fs.delete(self.spark, staged)  # staging area removed, also on error
 
-    def _commit(self, body: str) -> None:
-        nxt = self.version() + 1
-        # create-if-absent: a concurrent writer that took this number wins, we fail.
-        fs.write_text(self.spark, f"{self.root}/{_COMMITS}/{nxt:020d}", body, overwrite=False)
+    def _commit(self, body: str, base: int) -> None:
+        """Commit as version ``base + 1`` (optimistic concurrency): the file is
+        created only if absent, so if another writer committed after we read
+        version ``base``, this commit fails instead of losing their update."""
+        try:
+            fs.write_text(self.spark, f"{self.root}/{_COMMITS}/{base + 1:020d}", body,
+                          overwrite=False)
+        except Exception as exc:
+            raise ConcurrentCommitError(
+                f"{self.root}: version {base + 1} was committed by another writer") from exc
 
     def upsert(self, source: DataFrame, keys: Sequence[str],
                expected_rows: int | None = None) -> int:
         """Create on first write, keyed MERGE afterwards; returns rows written
         (for a partitioned table: rows of the rewritten partitions)."""
         require_unique_keys(source, keys, self.root)
-        if not self.exists():
-            return self.replace(source, expected_rows=None)
+        base = self.version()
+        if base == 0:
+            return self._write_and_commit(source, None, (), keep={}, base=0)
         if not self.partition_expr:
             merged = merge_by_keys(self.read(), source, keys)
-            return self.replace(merged)
+            return self._write_and_commit(merged, None, (), keep={}, base=base)
         touched = [_part_key(r[0]) for r in  # distinct partition values: bounded, small
                    source.select(F.expr(self.partition_expr).cast("string")).distinct().collect()]
         current = self._manifest()["parts"]
         merged = merge_by_keys(self.read(partitions=touched), source, keys)
         keep = {k: v for k, v in current.items() if k not in set(touched)}
-        return self._write_and_commit(merged, None, (), keep=keep)
+        return self._write_and_commit(merged, None, (), keep=keep, base=base)
+
+
+class ConcurrentCommitError(RuntimeError):
+    """Another writer committed first; re-read and retry."""
 
 
 _PART = "slc_part"

@@ -105,3 +105,17 @@ def test_partitioned_upsert_rewrites_only_touched_partitions(spark, tmpdir_path)
     assert rows(t.read(partitions=["2018"]), "TIME_PERIOD", "OBS_VALUE")[-2:] == [
         ("2018-02-01", "9.9"), ("2018-03-01", "8.8")]
     assert t.read(partitions=["1999"]).count() == 0
+
+
+def test_concurrent_commit_is_refused(spark, tmpdir_path):
+    from sluice.operators.tables import ConcurrentCommitError
+
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "c"))
+    t.replace(spark.createDataFrame([("a", "1", 1, "x")], SCHEMA))
+    base = t.version()
+    other = VersionedTable(spark, t.root)
+    other.replace(spark.createDataFrame([("b", "1", 2, "y")], SCHEMA))       # commits version 2
+    with pytest.raises(ConcurrentCommitError):
+        t._write_and_commit(spark.createDataFrame([("c", "1", 3, "z")], SCHEMA), None, (), {}, base)
+    assert rows(t.read(), "k") == [("b",)]
+    assert len(os.listdir(os.path.join(tmpdir_path, "c", "data"))) == 2      # loser's folder removed
