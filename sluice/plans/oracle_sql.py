@@ -450,14 +450,17 @@ SQL["q_missing_keys"] = with_ctes("raw_rates") + """
               AND (SELECT CAST(max(TIME_PERIOD) AS DATE) FROM raw_rates))
     ORDER BY r.currency"""
 SQL["q_audit_columns"] = """
-    SELECT n_nationkey, n_name, n_regionkey,
-           'landing/tpch/nation/load_date=2024-01-01/nation.csv' AS _source_uri FROM nation"""
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_unique_id,
+           lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
+           lower(c_mktsegment) AS customer_city, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS customer_state,
+           'landing/tpch/customers/load_date=2024-01-01/customers.csv' AS _source_uri
+    FROM customer"""
 SQL["q_full_replace"] = """
     SELECT s_suppkey, s_name, s_nationkey, CAST(CAST(s_acctbal AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2))
            AS s_acctbal FROM supplier"""
 SQL["q_upsert_first_run"] = """
     SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
-           'landing/tpch/nation/load_date=2024-01-01/nation.csv' AS _source_uri FROM customer"""
+           'landing/tpch/customers/load_date=2024-01-01/customers.csv' AS _source_uri FROM customer"""
 SQL["q_upsert_merge"] = """
     SELECT c_custkey, c_name,
            CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN NULL ELSE c_nationkey END AS c_nationkey,
