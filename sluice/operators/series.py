@@ -102,6 +102,37 @@ def last_non_null(df: DataFrame, value: Column, by: Sequence[str], order: Sequen
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
 
 
+def last_non_null_bucketed(df: DataFrame, value: Column, by: Sequence[str],
+                           order: Sequence[str], bucket: Column, out: str,
+                           max_broadcast_rows: int | None = None) -> DataFrame:
+    """Same result as ``last_non_null`` (ascending ``order`` columns), without
+    sending a hot group through one task.
+
+    ``bucket`` must not decrease along ``order`` (e.g. the day of the leading
+    timestamp).  The running window is partitioned by (group, bucket), so a
+    group holding a large share of the rows is spread over its buckets; a
+    summary with one row per (group, bucket) -- partially aggregated --
+    carries the last value of earlier buckets into each bucket.
+    """
+    from .joins import DEFAULT_BROADCAST_ROWS, sized_side
+
+    keyed = df.withColumn("_bkt", bucket).withColumn("_val", value)
+    local_w = (Window.partitionBy(*by, "_bkt").orderBy(*order)
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = keyed.withColumn("_local", F.last("_val", ignorenulls=True).over(local_w))
+    present = F.col("_val").isNotNull()
+    summary = keyed.groupBy(*by, "_bkt").agg(
+        F.max_by(F.col("_val"), F.when(present, F.struct(*order))).alias("_bucket_last"))
+    carry_w = (Window.partitionBy(*by).orderBy("_bkt")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    carry = summary.select(*by, "_bkt",
+                           F.last("_bucket_last", ignorenulls=True).over(carry_w).alias("_carry"))
+    carry, small = sized_side(carry, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
+    joined = local.join(F.broadcast(carry) if small else carry, [*by, "_bkt"], "left")
+    return (joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
+                  .drop("_bkt", "_val", "_local", "_carry"))
+
+
 def observation_spans(obs: DataFrame, date_col: str, values: Sequence[str],
                       by: Sequence[str] = (), start: str = "span_start",
                       end: str = "span_end") -> DataFrame:

@@ -192,8 +192,10 @@ def q_asof_rate(spark, d):
 def q_last_ignore_nulls(spark, d):
     e = raw_tables.table(spark, d, "events")
     purchase = F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(18,2)"))
-    out = series.last_non_null(e, purchase, ["user_id"], [F.col("ts"), F.col("event_id")],
-                               "last_purchase_value")
+    # per user, in (ts, event_id) order; the window runs per (user, day) so a
+    # user with a large share of the events is spread over days
+    out = series.last_non_null_bucketed(e, purchase, ["user_id"], ["ts", "event_id"],
+                                        F.to_date("ts"), "last_purchase_value")
     return out.select("event_id", "user_id", "last_purchase_value")
 
 

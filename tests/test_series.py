@@ -97,3 +97,21 @@ def test_asof_join_per_series(spark):
         "id int, s string, day date")
     got = {r["id"]: r["v"] for r in series.asof_join(left, "day", spans, by=["s"]).collect()}
     assert got == {1: None, 2: 1, 3: 2, 4: None, 5: 7, 6: None}
+
+
+def test_bucketed_last_non_null_equals_window_form(spark):
+    import random
+
+    rnd = random.Random(7)
+    data = []
+    for i in range(2000):
+        user = "hot" if i % 3 == 0 else f"u{i % 17}"
+        ts = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 20))
+        val = rnd.choice([None, None, None, Decimal(rnd.randrange(1, 100))])
+        data.append((i, user, ts, val))
+    df = spark.createDataFrame(data, "id int, user string, ts timestamp_ntz, v decimal(18,2)")
+    plain = series.last_non_null(df, F.col("v"), ["user"], [F.col("ts"), F.col("id")], "last")
+    bucketed = series.last_non_null_bucketed(df, F.col("v"), ["user"], ["ts", "id"],
+                                             F.to_date("ts"), "last")
+    assert rows(plain, "id", "last") == rows(bucketed, "id", "last")
+    assert bucketed.filter("last IS NOT NULL").count() > 1000
