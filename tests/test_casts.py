@@ -85,3 +85,12 @@ def test_log_helpers(spark):
     r = df.select(timez.seconds_between("a", "b").alias("s"), clip_text("err").alias("e"),
                   path_join("src", "t", F.lit("load_date=2024-01-01")).alias("p")).first()
     assert r["s"] == 1.5 and len(r["e"]) == 2000 and r["p"] == "shop/orders/load_date=2024-01-01"
+
+
+def test_ambiguous_local_hour_takes_earlier_offset(spark):
+    zone = "America/Sao_Paulo"
+    df = spark.createDataFrame([("2018-02-17 23:30:00",)], "s string").select(
+        timez.local_to_utc("s", zone).alias("u"))
+    r = df.select("u", timez.utc_to_local_date("u", zone).alias("d")).first()
+    assert r["u"] == dt.datetime(2018, 2, 18, 1, 30)      # daylight time (-02) chosen
+    assert r["d"] == dt.date(2018, 2, 17)                 # the local day does not move
