@@ -61,6 +61,34 @@ def calendar_gaps(days: DataFrame, observed: DataFrame, day_col: str, obs_col: s
     return joined.filter(F.col(obs_col).isNull()).select(day_col)
 
 
+def next_in_order(df: DataFrame, date_col: str, by: Sequence[str] = (), out: str = "_next",
+                  bucket: str = "year") -> DataFrame:
+    """``lead(date_col)`` per series without a window over the whole series.
+
+    The window runs per (series, bucket); the last row of a bucket takes the
+    first date of the next bucket that has rows, from a summary with one row
+    per (series, bucket) -- the only unpartitioned window when there is a
+    single series, over a handful of rows.
+    """
+    from .joins import sized_side
+
+    b = df.withColumn("_bkt", F.date_trunc(bucket, F.col(date_col)).cast("date"))
+    local = b.withColumn("_local_next", F.lead(date_col).over(
+        Window.partitionBy(*by, "_bkt").orderBy(date_col)))
+    firsts = b.groupBy(*by, "_bkt").agg(F.min(date_col).alias("_first"))
+    w = Window.partitionBy(*by).orderBy("_bkt") if by else Window.orderBy("_bkt")
+    carry = firsts.select(*by, "_bkt", F.lead("_first").over(w).alias("_carry"))
+    if by:
+        carry, small = sized_side(carry)      # series x buckets: counted before broadcast
+    else:
+        # One row per bucket of a DATE (years 1..9999): a bound that holds by
+        # construction, so no counting job is needed.
+        small = bucket in ("year", "quarter", "month")
+    joined = local.join(F.broadcast(carry) if small else carry, [*by, "_bkt"], "left")
+    return (joined.withColumn(out, F.coalesce(F.col("_local_next"), F.col("_carry")))
+                  .drop("_bkt", "_local_next", "_carry"))
+
+
 def forward_fill_dense(obs: DataFrame, date_col: str, values: Sequence[str],
                        out_date: str, last_obs: str, flag: str | None = None,
                        by: Sequence[str] = ()) -> DataFrame:
@@ -68,10 +96,10 @@ def forward_fill_dense(obs: DataFrame, date_col: str, values: Sequence[str],
     carrying the values of the last observation on or before it.
 
     ``obs`` holds one row per (series, observation day) with non-NULL values.
+    Each observation's successor comes from ``next_in_order`` (windows per
+    series and year); each observation then explodes into the days it covers.
     """
-    w = Window.partitionBy(*by).orderBy(date_col) if by else Window.orderBy(date_col)
-    spans = obs.select(*by, F.col(date_col), *values,
-                       F.lead(date_col).over(w).alias("_next"))
+    spans = next_in_order(obs.select(*by, F.col(date_col), *values), date_col, by, "_next")
     until = F.coalesce(F.date_sub(F.col("_next"), 1), F.col(date_col))
     out = spans.select(*by, F.explode(F.sequence(F.col(date_col), until)).alias(out_date),
                        *values, F.col(date_col).alias(last_obs))
