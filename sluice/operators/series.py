@@ -165,10 +165,9 @@ def observation_spans(obs: DataFrame, date_col: str, values: Sequence[str],
                       by: Sequence[str] = (), start: str = "span_start",
                       end: str = "span_end") -> DataFrame:
     """Each observation as a half-open span [its date, next observation date);
-    the last span is open (NULL end)."""
-    w = Window.partitionBy(*by).orderBy(date_col) if by else Window.orderBy(date_col)
-    return obs.select(*by, F.col(date_col).alias(start), F.lead(date_col).over(w).alias(end),
-                      *values)
+    the last span is open (NULL end).  Successors via ``next_in_order``."""
+    nxt = next_in_order(obs.select(*by, F.col(date_col), *values), date_col, by, "_next")
+    return nxt.select(*by, F.col(date_col).alias(start), F.col("_next").alias(end), *values)
 
 
 def asof_join(left: DataFrame, left_date: str, spans: DataFrame, by: Sequence[str] = (),
