@@ -158,9 +158,20 @@ def test_suite(stg: dict[str, DataFrame], raw_items: DataFrame, fx: DataFrame,
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
-          register_views: bool = True) -> BuildResult:
-    """``raw`` maps raw table names (see STAGING) to all-string DataFrames."""
+          register_views: bool = True, materialize_staging: bool = True) -> BuildResult:
+    """``raw`` maps raw table names (see STAGING) to all-string DataFrames.
+
+    With ``materialize_staging`` each staging model is written once as typed
+    Parquet (next to the mart) and every model and test reads that: the raw
+    text is parsed and cast once instead of once per test, and each test reads
+    only the columns it needs.  Results are the same as with views.
+    """
     stg = {STAGING[name]: stage(df, STAGING[name]) for name, df in raw.items() if name in STAGING}
+    if materialize_staging:
+        for model in list(stg):
+            t = VersionedTable(spark, f"{mart_root.rstrip('/')}_staging/{model}")
+            t.replace(stg[model])
+            stg[model] = t.read()
     if register_views:
         for model, df in stg.items():
             df.createOrReplaceTempView(f"stg_{model}")

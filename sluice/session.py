@@ -51,8 +51,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``sluice`` importable in the Python workers (mapInPandas functions
     live in it): the package is zipped in memory, written to the shared work
     folder and registered with ``addPyFile`` -- once per application."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # noqa: BLE001 - a session without a SparkContext: nothing to ship
+        return
     if app in _SHIPPED:
         return
     from . import fs
