@@ -80,7 +80,6 @@ def test_build_views_and_materialized_staging_agree(spark, tmpdir_path):
     from sluice.operators.tables import VersionedTable
     from sluice.plans.build import build
     from sluice.plans.rate_load import RATE_PARTITION
-    from sluice.sources.csv_files import read_raw_csv
 
     root = tmpdir_path
     assert run_flow(spark, root, PAYMENTS + "o1,2,voucher,30,1.00\n") == 1
@@ -90,4 +89,3 @@ def test_build_views_and_materialized_staging_agree(spark, tmpdir_path):
     a = build(spark, raw, f"{root}/m1", register_views=False, materialize_staging=True).tests
     b = build(spark, raw, f"{root}/m2", register_views=False, materialize_staging=False).tests
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert read_raw_csv is not None
