@@ -37,6 +37,22 @@ def cmd_bulk_load(args) -> int:
 
     spark = _session(args)
     manifest = dict(item.split("=", 1) for item in args.table)
+    if args.only:
+        wanted = {t.strip() for t in args.only.split(",") if t.strip()}
+        manifest = {t: p for t, p in manifest.items() if t in wanted}
+    if args.retry_failed:
+        from . import fs
+        from .operators import runlog
+
+        if not fs.exists(spark, args.log):
+            print("nothing to retry: no load log yet")
+            return 0
+        log = runlog.read_log(spark, args.log).filter(F.col("source") == args.source)
+        failed = {r["table_name"] for r in runlog.failed_tables(log).collect()}  # one row per table
+        manifest = {t: p for t, p in manifest.items() if t in failed}
+        print(f"retrying: {', '.join(sorted(manifest)) or 'nothing'}")
+        if not manifest:
+            return 0
     load_date = dt.date.fromisoformat(args.load_date) if args.load_date else None
     try:
         report = bulk_load(spark, manifest, args.landing, args.warehouse, args.log, args.source,
@@ -149,6 +165,9 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--log", required=True)
     b.add_argument("--load-date")
     b.add_argument("--parallel", type=int, default=4)
+    b.add_argument("--only", help="comma-separated subset of the manifest's tables")
+    b.add_argument("--retry-failed", action="store_true",
+                   help="load only the tables whose latest logged outcome is 'failed'")
     r = sub.add_parser("rate-load")
     r.add_argument("--rates", required=True, help="landed rate CSV file or folder")
     r.add_argument("--table", required=True)

@@ -89,3 +89,20 @@ def test_build_views_and_materialized_staging_agree(spark, tmpdir_path):
     a = build(spark, raw, f"{root}/m1", register_views=False, materialize_staging=True).tests
     b = build(spark, raw, f"{root}/m2", register_views=False, materialize_staging=False).tests
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_retry_failed_loads_only_failed_tables(spark, tmpdir_path, capsys):
+    root = tmpdir_path
+    orders = write(f"{root}/src/orders.csv", ORDERS)
+    items = write(f"{root}/src/order_items.csv", ITEMS + "o9,1,p1\n")          # ragged row
+    common = ["bulk-load", "--source", "shop", "--landing", f"{root}/landing", "--warehouse",
+              f"{root}/wh", "--log", f"{root}/log", "--table", f"orders={orders}",
+              "--table", f"order_items={items}"]
+    assert jobs.main(common) == 1
+    write(items, ITEMS)                                                       # fixed upstream
+    assert jobs.main(common + ["--retry-failed"]) == 0
+    out = capsys.readouterr().out
+    assert "retrying: order_items" in out and "1 succeeded, 0 failed" in out
+    assert jobs.main(common + ["--retry-failed"]) == 0
+    assert "retrying: nothing" in capsys.readouterr().out
+    assert jobs.main(common + ["--only", "orders"]) == 0
