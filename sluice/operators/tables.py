@@ -164,6 +164,30 @@ class VersionedTable:
             raise ConcurrentCommitError(
                 f"{self.root}: version {base + 1} was committed by another writer") from exc
 
+    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        """Delete data folders that none of the last ``keep_versions`` versions
+        refers to (a partitioned version may still point at folders written by
+        older versions; those stay), and the older commit files.  Readers of
+        a removed version fail, so keep enough versions for running jobs."""
+        v = self.version()
+        if v == 0:
+            return []
+        commits = f"{self.root}/{_COMMITS}"
+        keep = range(max(1, v - keep_versions + 1), v + 1)
+        referenced: set[str] = set()
+        for k in keep:
+            referenced |= _manifest_folders(fs.read_text(self.spark, f"{commits}/{k:020d}").strip())
+        removed = []
+        for name in fs.list_names(self.spark, f"{self.root}/{_DATA}"):
+            if name not in referenced:
+                fs.delete(self.spark, f"{self.root}/{_DATA}/{name}")
+                removed.append(name)
+        for name in fs.list_names(self.spark, commits):
+            num = name[1:-4] if name.startswith(".") and name.endswith(".crc") else name
+            if num.isdigit() and int(num) < keep[0]:
+                fs.delete(self.spark, f"{commits}/{name}")   # commit file (and its checksum)
+        return removed
+
     def upsert(self, source: DataFrame, keys: Sequence[str],
                expected_rows: int | None = None) -> int:
         """Create on first write, keyed MERGE afterwards; returns rows written
@@ -183,6 +207,13 @@ class VersionedTable:
         return self._write_and_commit(merged, None, (), keep=keep, base=base)
 
 
+def _manifest_folders(body: str) -> set[str]:
+    """Top-level data folders a commit file refers to."""
+    if body.startswith("{"):
+        return {rel.split("/", 1)[0] for rel in json.loads(body)["parts"].values()}
+    return {body}
+
+
 class ConcurrentCommitError(RuntimeError):
     """Another writer committed first; re-read and retry."""
 

@@ -119,3 +119,21 @@ def test_concurrent_commit_is_refused(spark, tmpdir_path):
         t._write_and_commit(spark.createDataFrame([("c", "1", 3, "z")], SCHEMA), None, (), {}, base)
     assert rows(t.read(), "k") == [("b",)]
     assert len(os.listdir(os.path.join(tmpdir_path, "c", "data"))) == 2      # loser's folder removed
+
+
+def test_vacuum_keeps_what_recent_versions_use(spark, tmpdir_path):
+    schema = "KEY string, CURRENCY string, TIME_PERIOD string, OBS_VALUE string"
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "v"), partition_expr="substring(TIME_PERIOD, 1, 4)")
+    t.upsert(spark.createDataFrame([("K", "GBP", "2016-01-01", "1"), ("K", "GBP", "2017-01-01", "2")],
+                                   schema), ["KEY", "TIME_PERIOD"])
+    first_2016 = t.partitions()["2016"]
+    for i in range(3):                        # three upserts touching 2017 only
+        t.upsert(spark.createDataFrame([("K", "GBP", "2017-01-01", str(10 + i))], schema),
+                 ["KEY", "TIME_PERIOD"])
+    removed = t.vacuum(keep_versions=1)
+    assert len(removed) == 2                  # the two intermediate 2017 rewrites
+    assert t.partitions()["2016"] == first_2016    # still referenced, kept
+    assert rows(t.read(), "TIME_PERIOD", "OBS_VALUE") == [("2016-01-01", "1"), ("2017-01-01", "12")]
+    left = [n for n in os.listdir(os.path.join(tmpdir_path, "v", "_commits")) if not n.endswith(".crc")]
+    assert left == [f"{4:020d}"]
+    assert t.version() == 4
