@@ -136,3 +136,9 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (file-system metadata only)."""
+    fs, p = _path(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

@@ -57,3 +57,18 @@ def test_keyed_work_combines_map_side(spark, large_table_settings, name):
     assert exchanges
     for i in exchanges:   # the operator feeding every shuffle is a (partial) aggregate
         assert "Aggregate" in lines[i + 1], f"{name}: shuffle not fed by an aggregate: {lines[i + 1]}"
+
+
+def test_join_small_falls_back_to_a_shuffle_beyond_its_bounds(spark, large_table_settings):
+    from sluice.operators.joins import join_small
+
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = spark.range(100).withColumnRenamed("id", "k")
+    within = join_small(big, small, "k", "inner")
+    beyond_rows = join_small(big, small, "k", "inner", max_rows=10)
+    beyond_bytes = join_small(big, small, "k", "inner", max_bytes=10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan(within)
+    for df in (beyond_rows, beyond_bytes):
+        assert "BroadcastExchange" not in plan(df) and "SortMergeJoin" in plan(df)
+    assert within.count() == beyond_rows.count() == beyond_bytes.count() == 100
