@@ -115,6 +115,9 @@ def test_validate_rate_source(spark, tmpdir_path):
     dup = write(f"{tmpdir_path}/d.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.GBP,GBP,2024-01-02,0.87\n")
     with pytest.raises(DataCheckError, match="duplicate"):
         rate_load.validate_rate_source(spark, dup)
+    header_only = write(f"{tmpdir_path}/h.csv", head)
+    with pytest.raises(DataCheckError, match="no data rows"):
+        rate_load.validate_rate_source(spark, header_only)
     nokey = write(f"{tmpdir_path}/k.csv", "CURRENCY,OBS_VALUE\nGBP,1\n")
     with pytest.raises(DataCheckError, match="KEY, TIME_PERIOD"):
         rate_load.validate_rate_source(spark, nokey)
