@@ -79,7 +79,8 @@ def land_frame(df: DataFrame, root: str, source: str, table: str,
         header="true", quote='"', escape='"', nullValue="", emptyValue='""')
     if partition_col:
         target = landing_dir(root, source, table)
-        writer.partitionBy(partition_col).csv(target)
+        # dynamic overwrite: re-landing some days replaces those days only
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).csv(target)
     else:
         target = landing_dir(root, source, table, load_date)
         writer.csv(target)

@@ -195,3 +195,15 @@ def test_record_count_property(spark, tmp_path_factory, rows_):
         assert total_records(spark, p) == expect
     finally:
         _reset(spark)
+
+
+def test_land_frame_replaces_only_the_days_it_writes(spark, tmpdir_path):
+    from sluice.sources.landing import land_frame
+
+    root = os.path.join(tmpdir_path, "landing")
+    df = spark.createDataFrame([("1", "2024-01-01"), ("2", "2024-01-02")], "id string, load_date string")
+    land_frame(df, root, "shop", "orders", partition_col="load_date")
+    land_frame(spark.createDataFrame([("3", "2024-01-02")], "id string, load_date string"),
+               root, "shop", "orders", partition_col="load_date")
+    got = sorted((r["id"], r["load_date"]) for r in read_landed(spark, root, "shop", "orders").collect())
+    assert got == [("1", "2024-01-01"), ("3", "2024-01-02")]
