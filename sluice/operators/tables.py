@@ -223,7 +223,8 @@ _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _part_key(value) -> str:
-    return _NULL_PART if value is None else str(value)
+    # Spark writes NULL and '' partition values to the same default folder
+    return _NULL_PART if value is None or value == "" else str(value)
 
 
 def merge_by_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -137,3 +137,12 @@ def test_vacuum_keeps_what_recent_versions_use(spark, tmpdir_path):
     left = [n for n in os.listdir(os.path.join(tmpdir_path, "v", "_commits")) if not n.endswith(".crc")]
     assert left == [f"{4:020d}"]
     assert t.version() == 4
+
+
+def test_partitioned_upsert_with_null_and_empty_partition_values(spark, tmpdir_path):
+    schema = "KEY string, CURRENCY string, TIME_PERIOD string, OBS_VALUE string"
+    t = VersionedTable(spark, os.path.join(tmpdir_path, "n"), partition_expr="substring(TIME_PERIOD, 1, 4)")
+    t.upsert(spark.createDataFrame([("A", "GBP", None, "1"), ("B", "GBP", "", "2"),
+                                    ("C", "GBP", "2018-01-01", "3")], schema), ["KEY"])
+    t.upsert(spark.createDataFrame([("B", "GBP", "", "9")], schema), ["KEY"])
+    assert rows(t.read(), "KEY", "OBS_VALUE") == [("A", "1"), ("B", "9"), ("C", "3")]
