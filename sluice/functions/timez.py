@@ -46,5 +46,4 @@ def weekday_name(c) -> Column:
 
 def seconds_between(start, end) -> Column:
     """Fractional seconds from ``start`` to ``end`` (both instants)."""
-    return (F.unix_micros(_col(end).cast("timestamp"))
-            - F.unix_micros(_col(start).cast("timestamp"))) / F.lit(1_000_000.0)
+    return F.timestamp_diff("MICROSECOND", _col(start), _col(end)) / F.lit(1_000_000.0)

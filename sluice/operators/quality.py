@@ -200,8 +200,8 @@ def freshness(df: DataFrame, field: Column, now, warn_after_days: int,
     """
     now_col = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
     newest = df.agg(F.max(field).cast("timestamp_ntz").alias("max_loaded_at"))
-    age = (F.unix_micros(F.to_utc_timestamp(now_col, "UTC"))
-           - F.unix_micros(F.to_utc_timestamp(F.col("max_loaded_at"), "UTC"))) / F.lit(1_000_000)
+    # whole seconds between two time-zone-free values: no session zone involved
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_col.cast("timestamp_ntz"))
     out = newest.withColumn("age_seconds", age.cast("bigint"))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
                .when(F.col("age_seconds") > error_after_days * 86400, F.lit("error"))
