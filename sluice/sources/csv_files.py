@@ -44,9 +44,9 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def read_header(spark: SparkSession, path: str, quote: str = '"') -> list[str]:
     """Column names from the header; an empty source has none."""
-    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE"}
+    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "quote": quote, "escape": quote}
     return list(spark.read.options(**opts).csv(path).columns)
 
 
@@ -86,7 +86,7 @@ _SUMMARY = T.StructType([
 ])
 
 
-def line_facts(spark: SparkSession, path: str) -> DataFrame:
+def line_facts(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """One row per text line, in split order: (file, block, quotes, blank).
 
     Quote counts and blank flags are computed JVM-side (codegen); only these
@@ -98,7 +98,8 @@ def line_facts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        (F.length(value) - F.length(F.regexp_replace(value, '"', ""))).cast("int").alias("quotes"),
+        (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit(""))))
+        .cast("int").alias("quotes"),
         (F.length(value) == 0).alias("blank"))
 
 
@@ -139,9 +140,11 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             "lines": [state[k][3] for k in order]})
 
 
-def count_records(spark: SparkSession, path: str, has_header: bool = True) -> DataFrame:
-    """(file, records): data records per file, blank lines not counted."""
-    splits = line_facts(spark, path).mapInPandas(_summarise_splits, _SUMMARY)
+def count_records(spark: SparkSession, path: str, has_header: bool = True,
+                  quote: str = '"') -> DataFrame:
+    """(file, records): data records per file, blank lines not counted.
+    ``quote`` is the quote character (doubled inside quoted fields)."""
+    splits = line_facts(spark, path, quote).mapInPandas(_summarise_splits, _SUMMARY)
     w = (Window.partitionBy("file").orderBy("block")
          .rowsBetween(Window.unboundedPreceding, -1))
     offset = F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2
@@ -153,6 +156,7 @@ def count_records(spark: SparkSession, path: str, has_header: bool = True) -> Da
     return per_file.withColumn("records", F.col("records").cast("bigint"))
 
 
-def total_records(spark: SparkSession, path: str, has_header: bool = True) -> int:
-    row = count_records(spark, path, has_header).agg(F.sum("records")).first()
+def total_records(spark: SparkSession, path: str, has_header: bool = True,
+                  quote: str = '"') -> int:
+    row = count_records(spark, path, has_header, quote).agg(F.sum("records")).first()
     return int(row[0] or 0)

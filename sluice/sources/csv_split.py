@@ -100,10 +100,10 @@ def _cut_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["file", "owner", "rec", "part", "whole", "line", "text"])
 
 
-def _split_table(spark: SparkSession, path: str) -> DataFrame:
+def _split_table(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """One row per split: starting quote parity, line offset, and (when it
     starts inside quotes) the split where the crossing record began."""
-    splits = line_facts(spark, path).mapInPandas(_summarise_splits, _SUMMARY)
+    splits = line_facts(spark, path, quote).mapInPandas(_summarise_splits, _SUMMARY)
     w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     start_parity = (F.coalesce(F.sum("parity").over(w), F.lit(0)) % 2).cast("int")
     has_start = F.when(start_parity == 0, F.col("starts_even") > 0).otherwise(F.col("starts_odd") > 0)
@@ -115,7 +115,8 @@ def _split_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_records(spark: SparkSession, path: str,
-                max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
+                max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS,
+                quote: str = '"') -> DataFrame:
     """Records of CSV files cut split by split: (file, line, text), header
     records excluded; ``line`` is the physical line a record starts on."""
     text = F.when(F.col("_metadata.file_block_start") == 0,
@@ -124,12 +125,12 @@ def csv_records(spark: SparkSession, path: str,
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         text.alias("value"),
-        (F.length(text) - F.length(F.regexp_replace(text, '"', ""))).cast("int").alias("quotes"),
+        (F.length(text) - F.length(F.replace(text, F.lit(quote), F.lit("")))).cast("int").alias("quotes"),
         (F.length(text) == 0).alias("blank"),
         F.monotonically_increasing_id().alias("_pos"))
     from ..operators.joins import materialize
 
-    per_split = materialize(_split_table(spark, path), "csv-splits")
+    per_split = materialize(_split_table(spark, path, quote), "csv-splits")
     small = per_split.count() <= max_broadcast_splits
     # Broadcast keeps the lines where they are; beyond the bound a shuffled join
     # moves each split's lines together (hash of file, block).  Either way a
@@ -152,27 +153,29 @@ def csv_records(spark: SparkSession, path: str,
     return records.filter(F.col("line") != 1).select("file", "line", "text")
 
 
-def _parse_options() -> dict:
-    return {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine", "inferSchema")}
+def _parse_options(quote: str = '"') -> dict:
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine", "inferSchema")}
+    return {**opts, "quote": quote, "escape": quote}
 
 
 def read_csv_parallel(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                       required: Sequence[str] = (),
-                      max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS) -> DataFrame:
+                      max_broadcast_splits: int = DEFAULT_BROADCAST_SPLITS,
+                      quote: str = '"') -> DataFrame:
     """All-string scan of CSV with quoted newlines, split across tasks.
 
     Same result as ``csv_files.read_raw_csv`` (header per file, blank lines
     skipped, '' kept, empty -> NULL, ragged records fail).  Lines are joined
     with '\\n' inside quoted values.
     """
-    cols = list(columns) if columns is not None else read_header(spark, path)
+    cols = list(columns) if columns is not None else read_header(spark, path, quote)
     require_columns(cols, required, path)
     if not cols:
         raise DataCheckError(f"{path}: no header row")
     ddl = ", ".join(f"`{c}` STRING" for c in cols)
     # FAILFAST: a record with fewer or more fields than the header raises
-    parsed = csv_records(spark, path, max_broadcast_splits).select(
-        F.from_csv(F.col("text"), ddl, _parse_options()).alias("r"))
+    parsed = csv_records(spark, path, max_broadcast_splits, quote).select(
+        F.from_csv(F.col("text"), ddl, _parse_options(quote)).alias("r"))
     return parsed.select(*[F.col("r").getField(c).alias(c) for c in cols])
 
 

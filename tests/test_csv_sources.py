@@ -207,3 +207,11 @@ def test_land_frame_replaces_only_the_days_it_writes(spark, tmpdir_path):
                root, "shop", "orders", partition_col="load_date")
     got = sorted((r["id"], r["load_date"]) for r in read_landed(spark, root, "shop", "orders").collect())
     assert got == [("1", "2024-01-01"), ("3", "2024-01-02")]
+
+
+def test_other_quote_character(spark, tmpdir_path):
+    text = "id,note\n1,'it''s\nmulti'\n2,'a \"b\" c'\n"
+    p = write(os.path.join(tmpdir_path, "q.csv"), text)
+    assert total_records(spark, p, quote="'") == 2
+    got = sorted(tuple(r) for r in read_csv_parallel(spark, p, quote="'").collect())
+    assert got == [("1", "it's\nmulti"), ("2", 'a "b" c')]
