@@ -104,10 +104,5 @@ def read_landed(spark: SparkSession, root: str, source: str, table: str,
     return df
 
 
-def missing_files(spark: SparkSession, folder: str, names: list[str]) -> list[str]:
-    present = set(fs.list_names(spark, folder))
-    return [n for n in names if n not in present]
-
-
-__all__ = ["landing_dir", "land_file", "land_files", "land_frame", "read_landed", "missing_files",
+__all__ = ["landing_dir", "land_file", "land_files", "land_frame", "read_landed",
            "CSV_OPTIONS"]
