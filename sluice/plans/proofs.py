@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.casts import INT64, NUMERIC, to_numeric
 from ..functions.timez import local_to_utc, utc_to_local_date, weekday_name
