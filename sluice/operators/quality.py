@@ -51,6 +51,19 @@ def test_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return null_counts(df, cols).filter(F.col("null_count") > 0)
 
 
+def column_checks(df: DataFrame, model: str, not_null: Sequence[str] = (),
+                  accepted_range: dict[str, tuple] | None = None) -> DataFrame:
+    """Several column-level tests of one model in a single scan and one
+    aggregate: (test_name, failures) per check.  NULL passes a range check."""
+    aggs = [F.count_if(F.col(c).isNull()).cast("bigint").alias(f"not_null_{model}_{c}")
+            for c in not_null]
+    for c, (lo, hi) in (accepted_range or {}).items():
+        outside = ~((F.col(c) >= F.lit(lo)) & (F.col(c) <= F.lit(hi)))
+        aggs.append(F.count_if(outside).cast("bigint").alias(f"accepted_range_{model}_{c}"))
+    one = df.agg(*aggs)
+    return one.unpivot([], one.columns, "test_name", "failures")
+
+
 def test_relationships(child: DataFrame, col: str, parent: DataFrame, field: str) -> DataFrame:
     """Non-NULL child keys without a parent row: (key, n_records).
 

@@ -28,6 +28,13 @@ def test_generic_tests_clean_and_faulty(spark):
     assert rows(quality.test_relationships(orphans, "id", parent, "id")) == [(7, 2)]
 
 
+def test_column_checks_one_pass(spark):
+    df = spark.createDataFrame([(1, 5), (None, 25), (3, None), (4, -1)], "id int, n int")
+    got = dict((r["test_name"], r["failures"]) for r in
+               quality.column_checks(df, "m", ["id", "n"], {"n": (0, 24)}).collect())
+    assert got == {"not_null_m_id": 1, "not_null_m_n": 1, "accepted_range_m_n": 2}
+
+
 def test_assertions_and_grading(spark):
     a = spark.range(5)
     assert quality.row_count_parity(a, spark.range(5), "p").count() == 0
