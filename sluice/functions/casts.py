@@ -47,9 +47,15 @@ def to_date(c) -> Column:
     return strict_cast(c, DateType(), "DATE")
 
 
+def _fit(c, dtype: DecimalType) -> Column:
+    """Narrow a decimal for arithmetic; a value that does not fit raises
+    (whatever the ANSI setting) instead of turning into NULL."""
+    return strict_cast(c, dtype, f"{dtype.simpleString()} (operand too large)")
+
+
 def exact_add(a, b) -> Column:
     """a + b for two NUMERIC values, kept at 9 places (NULL if either is NULL)."""
-    return (_col(a).cast(DecimalType(37, 9)) + _col(b).cast(DecimalType(37, 9))).cast(NUMERIC)
+    return (_fit(a, DecimalType(37, 9)) + _fit(b, DecimalType(37, 9))).cast(NUMERIC)
 
 
 def exact_ratio(num, den) -> Column:
@@ -59,11 +65,11 @@ def exact_ratio(num, den) -> Column:
     final rounding; a zero denominator raises instead of yielding NULL.
     """
     d = _col(den)
-    q = _col(num).cast(DecimalType(18, 9)) / d.cast(DecimalType(18, 9))
+    q = _fit(num, DecimalType(18, 9)) / _fit(d, DecimalType(18, 9))
     return (F.when(d == 0, F.raise_error(F.lit("division by zero in exact_ratio")))
             .otherwise(q).cast(NUMERIC))
 
 
 def exact_product(a, b) -> Column:
     """a * b at 17 places, as decimal(38,17): round it once, at the end."""
-    return _col(a).cast(DecimalType(20, 9)) * _col(b).cast(DecimalType(18, 9))
+    return _fit(a, DecimalType(20, 9)) * _fit(b, DecimalType(18, 9))

@@ -94,3 +94,24 @@ def test_ambiguous_local_hour_takes_earlier_offset(spark):
     r = df.select("u", timez.utc_to_local_date("u", zone).alias("d")).first()
     assert r["u"] == dt.datetime(2018, 2, 18, 1, 30)      # daylight time (-02) chosen
     assert r["d"] == dt.date(2018, 2, 17)                 # the local day does not move
+
+
+@pytest.fixture
+def ansi_off(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+@pytest.mark.parametrize("bad", ["abc", "", "225.0"])
+def test_strict_without_ansi(spark, ansi_off, bad):
+    with pytest.raises(Exception, match="cannot cast to INT64"):
+        one(spark, casts.to_int64("s"), bad)
+
+
+def test_decimal_operands_too_large_raise_without_ansi(spark, ansi_off):
+    big = Decimal("12345678901.5")          # 11 integer digits: does not fit decimal(18,9)
+    df = spark.createDataFrame([(big, Decimal("2"))], "a decimal(38,9), b decimal(38,9)")
+    with pytest.raises(Exception, match="operand too large"):
+        df.select(casts.exact_ratio("a", "b")).collect()
+    assert df.select(casts.exact_add("a", "b").alias("s")).first()["s"] == Decimal("12345678903.5")
