@@ -6,6 +6,7 @@
   build        --warehouse W --source S --rates T --mart M
   freshness    --rates T [--field TIME_PERIOD] [--now TS] [--warn-days 4] [--error-days 6]
   log-report   --log LOG
+  vacuum       --table T [--keep 2]
 
 Exit code 1 when a table failed to load or a blocking test failed.
 """
@@ -150,6 +151,14 @@ def cmd_log_report(args) -> int:
     return 1 if bad else 0
 
 
+def cmd_vacuum(args) -> int:
+    """Remove data folders and commits older than the retained versions."""
+    spark = _session(args)
+    removed = VersionedTable(spark, args.table).vacuum(args.keep)
+    print(f"removed {len(removed)} data folder(s)")
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sluice.jobs")
     p.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
@@ -192,12 +201,15 @@ def parser() -> argparse.ArgumentParser:
     f.add_argument("--error-days", type=int, default=6)
     lr = sub.add_parser("log-report")
     lr.add_argument("--log", required=True)
+    v = sub.add_parser("vacuum")
+    v.add_argument("--table", required=True)
+    v.add_argument("--keep", type=int, default=2, help="versions to keep readable")
     return p
 
 
 COMMANDS = {"bulk-load": cmd_bulk_load, "rate-load": cmd_rate_load,
             "rate-stream": cmd_rate_stream, "build": cmd_build, "freshness": cmd_freshness,
-            "log-report": cmd_log_report}
+            "log-report": cmd_log_report, "vacuum": cmd_vacuum}
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -66,6 +66,8 @@ def test_clean_flow_passes(spark, tmpdir_path, capsys):
     assert "pass newest=2019-01-31" in out and "warn newest" in out and "error newest" in out
     assert jobs.main(["log-report", "--log", f"{tmpdir_path}/log"]) == 0
     assert "dead runs: 0" in capsys.readouterr().out
+    assert jobs.main(["vacuum", "--table", rates, "--keep", "1"]) == 0
+    assert "removed 0 data folder(s)" in capsys.readouterr().out      # one version so far
 
 
 def test_planted_fault_blocks(spark, tmpdir_path, capsys):
