@@ -63,3 +63,13 @@ def last_n_per_key(df: DataFrame, key: str, order: Sequence[Column], n: int,
     """
     w = Window.partitionBy(key).orderBy(*order)
     return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= n)
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+    """One row per key: the row with the greatest ``order`` (e.g. the latest
+    landing of a revised record).  ``max_by`` aggregates map-side first, so a
+    key repeated in many files is reduced in every task before the shuffle."""
+    others = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*others), order).alias("_row"))
+    return picked.select(*keys, *[F.col("_row").getField(c).alias(c) for c in others]).select(
+        *df.columns)

@@ -45,8 +45,10 @@ def string_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_header(spark: SparkSession, path: str, quote: str = '"') -> list[str]:
-    """Column names from the header; an empty source has none."""
-    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "quote": quote, "escape": quote}
+    """Column names from the header line; an empty source has none.  Folder
+    names such as ``load_date=...`` are not columns of the file."""
+    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "quote": quote, "escape": quote,
+            "recursiveFileLookup": "true"}
     return list(spark.read.options(**opts).csv(path).columns)
 
 
@@ -95,7 +97,7 @@ def line_facts(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """
     value = F.when(F.col("_metadata.file_block_start") == 0,
                    F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
-    return spark.read.text(path).select(
+    return spark.read.option("recursiveFileLookup", "true").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit(""))))

@@ -121,7 +121,7 @@ def csv_records(spark: SparkSession, path: str,
     records excluded; ``line`` is the physical line a record starts on."""
     text = F.when(F.col("_metadata.file_block_start") == 0,
                   F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
-    lines = spark.read.text(path).select(
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         text.alias("value"),

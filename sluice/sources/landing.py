@@ -87,6 +87,14 @@ def land_frame(df: DataFrame, root: str, source: str, table: str,
     return target
 
 
+def landing_order(file_col: str = "_source_uri"):
+    """Sort key of a landed file: its load_date folder, then its path, so a
+    later landing of the same record wins."""
+    path = F.col(file_col)
+    return F.struct(F.regexp_extract(path, r"load_date=([^/]+)", 1).alias("load_date"),
+                    path.alias("path"))
+
+
 def read_landed(spark: SparkSession, root: str, source: str, table: str,
                 load_dates: list | None = None) -> DataFrame:
     """All-string scan of a landed table with ``load_date`` as a partition
@@ -104,5 +112,5 @@ def read_landed(spark: SparkSession, root: str, source: str, table: str,
     return df
 
 
-__all__ = ["landing_dir", "land_file", "land_files", "land_frame", "read_landed",
+__all__ = ["landing_dir", "land_file", "land_files", "land_frame", "read_landed", "landing_order",
            "CSV_OPTIONS"]

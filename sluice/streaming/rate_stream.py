@@ -15,7 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keyed import latest_per_key
+from ..operators.quality import require_unique_keys
 from ..operators.tables import VersionedTable
+from ..sources.landing import landing_order
 from ..sources.csv_files import CSV_OPTIONS, string_schema
 
 
@@ -35,8 +38,11 @@ def start_rate_stream(spark: SparkSession, landing_table_dir: str, columns: Sequ
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        # a key twice in one file is an error; across files the latest landing wins
+        require_unique_keys(batch, [*keys, "_source_uri"], f"{table_root} batch {batch_id}")
+        latest = latest_per_key(batch, list(keys), landing_order("_source_uri"))
         # audit: one load time per batch, the landed file each row came from
-        target.upsert(batch.withColumn("_loaded_at", F.current_timestamp()), list(keys))
+        target.upsert(latest.withColumn("_loaded_at", F.current_timestamp()), list(keys))
 
     return (stream.writeStream.foreachBatch(upsert_batch)
             .option("checkpointLocation", checkpoint)

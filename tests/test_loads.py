@@ -121,3 +121,19 @@ def test_validate_rate_source(spark, tmpdir_path):
     nokey = write(f"{tmpdir_path}/k.csv", "CURRENCY,OBS_VALUE\nGBP,1\n")
     with pytest.raises(DataCheckError, match="KEY, TIME_PERIOD"):
         rate_load.validate_rate_source(spark, nokey)
+
+
+def test_overlapping_landings_latest_wins(spark, tmpdir_path):
+    head = "KEY,CURRENCY,TIME_PERIOD,OBS_VALUE\n"
+    base = f"{tmpdir_path}/landing/ecb/rates"
+    write(f"{base}/load_date=2024-01-05/a.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.GBP,GBP,2024-01-03,0.87\n")
+    write(f"{base}/load_date=2024-01-09/b.csv", head + "D.GBP,GBP,2024-01-03,0.88\nD.GBP,GBP,2024-01-08,0.89\n")
+    got = rows(rate_load.validate_rate_source(spark, base), "TIME_PERIOD", "OBS_VALUE")
+    assert got == [("2024-01-02", "0.86"), ("2024-01-03", "0.88"), ("2024-01-08", "0.89")]
+    # the stream, all files in one micro-batch, gives the same table
+    cols = ["KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE"]
+    t = run_rate_stream(spark, base, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ck")
+    assert rows(t.read(), "TIME_PERIOD", "OBS_VALUE") == got
+    write(f"{base}/load_date=2024-01-10/c.csv", head + "D.GBP,GBP,2024-01-09,1\nD.GBP,GBP,2024-01-09,2\n")
+    with pytest.raises(DataCheckError, match="duplicate"):
+        rate_load.validate_rate_source(spark, base)
