@@ -19,10 +19,10 @@ from pyspark.sql import SparkSession
 
 from .. import fs
 from ..operators import runlog
-from ..operators.quality import require_rows
+from ..operators.quality import DataCheckError, require_rows
 from ..operators.tables import VersionedTable, with_audit
 from ..sources.csv_files import read_raw_csv, total_records
-from ..sources.csv_split import read_csv_parallel
+from ..sources.csv_split import ragged_records, read_csv_parallel
 from ..sources.landing import land_files, landing_dir
 from ..sources.manifest import check_manifest, source_files
 
@@ -80,7 +80,17 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
     require_rows(src_rows, table)
     df = with_audit(read_source(spark, day_dir, split_above_bytes), day_dir)
     target = VersionedTable(spark, f"{warehouse_root}/{source}_{table}")
-    loaded = target.replace(df, expected_rows=src_rows)
+    try:
+        loaded = target.replace(df, expected_rows=src_rows)
+    except Exception as exc:
+        if "alformed" not in str(exc):
+            raise
+        # only on failure: name the records whose field count is wrong, with lines
+        bad = ragged_records(spark, day_dir).orderBy("file", "line").limit(5).collect()
+        where = "; ".join(f"{r['file'].rsplit('/', 1)[-1]} line {r['line']}: {r['record'][:80]!r}"
+                          for r in bad)
+        raise DataCheckError(f"{table}: records with a field count other than the header's: "
+                             f"{where}") from exc
     return LoadResult(table, "success", src_rows, loaded, day_dir)
 
 

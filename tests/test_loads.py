@@ -36,6 +36,7 @@ def test_bulk_load(spark, tmpdir_path):
                   load_date=dt.date(2024, 1, 1), run_id="run1")
     report = err.value.report
     assert report.failures == ["items", "reviews"]
+    assert "items.csv line 3: '3'" in report.results["items"].error
     assert (report.results["orders"].source_rows, report.results["orders"].loaded_rows) == (2, 2)
     t = VersionedTable(spark, f"{roots[1]}/shop_orders").read()
     assert rows(t, "id", "note") == [("1", "multi\nline"), ("2", "x")]
