@@ -108,3 +108,16 @@ def test_retry_failed_loads_only_failed_tables(spark, tmpdir_path, capsys):
     assert jobs.main(common + ["--retry-failed"]) == 0
     assert "retrying: nothing" in capsys.readouterr().out
     assert jobs.main(common + ["--only", "orders"]) == 0
+
+
+def test_rate_stream_job(spark, tmpdir_path, capsys):
+    base = f"{tmpdir_path}/landing/ecb/rates"
+    write(f"{base}/load_date=2019-01-02/r.csv",
+          RATE_HEADER + "D.GBP.EUR.SP00.A,D,GBP,EUR,SP00,A,2019-01-02,0.90,A\n")
+    args = ["rate-stream", "--landing", base, "--table", f"{tmpdir_path}/t", "--checkpoint", f"{tmpdir_path}/ck"]
+    assert jobs.main(args) == 0
+    write(f"{base}/load_date=2019-01-03/r.csv",
+          RATE_HEADER + "D.GBP.EUR.SP00.A,D,GBP,EUR,SP00,A,2019-01-03,0.91,A\n")
+    assert jobs.main(args) == 0
+    out = capsys.readouterr().out
+    assert "rates table at version 1" in out and "rates table at version 2" in out
