@@ -215,3 +215,14 @@ def test_other_quote_character(spark, tmpdir_path):
     assert total_records(spark, p, quote="'") == 2
     got = sorted(tuple(r) for r in read_csv_parallel(spark, p, quote="'").collect())
     assert got == [("1", "it's\nmulti"), ("2", 'a "b" c')]
+
+
+def test_gzip_source(spark, tmpdir_path):
+    import gzip
+
+    p = os.path.join(tmpdir_path, "t.csv.gz")
+    with gzip.open(p, "wt", encoding="utf-8", newline="") as f:
+        f.write(TRICKY)
+    assert total_records(spark, p) == 3
+    assert sorted(map(tuple, read_csv_parallel(spark, p).collect()), key=repr) == \
+        sorted(map(tuple, read_raw_csv(spark, p).collect()), key=repr)
