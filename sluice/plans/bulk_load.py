@@ -104,6 +104,11 @@ def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
                          split_above_bytes)
         runlog.log_event(spark, log_path, run_id, source, table, "success", started,
                          uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
+    except KeyboardInterrupt:
+        # an interrupted load is logged as failed instead of leaving a dead run
+        runlog.log_event(spark, log_path, run_id, source, table, "failed", started,
+                         error="KeyboardInterrupt: load interrupted")
+        raise
     except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest
         res = LoadResult(table, "failed", error=f"{type(exc).__name__}: {exc}")
         runlog.log_event(spark, log_path, run_id, source, table, "failed", started,

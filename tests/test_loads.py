@@ -138,3 +138,20 @@ def test_overlapping_landings_latest_wins(spark, tmpdir_path):
     write(f"{base}/load_date=2024-01-10/c.csv", head + "D.GBP,GBP,2024-01-09,1\nD.GBP,GBP,2024-01-09,2\n")
     with pytest.raises(DataCheckError, match="duplicate"):
         rate_load.validate_rate_source(spark, base)
+
+
+def test_interrupted_load_is_logged_as_failed(spark, tmpdir_path, monkeypatch):
+    from sluice.plans import bulk_load as bl
+
+    src = write(f"{tmpdir_path}/src/orders.csv", "id\n1\n")
+
+    def interrupt(*a, **k):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(bl, "load_table", interrupt)
+    with pytest.raises(KeyboardInterrupt):
+        bl.bulk_load(spark, {"orders": src}, f"{tmpdir_path}/l", f"{tmpdir_path}/w", f"{tmpdir_path}/log",
+                     "shop", parallel_tables=1)
+    log = runlog.read_log(spark, f"{tmpdir_path}/log")
+    assert rows(log, "status") == [("failed",), ("started",)]
+    assert runlog.dead_runs(log).count() == 0
