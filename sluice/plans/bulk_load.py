@@ -98,6 +98,8 @@ def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
                  warehouse_root: str, log_path: str, source: str, load_date: dt.date,
                  run_id: str, split_above_bytes: int) -> LoadResult:
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    sc = spark.sparkContext
+    sc.setJobGroup(f"sluice:{run_id}:{table}", f"load {source}.{table}")   # thread-local
     runlog.log_event(spark, log_path, run_id, source, table, "started", started)
     try:
         res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
@@ -113,6 +115,8 @@ def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
         res = LoadResult(table, "failed", error=f"{type(exc).__name__}: {exc}")
         runlog.log_event(spark, log_path, run_id, source, table, "failed", started,
                          error=res.error)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
     return res
 
 

@@ -43,6 +43,9 @@ def test_bulk_load(spark, tmpdir_path):
     assert t.first()["_source_uri"].endswith("shop/orders/load_date=2024-01-01")
     log = runlog.read_log(spark, roots[2])
     assert rows(log.groupBy("status").count()) == [("failed", 2), ("started", 3), ("success", 1)]
+    groups = {r["table_name"]: r["job_group"] for r in log.filter("status = 'success'").collect()}
+    assert groups == {"orders": "sluice:run1:orders"}
+    assert log.filter("spark_app_id IS NULL").count() == 0
     assert not VersionedTable(spark, f"{roots[1]}/shop_items").exists()
     # the same load with the splittable parse for every file
     split_roots = [f"{tmpdir_path}/split-{n}" for n in ("landing", "wh", "log")]
