@@ -36,6 +36,20 @@ def test_main_payment_type_rules(spark):
         k: v["main_payment_type"] for k, v in out.items()}
 
 
+def test_pivot_and_two_stage_forms_agree(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(3)
+    data = [(f"o{rnd.randrange(60)}", str(rnd.randrange(1, 12)), rnd.choice(["card", "boleto", "voucher", None]),
+             rnd.choice(["1.00", "2.00", "2.00", None]), "1") for _ in range(600)]
+    p = pays(spark, data)
+    cols = ("order_id", "total_paid", "payment_count", "main_payment_type")
+    pivot = rows(orders_mart.payments_by_order(p), *cols)
+    assert pivot == rows(orders_mart.payments_by_order_two_stage(p), *cols)
+    monkeypatch.setattr(orders_mart, "MAX_PIVOT_TYPES", 1)          # forces the fallback
+    assert rows(orders_mart.payments_by_order(p), *cols) == pivot
+
+
 def test_last_n_per_key(spark):
     df = spark.createDataFrame([(k, i) for k in ("hot",) * 50 + ("cold",) * 2 for i in range(1)]
                                + [("hot", i) for i in range(1, 40)], "k string, i int")

@@ -43,7 +43,8 @@ def test_scans_prune_columns_and_push_filters(spark, large_table_settings):
 def test_fact_joins_reuse_order_partitioning(spark, large_table_settings):
     plan = entry.queries()["q_fct_orders"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") == 2
-    assert plan.count("Exchange hashpartitioning(order_id") == 4   # orders, items, payments x2
+    assert plan.count("Exchange hashpartitioning(order_id") == 3   # orders, items, payments
+    assert "SortAggregate" not in plan                             # all hash aggregation
     assert plan.count("BroadcastExchange") == 1                    # the size-checked rate calendar
 
 
