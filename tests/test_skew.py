@@ -42,3 +42,34 @@ def test_scale_conf_sizes_partitions():
     assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "200000"   # 100 TiB: capped
     assert scale_conf(2**40)["spark.sql.shuffle.partitions"] == "4096"            # 1 TiB / 256 MiB
     assert int(scale_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200   # floor for small inputs
+
+
+def test_row_level_join_splits_a_hot_key(spark):
+    """Items (a third on one order) joined to orders: AQE splits the skewed
+    partition instead of sending the hot order to one task."""
+    keys = ["spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
+            "spark.sql.adaptive.coalescePartitions.enabled"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in zip(keys, ["1KB", "2", "1KB", "-1", "-1", "false"]):
+        spark.conf.set(k, v)
+    try:
+        n = 30000
+        items = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("o"), F.col("id").cast("string")))
+            .alias("order_id"), F.col("id").alias("line")).repartition(8)
+        orders = (spark.range(n).select(F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"))
+                  .union(spark.createDataFrame([("hot",)], "order_id string")))
+        joined = items.join(orders, "order_id")
+        assert len(joined.collect()) == n            # runs this DataFrame's own (adaptive) plan
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
