@@ -6,10 +6,12 @@ Scale notes
 The dense calendar and the forward fill run over *observation days*, whose
 number is bounded by the calendar, not by the data volume.  ``forward_fill_dense``
 (the scalable form) never runs a window over the dense side: it finds each
-observation's successor with ``lead`` (partitioned by series when there are
-several) and explodes the day range it covers.  ``forward_fill_window`` keeps
-the textbook form (calendar left join observations, last non-NULL value over an
-unpartitioned running frame) for comparison and for small inputs.
+observation's successor with ``next_in_order`` (``lead`` per series and year,
+with a one-row-per-year carry across years) and explodes the day range it
+covers.  ``forward_fill_window`` keeps the textbook form (calendar left join
+observations, last non-NULL value over an unpartitioned running frame) for
+comparison and for small inputs.  ``last_non_null_bucketed`` is the running
+last-non-NULL per group windowed per (group, day), for groups that may be hot.
 """
 
 from __future__ import annotations
