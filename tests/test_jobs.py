@@ -59,6 +59,11 @@ def test_clean_flow_passes(spark, tmpdir_path, capsys):
     out = capsys.readouterr().out
     assert "4 succeeded, 0 failed" in out and "fct_orders: 2 rows; 0 blocking" in out
     rates = f"{tmpdir_path}/rates"
+    from sluice.operators.tables import VersionedTable
+
+    uris = {r["_source_uri"] for r in VersionedTable(spark, rates).read().select("_source_uri").collect()}
+    assert len(uris) == 1 and uris.pop().endswith("src/rates.csv")      # the file, not a folder
+    assert "_file" not in VersionedTable(spark, rates).read().columns
     assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-03T00:00:00"]) == 0
     assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-05T00:00:00"]) == 0   # warn
     assert jobs.main(["freshness", "--rates", rates, "--now", "2019-02-08T00:00:00"]) == 1   # error

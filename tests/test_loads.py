@@ -132,8 +132,11 @@ def test_overlapping_landings_latest_wins(spark, tmpdir_path):
     base = f"{tmpdir_path}/landing/ecb/rates"
     write(f"{base}/load_date=2024-01-05/a.csv", head + "D.GBP,GBP,2024-01-02,0.86\nD.GBP,GBP,2024-01-03,0.87\n")
     write(f"{base}/load_date=2024-01-09/b.csv", head + "D.GBP,GBP,2024-01-03,0.88\nD.GBP,GBP,2024-01-08,0.89\n")
-    got = rows(rate_load.validate_rate_source(spark, base), "TIME_PERIOD", "OBS_VALUE")
+    validated = rate_load.validate_rate_source(spark, base)
+    got = rows(validated, "TIME_PERIOD", "OBS_VALUE")
     assert got == [("2024-01-02", "0.86"), ("2024-01-03", "0.88"), ("2024-01-08", "0.89")]
+    files = {r["TIME_PERIOD"]: r["_file"].rsplit("/", 2)[-2] for r in validated.collect()}
+    assert files["2024-01-03"] == "load_date=2024-01-09"
     # the stream, all files in one micro-batch, gives the same table
     cols = ["KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE"]
     t = run_rate_stream(spark, base, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ck")
