@@ -215,7 +215,8 @@ def freshness(df: DataFrame, field: Column, now, warn_after_days: int,
     newest = df.agg(F.max(field).cast("timestamp_ntz").alias("max_loaded_at"))
     # whole seconds between two time-zone-free values: no session zone involved
     age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_col.cast("timestamp_ntz"))
-    out = newest.withColumn("age_seconds", age.cast("bigint"))
+    out = (newest.withColumn("age_seconds", age.cast("bigint"))
+                 .withColumn("age_days", F.floor(F.col("age_seconds") / 86400).cast("bigint")))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
                .when(F.col("age_seconds") > error_after_days * 86400, F.lit("error"))
                .when(F.col("age_seconds") > warn_after_days * 86400, F.lit("warn"))

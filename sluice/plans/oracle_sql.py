@@ -402,7 +402,7 @@ SQL["q_severity"] = (
                "!= (SELECT count(*) FROM stg_orders)", "!=0", "!=0"),
     ]))
 SQL["q_freshness"] = with_ctes("run_log") + """
-    SELECT max_loaded_at, age_seconds,
+    SELECT max_loaded_at, age_seconds, CAST(floor(age_seconds / 86400) AS BIGINT) AS age_days,
            CASE WHEN max_loaded_at IS NULL THEN 'error'
                 WHEN age_seconds > 6 * 86400 THEN 'error'
                 WHEN age_seconds > 4 * 86400 THEN 'warn' ELSE 'pass' END AS status
