@@ -115,3 +115,18 @@ def test_bucketed_last_non_null_equals_window_form(spark):
                                              F.to_date("ts"), "last")
     assert rows(plain, "id", "last") == rows(bucketed, "id", "last")
     assert bucketed.filter("last IS NOT NULL").count() > 1000
+
+
+def test_dense_and_window_forward_fill_agree_on_driver_data(spark):
+    import os
+
+    from sluice.plans import models
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        return
+    stg = models.stg_fx(spark, d)
+    cols = ["rate_date", "gbp_per_brl", "last_ecb_date", "is_forward_filled"]
+    dense = fx_daily.rates_daily(stg)
+    assert rows(dense, *cols) == rows(fx_daily.rates_daily_window_form(stg), *cols)
+    assert dense.count() > 2000
