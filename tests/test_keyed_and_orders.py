@@ -124,3 +124,19 @@ def test_mutation_inner_join_is_caught_by_row_count_not_revenue(spark):
                                          "fct_total", "raw_total")
         assert (parity.count() == 1) is count_fails
         assert recon.count() == 0
+
+
+def test_main_type_equals_row_number_on_driver_data(spark):
+    import os
+
+    from sluice.plans import models
+
+    d = "/root/testdata/sf0.001"
+    if not os.path.isdir(d):
+        return
+    p = models.stg_payments_by_quantity(spark, d)          # many equal amounts: ties
+    main = orders_mart.payments_by_order(p).select("order_id", "main_payment_type")
+    ranked = (orders_mart.ranked_payment_types(p).filter("type_rank = 1")
+              .select("order_id", F.col("payment_type").alias("main_payment_type")))
+    assert rows(main) == rows(ranked)
+    assert main.count() > 1000
