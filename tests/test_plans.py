@@ -6,7 +6,9 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin"]
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin",
+             # stay JVM-side: no Python UDF evaluation in any query plan
+             "BatchEvalPython", "ArrowEvalPython"]
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def large_table_settings(spark):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_no_cross_products(spark, large_table_settings, name):
+def test_no_cross_products_or_python_udfs(spark, large_table_settings, name):
     df = entry.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in FORBIDDEN:
