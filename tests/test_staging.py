@@ -36,3 +36,18 @@ def test_products_cast_and_counted_form(spark):
     assert none["product_photos_qty"] == 0
     with pytest.raises(Exception, match="INT64"):
         stage(raw(spark, "products", vals[:4] + ["225.0"] + vals[5:]), "products").collect()
+
+
+def test_orders_model_all_times_and_audit_passthrough(spark):
+    from pyspark.sql import functions as F
+
+    vals = ["o1", "c1", "delivered", "2018-03-05 10:00:00", "2018-03-05 10:10:00",
+            "2018-03-06 09:00:00", "2018-03-09 15:00:00", "2018-03-20 00:00:00"]
+    df = raw(spark, "orders", vals).withColumn("_loaded_at", F.lit(dt.datetime(2024, 1, 1)))
+    r = stage(df, "orders").first()
+    assert r["purchased_at"] == dt.datetime(2018, 3, 5, 13, 0)
+    assert r["approved_at"] == dt.datetime(2018, 3, 5, 13, 10)
+    assert r["delivered_carrier_at"] == dt.datetime(2018, 3, 6, 12, 0)
+    assert r["delivered_customer_at"] == dt.datetime(2018, 3, 9, 18, 0)
+    assert r["estimated_delivery_date"] == dt.date(2018, 3, 20)
+    assert r["_loaded_at"] is not None and "_loaded_at" in stage(df, "orders").columns
