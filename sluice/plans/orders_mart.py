@@ -67,7 +67,7 @@ def payments_by_order(stg_payments: DataFrame) -> DataFrame:
     """
     types = [r[0] for r in stg_payments.select("payment_type").distinct()
              .limit(MAX_PIVOT_TYPES + 1).collect()]
-    if len(types) > MAX_PIVOT_TYPES:
+    if not types or len(types) > MAX_PIVOT_TYPES:      # no payments at all, or too many types
         return payments_by_order_two_stage(stg_payments)
     seq = to_int64("payment_sequential")
     aggs = [F.sum("payment_amount").alias("total_paid"),

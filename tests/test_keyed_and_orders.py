@@ -50,6 +50,13 @@ def test_pivot_and_two_stage_forms_agree(spark, monkeypatch):
     assert rows(orders_mart.payments_by_order(p), *cols) == pivot
 
 
+def test_payments_by_order_on_no_payments(spark):
+    empty = pays(spark, [])
+    out = orders_mart.payments_by_order(empty)
+    assert out.columns == ["order_id", "total_paid", "payment_count", "main_payment_type"]
+    assert out.count() == 0
+
+
 def test_last_n_per_key(spark):
     df = spark.createDataFrame([(k, i) for k in ("hot",) * 50 + ("cold",) * 2 for i in range(1)]
                                + [("hot", i) for i in range(1, 40)], "k string, i int")
