@@ -130,3 +130,11 @@ def test_dense_and_window_forward_fill_agree_on_driver_data(spark):
     dense = fx_daily.rates_daily(stg)
     assert rows(dense, *cols) == rows(fx_daily.rates_daily_window_form(stg), *cols)
     assert dense.count() > 2000
+
+
+def test_asof_join_with_no_observations(spark):
+    obs = spark.createDataFrame([], "d date, v int")
+    spans = series.observation_spans(obs, "d", ["v"])
+    left = spark.createDataFrame([(1, D(2018, 1, 4))], "id int, day date")
+    got = series.asof_join(left, "day", spans).collect()
+    assert [(r["id"], r["v"]) for r in got] == [(1, None)]
