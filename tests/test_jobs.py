@@ -126,3 +126,18 @@ def test_rate_stream_job(spark, tmpdir_path, capsys):
     assert jobs.main(args) == 0
     out = capsys.readouterr().out
     assert "rates table at version 1" in out and "rates table at version 2" in out
+
+
+def test_build_with_no_payments(spark, tmpdir_path):
+    from sluice.plans.build import build
+    from sluice.sources.csv_files import read_raw_csv
+
+    raw = {f"raw_{n}": read_raw_csv(spark, write(f"{tmpdir_path}/{n}.csv", t)) for n, t in
+           (("orders", ORDERS), ("customers", CUSTOMERS), ("order_items", ITEMS),
+            ("order_payments", PAYMENTS.splitlines()[0] + "\n"))}
+    raw["raw_fx_rates"] = read_raw_csv(spark, rates_csv(f"{tmpdir_path}/rates.csv"))
+    result = build(spark, raw, f"{tmpdir_path}/mart", register_views=False)
+    status = {r["test_name"]: r["status"] for r in result.tests.collect()}
+    assert result.fct_rows == 2 and len(status) == 42      # no products / sellers given
+    assert status["assert_some_payments_have_instalments"] == "error"
+    assert status["not_null_int_order_payments_by_order_order_id"] == "pass"
