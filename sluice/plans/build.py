@@ -167,6 +167,10 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
     writes each staging model once as typed Parquet instead (worth it when
     many tests cast the same wide columns); results are the same either way.
     """
+    required = ["raw_orders", "raw_order_items", "raw_order_payments", "raw_fx_rates"]
+    missing = [t for t in required if t not in raw]
+    if missing:
+        raise ValueError(f"build needs raw tables {required}; missing: {missing}")
     stg = {STAGING[name]: stage(df, STAGING[name]) for name, df in raw.items() if name in STAGING}
     if materialize_staging:
         for model in list(stg):

@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from sluice import jobs
 
 ORDERS = ("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
@@ -138,6 +140,8 @@ def test_build_with_no_payments(spark, tmpdir_path):
     raw["raw_fx_rates"] = read_raw_csv(spark, rates_csv(f"{tmpdir_path}/rates.csv"))
     result = build(spark, raw, f"{tmpdir_path}/mart", register_views=False)
     status = {r["test_name"]: r["status"] for r in result.tests.collect()}
+    with pytest.raises(ValueError, match="raw_fx_rates"):
+        build(spark, {k: v for k, v in raw.items() if k != "raw_fx_rates"}, f"{tmpdir_path}/m2")
     assert result.fct_rows == 2 and len(status) == 42      # no products / sellers given
     assert status["assert_some_payments_have_instalments"] == "error"
     assert status["not_null_int_order_payments_by_order_order_id"] == "pass"
