@@ -20,7 +20,9 @@ def landing_dir(root: str, source: str, table: str, load_date: dt.date | str | N
 
 def land_file(spark: SparkSession, src: str, root: str, source: str, table: str,
               load_date: dt.date | str) -> str:
-    """Copy one file into the landing layout; returns its URI."""
+    """Copy one (small) file into the landing layout through the driver;
+    returns its URI.  Loads land their files with ``land_files``, which copies
+    on the executors."""
     name = src.rstrip("/").rsplit("/", 1)[-1]
     dst = f"{landing_dir(root, source, table, load_date)}/{name}"
     fs.copy(spark, src, dst, overwrite=True)
