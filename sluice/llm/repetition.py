@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from .common import IS_SPACE, hash_spans, mix, strings, text_slices, word_bounds
 
 MIN_WORDS = 10
-MAX_COVERED = 0.30
-MAX_LONGEST = 200
+MAX_COVERED = 0.55
+MAX_LONGEST = 100
 LEAST_WORDS = 50
 
 _SYMBOL = np.zeros(256, bool)
