@@ -175,14 +175,14 @@ class Encoder:
         done = []
         while start.num_rows:
             self.con.register("start", start)
-            state = self.con.execute(query, {"steps": STEPS}).fetch_arrow_table()
+            state = self.con.sql(query, params={"steps": STEPS}).to_arrow_table()
             self.con.unregister("start")
             self.con.register("state_now", state)
             open_words = "SELECT DISTINCT wid FROM state_now WHERE rank IS NOT NULL"
-            done.append(self.con.execute(
-                f"SELECT wid, pos, tok FROM state_now WHERE wid NOT IN ({open_words})").fetch_arrow_table())
-            start = self.con.execute(
-                f"SELECT wid, pos, tok, nxt, npos FROM state_now WHERE wid IN ({open_words})").fetch_arrow_table()
+            done.append(self.con.sql(
+                f"SELECT wid, pos, tok FROM state_now WHERE wid NOT IN ({open_words})").to_arrow_table())
+            start = self.con.sql(
+                f"SELECT wid, pos, tok, nxt, npos FROM state_now WHERE wid IN ({open_words})").to_arrow_table()
             self.con.unregister("state_now")
         self.con.register("final", pa.concat_tables(done))
         for wid, ids, hexed in self.con.execute(_IDS).fetchall():
