@@ -92,8 +92,10 @@ SELECT wid, pos, tok, lead(tok) OVER (PARTITION BY wid ORDER BY pos) AS nxt, npo
 FROM state JOIN last USING (wid, step)
 """
 
-_IDS = """
-SELECT wid, list(tok ORDER BY pos) AS ids, string_agg(v.hex, '' ORDER BY pos) AS hex
+_IDS = "SELECT tok FROM final ORDER BY wid, pos"
+#: Decoding: the bytes of a word's tokens in order.
+_WORDS = """
+SELECT wid, count(*) AS n, string_agg(v.hex, '' ORDER BY pos) AS hex, length(hex) // 2 AS size
 FROM final JOIN vocabulary v ON v.id = tok GROUP BY wid ORDER BY wid
 """
 
@@ -135,7 +137,7 @@ class Encoder:
         self.old: dict[bytes, tuple] = {}
 
     def lookup(self, words: list[bytes]) -> list[tuple]:
-        """(ids, decoded bytes) of each word."""
+        """(ids as the bytes of 32-bit numbers, decoded bytes) of each word."""
         found = [self.young.get(w) or self.old.get(w) for w in words]
         missing = [w for w, f in zip(words, found, strict=True) if f is None]
         if missing:
@@ -143,9 +145,6 @@ class Encoder:
             found = [f or self.young.get(w) or self.old[w] for w, f in zip(words, found, strict=True)]
         return found
 
-    def _keep(self, word: bytes, entry: tuple) -> None:
-        self.young[word] = entry
-
     def _encode(self, words: list[bytes]) -> None:
         if len(self.young) + len(words) > self.limit:
             self.old, self.young = self.young, {}
@@ -177,6 +176,9 @@ class Encoder:
             self.con.register("start", start)
             state = self.con.sql(query, params={"steps": STEPS}).to_arrow_table()
             self.con.unregister("start")
+            if state.column("rank").null_count == state.num_rows:
+                done.append(state.select(["wid", "pos", "tok"]))
+                break
             self.con.register("state_now", state)
             open_words = "SELECT DISTINCT wid FROM state_now WHERE rank IS NOT NULL"
             done.append(self.con.sql(
@@ -185,10 +187,16 @@ class Encoder:
                 f"SELECT wid, pos, tok, nxt, npos FROM state_now WHERE wid IN ({open_words})").to_arrow_table()
             self.con.unregister("state_now")
         self.con.register("final", pa.concat_tables(done))
-        for wid, ids, hexed in self.con.execute(_IDS).fetchall():
-            word, decoded = batch[wid], bytes.fromhex(hexed)
-            self._keep(word, (np.array(ids, np.int32), word if decoded == word else decoded))
+        ids = self.con.sql(_IDS).to_arrow_table()
+        words = self.con.sql(_WORDS).to_arrow_table()
         self.con.unregister("final")
+        flat = ids.column("tok").to_numpy().astype(np.int32).tobytes()
+        decoded = bytes.fromhex("".join(words.column("hex").to_pylist()))
+        i = j = 0
+        for word, n, size in zip(batch, words.column("n").to_pylist(), words.column("size").to_pylist(), strict=True):
+            body = decoded[j:j + size]
+            self.young[word] = (flat[4 * i:4 * (i + n)], word if body == word else body)
+            i, j = i + n, j + size
 
 
 @functools.lru_cache(maxsize=2)
@@ -282,8 +290,8 @@ def _encode_batches(path: str, key_type: pa.DataType):
         for batch in batches:
             keys, texts = batch.column(0), strings(batch.column(1))
             for lo, hi, pieces, which, first in _pieces(texts, encoder):
-                sizes = np.array([len(p[0]) for p in pieces], np.int64)
-                ids = np.concatenate([p[0] for p in pieces]) if pieces else np.zeros(0, np.int32)
+                sizes = np.array([len(p[0]) // 4 for p in pieces], np.int64)
+                ids = np.frombuffer(b"".join([p[0] for p in pieces]), np.int32)
                 values = _gather(ids, np.cumsum(sizes) - sizes, sizes, which)
                 upto = np.append(0, np.cumsum(sizes[which]))[first]
                 decoded = [p[1] for p in pieces]
