@@ -95,7 +95,7 @@ FROM state JOIN last USING (wid, step)
 _IDS = "SELECT tok FROM final ORDER BY wid, pos"
 #: Decoding: the bytes of a word's tokens in order.
 _WORDS = """
-SELECT wid, count(*) AS n, string_agg(v.hex, '' ORDER BY pos) AS hex, length(hex) // 2 AS size
+SELECT wid, count(*) AS n, string_agg(v.hex, '' ORDER BY pos) AS hex
 FROM final JOIN vocabulary v ON v.id = tok GROUP BY wid ORDER BY wid
 """
 
@@ -191,9 +191,11 @@ class Encoder:
         words = self.con.sql(_WORDS).to_arrow_table()
         self.con.unregister("final")
         flat = ids.column("tok").to_numpy().astype(np.int32).tobytes()
-        decoded = bytes.fromhex("".join(words.column("hex").to_pylist()))
+        hexed = words.column("hex").to_pylist()
+        decoded = bytes.fromhex("".join(hexed))
         i = j = 0
-        for word, n, size in zip(batch, words.column("n").to_pylist(), words.column("size").to_pylist(), strict=True):
+        for word, n, digits in zip(batch, words.column("n").to_pylist(), hexed, strict=True):
+            size = len(digits) // 2
             body = decoded[j:j + size]
             self.young[word] = (flat[4 * i:4 * (i + n)], word if body == word else body)
             i, j = i + n, j + size
