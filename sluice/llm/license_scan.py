@@ -71,10 +71,10 @@ class Scanner:
         _, wanted, _ = self.templates[number]
         found = list(_WORD.finditer(block))
         words = [m[0].lower() for m in found]
-        match = SequenceMatcher(None, words, wanted, autojunk=False).get_matching_blocks()
-        same = sum(m.size for m in match)
-        if not same:
+        match = [m for m in SequenceMatcher(None, words, wanted, autojunk=False).get_matching_blocks() if m.size]
+        if not match:
             return None
+        same = sum(m.size for m in match)
         first, last = match[0].a, max(m.a + m.size for m in match)
         extra = (last - first) - same
         different = len(wanted) - same + extra

@@ -35,6 +35,7 @@ CAP = 3
 SHORT = 64
 SEED = 20240607
 BUCKETS = 1 << 16
+COARSE = 1 << 8      # buckets are first summed by so many: no window sees more than 256 rows of a source
 
 
 def source_targets(sizes: DataFrame, share: float = 1.0, weights=WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -79,6 +80,14 @@ def source_targets(sizes: DataFrame, share: float = 1.0, weights=WEIGHTS, cap: i
         (F.col("n_words") * cap).cast("double"), F.col("w") * F.lit(level)).alias("target"))
 
 
+def _crossing(buckets: DataFrame) -> DataFrame:
+    """(_k, _at, _words, _rest, _before) -> the bucket of each source in which the
+    running words, from _before on, reach _rest; _below: the words before it."""
+    upto = Window.partitionBy("_k").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return buckets.withColumn("_through", F.col("_before") + F.sum("_words").over(upto)).withColumn(
+        "_below", F.col("_through") - F.col("_words")).where("_below < _rest AND _through >= _rest")
+
+
 def mix_documents(docs: DataFrame, share: float = 1.0, weights=WEIGHTS, cap: int = CAP,
                   seed: int = SEED, key: str = "doc_id", text: str = "text",
                   source: str = "source") -> DataFrame:
@@ -118,10 +127,12 @@ def mix_documents(docs: DataFrame, share: float = 1.0, weights=WEIGHTS, cap: int
     # The bucket of each source in which the running words pass what remains.
     buckets = rows.where("size > 0 AND _rest > 0").groupBy("_k", "_b").agg(
         F.sum("size").alias("_words"), F.max("_rest").alias("_rest"))
-    upto = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = buckets.withColumn("_through", F.sum("_words").over(upto)).where(
-        "_through - _words < _rest AND _through >= _rest").select(
-        "_k", F.col("_b").alias("_cut"), (F.col("_through") - F.col("_words")).alias("_below"))
+    buckets = buckets.withColumn("_coarse", F.floor(F.col("_b") / COARSE).cast("int"))
+    coarse = buckets.groupBy("_k", F.col("_coarse").alias("_at")).agg(
+        F.sum("_words").alias("_words"), F.max("_rest").alias("_rest")).withColumn("_before", F.lit(0))
+    found = _crossing(coarse).select("_k", F.col("_at").alias("_coarse"), F.col("_below").alias("_before"))
+    cut = _crossing(buckets.withColumnRenamed("_b", "_at").join(found, ["_k", "_coarse"])).select(
+        "_k", F.col("_at").alias("_cut"), "_below")
     cut = written(cut, "mix-cut")
     rows = salted_left_join(rows, cut, "_k", "doc_id")
     edge = rows.where("_b = _cut AND size > 0")

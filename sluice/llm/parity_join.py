@@ -124,12 +124,12 @@ def class_of(tokens: np.ndarray) -> int | None:
 
 
 def _sketch(size: int, percent: int):
-    names = ["doc_id", "n_shingles", "cls", "sketch", "keys"]
+    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch", "keys"]
 
     def run(batches):
         low = bands(percent)
         for batch in batches:
-            ids, texts = batch.column(0), strings(batch.column(1))
+            ids, hashed, texts = batch.column(0), batch.column(1), strings(batch.column(2))
             for lo, hi, data, offs in text_slices(texts):
                 hashes, begin = shingle_hashes(data, offs, size)
                 counts, classes, sketches, keys = [], [], [], []
@@ -148,7 +148,7 @@ def _sketch(size: int, percent: int):
                                                 for b in (band - 1, band) if b >= 0]).view(np.int64))
                 ends = np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
+                    [ids.slice(lo, hi - lo), hashed.slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
                      pa.array(sketches, pa.list_(pa.int64())),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys), pa.int64()))], names)
 
@@ -156,9 +156,10 @@ def _sketch(size: int, percent: int):
 
 
 def sketches(docs: DataFrame, shingle: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, cls (hash of the set; null if empty), sketch, keys."""
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-        _sketch(shingle, percent), "doc_id long, n_shingles long, cls long, sketch array<long>, keys array<long>")
+    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch, keys."""
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
+                       F.col(text).cast("string").alias("text")).mapInArrow(
+        _sketch(shingle, percent), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>, keys array<long>")
 
 
 def _combine(batches):
@@ -254,7 +255,8 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
     rows = written(sketches(docs, shingle, percent, key, text), "parity-sketches")
     sets_of = rows.where("cls IS NOT NULL")
     classes = written(sets_of.groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("body"),
+        F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
         *[F.min(F.element_at("sketch", i + 1)).alias(f"s{i}") for i in range(SKETCH_WORDS)]), "parity-classes")
 
     combined = sets_of.select("cls", "keys").mapInArrow(_combine, "key long, cls long, first long, dup boolean, many boolean")
@@ -272,10 +274,14 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
         info.alias("y"), F.col("b") == F.col("y.cls")).where(_may_link("x", "y", percent)).select("a", "b")
 
     # Texts of the classes that have candidates, once; their sets are kept for both verifications.
-    wanted = members.select("cls").distinct().join(classes.where("rep IS NOT NULL").select("cls", "rep"), "cls")
-    bodies = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).cast("string").alias("text"))
-    found = bodies.join(wanted, "rep").select("cls", "text").mapInArrow(_sets(shingle), "cls long, tokens array<long>")
-    sets = written(found, "parity-sets")
+    # A text is found by doc_id (null: 0) and the hash of the text; equal rows are dropped again.
+    wanted = members.select("cls").distinct().join(classes.select("cls", "body.id", "body.text_hash"), "cls")
+    body = F.col(text).cast("string")
+    bodies = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.xxhash64(body).alias("text_hash"),
+                         body.alias("text"))
+    found = bodies.join(wanted, ["id", "text_hash"]).select("cls", "text").mapInArrow(
+        _sets(shingle), "cls long, tokens array<long>")
+    sets = written(found.dropDuplicates(["cls"]), "parity-sets")
 
     edges = written(verified(star, sets, percent), "parity-star-links")
     labels = components(edges)

@@ -201,7 +201,7 @@ def test_targets(spark):
 
 
 def test_mix(spark):
-    rows = [(i if i % 50 else None, " ".join(["w"] * ((i * 37) % 90)), ("s%d" % (i % 3)) if i % 10 else None) for i in range(1500)]
+    rows = [(i if i % 50 else None, " ".join(["w"] * ((i * 37) % 80 + 3 * (i % 3))), ("s%d" % (i % 3)) if i % 10 else None) for i in range(1500)]
     rows += [(7, "w w w", "s1")] * 5 + [(2000, None, "s2"), (2001, "", None)]
     docs = docs_of(spark, rows)
     first, again = (sorted(map(tuple, pareto_mix.mix_query(d).collect()), key=repr)
