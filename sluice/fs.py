@@ -115,6 +115,14 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since a file or folder was last changed."""
+    import time
+
+    fs, p = _path(spark, path)
+    return (time.time() - fs.getFileStatus(p).getModificationTime() / 1000) / 3600
+
+
 def list_tree(spark: SparkSession, path: str) -> list[str]:
     """All data files under ``path`` (recursively), as full paths."""
     fs, p = _path(spark, path)

@@ -42,9 +42,25 @@ def to_int64(c) -> Column:
     return strict_cast(c, INT64, "INT64")
 
 
+# A whole ISO date, optionally with a time of day; no zone, no partial date, nothing after it.
+_DAY = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_TIME = "[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]{1,6})?)?"
+WALL_CLOCK = f"^{_DAY}([ T]{_TIME})?$"
+
+
+def strict_wall_clock(c, dtype: DataType, what: str) -> Column:
+    """``strict_cast`` of a date or wall-clock text: a text with anything but that
+    (a zone suffix, a missing day, trailing characters) raises."""
+    col = _col(c)
+    whole = F.when(col.cast("string").rlike(WALL_CLOCK), col.cast("string")).try_cast(dtype)
+    failure = F.when(col.isNotNull(), F.raise_error(
+        F.concat(F.lit(f"cannot cast to {what}: '"), col.cast("string"), F.lit("'"))))
+    return F.coalesce(whole, failure.cast(dtype))
+
+
 def to_date(c) -> Column:
     """Date of an ISO date or datetime string (the time part is dropped)."""
-    return strict_cast(c, DateType(), "DATE")
+    return strict_wall_clock(c, DateType(), "DATE")
 
 
 def _fit(c, dtype: DecimalType) -> Column:

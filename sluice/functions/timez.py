@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-from .casts import strict_cast
+from .casts import strict_wall_clock
 
 
 def _col(c) -> Column:
@@ -21,7 +21,7 @@ def _col(c) -> Column:
 
 def local_to_utc(c, zone: str) -> Column:
     """Local wall-clock text (or NTZ value) in ``zone`` -> UTC instant (NTZ)."""
-    ts = strict_cast(c, TimestampNTZType(), "TIMESTAMP")
+    ts = strict_wall_clock(c, TimestampNTZType(), "TIMESTAMP")
     return F.convert_timezone(F.lit(zone), F.lit("UTC"), ts)
 
 

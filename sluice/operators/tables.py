@@ -69,11 +69,11 @@ class VersionedTable:
         return self.version() > 0
 
     def _manifest(self) -> dict | None:
-        v = self.version()
-        if not v:
-            return None
-        text = fs.read_text(self.spark, f"{self.root}/{_COMMITS}/{v:020d}").strip()
-        return json.loads(text) if text.startswith("{") else {"path": text}
+        for commit in reversed(self._commits()):
+            text = fs.read_text(self.spark, f"{self.root}/{_COMMITS}/{commit}").strip()
+            if text:      # a commit without content never happened
+                return json.loads(text) if text.startswith("{") else {"path": text}
+        return None
 
     def current_path(self) -> str | None:
         m = self._manifest()
@@ -101,23 +101,21 @@ class VersionedTable:
         return self.spark.read.schema(schema).parquet(*paths)
 
     # ------------------------------------------------------------ writing
-    def _write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, str, dict]:
-        name = uuid.uuid4().hex
-        staged = f"{self.root}/{_DATA}/{name}"
-        writer = df
+    def _write(self, df: DataFrame, name: str, staged: str, partition_by: Sequence[str] = ()) -> dict:
         if self.partition_expr:
+            # rows of a partition value meet before the write: few files per value
             writer = df.withColumn(_PART, F.expr(self.partition_expr).cast("string"))
-            writer.write.mode("errorifexists").partitionBy(_PART).parquet(staged)
+            writer.hint("rebalance", _PART).write.mode("errorifexists").partitionBy(_PART).parquet(staged)
             parts = {}
             for folder in fs.list_names(self.spark, staged):
                 if folder.startswith(_PART + "="):
                     parts[unquote(folder[len(_PART) + 1:])] = f"{name}/{folder}"
-            return name, staged, parts
-        w = writer.write.mode("errorifexists")
+            return parts
+        w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(staged)
-        return name, staged, {}
+        return {}
 
     def replace(self, df: DataFrame, expected_rows: int | None = None,
                 partition_by: Sequence[str] = ()) -> int:
@@ -131,9 +129,11 @@ class VersionedTable:
 
     def _write_and_commit(self, df: DataFrame, expected_rows, partition_by, keep: dict,
                           base: int) -> int:
-        name, staged, parts = self._write(df, partition_by)
+        name = uuid.uuid4().hex
+        staged = f"{self.root}/{_DATA}/{name}"
         committed = False
         try:
+            parts = self._write(df, name, staged, partition_by)
             if self.partition_expr:
                 paths = [f"{self.root}/{_DATA}/{p}" for p in parts.values()]
                 written = self.spark.read.schema(df.schema).parquet(*paths).count() if paths else 0
@@ -155,31 +155,50 @@ class VersionedTable:
 
     def _commit(self, body: str, base: int) -> None:
         """Commit as version ``base + 1`` (optimistic concurrency): the file is
-        created only if absent, so if another writer committed after we read
-        version ``base``, this commit fails instead of losing their update."""
+        written whole under another name, then moved into place unless the version
+        exists, so readers never see half a commit; if another writer committed
+        after we read version ``base``, this commit fails instead of losing theirs."""
+        final = f"{self.root}/{_COMMITS}/{base + 1:020d}"
+        draft = f"{self.root}/{_COMMITS}/.draft-{uuid.uuid4().hex}"
+        fs.write_text(self.spark, draft, body)
         try:
-            fs.write_text(self.spark, f"{self.root}/{_COMMITS}/{base + 1:020d}", body,
-                          overwrite=False)
-        except Exception as exc:
-            raise ConcurrentCommitError(
-                f"{self.root}: version {base + 1} was committed by another writer") from exc
-
-    def vacuum(self, keep_versions: int = 2) -> list[str]:
-        """Delete data folders that none of the last ``keep_versions`` versions
-        refers to (a partitioned version may still point at folders written by
-        older versions; those stay), and the older commit files.  Readers of
-        a removed version fail, so keep enough versions for running jobs."""
+            taken = fs.exists(self.spark, final)
+            if not taken:
+                try:
+                    fs.rename(self.spark, draft, final)
+                except OSError:
+                    taken = fs.exists(self.spark, final)
+                    if not taken:
+                        raise
+            if taken:
+                raise ConcurrentCommitError(
+                    f"{self.root}: another writer has committed version {base + 1}")
+        finally:
+            fs.delete(self.spark, draft)
+
+    def vacuum(self, keep_versions: int = 2, orphan_hours: float = 168) -> list[str]:
+        """Delete data folders that only versions older than the last
+        ``keep_versions`` refer to, and those commit files.  A folder that no commit
+        names may belong to a running writer: it goes only once it is older than
+        ``orphan_hours``.  Readers of a removed version fail, so keep enough
+        versions for running jobs."""
         v = self.version()
         if v == 0:
             return []
         commits = f"{self.root}/{_COMMITS}"
         keep = range(max(1, v - keep_versions + 1), v + 1)
         referenced: set[str] = set()
-        for k in keep:
-            referenced |= _manifest_folders(fs.read_text(self.spark, f"{commits}/{k:020d}").strip())
+        outdated: set[str] = set()
+        for commit in self._commits():
+            folders = _manifest_folders(fs.read_text(self.spark, f"{commits}/{commit}").strip())
+            if int(commit) in keep:
+                referenced |= folders
+            else:
+                outdated |= folders
         removed = []
         for name in fs.list_names(self.spark, f"{self.root}/{_DATA}"):
-            if name not in referenced:
+            old = name in outdated or fs.age_hours(self.spark, f"{self.root}/{_DATA}/{name}") > orphan_hours
+            if name not in referenced and old:
                 fs.delete(self.spark, f"{self.root}/{_DATA}/{name}")
                 removed.append(name)
         for name in fs.list_names(self.spark, commits):
@@ -191,8 +210,13 @@ class VersionedTable:
     def upsert(self, source: DataFrame, keys: Sequence[str],
                expected_rows: int | None = None) -> int:
         """Create on first write, keyed MERGE afterwards; returns rows written
-        (for a partitioned table: rows of the rewritten partitions)."""
+        (for a partitioned table: rows of the rewritten partitions).  With
+        ``expected_rows`` the batch must hold that many (pass a written batch: it is
+        read more than once).  Without ``partition_expr`` a merge rewrites the whole
+        table; give one for anything large."""
         require_unique_keys(source, keys, self.root)
+        if expected_rows is not None:
+            require_equal_counts(expected_rows, source.count(), self.root)
         base = self.version()
         if base == 0:
             return self._write_and_commit(source, None, (), keep={}, base=0)

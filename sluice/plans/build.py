@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.casts import to_numeric
-from ..functions.timez import weekday_name
 from ..operators import quality
 from ..operators.quality import Severity
 from ..operators.tables import VersionedTable
@@ -64,21 +63,6 @@ def not_null_counts(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
         F.col("null_count").alias("failures"))
 
 
-def fx_sanity_rules(fx: DataFrame) -> DataFrame:
-    year = fx.filter(F.year("rate_date") == FX_CHECK_YEAR)
-    n = year.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") != 365).select(
-        F.lit(f"expected 365 rows for {FX_CHECK_YEAR}").alias("problem"))
-    rate = F.col("gbp_per_brl")
-    bad_rate = year.filter(rate.isNull() | ~rate.between(FX_LOW, FX_HIGH)).select(
-        F.lit("gbp_per_brl out of range").alias("problem"))
-    weekend = fx.filter(weekday_name("rate_date").isin("Saturday", "Sunday")
-                        & (~F.col("is_forward_filled") | (F.col("last_ecb_date") >= F.col("rate_date")))
-                        ).select(F.lit("weekend not forward-filled").alias("problem"))
-    stale = fx.filter(F.date_diff("rate_date", "last_ecb_date") > FX_MAX_STALE_DAYS).select(
-        F.lit("rate older than 5 days").alias("problem"))
-    return n.union(bad_rate).union(weekend).union(stale)
-
-
 def test_suite(stg: dict[str, DataFrame], raw_items: DataFrame, fx: DataFrame,
                items: DataFrame, pays: DataFrame, fct: DataFrame) -> DataFrame:
     """All model tests and singular assertions as one graded table."""
@@ -132,12 +116,11 @@ def test_suite(stg: dict[str, DataFrame], raw_items: DataFrame, fx: DataFrame,
                "accepted_values_fct_orders_order_status"))
     # singular assertions
     add(_count(quality.row_count_parity(fct, o, "row count"), "assert_fct_orders_has_every_order"))
-    add(_count(fx_sanity_rules(fx), "assert_fx_rates_daily_sane"))
+    add(_count(fx_daily.fx_sanity(fx, FX_CHECK_YEAR, FX_LOW, FX_HIGH, FX_MAX_STALE_DAYS),
+               "assert_fx_rates_daily_sane"))
     add(_count(quality.events_out_of_order(o, "purchased_at", "delivered_customer_at"),
                "assert_no_delivery_before_purchase"))
-    paid = fct.filter((F.col("item_count") > 0) & (F.col("payment_count") > 0)
-                      & (F.abs(F.col("gross_revenue_brl") - F.col("paid_brl")) > 0.01))
-    add(_count(paid, "assert_order_paid_matches_gross_revenue"), PAID_VS_GROSS)
+    add(_count(orders_mart.paid_vs_gross(fct), "assert_order_paid_matches_gross_revenue"), PAID_VS_GROSS)
     raw_value = to_numeric("price") + to_numeric("freight_value")
     add(_count(quality.totals_reconcile(fct, F.col("gross_revenue_brl"), raw_items, raw_value,
                                         "fct_total", "raw_total"),

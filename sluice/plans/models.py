@@ -21,7 +21,7 @@ def stg_payments(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stg_payments_by_quantity(spark: SparkSession, d: str) -> DataFrame:
-    raw = raw_tables.raw_order_payments(spark, d, amount="l_quantity", final_only=False)
+    raw = raw_tables.raw_order_payments(spark, d, amount="l_quantity")
     return stage(raw, "order_payments")
 
 

@@ -67,7 +67,7 @@ CTES: dict[str, str] = {
                l_returnflag AS payment_type,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS payment_value,
                CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS payment_installments
-        FROM lineitem WHERE l_linestatus = 'F'""",
+        FROM lineitem""",
     "stg_payments": f"""
         SELECT order_id, payment_sequential, payment_type, CAST(payment_value AS {N}) AS payment_amount,
                CAST(payment_installments AS BIGINT) AS payment_installments
@@ -82,12 +82,11 @@ CTES: dict[str, str] = {
                'EUR' AS CURRENCY_DENOM, 'SP00' AS EXR_TYPE, 'A' AS EXR_SUFFIX,
                strftime(rate_date, '%Y-%m-%d') AS TIME_PERIOD, CAST(rate AS VARCHAR) AS OBS_VALUE,
                'A' AS OBS_STATUS
-        FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 'GBP' WHEN 'O' THEN 'BRL' END AS currency,
+        FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 'GBP' WHEN 'O' THEN 'BRL' ELSE 'USD' END AS currency,
                      CAST(o_orderdate AS DATE) AS rate_date,
                      max(CAST(o_totalprice AS DECIMAL(18,2))) AS rate
               FROM orders
-              WHERE o_orderstatus IN ('F', 'O')
-                AND strftime(o_orderdate, '%A') NOT IN ('Saturday', 'Sunday')
+              WHERE strftime(o_orderdate, '%A') NOT IN ('Saturday', 'Sunday')
               GROUP BY 1, 2)""",
     "stg_fx": f"""
         SELECT CURRENCY AS currency, CAST(TIME_PERIOD AS DATE) AS rate_date,
@@ -155,9 +154,9 @@ CTES: dict[str, str] = {
         SELECT event_id, CAST(user_id AS VARCHAR) AS run_id, 'events' AS source,
                json_extract_string(props, '$.k') AS table_name,
                CASE event_type WHEN 'click' THEN 'started' WHEN 'purchase' THEN 'success'
-                               WHEN 'error' THEN 'failed' END AS status,
+                               WHEN 'error' THEN 'failed' ELSE 'started' END AS status,
                ts AS started_at, ts AS event_at
-        FROM events WHERE event_type IN ('click', 'purchase', 'error')""",
+        FROM events""",
 }
 
 DEPENDS = {
@@ -343,9 +342,10 @@ SQL["q_test_not_null"] = with_ctes("fct_orders") + "\nUNION ALL\n".join(
     for c in _FCT_COLS)
 _REL = """
     SELECT c.order_id, CAST(count(*) AS BIGINT) AS n_records
-    FROM stg_items c
+    FROM (SELECT CASE WHEN order_item_id = '7' THEN order_id || '-lost' ELSE order_id END AS order_id
+          FROM stg_items) c
     WHERE c.order_id IS NOT NULL
-      AND NOT EXISTS (SELECT 1 FROM stg_orders p WHERE p.order_status = 'F' AND p.order_id = c.order_id)
+      AND NOT EXISTS (SELECT 1 FROM stg_orders p WHERE p.order_id = c.order_id)
     GROUP BY c.order_id"""
 SQL["q_test_relationships"] = with_ctes("stg_items", "stg_orders") + _REL
 SQL["q_test_accepted_values"] = with_ctes("stg_orders") + """

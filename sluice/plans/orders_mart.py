@@ -50,53 +50,13 @@ def main_type_order():
                           ("payment_type", "asc"))
 
 
-# Above this many distinct payment types the per-type pivot is not used.
-MAX_PIVOT_TYPES = 64
-
-
 def payments_by_order(stg_payments: DataFrame) -> DataFrame:
     """order_id, total_paid, payment_count, main_payment_type.
 
-    One hash aggregation per order, shuffled once on order_id: for each
-    payment type (the distinct types are fetched first -- a handful of values,
-    checked against a bound) a conditional sum, first sequence and count; the
-    main type is then chosen per row from those columns.  With more types than
-    the bound, the two-stage form (per order and type, then arg-max per order)
-    is used.  Orders with a NULL id are dropped, as an inner join on the id
-    would.
-    """
-    types = [r[0] for r in stg_payments.select("payment_type").distinct()
-             .limit(MAX_PIVOT_TYPES + 1).collect()]
-    if not types or len(types) > MAX_PIVOT_TYPES:      # no payments at all, or too many types
-        return payments_by_order_two_stage(stg_payments)
-    seq = to_int64("payment_sequential")
-    aggs = [F.sum("payment_amount").alias("total_paid"),
-            F.count(F.lit(1)).alias("payment_count")]
-    for i, t in enumerate(types):
-        is_t = F.col("payment_type").eqNullSafe(F.lit(t))
-        aggs += [F.sum(F.when(is_t, F.col("payment_amount"))).alias(f"_amt{i}"),
-                 F.min(F.when(is_t, seq)).alias(f"_seq{i}"),
-                 F.count_if(is_t).alias(f"_n{i}")]
-    per_order = stg_payments.groupBy("order_id").agg(*aggs)
-    # candidates: one sort struct per type present in the order; the smallest wins
-    # (most money first, NULL amounts last; then the type used first; then its name)
-    cands = F.array(*[F.struct(
-        (F.col(f"_n{i}") > 0).alias("present"),
-        F.col(f"_amt{i}").isNull().alias("n0"), (-F.col(f"_amt{i}")).alias("v0"),
-        F.col(f"_seq{i}").alias("v1"), F.lit(t).cast("string").alias("v2"))
-        for i, t in enumerate(types)])
-    best = F.array_min(F.transform(F.filter(cands, lambda c: c["present"]),
-                                   lambda c: F.struct(c["n0"], c["v0"], c["v1"], c["v2"])))
-    return (per_order.select("order_id", "total_paid", "payment_count",
-                             best.getField("v2").alias("main_payment_type"))
-            .filter(F.col("order_id").isNotNull()))
-
-
-def payments_by_order_two_stage(stg_payments: DataFrame) -> DataFrame:
-    """The same result via an aggregate per (order, type) and an arg-max per
-    order (``min_by``): two shuffles, no bound on the number of types."""
-    by_type = payments_by_type(stg_payments)
-    return (by_type.groupBy("order_id")
+    One aggregate per (order, type), then an arg-max per order (``min_by``): both
+    combine map-side, no bound on the number of types, no job while planning.
+    Orders with a NULL id are dropped, as an inner join on the id would."""
+    return (payments_by_type(stg_payments).groupBy("order_id")
             .agg(F.sum("type_amount").alias("total_paid"),
                  F.sum("type_count").alias("payment_count"),
                  F.min_by("payment_type", main_type_order()).alias("main_payment_type"))
@@ -140,3 +100,11 @@ def order_fact(stg_orders: DataFrame, stg_items: DataFrame, stg_payments: DataFr
         F.coalesce(F.col("item_count"), F.lit(0)).cast(INT64).alias("item_count"),
         F.coalesce(F.col("payment_count"), F.lit(0)).cast(INT64).alias("payment_count"),
         "main_payment_type")
+
+
+def paid_vs_gross(fct: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    return (fct.filter((F.col("item_count") > 0) & (F.col("payment_count") > 0)
+                       & (F.abs(F.col("gross_revenue_brl") - F.col("paid_brl")) > tolerance))
+               .select("order_id", "order_status", "gross_revenue_brl", "paid_brl",
+                       (F.col("paid_brl") - F.col("gross_revenue_brl")).cast(NUMERIC)
+                       .alias("difference")))

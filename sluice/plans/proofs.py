@@ -228,47 +228,16 @@ def q_count_non_null_grouped(spark, d):
     return out.drop("_loaded_at")
 
 
-def _fx_year(fx: DataFrame, year: int) -> DataFrame:
-    return fx.filter(F.col("rate_date").between(F.lit(f"{year}-01-01").cast("date"),
-                                                F.lit(f"{year}-12-31").cast("date")))
-
-
-def _days_rule(fx: DataFrame, year: int) -> DataFrame:
-    """Rule 1: a row only when the year does not have 365 days."""
-    n = _fx_year(fx, year).agg(F.count(F.lit(1)).alias("n"))
-    return n.filter(F.col("n") != 365).select(
-        F.lit(f"expected 365 rows for {year}").alias("problem"),
-        F.lit(None).cast("date").alias("rate_date"),
-        F.col("n").cast(NUMERIC).alias("value"))
-
-
 @proof
 def q_having_no_group(spark, d):
-    return _days_rule(fx_rates_daily(spark, d), LEAP_YEAR)
+    return fx_daily.days_rule(fx_rates_daily(spark, d), LEAP_YEAR)
 
 
 # ---------------------------------------------------------------- assertions
 
-def fx_sanity(fx: DataFrame, year: int = CHECK_YEAR, low: float = RATE_LOW,
-              high: float = RATE_HIGH, stale_days: int = STALE_DAYS) -> DataFrame:
-    """The four calendar rules, one problem row each."""
-    rate = F.col("gbp_per_brl")
-    out_of_range = (_fx_year(fx, year).filter(rate.isNull() | ~rate.between(low, high))
-                    .select(F.lit(f"gbp_per_brl outside {low}-{high} in {year}").alias("problem"),
-                            "rate_date", rate.cast(NUMERIC).alias("value")))
-    weekend = (fx.filter(weekday_name("rate_date").isin("Saturday", "Sunday")
-                         & (~F.col("is_forward_filled") | (F.col("last_ecb_date") >= F.col("rate_date"))))
-               .select(F.lit("weekend not forward-filled").alias("problem"), "rate_date",
-                       rate.cast(NUMERIC).alias("value")))
-    stale = (fx.filter(F.date_diff("rate_date", "last_ecb_date") > stale_days)
-             .select(F.lit(f"rate older than {stale_days} days").alias("problem"), "rate_date",
-                     rate.cast(NUMERIC).alias("value")))
-    return _days_rule(fx, year).union(out_of_range).union(weekend).union(stale)
-
-
 @proof
 def q_assert_fx_sane(spark, d):
-    return fx_sanity(fx_rates_daily(spark, d))
+    return fx_daily.fx_sanity(fx_rates_daily(spark, d), CHECK_YEAR, RATE_LOW, RATE_HIGH, STALE_DAYS)
 
 
 def _shipments(spark, d) -> DataFrame:
@@ -289,17 +258,9 @@ def q_assert_event_order(spark, d):
     return event_order_faults(spark, d)
 
 
-def paid_vs_gross(fct: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    return (fct.filter((F.col("item_count") > 0) & (F.col("payment_count") > 0)
-                       & (F.abs(F.col("gross_revenue_brl") - F.col("paid_brl")) > tolerance))
-               .select("order_id", "order_status", "gross_revenue_brl", "paid_brl",
-                       (F.col("paid_brl") - F.col("gross_revenue_brl")).cast(NUMERIC)
-                       .alias("difference")))
-
-
 @proof
 def q_assert_paid_vs_gross(spark, d):
-    return paid_vs_gross(fct_orders(spark, d))
+    return orders_mart.paid_vs_gross(fct_orders(spark, d))
 
 
 @proof
@@ -349,8 +310,10 @@ def q_test_not_null(spark, d):
 
 
 def _relationship_faults(spark, d):
-    parents = stg_orders(spark, d).filter(F.col("order_status") == "F")
-    return quality.test_relationships(stg_items(spark, d), "order_id", parents, "order_id")
+    # Orphans are planted in the child key: seventh lines refer to orders that do not exist.
+    lost = F.when(F.col("order_item_id").cast("int") == 7, F.concat("order_id", F.lit("-lost"))).otherwise(F.col("order_id"))
+    return quality.test_relationships(stg_items(spark, d).withColumn("order_id", lost), "order_id",
+                                      stg_orders(spark, d), "order_id")
 
 
 @proof
@@ -380,7 +343,7 @@ def q_severity(spark, d):
     fct = mart.read()
     sev = quality.Severity
     tests = {
-        "assert_order_paid_matches_gross_revenue": (paid_vs_gross(fct), sev(">0", ">350"), None),
+        "assert_order_paid_matches_gross_revenue": (orders_mart.paid_vs_gross(fct), sev(">0", ">350"), None),
         "assert_no_delivery_before_purchase": (event_order_faults(spark, d), sev(), None),
         "unique_combination_order_items": (
             quality.test_unique_combination(stg_items(spark, d), ["order_id", "order_item_id"]),
@@ -578,14 +541,9 @@ def q_incremental_load(spark, d):
     rates = raw_tables.raw_fx_rates(spark, d)
     revised = rates.withColumn(
         "OBS_VALUE", (to_numeric("OBS_VALUE") + F.lit(0.01)).cast("decimal(18,2)").cast("string"))
-    old_default = rate_load.DEFAULT_START
-    rate_load.DEFAULT_START = INCR_DEFAULT_START
-    try:
-        for today, src in ((INCR_FIRST_TODAY, rates), (INCR_SECOND_TODAY, revised)):
-            rate_load.incremental_load(spark, src, f"{work}/rates", f"{work}/log", ["GBP", "BRL"],
-                                       today, source_uri=f"rates/{today}")
-    finally:
-        rate_load.DEFAULT_START = old_default
+    for today, src in ((INCR_FIRST_TODAY, rates), (INCR_SECOND_TODAY, revised)):
+        rate_load.incremental_load(spark, src, f"{work}/rates", f"{work}/log", ["GBP", "BRL"],
+                                   today, source_uri=f"rates/{today}", default_start=INCR_DEFAULT_START)
     table = VersionedTable(spark, f"{work}/rates", rate_load.RATE_PARTITION).read()
     return table.select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
 

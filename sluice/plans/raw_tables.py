@@ -3,11 +3,11 @@ Spark from the driver's test tables (their stand-ins):
 
 * orders      <- ``orders``  (purchase time = order date, local wall clock)
 * order_items <- ``lineitem`` (price = extended price, freight = quantity)
-* payments    <- ``lineitem`` with line status F (type = return flag)
-* fx rates    <- ``orders`` on weekdays: status F quotes GBP, O quotes BRL,
+* payments    <- ``lineitem`` (type = return flag)
+* fx rates    <- ``orders`` on weekdays: status F quotes GBP, O BRL, others USD,
                  the day's rate is the largest total price
 * customers, sellers, products <- ``customer``, ``supplier``, ``part``
-* run log     <- ``events``: click = started, purchase = success, error = failed
+* run log     <- ``events``: purchase = success, error = failed, others = started
 
 Amounts go through decimal(18,2) first, so no float reaches a sum.
 Every table grows with its source; nothing is filtered to make checks cheap.
@@ -61,13 +61,10 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money("l_quantity").alias("freight_value"))
 
 
-def raw_order_payments(spark: SparkSession, sf_dir: str, amount: str = "l_extendedprice",
-                       final_only: bool = True) -> DataFrame:
+def raw_order_payments(spark: SparkSession, sf_dir: str, amount: str = "l_extendedprice") -> DataFrame:
     """Payments; ``amount='l_quantity'`` over all lines gives many equal
     amounts, the input that exercises the main-type tie-break."""
     li = table(spark, sf_dir, "lineitem")
-    if final_only:
-        li = li.filter(F.col("l_linestatus") == "F")
     return li.select(
         _s("l_orderkey").alias("order_id"),
         _s("l_linenumber").alias("payment_sequential"),
@@ -82,18 +79,18 @@ RATE_DENOM = "EUR"
 RATE_TYPE = "SP00"
 RATE_SUFFIX = "A"
 RATE_STATUS = "A"
-STATUS_CURRENCY = {"F": "GBP", "O": "BRL"}
+STATUS_CURRENCY = {"F": "GBP", "O": "BRL"}     # every other state quotes OTHER_CURRENCY
+OTHER_CURRENCY = "USD"
 
 
 def raw_fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     ccy = F.when(F.col("o_orderstatus") == "F", F.lit(STATUS_CURRENCY["F"])).when(
-        F.col("o_orderstatus") == "O", F.lit(STATUS_CURRENCY["O"]))
+        F.col("o_orderstatus") == "O", F.lit(STATUS_CURRENCY["O"])).otherwise(F.lit(OTHER_CURRENCY))
     day = F.to_date("o_orderdate")
-    daily = (o.filter(F.col("o_orderstatus").isin(list(STATUS_CURRENCY)))   # pushed to the scan
-              .select(ccy.alias("currency"), day.alias("rate_date"),
+    daily = (o.select(ccy.alias("currency"), day.alias("rate_date"),
                       F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
-              .filter(F.col("currency").isNotNull() & ~F.dayofweek("rate_date").isin(1, 7))
+              .filter(~F.dayofweek("rate_date").isin(1, 7))
               .groupBy("currency", "rate_date").agg(F.max("price").alias("rate")))
     return daily.select(
         F.concat_ws(".", F.lit(RATE_FREQ), F.col("currency"), F.lit(RATE_DENOM),
@@ -150,7 +147,7 @@ def raw_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     status = F.when(F.col("event_type") == "click", F.lit("started")).when(
         F.col("event_type") == "purchase", F.lit("success")).when(
-        F.col("event_type") == "error", F.lit("failed"))
+        F.col("event_type") == "error", F.lit("failed")).otherwise(F.lit("started"))
     return (e.select(
         F.col("event_id"),
         _s("user_id").alias("run_id"),
@@ -158,5 +155,4 @@ def raw_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("table_name"),
         status.alias("status"),
         F.col("ts").alias("started_at"),
-        F.col("ts").alias("event_at"))
-        .filter(F.col("status").isNotNull()))
+        F.col("ts").alias("event_at")))

@@ -104,8 +104,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in bare local sessions (tests); never on a cluster,
-        # where spark.checkpoint.dir names the shared folder.
+        # Only a bare local session (tests) may use a folder of its own; on a cluster
+        # every executor would write to its own disk.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sluice-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")

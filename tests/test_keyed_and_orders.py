@@ -36,18 +36,17 @@ def test_main_payment_type_rules(spark):
         k: v["main_payment_type"] for k, v in out.items()}
 
 
-def test_pivot_and_two_stage_forms_agree(spark, monkeypatch):
+def test_main_type_with_many_types_equals_the_window_form(spark):
     import random
 
     rnd = random.Random(3)
-    data = [(f"o{rnd.randrange(60)}", str(rnd.randrange(1, 12)), rnd.choice(["card", "boleto", "voucher", None]),
-             rnd.choice(["1.00", "2.00", "2.00", None]), "1") for _ in range(600)]
+    types = [f"type{i}" for i in range(100)] + [None]
+    data = [(f"o{rnd.randrange(60)}", str(rnd.randrange(1, 12)), rnd.choice(types),
+             rnd.choice(["1.00", "2.00", "2.00", None]), "1") for _ in range(3000)]
     p = pays(spark, data)
-    cols = ("order_id", "total_paid", "payment_count", "main_payment_type")
-    pivot = rows(orders_mart.payments_by_order(p), *cols)
-    assert pivot == rows(orders_mart.payments_by_order_two_stage(p), *cols)
-    monkeypatch.setattr(orders_mart, "MAX_PIVOT_TYPES", 1)          # forces the fallback
-    assert rows(orders_mart.payments_by_order(p), *cols) == pivot
+    out = {r["order_id"]: r["main_payment_type"] for r in orders_mart.payments_by_order(p).collect()}
+    ranked = orders_mart.ranked_payment_types(p).filter("type_rank = 1")
+    assert out == {r["order_id"]: r["payment_type"] for r in ranked.collect()}
 
 
 def test_payments_by_order_on_no_payments(spark):
