@@ -25,32 +25,30 @@ from sluice.llm.queries import tokenizer  # noqa: E402
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Rows with a number of their own, so that decisions reach exactly one row even
-    where doc_id is null or repeats.  Written before use: the number is fixed."""
-    return written(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with a key from doc_id and text, so that decisions reach rows whose doc_id
+    is null or repeats; rows equal in both share a key."""
+    return docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the repetition rules reject."""
     prepare(spark)
-    rows = _numbered(docs)
-    kept = repetition.quality_rules(rows.select(F.col("_row").alias("doc_id"), "text")).where("kept").select(
-        F.col("doc_id").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*COLUMNS)
+    return repetition.keep_documents(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates (5-word shingles,
-    Jaccard 0.8): the one with the smallest doc_id; documents without a set stay."""
+    Jaccard 0.8): the one with the smallest doc_id (null last, then the smaller
+    key).  Documents without words stay; of rows equal in doc_id and text one stays."""
     prepare(spark)
-    rows = _numbered(docs)
-    # Node ids in the order of doc_id, so the smallest id is the document that stays.
-    ids = rows.select("_row", F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("_row")).alias("o"))
-    groups = written(parity_join.link_components(rows.select(F.col("_row").alias("doc_id"), "text"), 5, 80).select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "pipeline-groups")
-    stay = groups.join(ids, "_row").groupBy("_group").agg(F.min("o").alias("o")).select(F.col("o._row").alias("_row"))
-    return rows.join(stay, "_row", "left_semi").select(*COLUMNS)
+    rows = _keyed(docs)
+    groups = parity_join.link_components(rows, 5, 80, key="_row").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
+    ids = rows.select("_row", "doc_id").distinct()
+    stay = groups.join(ids, "_row").groupBy("_group").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("o")).select(F.col("o._row").alias("_row"))
+    return rows.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,11 +59,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as many times as the mix takes it."""
+    """Every document as many times as the mix takes it (rows equal in doc_id and
+    text share out what the mix takes of them together)."""
     prepare(spark)
-    rows = _numbered(docs)
-    copies = pareto_mix.mix_documents(rows, key="_row").where("copies > 0").select(F.col("doc_id").alias("_row"), "copies")
-    return rows.join(copies, "_row").withColumn(
+    rows = _keyed(docs)
+    copies = pareto_mix.mix_documents(rows, key="_row").where("copies > 0").groupBy(
+        F.col("doc_id").alias("_row")).agg(F.sum("copies").alias("copies"))
+    return rows.dropDuplicates(["_row"]).join(copies, "_row").withColumn(
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 

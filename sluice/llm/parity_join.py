@@ -42,7 +42,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, hash_spans, mix, salted_left_join, strings, text_slices, word_bounds, written
@@ -51,6 +51,7 @@ from .graph import components
 SPARE = 2
 SKETCH_WORDS = 4          # bit sketch of 256 bits, as longs
 CHUNK_KEYS = 1 << 19      # keys a task combines at a time
+BUCKETS = 16              # buckets of keys per shuffle partition
 CHUNK_MEMBERS = 1000      # members of a key that meet in one task
 
 
@@ -123,49 +124,46 @@ def class_of(tokens: np.ndarray) -> int | None:
     return int(mix(np.array([total])).view(np.int64)[0])
 
 
-def _sketch(size: int, percent: int):
-    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch", "keys"]
+def _sketch(size: int):
+    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch"]
 
     def run(batches):
-        low = bands(percent)
         for batch in batches:
             ids, hashed, texts = batch.column(0), batch.column(1), strings(batch.column(2))
             for lo, hi, data, offs in text_slices(texts):
                 hashes, begin = shingle_hashes(data, offs, size)
-                counts, classes, sketches, keys = [], [], [], []
+                counts, classes, sketches = [], [], []
                 for i in range(hi - lo):
                     tokens = np.unique(hashes[begin[i]:begin[i + 1]])
                     n = len(tokens)
                     counts.append(n)
                     classes.append(class_of(tokens))
-                    if n == 0:
-                        sketches.append(None)
-                        keys.append(np.zeros(0, np.int64))
-                        continue
-                    sketches.append(bit_sketch(tokens))
-                    band = int(np.searchsorted(low, n, side="right")) - 1
-                    keys.append(np.concatenate([block_keys(tokens, b, percent)
-                                                for b in (band - 1, band) if b >= 0]).view(np.int64))
-                ends = np.append(0, np.cumsum([len(k) for k in keys])).astype(np.int32)
+                    sketches.append(bit_sketch(tokens) if n else None)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo), hashed.slice(lo, hi - lo), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
-                     pa.array(sketches, pa.list_(pa.int64())),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys), pa.int64()))], names)
+                    [ids.slice(lo, hi - lo), hashed.slice(lo, hi - lo), pa.array(counts, pa.int64()),
+                     pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))], names)
 
     return run
 
 
-def sketches(docs: DataFrame, shingle: int = 3, percent: int = 90, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch, keys."""
+def sketches(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
                        F.col(text).cast("string").alias("text")).mapInArrow(
-        _sketch(shingle, percent), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>, keys array<long>")
+        _sketch(shingle), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>")
+
+
+_LOW = np.uint64((1 << 48) - 1)
+
 
+def _blobs(size: int, percent: int, n_buckets: int):
+    """Block keys of the texts, combined per chunk and packed for the shuffle.
 
-def _combine(batches):
-    """Map-side combine of (cls, keys): per chunk the first class of each key goes on
-    to the shuffle (``dup`` false), further ones go straight to the members."""
-    names = ["key", "cls", "first", "dup", "many"]
+    Of each key of a chunk the first class goes on to the key's bucket (6 bytes of
+    key, 8 of class); further classes of the chunk are members already and go, with
+    that first class as their representative, to any bucket.  A key of very many
+    classes so sends one row per chunk to its bucket."""
+    names = ["bucket", "dup", "body"]
 
     def out(keys, cls):
         keys, cls = np.concatenate(keys), np.concatenate(cls)
@@ -177,24 +175,84 @@ def _combine(batches):
         head = np.ones(len(keys), bool)
         head[1:] = keys[1:] != keys[:-1]
         at = np.maximum.accumulate(np.where(head, np.arange(len(keys)), 0))
-        many = np.zeros(len(keys), bool)
-        many[at[~head]] = True
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(cls), pa.array(cls[at]), pa.array(~head),
-                                           pa.array(many)], names)
+        member = ~head
+        member[at[~head]] = True      # a first class with further ones is a member, too
+        bucket = ((keys >> np.uint64(48)) % np.uint64(n_buckets)).astype(np.int64)
+        rows = []
+        own, order = bucket[head], np.argsort(bucket[head], kind="stable")
+        k, c, own = keys[head][order], cls[head][order], own[order]
+        edges = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        low = np.ascontiguousarray(k.view(np.uint8).reshape(-1, 8)[:, :6])
+        for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(k)], strict=True):
+            rows.append((int(own[i]), False, low[i:j].tobytes() + c[i:j].tobytes()))
+        if member.any():
+            key = (keys & _LOW) | (bucket.astype(np.uint64) << np.uint64(48))
+            rows.append((int(keys[0] % np.uint64(n_buckets)), True,
+                         key[member].tobytes() + cls[member].tobytes() + cls[at][member].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(
+            zip(*rows), (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names)
 
-    keys, cls, held = [], [], 0
-    for batch in batches:
-        lists = batch.column(1)
-        k = lists.flatten().to_numpy(zero_copy_only=False)
-        keys.append(k)
-        cls.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False),
-                             pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
-        held += len(k)
-        if held >= CHUNK_KEYS:
+    def run(batches):
+        low = bands(percent)
+        keys, cls, held = [], [], 0
+        for batch in batches:
+            for lo, hi, data, offs in text_slices(strings(batch.column(0))):
+                hashes, begin = shingle_hashes(data, offs, size)
+                for i in range(hi - lo):
+                    tokens = np.unique(hashes[begin[i]:begin[i + 1]])
+                    if len(tokens) == 0:
+                        continue
+                    band = int(np.searchsorted(low, len(tokens), side="right")) - 1
+                    for b in (band - 1, band) if band else (band,):
+                        keys.append(block_keys(tokens, b, percent))
+                        cls.append(np.full(len(keys[-1]), class_of(tokens), np.int64))
+                        held += len(keys[-1])
+                if held >= CHUNK_KEYS:
+                    yield out(keys, cls)
+                    keys, cls, held = [], [], 0
+        if held:
             yield out(keys, cls)
-            keys, cls, held = [], [], 0
+
+    return run
+
+
+def _meet(batches):
+    """Buckets in order -> members (key, cls, rep) of the keys of two classes or more.
+    Holds one bucket at a time; rep is one of four of the key's classes."""
+    names = ["key", "cls", "rep"]
+
+    def heads(bucket, bodies):
+        n = [len(b) // 14 for b in bodies]
+        low = np.zeros((sum(n), 8), np.uint8)
+        low[:, :6] = np.concatenate([np.frombuffer(b, np.uint8, 6 * k).reshape(-1, 6) for b, k in zip(bodies, n, strict=True)])
+        key = low.view(np.uint64).ravel()
+        cls = np.concatenate([np.frombuffer(b, np.int64, k, 6 * k) for b, k in zip(bodies, n, strict=True)])
+        rank = mix(cls.view(np.uint64) ^ mix(key & np.uint64(3)))
+        order = np.lexsort((rank, key))
+        key, cls = key[order], cls[order]
+        first = np.append(True, key[1:] != key[:-1])
+        at = np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))
+        other = ~first & (cls != cls[at])
+        use = np.zeros(len(key), bool)
+        use[at[other]] = True
+        use |= other
+        full = key | (np.uint64(bucket) << np.uint64(48))
+        return pa.RecordBatch.from_arrays([pa.array(full[use].view(np.int64)), pa.array(cls[use]), pa.array(cls[at][use])], names)
+
+    held, now = [], None
+    for batch in batches:
+        for bucket, dup, body in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if bucket != now:
+                if held:
+                    yield heads(now, held)
+                held, now = [], bucket
+            if dup:
+                three = np.frombuffer(body, np.int64).reshape(3, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in three], names)
+            else:
+                held.append(body)
     if held:
-        yield out(keys, cls)
+        yield heads(now, held)
 
 
 def _sets(size: int):
@@ -252,21 +310,18 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
                     text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id
     (smallest doc_id with an equal set)."""
-    rows = written(sketches(docs, shingle, percent, key, text), "parity-sketches")
+    rows = written(sketches(docs, shingle, key, text), "parity-sketches")
     sets_of = rows.where("cls IS NOT NULL")
     classes = written(sets_of.groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("body"),
         F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
         *[F.min(F.element_at("sketch", i + 1)).alias(f"s{i}") for i in range(SKETCH_WORDS)]), "parity-classes")
 
-    combined = sets_of.select("cls", "keys").mapInArrow(_combine, "key long, cls long, first long, dup boolean, many boolean")
-    per_key = Window.partitionBy("key")
-    pick = F.struct(F.xxhash64("cls", F.pmod("key", F.lit(4))).alias("h"), F.col("cls"))
-    heads = combined.where("NOT dup").select("key", "cls", "many").withColumns({
-        "lo": F.min("cls").over(per_key), "hi": F.max("cls").over(per_key), "any": F.max("many").over(per_key),
-        "rep": F.min(pick).over(per_key)["cls"]}).where("lo <> hi OR any").select("key", "cls", "rep")
-    more = combined.where("dup").select("key", "cls", F.col("first").alias("rep"))
-    members = written(heads.unionByName(more), "parity-members")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        _blobs(shingle, percent, BUCKETS * parts), "bucket int, dup boolean, body binary").repartition(
+        parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, cls long, rep long")
+    members = written(members, "parity-members")
 
     info = classes.select("cls", "n", *[f"s{i}" for i in range(SKETCH_WORDS)])
     star = members.where("cls <> rep").select(F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b")).distinct()

@@ -230,6 +230,23 @@ def quality_rules(docs: DataFrame, max_covered: float = MAX_COVERED, max_longest
         "kept", ~F.col("base_failed") & (F.col("covered") <= max_covered) & (F.col("longest_repeat") <= max_longest))
 
 
+def keep_documents(docs: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST,
+                   min_words: int = MIN_WORDS) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, decided in the scan: no join, no shuffle."""
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            for lo, hi, data, offs in text_slices(strings(batch.column(at))):
+                s = slice_statistics(data, offs, min_words)
+                share = s["covered_chars"] / np.maximum(1, s["word_chars"])
+                keep = ((s["n_words"] >= LEAST_WORDS) & (100 * s["n_repeat_words"] <= 50 * s["n_words"])
+                        & (share <= max_covered) & (s["longest_repeat"] <= max_longest))
+                yield batch.slice(lo, hi - lo).filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_query(docs: DataFrame) -> DataFrame:
     return quality_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
