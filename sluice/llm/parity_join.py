@@ -12,11 +12,11 @@ of their symmetric difference, and
 are both lower bounds of |A xor B|.  For linked sets |A xor B| is at most
 d = (1 - j) / (1 + j) * (|A| + |B|).  Sizes fall into bands of ratio 1 / j, so
 linked sets lie in the same or in neighbouring bands.  Per band sets are cut into
-d + 1 + SPARE blocks, with the largest d of the band and the one above it:
-linked sets agree in at least 1 + SPARE blocks (pigeonhole).  Sets that agree in a
+d + 1 + spare blocks, with the largest d of the band and the one above it:
+linked sets agree in at least 1 + spare blocks (pigeonhole).  Sets that agree in a
 block are candidates; the bit sketch's Hamming distance drops most pairs that
 cannot link, exact set intersection decides.  Empty blocks say nothing and are
-left out when at most SPARE of a set's blocks are empty (then a common block that
+left out when at most ``spare`` of a set's blocks are empty (then a common block that
 is not empty exists); else they are kept.
 
 Skew and growth.  Equal sets are one class from the start.  Within a block value
@@ -69,12 +69,20 @@ def max_difference(a, b, percent: int):
     return (100 - percent) * (a + b) // (100 + percent)
 
 
-def blocks_of_band(band: int, percent: int) -> int:
+def spare(need: int) -> int:
+    """Blocks beyond the d + 1 of the pigeonhole: more than a set's empty blocks, which
+    are a few hundredths of all where a block holds three tokens on average."""
+    return SPARE + need // 8
+
+
+def blocks_of_band(band: int, percent: int) -> tuple[int, int]:
+    """(blocks, spare ones among them)."""
     low = bands(percent)
     # A pair that only meets here has one set in this band and one in it or the next.
     last = len(low) - 1
     top = int(low[min(band + 1, last)]) - 1 + int(low[min(band + 2, last)]) - 1
-    return int(max_difference(top, 0, percent)) + 1 + SPARE
+    need = int(max_difference(top, 0, percent)) + 1
+    return need + spare(need), spare(need)
 
 
 def shingle_hashes(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +105,7 @@ def shingle_hashes(data: np.ndarray, offs: np.ndarray, size: int) -> tuple[np.nd
 
 def block_keys(tokens: np.ndarray, band: int, percent: int) -> np.ndarray:
     """Keys of the blocks of a set in one band: hash of (band, block, XOR of the block)."""
-    n = blocks_of_band(band, percent)
+    n, free = blocks_of_band(band, percent)
     block = (tokens % np.uint64(n)).astype(np.int64)
     value = np.zeros(n, np.uint64)
     order = np.argsort(block, kind="stable")
@@ -106,7 +114,7 @@ def block_keys(tokens: np.ndarray, band: int, percent: int) -> np.ndarray:
     value[at[heads]] = np.bitwise_xor.reduceat(mix(tokens[order] + np.uint64(band + 1)), heads)
     full = np.zeros(n, bool)
     full[at[heads]] = True
-    use = np.flatnonzero(full) if n - len(heads) <= SPARE else np.arange(n)
+    use = np.flatnonzero(full) if n - len(heads) <= free else np.arange(n)
     return mix(value[use] + mix((use + (band << 24)).astype(np.uint64)))
 
 
