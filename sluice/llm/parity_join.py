@@ -49,7 +49,7 @@ from .common import LOWER, hash_spans, mix, salted_left_join, strings, text_slic
 from .graph import components
 
 SPARE = 2
-SKETCH_WORDS = 4          # bit sketch of 256 bits, as longs
+SKETCH_WORDS = 16         # bit sketch of 1,024 bits, as longs
 CHUNK_KEYS = 1 << 19      # keys a task combines at a time
 BUCKETS = 16              # buckets of keys per shuffle partition
 CHUNK_MEMBERS = 1000      # members of a key that meet in one task
@@ -314,6 +314,22 @@ def _may_link(a: str, b: str, percent: int):
         hamming * (100 + percent) <= (100 - percent) * (n + m))
 
 
+def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
+    """(cls, tokens) of the classes in the pairs, from one text of each.
+
+    A text is found by doc_id (null: 0) and the hash of the text; equal rows are
+    dropped again.  The wanted classes are written first, so Spark knows their size:
+    where they are few it does not shuffle the texts."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(
+        classes.select("cls", "body.id", "body.text_hash"), "cls")
+    body = F.col(text).cast("string")
+    bodies = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.xxhash64(body).alias("text_hash"),
+                         body.alias("text"))
+    found = bodies.join(written(wanted, "parity-wanted"), ["id", "text_hash"]).select("cls", "text").mapInArrow(
+        _sets(shingle), "cls long, tokens array<long>")
+    return written(found.dropDuplicates(["cls"]), "parity-sets")
+
+
 def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links), class_id
@@ -335,18 +351,9 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
     star = members.where("cls <> rep").select(F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b")).distinct()
     star = star.join(info.alias("x"), F.col("a") == F.col("x.cls")).join(
         info.alias("y"), F.col("b") == F.col("y.cls")).where(_may_link("x", "y", percent)).select("a", "b")
+    star = written(star, "parity-star")
 
-    # Texts of the classes that have candidates, once; their sets are kept for both verifications.
-    # A text is found by doc_id (null: 0) and the hash of the text; equal rows are dropped again.
-    wanted = members.select("cls").distinct().join(classes.select("cls", "body.id", "body.text_hash"), "cls")
-    body = F.col(text).cast("string")
-    bodies = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.xxhash64(body).alias("text_hash"),
-                         body.alias("text"))
-    found = bodies.join(wanted, ["id", "text_hash"]).select("cls", "text").mapInArrow(
-        _sets(shingle), "cls long, tokens array<long>")
-    sets = written(found.dropDuplicates(["cls"]), "parity-sets")
-
-    edges = written(verified(star, sets, percent), "parity-star-links")
+    edges = written(verified(star, _sets_of(star, classes, docs, shingle, key, text), percent), "parity-star-links")
     labels = components(edges)
 
     # Keys that hold several components.
@@ -366,8 +373,9 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
                                  & (F.col("x.j") == F.col("y.j")) & (F.col("x.label") != F.col("y.label"))
                                  & ((F.col("x.i") != F.col("x.j")) | (F.col("x.cls") < F.col("y.cls")))
                                  & _may_link("x", "y", percent))
-    cross = cross.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct()
-    late = written(verified(cross, sets, percent), "parity-late-links")
+    cross = written(cross.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(),
+                    "parity-cross")
+    late = written(verified(cross, _sets_of(cross, classes, docs, shingle, key, text), percent), "parity-late-links")
     labels = components(edges.unionByName(late))
 
     # Component names: the smallest doc_id of its classes.  Only classes with copies or
