@@ -91,21 +91,6 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
-def max_file_size(spark: SparkSession, path: str) -> int:
-    """Largest data file under ``path`` (a file or a folder, recursively)."""
-    fs, p = _path(spark, path)
-    if not fs.exists(p):
-        return 0
-    it = fs.listFiles(p, True)
-    biggest = 0
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().getName()
-        if not name.startswith(("_", ".")):
-            biggest = max(biggest, int(st.getLen()))
-    return biggest
-
-
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Atomic move of one file (on HDFS / local); the target folder is created."""
     sfs, sp = _path(spark, src)
@@ -137,6 +122,15 @@ def list_tree(spark: SparkSession, path: str) -> list[str]:
     return sorted(out)
 
 
+def walk_files(spark: SparkSession, path: str) -> list[str]:
+    """Every file under ``path`` (or the file itself), hidden ones included."""
+    fs, p = _path(spark, path)
+    it, out = fs.listFiles(p, True), []
+    while it.hasNext():
+        out.append(it.next().getPath().toString())
+    return sorted(out)
+
+
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     fs, p = _path(spark, path)
     out = fs.create(p, True)

@@ -1,8 +1,9 @@
 """Bulk load job: every table of a manifest, one after another.
 
 Per table (tables run as concurrent Spark jobs): log 'started' -> land the source files byte for byte under
-``landing/<source>/<table>/load_date=<D>/`` -> count the source records
-independently of the parse -> read all-string with audit columns -> write a
+``landing/<source>/<table>/load_date=<D>/`` (replacing an earlier landing of the
+day) -> count the records of the source itself, independently of the parse ->
+read the landed files all-string, columns by header name, with audit columns -> write a
 new version, check the written count against the source count, commit ->
 log 'success' (or 'failed' with the error).  A failed table does not stop
 the others; the job raises at the end if any failed.
@@ -12,17 +13,17 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from .. import fs
 from ..operators import runlog
 from ..operators.quality import DataCheckError, require_rows
 from ..operators.tables import VersionedTable, with_audit
-from ..sources.csv_files import read_raw_csv, total_records
-from ..sources.csv_split import ragged_records, read_csv_parallel
+from ..sources.csv_files import read_by_header, total_records
+from ..sources.csv_split import ragged_records
 from ..sources.landing import land_files, landing_dir
 from ..sources.manifest import check_manifest, source_files
 
@@ -57,28 +58,16 @@ class BulkLoadFailed(RuntimeError):
         self.report = report
 
 
-# Files larger than this are parsed split by split instead of one task per file.
-SPLIT_PARSE_ABOVE_BYTES = 1 << 30
-
-
-def read_source(spark: SparkSession, path: str,
-                split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES):
-    """All-string read of a landed folder: Spark's whole-file CSV reader for
-    ordinary files; the splittable parse when one file is big enough to make
-    a single task the bottleneck."""
-    if fs.max_file_size(spark, path) > split_above_bytes:
-        return read_csv_parallel(spark, path)
-    return read_raw_csv(spark, path)
-
-
 def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
                warehouse_root: str, source: str, load_date: dt.date,
-               split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES) -> LoadResult:
+               quoted_newlines: bool = True) -> LoadResult:
+    """``quoted_newlines``: fields may hold line breaks (a file is then one task);
+    False lets Spark split files by block.  The same values either way."""
     day_dir = landing_dir(landing_root, source, table, load_date)
-    land_files(spark, source_files(spark, src), landing_root, source, table, load_date)
-    src_rows = total_records(spark, day_dir)
+    landed = land_files(spark, source_files(spark, src), landing_root, source, table, load_date, base=src)
+    src_rows = total_records(spark, src)
     require_rows(src_rows, table)
-    df = with_audit(read_source(spark, day_dir, split_above_bytes), day_dir)
+    df = with_audit(read_by_header(spark, landed, table, quoted_newlines=quoted_newlines), day_dir)
     target = VersionedTable(spark, f"{warehouse_root}/{source}_{table}")
     try:
         loaded = target.replace(df, expected_rows=src_rows)
@@ -86,9 +75,10 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
         if "alformed" not in str(exc):
             raise
         # only on failure: name the records whose field count is wrong, with lines
-        bad = ragged_records(spark, day_dir).orderBy("file", "line").limit(5).collect()
+        ragged = ragged_records(spark, day_dir)
+        bad = ragged.orderBy("file", "line").limit(5).collect()
         where = "; ".join(f"{r['file'].rsplit('/', 1)[-1]} line {r['line']}: {r['record'][:80]!r}"
-                          for r in bad)
+                          for r in bad) + f" ({ragged.count()} in all)"
         raise DataCheckError(f"{table}: records with a field count other than the header's: "
                              f"{where}") from exc
     return LoadResult(table, "success", src_rows, loaded, day_dir)
@@ -96,14 +86,14 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
 
 def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
                  warehouse_root: str, log_path: str, source: str, load_date: dt.date,
-                 run_id: str, split_above_bytes: int) -> LoadResult:
+                 run_id: str, quoted_newlines: Mapping[str, bool]) -> LoadResult:
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     sc = spark.sparkContext
     sc.setJobGroup(f"sluice:{run_id}:{table}", f"load {source}.{table}")   # thread-local
     runlog.log_event(spark, log_path, run_id, source, table, "started", started)
     try:
         res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
-                         split_above_bytes)
+                         quoted_newlines.get(table, True))
         runlog.log_event(spark, log_path, run_id, source, table, "success", started,
                          uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
     except KeyboardInterrupt:
@@ -124,15 +114,17 @@ def bulk_load(spark: SparkSession, manifest: dict[str, str], landing_root: str,
               warehouse_root: str, log_path: str, source: str,
               load_date: dt.date | None = None, run_id: str | None = None,
               raise_on_failure: bool = True,
-              split_above_bytes: int = SPLIT_PARSE_ABOVE_BYTES,
+              quoted_newlines: Mapping[str, bool] | None = None,
               parallel_tables: int = 4) -> BulkLoadReport:
     """Load every table of the manifest.  Tables load as concurrent Spark jobs
-    (``parallel_tables`` at a time; 1 loads them one after another)."""
+    (``parallel_tables`` at a time; 1 loads them one after another).
+    ``quoted_newlines`` says per table whether fields may hold line breaks (default
+    True); False for large files without them, which Spark then splits."""
     check_manifest(spark, manifest)
     load_date = load_date or dt.date.today()
     report = BulkLoadReport(run_id or uuid.uuid4().hex)
     args = (landing_root, warehouse_root, log_path, source, load_date, report.run_id,
-            split_above_bytes)
+            quoted_newlines or {})
     if parallel_tables <= 1:
         results = [_load_logged(spark, t, src, *args) for t, src in manifest.items()]
     else:

@@ -10,11 +10,15 @@
   (quotes, blank) pairs, in order); only one small row per split is shuffled,
   and the quote parity is carried from split to split per file.
 * ``ragged_rows`` lists records whose field count differs from the header.
+* ``read_by_header`` reads many files whose headers may order the columns
+  differently: columns are matched by name, never by position.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
@@ -37,6 +41,7 @@ CSV_OPTIONS = {
     "nullValue": NULL_SENTINEL,
     "emptyValue": "",
     "mode": "FAILFAST",
+    "enforceSchema": "false",       # a file whose header is another one fails, it is not read by position
 }
 
 
@@ -54,21 +59,65 @@ def read_header(spark: SparkSession, path: str, quote: str = '"') -> list[str]:
 
 def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  required: Sequence[str] = (), mode: str = "FAILFAST",
-                 extra_options: dict | None = None) -> DataFrame:
-    """All-string scan; ``columns`` defaults to the file's header."""
+                 extra_options: dict | None = None, quoted_newlines: bool = True) -> DataFrame:
+    """All-string scan; ``columns`` defaults to the file's header.
+
+    ``quoted_newlines=False`` states that no field holds a line break: Spark then
+    splits files by block.  A field that does hold one fails the load (malformed
+    record or count check); it never changes a value."""
     cols = list(columns) if columns is not None else read_header(spark, path)
     require_columns(cols, required, path)
     if not cols:
         raise DataCheckError(f"{path}: no header row")
-    opts = {**CSV_OPTIONS, "mode": mode, **(extra_options or {})}
+    opts = {**CSV_OPTIONS, "mode": mode, "multiLine": str(quoted_newlines).lower(), **(extra_options or {})}
     return spark.read.options(**opts).schema(string_schema(cols)).csv(path)
 
 
+def header_groups(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> its files, from the first non-blank line of every file (one
+    JVM-side scan, one row per file); files without a line are left out."""
+    if len(files) == 1:
+        only = tuple(read_header(spark, files[0]))
+        return {only: list(files)} if only else {}
+    lines = spark.read.text(list(files)).where(
+        (F.col("_metadata.file_block_start") == 0) & (F.length("value") > 0)).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, line in lines.groupBy("file").agg(F.min_by("value", "at")).collect():
+        file, line = unquote(file), line.removeprefix("\ufeff")
+        whole = line.count('"') % 2 == 0            # else a name goes on past the line
+        names = next(csv.reader([line])) if whole else read_header(spark, file)
+        groups.setdefault(tuple(names), []).append(file)
+    return {h: sorted(groups[h]) for h in sorted(groups)}
+
+
+def read_by_header(spark: SparkSession, files: Sequence[str], what: str, extra_options: dict | None = None,
+                   quoted_newlines: bool = True, may_lack_columns: bool = False,
+                   file_column: str | None = None) -> DataFrame:
+    """All-string scan of files, each by its own header; columns meet by name.
+    Files that lack a column of the others are refused, or give NULL there.
+    ``file_column`` names a column for the path of each row's file."""
+    groups = header_groups(spark, files)
+    if not groups:
+        raise DataCheckError(f"{what}: no header row")
+    if len({frozenset(h) for h in groups}) > 1 and not may_lack_columns:
+        raise DataCheckError(f"{what}: files with other columns: " + "; ".join(
+            f"{', '.join(h)} ({len(of)} file(s), e.g. {of[0].rsplit('/', 1)[-1]})" for h, of in groups.items()))
+    out = None
+    for header, of in groups.items():
+        part = read_raw_csv(spark, of, header, extra_options=extra_options, quoted_newlines=quoted_newlines)
+        if file_column:
+            part = part.withColumn(file_column, F.col("_metadata.file_path"))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=may_lack_columns)
+    return out
+
+
 def ragged_rows(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Records whose field count is not the header's, as raw text."""
     cols = list(columns) if columns is not None else read_header(spark, path)
     schema = string_schema(cols).add("_corrupt_record", T.StringType())
-    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
+            "enforceSchema": "true"}      # the schema has one column more than the header
     df = spark.read.options(**opts).schema(schema).csv(path)
     # referencing the data columns too keeps the full parse (Spark refuses a
     # query on the corrupt-record column alone)

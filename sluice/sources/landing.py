@@ -1,6 +1,6 @@
 """Landing area: source files kept byte for byte under
-``root/<source>/<table>/load_date=<D>/<file>``; re-running the same day
-overwrites the same object.  Reads prune on ``load_date``."""
+``root/<source>/<table>/load_date=<D>/<file>``; a re-run of the same day replaces
+the whole day folder.  Reads prune on ``load_date``."""
 
 from __future__ import annotations
 
@@ -33,15 +33,22 @@ def _arrow_path(uri: str):
     """(pyarrow FileSystem, path) for a Hadoop-style URI or an absolute path."""
     import pyarrow.fs as pafs
 
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
+    if uri.startswith("file:"):
+        uri = "/" + uri[len("file:"):].lstrip("/")
     if uri.startswith("/"):
         return pafs.LocalFileSystem(), uri
-    return pafs.FileSystem.from_uri(uri)
+    scheme, rest = uri.split("://", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    if scheme not in ("s3", "gs", "hdfs", "viewfs"):
+        raise ValueError(f"cannot land {scheme}:// files; known: file, s3, s3a, gs, hdfs, viewfs")
+    host, _, path = rest.partition("/")
+    where, root = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return where, f"{root.rstrip('/')}/{path}"
 
 
 def _copy_batch(batches):
     import shutil
+    import uuid
 
     import pandas as pd
 
@@ -51,26 +58,42 @@ def _copy_batch(batches):
             sfs, spath = _arrow_path(src)
             dfs, dpath = _arrow_path(dst)
             dfs.create_dir(dpath.rsplit("/", 1)[0], recursive=True)
-            with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(dpath) as fout:
+            # A failed or repeated task leaves a hidden file, never part of an object.
+            folder, name = dpath.rsplit("/", 1)
+            part = f"{folder}/.{uuid.uuid4().hex[:12]}.{name}"
+            with sfs.open_input_stream(spath) as fin, dfs.open_output_stream(part) as fout:
                 shutil.copyfileobj(fin, fout, 8 << 20)
+            dfs.move(part, dpath)
             sizes.append(sfs.get_file_info(spath).size)
         yield pd.DataFrame({"dst": list(pdf["dst"]), "bytes": sizes})
 
 
 def land_files(spark: SparkSession, files: list[str], root: str, source: str, table: str,
-               load_date: dt.date | str, max_tasks: int = 256) -> list[str]:
+               load_date: dt.date | str, base: str | None = None) -> list[str]:
     """Copy many files into one landing day folder as a Spark job: one row per
     file, files spread over tasks, bytes streamed by the executors (never via
-    the driver).  A retried task rewrites the same objects.  Returns the URIs."""
+    the driver).  Below ``base`` (the source folder) nested paths are kept.  Files
+    of an earlier landing of the day that are not among these are removed, so a
+    day folder holds exactly the last landing.  Returns the URIs."""
     if not files:
         return []
-    day = landing_dir(root, source, table, load_date)
-    pairs = [(fs.qualify(spark, f), fs.qualify(spark, f"{day}/{f.rstrip('/').rsplit('/', 1)[-1]}"))
-             for f in files]
+    day = fs.qualify(spark, landing_dir(root, source, table, load_date))
+    top = fs.qualify(spark, base).rstrip("/") + "/" if base else None
+    pairs = []
+    for f in files:
+        uri = fs.qualify(spark, f)
+        inside = top is not None and uri.startswith(top)
+        pairs.append((uri, f"{day}/{uri.removeprefix(top) if inside else uri.rsplit('/', 1)[-1]}"))
+    if len({dst for _, dst in pairs}) < len(pairs):
+        raise ValueError(f"{source}.{table}: several source files land under one name")
     jobs = spark.createDataFrame(pairs, "src string, dst string").repartition(
-        min(len(pairs), max_tasks))
-    done = jobs.mapInPandas(_copy_batch, "dst string, bytes long").collect()  # one row per file
-    return sorted(r["dst"] for r in done)
+        min(len(pairs), 4 * spark.sparkContext.defaultParallelism))
+    done = sorted(r["dst"] for r in jobs.mapInPandas(_copy_batch, "dst string, bytes long").collect())  # one row per file
+    kept = set(done)
+    for old in fs.walk_files(spark, day):
+        if old not in kept:
+            fs.delete(spark, old)
+    return done
 
 
 def land_frame(df: DataFrame, root: str, source: str, table: str,

@@ -47,12 +47,53 @@ def test_bulk_load(spark, tmpdir_path):
     assert groups == {"orders": "sluice:run1:orders"}
     assert log.filter("spark_app_id IS NULL").count() == 0
     assert not VersionedTable(spark, f"{roots[1]}/shop_items").exists()
-    # the same load with the splittable parse for every file
+    # a field with a line break under quoted_newlines=False fails, it does not change
     split_roots = [f"{tmpdir_path}/split-{n}" for n in ("landing", "wh", "log")]
-    rep = bulk_load(spark, {"orders": good}, *split_roots, "shop", split_above_bytes=0)
-    assert rep.results["orders"].loaded_rows == 2
-    t2 = VersionedTable(spark, f"{split_roots[1]}/shop_orders").read()
-    assert rows(t2, "id", "note") == [("1", "multi\nline"), ("2", "x")]
+    with pytest.raises(BulkLoadFailed):
+        bulk_load(spark, {"orders": good}, *split_roots, "shop", quoted_newlines={"orders": False})
+
+
+def test_bulk_load_same_day_again_nested_and_by_name(spark, tmpdir_path):
+    src = f"{tmpdir_path}/src/orders"
+    roots = [f"{tmpdir_path}/{n}" for n in ("landing", "wh", "log")]
+    day = dt.date(2024, 1, 1)
+
+    def load(**kw):
+        bulk_load(spark, {"orders": src}, *roots, "shop", load_date=day, **kw)
+        return rows(VersionedTable(spark, f"{roots[1]}/shop_orders").read(), "id", "v")
+
+    write(f"{src}/a.csv", "id,v\n1,x\n")
+    write(f"{src}/sub dir/b.csv", "v,id\ny,2\n")            # nested, other column order
+    write(f"{src}/_SUCCESS", "")
+    assert load() == [("1", "x"), ("2", "y")]
+    assert load(quoted_newlines={"orders": False}) == [("1", "x"), ("2", "y")]
+    os.rename(f"{src}/a.csv", f"{src}/c.csv")                # the same export under another part name
+    assert load() == [("1", "x"), ("2", "y")]
+    write(f"{src}/_r.csv", "id,v\n3,z\n")                   # readers would skip it: refused
+    with pytest.raises(BulkLoadFailed) as err:
+        load()
+    assert "_r.csv" in err.value.report.results["orders"].error
+    os.rename(f"{src}/_r.csv", f"{src}/r.csv")
+    write(f"{src}/r.csv", "id,w\n3,z\n")
+    with pytest.raises(BulkLoadFailed, match="orders") as err:
+        load()
+    assert "other columns" in err.value.report.results["orders"].error
+
+
+@pytest.mark.parametrize("text", ['id,v\n1,"a\rb"\n2,c\n', '\nid,v\n1,b\n2,c\n', 'id,v\r\n1,b\r\n2,c\r\n'])
+def test_one_parse_whatever_the_size(spark, tmpdir_path, text):
+    src = write(f"{tmpdir_path}/src/t.csv", text)
+    bulk_load(spark, {"t": src}, *[f"{tmpdir_path}/{n}" for n in ("l", "w", "g")], "s")
+    got = rows(VersionedTable(spark, f"{tmpdir_path}/w/s_t").read(), "id", "v")
+    assert got == [("1", "a\rb" if "a" in text else "b"), ("2", "c")]
+
+
+def test_rate_landings_by_name(spark, tmpdir_path):
+    base = f"{tmpdir_path}/landing/ecb/rates"
+    write(f"{base}/load_date=2024-01-05/a.csv", "KEY,TIME_PERIOD,OBS_VALUE\nk,2024-01-02,0.86\n")
+    write(f"{base}/load_date=2024-01-09/b.csv", "OBS_VALUE,KEY,TIME_PERIOD\n0.88,k,2024-01-03\n")
+    got = rows(rate_load.validate_rate_source(spark, base), "KEY", "TIME_PERIOD", "OBS_VALUE")
+    assert got == [("k", "2024-01-02", "0.86"), ("k", "2024-01-03", "0.88")]
 
 
 RATES = "KEY string, CURRENCY string, TIME_PERIOD string, OBS_VALUE string, OBS_STATUS string"
