@@ -57,7 +57,8 @@ def cmd_bulk_load(args) -> int:
     load_date = dt.date.fromisoformat(args.load_date) if args.load_date else None
     try:
         report = bulk_load(spark, manifest, args.landing, args.warehouse, args.log, args.source,
-                           load_date=load_date, parallel_tables=args.parallel)
+                           load_date=load_date, parallel_tables=args.parallel,
+                           quoted_newlines={t.strip(): False for t in args.single_line.split(",") if t.strip()})
     except BulkLoadFailed as exc:
         print(f"{exc.report.summary()}: {', '.join(exc.report.failures)}")
         for t in exc.report.failures:
@@ -174,6 +175,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--log", required=True)
     b.add_argument("--load-date")
     b.add_argument("--parallel", type=int, default=4)
+    b.add_argument("--single-line", default="",
+                   help="comma-separated tables whose fields hold no line breaks: their files are split by block")
     b.add_argument("--only", help="comma-separated subset of the manifest's tables")
     b.add_argument("--retry-failed", action="store_true",
                    help="load only the tables whose latest logged outcome is 'failed'")

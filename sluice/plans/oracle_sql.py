@@ -200,6 +200,23 @@ SQL["q_stg_sellers"] = """
            lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
            s_name AS seller_city_name, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS seller_state_code
     FROM supplier"""
+SQL["q_stg_reviews"] = """
+    SELECT CAST(doc_id AS VARCHAR) AS review_id, CAST(doc_id % 1000 AS VARCHAR) AS order_id,
+           CAST(n_chars % 5 + 1 AS BIGINT) AS review_score, lang AS review_comment_title,
+           text AS review_comment_message,
+           DATE '2018-01-01' + CAST(doc_id % 365 AS INTEGER) AS review_creation_date,
+           DATE '2018-01-02' + CAST(doc_id % 365 AS INTEGER) AS review_answer_timestamp
+    FROM documents"""
+SQL["q_stg_geolocation"] = """
+    SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip_code_prefix,
+           lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_code,
+           lower(c_mktsegment) AS city_name,
+           '-' || CAST(c_custkey % 90 AS VARCHAR) || '.5450' AS latitude,
+           '-' || CAST(c_custkey % 180 AS VARCHAR) || '.6390' AS longitude
+    FROM customer"""
+SQL["q_stg_translation"] = """
+    SELECT lower(p_type) AS product_category_name, min(p_type) AS product_category_name_en
+    FROM part GROUP BY ALL"""
 SQL["q_stg_order_items"] = with_ctes("stg_items") + "SELECT * FROM stg_items"
 SQL["q_stg_payments"] = with_ctes("stg_payments") + "SELECT * FROM stg_payments"
 SQL["q_stg_fx"] = with_ctes("stg_fx") + "SELECT * FROM stg_fx"
@@ -496,6 +513,7 @@ SQL["q_stream_upsert"] = with_ctes("raw_rates") + """
 _STATES = "'created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered', 'unavailable', 'canceled'"
 CTES["stg_customers"] = "SELECT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer"
 CTES["stg_products"] = "SELECT CAST(p_partkey AS VARCHAR) AS product_id FROM part"
+CTES["stg_translation"] = "SELECT DISTINCT lower(p_type) AS product_category_name FROM part"
 CTES["stg_sellers"] = "SELECT CAST(s_suppkey AS VARCHAR) AS seller_id FROM supplier"
 
 
@@ -540,6 +558,10 @@ _BUILD = [
     _t("not_null_stg_products_product_id", _nulls("stg_products", "product_id")),
     _t("unique_stg_sellers_seller_id", _unique("stg_sellers", "seller_id")),
     _t("not_null_stg_sellers_seller_id", _nulls("stg_sellers", "seller_id")),
+    _t("unique_stg_product_category_name_translation_product_category_name",
+       _unique("stg_translation", "product_category_name")),
+    _t("not_null_stg_product_category_name_translation_product_category_name",
+       _nulls("stg_translation", "product_category_name")),
     _t("unique_combination_stg_fx_rates", _combo("stg_fx", "currency, rate_date")),
     _t("accepted_values_stg_fx_rates_obs_status",
        "SELECT count(DISTINCT obs_status) FROM stg_fx WHERE obs_status NOT IN ('A')"),
@@ -583,5 +605,5 @@ _BUILD = [
        "SELECT count(*) FROM (SELECT count_if(payment_installments > 1) AS n FROM stg_payments) WHERE n = 0"),
 ]
 SQL["q_build_tests"] = (with_ctes("fct_orders", "raw_items", "stg_customers", "stg_products",
-                                  "stg_sellers") + "\nUNION ALL\n".join(_BUILD))
+                                  "stg_sellers", "stg_translation") + "\nUNION ALL\n".join(_BUILD))
 SQL["q_csv_split_roundtrip"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents"

@@ -20,7 +20,7 @@ from ..session import new_work_dir
 from . import fx_daily, orders_mart, rate_load, raw_tables
 from .models import (fct_orders, fx_rates_daily, stg_customers, stg_fx, stg_items,
                      stg_orders, stg_payments, stg_payments_by_quantity, stg_sellers)
-from .staging import BUSINESS_ZONE, products_counted_photos
+from .staging import BUSINESS_ZONE, products_counted_photos, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -60,6 +60,21 @@ def q_stg_sellers(spark, d):
     return stg_sellers(spark, d)
 
 
+@proof
+def q_stg_reviews(spark, d):
+    return stage(raw_tables.raw_order_reviews(spark, d), "order_reviews")
+
+
+@proof
+def q_stg_geolocation(spark, d):
+    return stage(raw_tables.raw_geolocation(spark, d), "geolocation")
+
+
+@proof
+def q_stg_translation(spark, d):
+    return stage(raw_tables.raw_category_translation(spark, d), "product_category_name_translation")
+
+
 @proof
 def q_stg_order_items(spark, d):
     return stg_items(spark, d)
@@ -579,6 +594,7 @@ def q_build_tests(spark, d):
         "raw_order_payments": raw_tables.raw_order_payments(spark, d),
         "raw_products": raw_tables.raw_products(spark, d),
         "raw_sellers": raw_tables.raw_sellers(spark, d),
+        "raw_product_category_name_translation": raw_tables.raw_category_translation(spark, d),
         "raw_fx_rates": raw_tables.raw_fx_rates(spark, d),
     }
     return build(spark, raw, new_work_dir(spark, "build-fct"), register_views=False).tests

@@ -139,6 +139,37 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type") != "SMALL", _s("p_size")).alias("product_photos_qty"))
 
 
+def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per category name that products carry."""
+    return table(spark, sf_dir, "part").groupBy(F.lower("p_type").alias("product_category_name")).agg(
+        F.min("p_type").alias("product_category_name_english"))
+
+
+def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as review messages: long texts with quotes and line breaks."""
+    d = table(spark, sf_dir, "documents")
+    day = F.date_add(F.lit("2018-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    return d.select(
+        _s("doc_id").alias("review_id"),
+        _s(F.col("doc_id") % 1000).alias("order_id"),
+        _s(F.col("n_chars") % 5 + 1).alias("review_score"),
+        F.col("lang").alias("review_comment_title"),
+        F.col("text").alias("review_comment_message"),
+        F.concat(_s(day), F.lit(" 00:00:00")).alias("review_creation_date"),
+        F.concat(_s(F.date_add(day, 1)), F.lit(" 17:45:35")).alias("review_answer_timestamp"))
+
+
+def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zip prefixes repeat: the table has no key."""
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.lpad(_s("c_nationkey"), 5, "0").alias("geolocation_zip_code_prefix"),
+        F.concat(F.lit("-"), _s(F.col("c_custkey") % 90), F.lit(".5450")).alias("geolocation_lat"),
+        F.concat(F.lit("-"), _s(F.col("c_custkey") % 180), F.lit(".6390")).alias("geolocation_lng"),
+        F.lower("c_mktsegment").alias("geolocation_city"),
+        F.lpad(_s("c_nationkey"), 2, "0").alias("geolocation_state"))
+
+
 LOG_STATUS = {"click": "started", "purchase": "success", "error": "failed"}
 
 

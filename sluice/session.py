@@ -81,7 +81,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
     coalesces small ones and splits skewed ones), file splits are 512 MB, and
     a partition is skewed when it is 5x the median and above 512 MB.
     """
-    partitions = max(200, min(200_000, input_bytes // target_partition_bytes))
+    partitions = max(200, input_bytes // target_partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(512 << 20),

@@ -149,8 +149,8 @@ def csv_records(spark: SparkSession, path: str,
                         F.expr("ps[0].line").alias("line"),
                         F.array_join(F.transform("ps", lambda p: p["text"]), "\n").alias("text")))
     records = whole.unionByName(stitched)
-    # the header is the first record of every file
-    return records.filter(F.col("line") != 1).select("file", "line", "text")
+    # the header is the first record of every file (blank lines may precede it)
+    return records.filter((F.col("owner") > 0) | (F.col("rec") > 0)).select("file", "line", "text")
 
 
 def _parse_options(quote: str = '"') -> dict:

@@ -19,6 +19,12 @@ ITEMS = ("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,
          "o2,1,p1,s1,2018-03-12 00:00:00,100.00,0.00\n")
 PAYMENTS = ("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
             "o1,1,credit_card,3,17.50\no2,1,boleto,1,100.00\n")
+PRODUCTS = ("product_id,product_category_name,product_name_lenght,product_description_lenght,product_photos_qty,"
+            "product_weight_g,product_length_cm,product_height_cm,product_width_cm\n"
+            "p1,toys,10,20,1,100,10,10,10\np2,toys,11,21,,200,10,10,10\n")
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,01001,sao paulo,SP\n"
+TRANSLATION = "product_category_name,product_category_name_english\ntoys,toys\n"
+DIMENSIONS = (("products", PRODUCTS), ("sellers", SELLERS), ("product_category_name_translation", TRANSLATION))
 RATE_HEADER = "KEY,FREQ,CURRENCY,CURRENCY_DENOM,EXR_TYPE,EXR_SUFFIX,TIME_PERIOD,OBS_VALUE,OBS_STATUS\n"
 
 
@@ -43,7 +49,7 @@ def rates_csv(path):
 def run_flow(spark, root, payments):
     src = {n: write(f"{root}/src/{n}.csv", t) for n, t in
            (("orders", ORDERS), ("customers", CUSTOMERS), ("order_items", ITEMS),
-            ("order_payments", payments))}
+            ("order_payments", payments), *DIMENSIONS)}
     args = ["bulk-load", "--source", "shop", "--landing", f"{root}/landing",
             "--warehouse", f"{root}/wh", "--log", f"{root}/log", "--load-date", "2024-01-01"]
     for name, path in src.items():
@@ -59,7 +65,7 @@ def run_flow(spark, root, payments):
 def test_clean_flow_passes(spark, tmpdir_path, capsys):
     assert run_flow(spark, tmpdir_path, PAYMENTS) == 0
     out = capsys.readouterr().out
-    assert "4 succeeded, 0 failed" in out and "fct_orders: 2 rows; 0 blocking" in out
+    assert "7 succeeded, 0 failed" in out and "fct_orders: 2 rows; 0 blocking" in out
     rates = f"{tmpdir_path}/rates"
     from sluice.operators.tables import VersionedTable
 
@@ -93,7 +99,7 @@ def test_build_views_and_materialized_staging_agree(spark, tmpdir_path):
     root = tmpdir_path
     assert run_flow(spark, root, PAYMENTS + "o1,2,voucher,30,1.00\n") == 1
     raw = {f"raw_{n}": VersionedTable(spark, f"{root}/wh/shop_{n}").read()
-           for n in ("orders", "customers", "order_items", "order_payments")}
+           for n in ("orders", "customers", "order_items", "order_payments", *dict(DIMENSIONS))}
     raw["raw_fx_rates"] = VersionedTable(spark, f"{root}/rates", RATE_PARTITION).read()
     a = build(spark, raw, f"{root}/m1", register_views=False, materialize_staging=True).tests
     b = build(spark, raw, f"{root}/m2", register_views=False, materialize_staging=False).tests
@@ -136,12 +142,13 @@ def test_build_with_no_payments(spark, tmpdir_path):
 
     raw = {f"raw_{n}": read_raw_csv(spark, write(f"{tmpdir_path}/{n}.csv", t)) for n, t in
            (("orders", ORDERS), ("customers", CUSTOMERS), ("order_items", ITEMS),
-            ("order_payments", PAYMENTS.splitlines()[0] + "\n"))}
+            ("order_payments", PAYMENTS.splitlines()[0] + "\n"), *DIMENSIONS)}
     raw["raw_fx_rates"] = read_raw_csv(spark, rates_csv(f"{tmpdir_path}/rates.csv"))
     result = build(spark, raw, f"{tmpdir_path}/mart", register_views=False)
     status = {r["test_name"]: r["status"] for r in result.tests.collect()}
-    with pytest.raises(ValueError, match="raw_fx_rates"):
-        build(spark, {k: v for k, v in raw.items() if k != "raw_fx_rates"}, f"{tmpdir_path}/m2")
-    assert result.fct_rows == 2 and len(status) == 42      # no products / sellers given
+    for absent in ("raw_fx_rates", "raw_sellers"):           # never fewer tests without a word
+        with pytest.raises(ValueError, match=absent):
+            build(spark, {k: v for k, v in raw.items() if k != absent}, f"{tmpdir_path}/m2")
+    assert result.fct_rows == 2 and len(status) == 48
     assert status["assert_some_payments_have_instalments"] == "error"
     assert status["not_null_int_order_payments_by_order_order_id"] == "pass"

@@ -39,7 +39,7 @@ def test_hot_order_through_keyed_operators(spark):
 
 
 def test_scale_conf_sizes_partitions():
-    assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "200000"   # 100 TiB: capped
+    assert scale_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "409600"   # 100 TiB / 256 MiB
     assert scale_conf(2**40)["spark.sql.shuffle.partitions"] == "4096"            # 1 TiB / 256 MiB
     assert int(scale_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200   # floor for small inputs
 
