@@ -235,6 +235,22 @@ def test_quality_rules(real, odd, empty):
     assert repetition.quality_query(empty).count() == 0
 
 
+def test_each_repetition_limit_rejects_alone(spark):
+    passage = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    clean = passage("a", 12) + "\n" + passage("b", 200) + "\n" + passage("a", 12)
+    twelves = [passage(f"p{j}x", 12) for j in range(10)]
+    covered = "\n".join([*twelves, *twelves[::-1], passage("wo", 270)])   # 240 of 510 words
+    docs = documents(spark, [passage("b", 200), covered])
+    assert repetition.keep_documents(docs).count() == 1
+    longest = "\n".join([passage("l", 101), passage("filler", 600), passage("l", 101)])
+    got = {r.n_words: r for r in repetition.quality_query(documents(spark, [clean, covered, longest])).collect()}
+    clean, covered, longest = got[224], got[510], got[802]
+    assert not (clean.base_failed or covered.base_failed or longest.base_failed)
+    assert clean.kept and not covered.kept and not longest.kept
+    assert repetition.MAX_COVERED < covered.covered < 0.5 and covered.longest_repeat == 12
+    assert longest.covered <= repetition.MAX_COVERED and longest.longest_repeat == 101
+
+
 BASE = (("assign", re.compile("(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
                               re.I | re.A), 2, 6),
         ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20), ("hex", re.compile("[0-9a-f]+"), 0, 24))
