@@ -1,7 +1,7 @@
 """License scans by conditional compression.
 
-Candidate blocks are the lines around a hint word (a long line: the stretch
-around the hint).  A block is compressed alone and once with each template as a
+Candidate blocks are the stretches of ``REACH`` bytes on both sides of a hint
+word, whatever the line breaks; overlapping ones merge.  A block is compressed alone and once with each template as a
 raw zstandard dictionary; templates are ranked by the relative reduction.  The
 best ones are confirmed by exact wording: the template's words are aligned with
 the block's, and the share of template words that differ must stay below a limit.
@@ -90,10 +90,7 @@ class Scanner:
         for hint in HINTS:
             at = low.find(hint)
             while at >= 0:
-                a = max(raw.rfind(b"\n", 0, at) + 1, at - REACH)
-                b = raw.find(b"\n", at)
-                b = min(len(raw) if b < 0 else b, at + len(hint) + REACH)
-                spans.append((a, b))
+                spans.append((max(0, at - REACH), min(len(raw), at + len(hint) + REACH)))
                 at = low.find(hint, at + len(hint))
         merged = []
         for a, b in sorted(spans):

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -322,6 +323,15 @@ def test_licenses(spark, empty):
     assert sorted(len(f) for f in found) == sorted(r.n_matches for r in license_scan.license_query(documents(spark, texts)).collect())
 
 
+@pytest.mark.parametrize("columns", [60, 72, 80])
+def test_licenses_wrapped_over_lines(columns):
+    scanner = license_scan.Scanner()
+    for name, body in (t for t in license_scan.TEMPLATES if t[0] in ("MIT", "BSD-3-Clause", "MPL-2.0")):
+        for lead in ("", " * ", "# "):
+            text = "prose before\n\n" + textwrap.fill(body, columns, initial_indent=lead, subsequent_indent=lead) + "\n\nprose after"
+            assert [m[2] for m in scanner.scan(text)[1]] == [name], text
+
+
 def test_dictionary_reduction_ranks_the_right_template_first():
     scanner = license_scan.Scanner()
     for i, (_, body) in enumerate(license_scan.TEMPLATES):
