@@ -2,9 +2,9 @@
 
 Candidate blocks are the stretches of ``REACH`` bytes on both sides of a hint
 word, whatever the line breaks; overlapping ones merge.  A block is compressed alone and once with each template as a
-raw zstandard dictionary; templates are ranked by the relative reduction.  The
-best ones are confirmed by exact wording: the template's words are aligned with
-the block's, and the share of template words that differ must stay below a limit.
+raw zstandard dictionary; templates are ranked by the relative reduction.  All are
+confirmed by exact wording, best first: a template's words are aligned with the
+block's wherever they lie, and the share of words that differ must stay below a limit.
 
 Everything happens per text in the scan; nothing is shuffled.
 
@@ -15,7 +15,7 @@ Empty table: no rows.
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,9 +43,53 @@ TEMPLATES = (
 HINTS = (b"licen", b"copyright", b"spdx", b"released under", b"redistribution", b"permission is hereby", b"cc by", b"cc0")
 REACH = 320            # bytes kept on each side of a hint
 MAX_DIFFERENT = 0.12   # share of template words that may differ
-RANKED = 4             # templates looked at word by word
 LEVEL = 9
 _WORD = re.compile(r"[\w.+-]*\w")
+_FAR = 1 << 30
+
+
+def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """Lower-case words and their places."""
+    found = list(_WORD.finditer(text))
+    return [m[0].lower() for m in found], [m.span() for m in found]
+
+
+def alignments(words: list[str], wanted: list[str], fixed: list[bool], limit: int) -> list[tuple[int, int, int]]:
+    """(words that differ, first word, one past the last word) of places of ``words`` that do not overlap and hold
+    ``wanted`` with at most ``limit`` words replaced, missing or added; the best first, none of the ``fixed`` differing.
+    If there is any such place, at least one is returned."""
+    m = len(wanted)
+    skip = [_FAR if f else 1 for f in fixed]
+    top = [0] * (m + 1)
+    for j in range(m):
+        top[j + 1] = min(_FAR, top[j] + skip[j])
+    # cost, first word of the place and one past its last matching word
+    cost, first, last = top, [-1] * (m + 1), [-1] * (m + 1)
+    ends = []
+    for i, w in enumerate(words):
+        c, f, e = [0], [-1], [-1]
+        for j in range(m):
+            if w == wanted[j]:
+                best, bf, be = cost[j], first[j] if first[j] >= 0 else i, i + 1
+            elif fixed[j]:
+                best, bf, be = _FAR, -1, -1
+            else:
+                best, bf, be = cost[j] + 1, first[j], last[j]
+            if c[j] + skip[j] < best:
+                best, bf, be = c[j] + skip[j], f[j], e[j]
+            if cost[j + 1] + 1 < best:
+                best, bf, be = cost[j + 1] + 1, first[j + 1], last[j + 1]
+            c.append(min(best, _FAR))
+            f.append(bf)
+            e.append(be)
+        cost, first, last = c, f, e
+        if c[m] <= limit and f[m] >= 0:
+            ends.append((c[m], f[m], e[m]))
+    got = []
+    for hit in sorted(set(ends), key=lambda x: (x[0], x[1], -x[2])):
+        if all(hit[2] <= a or hit[1] >= b for _, a, b in got):
+            got.append(hit)
+    return got
 
 
 class Scanner:
@@ -57,30 +101,58 @@ class Scanner:
         self.templates = []
         for name, body in templates:
             raw = z.ZstdCompressionDict(body.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
-            words = [w.lower() for w in _WORD.findall(body)]
-            self.templates.append((name, words, z.ZstdCompressor(compression_params=settings, dict_data=raw)))
+            words = words_of(body)[0]
+            fixed = [False] * len(words)
+            limit = int(MAX_DIFFERENT * len(words))
+            self.templates.append((name, words, z.ZstdCompressor(compression_params=settings, dict_data=raw), fixed, limit,
+                                   Counter(words), {w for w, x in zip(words, fixed, strict=True) if x}))
 
-    def ranked(self, block: bytes) -> list[tuple[float, int]]:
+    def reductions(self, block: bytes, numbers) -> list[tuple[float, int]]:
         """(relative size reduction, template number), best first; equal ones by number."""
         alone = len(self.plain.compress(block))
-        gains = [(1 - len(t[2].compress(block)) / alone, i) for i, t in enumerate(self.templates)]
-        return sorted((g for g in gains if g[0] > 0), key=lambda g: (-g[0], g[1]))
-
-    def confirm(self, block: str, number: int):
-        """(words that differ, start, end) of the template in the block, or None."""
-        _, wanted, _ = self.templates[number]
-        found = list(_WORD.finditer(block))
-        words = [m[0].lower() for m in found]
-        match = [m for m in SequenceMatcher(None, words, wanted, autojunk=False).get_matching_blocks() if m.size]
-        if not match:
-            return None
-        same = sum(m.size for m in match)
-        first, last = match[0].a, max(m.a + m.size for m in match)
-        extra = (last - first) - same
-        different = len(wanted) - same + extra
-        if different > MAX_DIFFERENT * len(wanted):
-            return None
-        return different, found[first].start(), found[last - 1].end()
+        gains = [(1 - len(self.templates[i][2].compress(block)) / alone, i) for i in numbers]
+        return sorted(gains, key=lambda g: (-g[0], g[1]))
+
+    def ranked(self, block: bytes) -> list[tuple[float, int]]:
+        """The templates that reduce the block, as ``reductions``."""
+        return [g for g in self.reductions(block, range(len(self.templates))) if g[0] > 0]
+
+    def possible(self, number: int, count: Counter) -> bool:
+        """Whether words that occur so often can hold the template: no place does if not."""
+        _, words, _, _, limit, wanted, fixed = self.templates[number]
+        if any(w not in count for w in fixed):
+            return False
+        return sum(max(0, n - count[w]) for w, n in wanted.items()) <= limit
+
+    def confirm(self, block: str) -> list[tuple[int, int, int, float]]:
+        """(start, end, template number, reduction, words that differ) of all notices in the block that do not overlap.
+
+        Every template that the block's words can hold is aligned, the one with the greatest reduction first; after
+        each place found, the rest left and right of it again, until nothing more is found."""
+        words, at = words_of(block)
+        count = Counter(words)
+        numbers = [i for i in range(len(self.templates)) if self.possible(i, count)]
+        if not numbers:
+            return []
+        free, out = [(0, len(words))], []
+        for gain, number in self.reductions(block.encode(), numbers):
+            _, wanted, _, fixed, limit, _, _ = self.templates[number]
+            left, todo = [], free
+            while todo:
+                lo, hi = todo.pop()
+                part = words[lo:hi]
+                hits = alignments(part, wanted, fixed, limit) if self.possible(number, Counter(part)) else []
+                if not hits:
+                    left.append((lo, hi))
+                    continue
+                edge = lo
+                for different, a, b in sorted(hits, key=lambda x: x[1]):
+                    out.append((at[lo + a][0], at[lo + b - 1][1], number, gain, different))
+                    todo.append((edge, lo + a))
+                    edge = lo + b
+                todo.append((edge, hi))
+            free = left
+        return out
 
     def blocks(self, text: str) -> list[tuple[int, str]]:
         """(start in code points, block) of the candidates, overlapping ones merged."""
@@ -112,12 +184,9 @@ class Scanner:
         got = []
         candidates = self.blocks(text)
         for start, block in candidates:
-            taken = []
-            for gain, number in self.ranked(block.encode())[:RANKED]:
-                hit = self.confirm(block, number)
-                if hit and all(hit[2] <= a or hit[1] >= b for a, b in taken):
-                    taken.append(hit[1:])
-                    got.append((start + hit[1], start + hit[2], self.templates[number][0], gain, hit[0]))
+            for a, b, number, gain, different in self.confirm(block):
+                name = self.templates[number][0]
+                got.append((start + a, start + b, name, gain, different))
         return len(candidates), sorted(got)
 
 

@@ -332,6 +332,19 @@ def test_licenses_wrapped_over_lines(columns):
             assert [m[2] for m in scanner.scan(text)[1]] == [name], text
 
 
+def test_all_licenses_of_a_block_and_all_their_places():
+    scanner = license_scan.Scanner()
+    five = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under the Apache License, Version 2.0.",
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", NOTICE, NOTICE,
+            "Released under the MIT License."]
+    text = " and é then ".join(five)
+    candidates, found = scanner.scan(text)
+    assert candidates == 1 and [text[m[0]:m[1]] for m in found] == [x[:-1] for x in five]
+    assert [m[2] for m in found] == ["MIT", "CC-BY-4.0", "Apache-2.0", "MPL-2.0", "GPL-3.0-only", "GPL-3.0-only", "MIT"]
+    many = "Licensed under CC BY 4.0. some words between. " * 200
+    assert len(scanner.scan(many)[1]) == 200
+
+
 def test_dictionary_reduction_ranks_the_right_template_first():
     scanner = license_scan.Scanner()
     for i, (_, body) in enumerate(license_scan.TEMPLATES):
