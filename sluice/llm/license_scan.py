@@ -1,10 +1,11 @@
 """License scans by conditional compression.
 
 Candidate blocks are the stretches of ``REACH`` bytes on both sides of a hint
-word, whatever the line breaks; overlapping ones merge.  A block is compressed alone and once with each template as a
-raw zstandard dictionary; templates are ranked by the relative reduction.  All are
-confirmed by exact wording, best first: a template's words are aligned with the
-block's wherever they lie, and the share of words that differ must stay below a limit.
+word, whatever the line breaks; overlapping ones merge.  A block is compressed
+alone and once with each template that its words can hold as a raw zstandard
+dictionary; templates are ranked by the relative reduction.  All are confirmed by exact wording, best first: a template's words are aligned with the
+block's wherever they lie, the share of words that differ must stay below a limit,
+and words that name the license or its version must match.
 
 Everything happens per text in the scan; nothing is shuffled.
 
@@ -21,37 +22,79 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Short notices of well-known licenses by SPDX identifier.
-TEMPLATES = (
+_CC = "Creative Commons Attribution"
+_GNU = (("GPL", "General Public License"), ("LGPL", "Lesser General Public License"), ("AGPL", "Affero General Public License"))
+_VERSIONS = {"GPL": ("3.0", "2.0"), "LGPL": ("3.0", "2.1"), "AGPL": ("3.0",)}
+#: Standard notices, headings and SPDX lines of well-known licenses by SPDX identifier.
+_NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except"
                    " in compliance with the License."),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "The MIT License (MIT)"),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and"
             " associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("ISC", "Licensed under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+            " hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
     ("LGPL-3.0-only", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1-only", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0-only", "This work is licensed under the GNU Affero General Public License, version 3."),
+    *((f"{short}-{version}-only", f"Licensed under the GNU {name}, version {version}.")
+      for short, name in _GNU for version in _VERSIONS[short]),
+    ("GPL-3.0-only", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0-only", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1-only", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("AGPL-3.0-only", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    *((f"{short}-{version}-or-later", f"you can redistribute it and/or modify it under the terms of the GNU {name} as published"
+       f" by the Free Software Foundation, either version {version.removesuffix('.0')} of the License, or (at your option)"
+       " any later version.")
+      for short, name in _GNU for version in _VERSIONS[short]),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"
                      " provided that the following conditions are met"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    *((f"CC-BY{short}-4.0", f"This work is licensed under a {_CC}{name} 4.0 International License.")
+      for short, name in (("", ""), ("-SA", "-ShareAlike"), ("-NC", "-NonCommercial"), ("-ND", "-NoDerivatives"),
+                          ("-NC-SA", "-NonCommercial-ShareAlike"), ("-NC-ND", "-NonCommercial-NoDerivatives"))),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
 )
-HINTS = (b"licen", b"copyright", b"spdx", b"released under", b"redistribution", b"permission is hereby", b"cc by", b"cc0")
+_SPDX = sorted({name for name, _ in _NOTICES} | {
+    n.replace("-only", "-or-later") for n, _ in _NOTICES if n.endswith("-only")})
+TEMPLATES = (*_NOTICES, *((name, f"SPDX-License-Identifier: {name}") for name in _SPDX))
+HINTS = (b"licen", b"copyright", b"spdx", b"released under", b"redistribut", b"permission is hereby", b"permission to use",
+         b"cc by", b"cc-by", b"cc0")
 REACH = 320            # bytes kept on each side of a hint
-MAX_DIFFERENT = 0.12   # share of template words that may differ
+MAX_DIFFERENT = 0.12   # share of template words that may differ; one word may in any template with two free words
 LEVEL = 9
-_WORD = re.compile(r"[\w.+-]*\w")
+_BREAK = r"\r?\n[\s#*/;]*"   # line break after a hyphen inside a word
+_WORD = re.compile(rf"(?:[\w.+-]|(?<=\w-){_BREAK}(?=\w))*\w")
+_VERSION = re.compile(r"v?\.?(\d+(?:\.\d+)*?)(?:\.0)*")
+#: Words that name a license or its version: they must match, and no other of them may come between.
+_NAME = re.compile(r"apache|mit|isc|gnu|general|lesser|affero|mozilla|bsd|creative|attribution.*|sharealike|noncommercial"
+                   r"|noderivatives|cc|cc0|by-.*|cc-by.*|spdx-license-identifier|\d+(\.\d+)*|\d-clause")
+#: What makes a notice of one version one of later versions too.
+_LATER = re.compile(r"\+(?!\w)|\W+(?:of\W+the\W+license\W+)?or\W+(?:at\W+your\W+option\W+)?(?:any\W+)?(?:later|newer)(?:\W+version)?\b", re.I)
 _FAR = 1 << 30
 
 
 def words_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
-    """Lower-case words and their places."""
+    """Lower-case words (versions without v and final .0) and their places."""
     found = list(_WORD.finditer(text))
-    return [m[0].lower() for m in found], [m.span() for m in found]
+    low = [re.sub(_BREAK, "", m[0]).lower() for m in found]
+    return [v[1] if (v := _VERSION.fullmatch(w)) else w for w in low], [m.span() for m in found]
 
 
 def alignments(words: list[str], wanted: list[str], fixed: list[bool], limit: int) -> list[tuple[int, int, int]]:
@@ -59,6 +102,7 @@ def alignments(words: list[str], wanted: list[str], fixed: list[bool], limit: in
     ``wanted`` with at most ``limit`` words replaced, missing or added; the best first, none of the ``fixed`` differing.
     If there is any such place, at least one is returned."""
     m = len(wanted)
+    named = any(fixed)
     skip = [_FAR if f else 1 for f in fixed]
     top = [0] * (m + 1)
     for j in range(m):
@@ -67,17 +111,18 @@ def alignments(words: list[str], wanted: list[str], fixed: list[bool], limit: in
     cost, first, last = top, [-1] * (m + 1), [-1] * (m + 1)
     ends = []
     for i, w in enumerate(words):
+        name = named and _NAME.fullmatch(w) is not None
         c, f, e = [0], [-1], [-1]
         for j in range(m):
             if w == wanted[j]:
                 best, bf, be = cost[j], first[j] if first[j] >= 0 else i, i + 1
-            elif fixed[j]:
+            elif name or fixed[j]:
                 best, bf, be = _FAR, -1, -1
             else:
                 best, bf, be = cost[j] + 1, first[j], last[j]
             if c[j] + skip[j] < best:
                 best, bf, be = c[j] + skip[j], f[j], e[j]
-            if cost[j + 1] + 1 < best:
+            if not name and cost[j + 1] + 1 < best:
                 best, bf, be = cost[j + 1] + 1, first[j + 1], last[j + 1]
             c.append(min(best, _FAR))
             f.append(bf)
@@ -102,8 +147,8 @@ class Scanner:
         for name, body in templates:
             raw = z.ZstdCompressionDict(body.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             words = words_of(body)[0]
-            fixed = [False] * len(words)
-            limit = int(MAX_DIFFERENT * len(words))
+            fixed = [_NAME.fullmatch(w) is not None or (w == "by" and words[i - 1] == "cc") for i, w in enumerate(words)]
+            limit = max(int(MAX_DIFFERENT * len(words)), int(fixed.count(False) >= 2))
             self.templates.append((name, words, z.ZstdCompressor(compression_params=settings, dict_data=raw), fixed, limit,
                                    Counter(words), {w for w, x in zip(words, fixed, strict=True) if x}))
 
@@ -186,6 +231,9 @@ class Scanner:
         for start, block in candidates:
             for a, b, number, gain, different in self.confirm(block):
                 name = self.templates[number][0]
+                later = _LATER.match(block, b) if name.endswith("-only") else None
+                if later:
+                    name, b = name.removesuffix("-only") + "-or-later", later.end()
                 got.append((start + a, start + b, name, gain, different))
         return len(candidates), sorted(got)
 

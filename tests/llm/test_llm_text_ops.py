@@ -326,7 +326,7 @@ def test_licenses(spark, empty):
 @pytest.mark.parametrize("columns", [60, 72, 80])
 def test_licenses_wrapped_over_lines(columns):
     scanner = license_scan.Scanner()
-    for name, body in (t for t in license_scan.TEMPLATES if t[0] in ("MIT", "BSD-3-Clause", "MPL-2.0")):
+    for name, body in license_scan.TEMPLATES:
         for lead in ("", " * ", "# "):
             text = "prose before\n\n" + textwrap.fill(body, columns, initial_indent=lead, subsequent_indent=lead) + "\n\nprose after"
             assert [m[2] for m in scanner.scan(text)[1]] == [name], text
@@ -345,6 +345,25 @@ def test_all_licenses_of_a_block_and_all_their_places():
     assert len(scanner.scan(many)[1]) == 200
 
 
+@pytest.mark.parametrize("text,name", [
+    ("Licensed under the MIT License.", "MIT"), ("Distributed under the MIT license", "MIT"),
+    ("Licensed under the Apache License 2.0", "Apache-2.0"), ("Available under CC BY-SA 4.0", "CC-BY-SA-4.0"),
+    ("SPDX-License-Identifier: MIT", "MIT"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("This file is part of X: you can redistribute it and/or modify it under the terms of the GNU Affero General Public\n"
+     "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later\n"
+     "version.", "AGPL-3.0-or-later"),
+    ("It is licensed under the GNU General Public License, version 2 or later.", "GPL-2.0-or-later"),
+    ("Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted,\n"
+     "provided that the above copyright notice and this permission notice appear in all copies.", "ISC"),
+    ("This work is licensed under the GNU General Public License, version 4.", None),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("Licensed under the Apache License, Version 1.1.", None), ("Licensed under CC BY-XX 4.0.", None),
+    ("Released under the BSD License.", None), ("SPDX-License-Identifier: Unknown", None),
+    ("It was released under the bridge, with a license to sing.", None)])
+def test_license_forms_name_and_version_match(text, name):
+    assert [m[2] for m in license_scan.Scanner().scan(text)[1]] == ([name] if name else [])
+
+
 def test_dictionary_reduction_ranks_the_right_template_first():
     scanner = license_scan.Scanner()
     for i, (_, body) in enumerate(license_scan.TEMPLATES):
