@@ -6,18 +6,21 @@ one of random strings and one of ordinary identifiers, are compared by the
 log-likelihood ratio of the run's transitions.  A run above ``MIN_RATIO`` that
 overlaps no base span is a span of kind ``markov``.
 
-Training: labelled samples taken from the corpus.  Ordinary: the letter runs of
-about ``TRAIN_DOCS`` documents (chosen by a hash of doc_id; the only bounded
-sample here).  Random: base64 and hexadecimal digests of the same documents' ids,
-uniform over their alphabets by construction.  Transition counts are a grouped
-aggregate; only the alphabet's square of counts reaches the driver.  The model is
-compiled into a literal array, scored by an aggregate over a run's characters.
+Training: ordinary are all runs of token characters of all documents outside base
+spans, as they are, in capitals, and joined to others by / _ - = or + (paths,
+constants and rules, which prose lacks), and decimal numbers; random are base64 and
+hexadecimal digests, both numbers and digests uniform over their alphabets by
+construction.  Transition counts are a grouped aggregate; only the alphabet's
+square of counts reaches the driver.  Each row of probabilities is mixed with a
+uniform one (``UNIFORM``), so a transition unseen in ordinary runs counts at most
+-log(UNIFORM) and a bit, however large the corpus is.  The model is compiled into
+a literal array, scored by an aggregate over a run's characters.
 
 Positions: a text splits at the same matches that are extracted, so the start of
 a match is the length of the pieces and matches before it (code points).
 
 Null text: empty, no spans.  Null doc_id and repeated rows: a row each.  Empty
-table: no rows (and a model without preference).
+table: no rows (and a model that knows only numbers as ordinary).
 """
 
 from __future__ import annotations
@@ -34,10 +37,11 @@ ASSIGN = ("(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"'
 BASE = (("assign", ASSIGN, 2, 6), ("access", "AKIA[A-Z0-9]{16,}", 0, 20), ("hex", "[0-9a-f]{24,}", 0, 24))
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = "[A-Za-z0-9+/_=-]{20,}"
-ORDINARY = "[A-Za-z][A-Za-z_-]{3,}"
-TRAIN_DOCS = 4000
+ORDINARY = "[A-Za-z0-9+/_=-]{4,}"
+JOINTS = ("//", "__", "--", "==", "++")   # twice, so that rules such as ----- are ordinary
+MADE = 4000        # digests and numbers in the samples made by construction
 MIN_RATIO = 12.0
-SMOOTH = 0.5
+UNIFORM = 0.1      # share of the uniform distribution in each row of a model
 PLACEHOLDER = "[secret]"
 
 
@@ -68,21 +72,26 @@ def _transitions(words: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
+def train(docs: DataFrame) -> list[float]:
     """Log-likelihood ratios (random over ordinary) of all transitions, row by row."""
-    n = docs.count()
-    share = 1.0 if n <= train_docs else train_docs / n
-    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    ordinary = sample.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("word")).groupBy(
+    rest = F.col("text")
+    for _, pattern, _, _ in BASE:
+        rest = F.regexp_replace(rest, F.lit(pattern), F.lit(" "))
+    found = docs.select(F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("word")).groupBy(
         "word").agg(F.count(F.lit(1)).alias("n"))
-    digest = F.sha2(F.concat(F.lit("random:"), F.col("doc_id").cast("string")), 256)
-    random = sample.select(F.explode(F.array(
+    joined = [F.concat(F.lit(c), "word", F.lit(c)) for c in JOINTS]
+    made = docs.sparkSession.range(MADE)
+    number = F.concat(*[F.pmod(F.xxhash64("id", F.lit(i)), F.lit(10**9)).cast("string") for i in range(3)])
+    ordinary = found.select(F.explode(F.array("word", F.upper("word"), *joined)).alias("word"), "n").unionByName(
+        made.select(number.alias("word"), F.lit(1).cast("long").alias("n")))
+    digest = F.sha2(F.concat(F.lit("random:"), F.col("id").cast("string")), 256)
+    random = made.select(F.explode(F.array(
         F.base64(F.unhex(digest)), F.base64(F.unhex(F.sha2(digest, 384))), digest)).alias("word")).withColumn("n", F.lit(1))
     both = _transitions(ordinary).withColumn("random", F.lit(0)).unionByName(
         _transitions(random).withColumn("random", F.lit(1)))
     size = len(ALPHABET)
     place = {c: i for i, c in enumerate(ALPHABET)}
-    counts = [[[SMOOTH] * size for _ in range(size)] for _ in range(2)]
+    counts = [[[0] * size for _ in range(size)] for _ in range(2)]
     for row in both.collect():          # at most twice the alphabet's square
         a, b = row["pair"]
         if a in place and b in place:
@@ -90,7 +99,8 @@ def train(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> list[float]:
     out = []
     for i in range(size):
         whole = [sum(counts[k][i]) for k in (0, 1)]
-        out += [math.log(counts[1][i][j] / whole[1]) - math.log(counts[0][i][j] / whole[0]) for j in range(size)]
+        mixed = lambda k, j: (1 - UNIFORM) * counts[k][i][j] / whole[k] + UNIFORM / size if whole[k] else 1 / size
+        out += [math.log(mixed(1, j)) - math.log(mixed(0, j)) for j in range(size)]
     return out
 
 

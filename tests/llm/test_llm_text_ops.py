@@ -295,6 +295,22 @@ def test_markov_tells_random_strings_from_words(spark, real):
     assert [s.kind for s in spans] == ["markov"] and spans[0].start == 4 and spans[0].end == 4 + len(RANDOM)
 
 
+ORDINARY_RUNS = ["/usr/local/lib/python3/site-packages", "example-org/project-name/issues/1234", "org/wiki/some/path/name",
+                 "12345678901234567890", "98412077345610928834512", "MAX_NUMBER_OF_CONNECTIONS_PER_HOST",
+                 "com/en/article/2024/05/17/how-to-train-models", "src/main/java/org/apache/spark/sql/catalyst/expressions",
+                 "getElementsByTagNameAndClass", "--------------------------------", "=" * 30, "//www/example/com/index/of/downloads"]
+RANDOM_RUNS = ["kX9vQ2mZ7rT4wB8nL1pYc6Jd", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY", "Zm9vQmFyL3F1eDk4N2pXcTIzcEw=",
+               "tG7_Kq9-Zx2Lw0Vb5Nn8Rr3Yc"]
+
+
+def test_markov_leaves_paths_numbers_and_constants(spark, real):
+    model = secret_markov.train(real)
+    docs = documents(spark, [f"see https://{x} here" for x in ORDINARY_RUNS] + [f"see {x} here" for x in ORDINARY_RUNS + RANDOM_RUNS])
+    got = {r.text: [r.text[s.start:s.end] for s in r.spans] for r in secret_markov.find_secrets(docs, model).collect()}
+    assert {t for t, spans in got.items() if spans} == {f"see {x} here" for x in RANDOM_RUNS}
+    assert all(got[f"see {x} here"] == [x] for x in RANDOM_RUNS)
+
+
 def test_redaction(spark):
     docs = documents(spark, SECRETS)
     for r in secret_markov.redact(docs).collect():
