@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import _BASE, _INVERSE, mix
 
-K = 24
-WINDOW = 48
+K = 12
+WINDOW = 13
 BLOCK = 1 << 18
 _LOW = np.uint64((1 << 24) - 1)
 

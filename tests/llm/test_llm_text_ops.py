@@ -155,6 +155,18 @@ def test_winnowing_guarantee():
     assert set(winnowing.marks(a, 8, 12)[0].tolist()) & set(winnowing.marks(b, 8, 12)[0].tolist())
 
 
+def test_half_of_a_short_text_shares_a_mark(real):
+    texts = [r.text for r in real.orderBy("doc_id").limit(60).collect()]
+    for before, after in zip(texts, texts[1:]):
+        for n in (48, 60, 100, 141):
+            body = before[:n]
+            half = len(body) // 2
+            if len(body) - half >= 24:
+                edited = body[:len(body) - half] + after[:half]
+                assert winnowing.likeness(winnowing.marks(body)[0], winnowing.marks(edited)[0]) > 0
+    assert winnowing.guarantee() == 24
+
+
 @pytest.mark.parametrize("which", ["odd", "real", "empty"])
 def test_winnowing_query(request, which):
     docs = request.getfixturevalue(which)
