@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fs
 from ..session import ensure_checkpoint_dir, new_work_dir, ship_package
 
 #: A word: a run of characters other than the ASCII white space.
@@ -46,7 +47,20 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     path = new_work_dir(spark, label)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` once their last reader has been written, and let
+    Spark drop the shuffle files of frames that nothing refers to any more."""
+    spark = None
+    for df in tables:
+        spark = df.sparkSession
+        fs.delete(spark, df.folder)
+    if spark is not None:
+        spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def word_count(text: Column) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_counts, bpe_duckdb, license_scan, parity_join, pareto_mix, repetition, rule_ensemble,
+from . import (bpe_counts, bpe_duckdb, collocations, license_scan, parity_join, pareto_mix, repetition, rule_ensemble,
                secret_markov, warc_chunks, winnowing)
 from .common import prepare, table
 
@@ -67,9 +67,15 @@ def op10_bpe_duckdb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_duckdb.bpe_query(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op11_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return collocations.phrase_query(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_parity_join, op4_repetition, op5_secret_markov,
-                            op6_token_counts, op7_winnowing, op8_warc_chunks, op9_pareto_mix, op10_bpe_duckdb)}
+                            op6_token_counts, op7_winnowing, op8_warc_chunks, op9_pareto_mix, op10_bpe_duckdb,
+                            op11_trie_phrases)}
 
 #: The other operators' results cannot be stated in SQL; they are tested against brute force.
 SQL: dict[str, str] = {
@@ -94,5 +100,43 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id <> first THEN 1 ELSE greatest(1, ceil(payload_bytes / 32768.0)) END::BIGINT AS n_chunks,
   true AS intact
 FROM b
+""",
+    "op11_trie_phrases": """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+  UNION ALL
+  SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL
+  SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+), totals AS (
+  SELECT lang, count(*) AS n FROM grams WHERE k = 1 GROUP BY lang
+), f AS (
+  SELECT lang, k, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, k, phrase HAVING count(*) >= 10
+), cuts AS (
+  SELECT p.lang, p.k, p.phrase, p.a, p.w, c.cut, x.a AS l, y.a AS r,
+    (1000000::HUGEINT * p.a * p.a) // (x.a::HUGEINT * y.a) AS score
+  FROM f p JOIN (VALUES (1), (2)) c(cut) ON c.cut < p.k
+  JOIN f x ON x.lang = p.lang AND x.phrase = array_to_string(p.w[1:c.cut], ' ')
+  JOIN f y ON y.lang = p.lang AND y.phrase = array_to_string(p.w[c.cut + 1:], ' ')
+  WHERE p.k >= 2
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), covers AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM f WHERE k = 3
+    UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM f WHERE k = 3) GROUP BY lang, phrase
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN covers c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE b.k = 3 OR c.a IS NULL OR 100 * c.a < 50 * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
