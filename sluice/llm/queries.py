@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_counts, bpe_duckdb, collocations, license_scan, parity_join, pareto_mix, repetition, rule_ensemble,
-               secret_markov, warc_chunks, winnowing)
+from . import (bpe_counts, bpe_duckdb, collocations, license_scan, pareto_mix, parity_join, repetition, reply_trees,
+               rule_ensemble, secret_markov, warc_chunks, winnowing)
 from .common import prepare, table
 
 
@@ -72,10 +72,15 @@ def op11_trie_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.phrase_query(table(spark, sf_dir, "documents"))
 
 
+def op12_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return reply_trees.chat_query(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_parity_join, op4_repetition, op5_secret_markov,
                             op6_token_counts, op7_winnowing, op8_warc_chunks, op9_pareto_mix, op10_bpe_duckdb,
-                            op11_trie_phrases)}
+                            op11_trie_phrases, op12_reply_trees)}
 
 #: The other operators' results cannot be stated in SQL; they are tested against brute force.
 SQL: dict[str, str] = {
@@ -138,5 +143,23 @@ WITH pieces AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
 )
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""",
+    "op12_reply_trees": """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, replace(replace(role, '\\', '\\\\'), chr(10), '\\n') AS head,
+    '[<\\[]\\\\*(s>|/s>|INST\\]|/INST\\]|<SYS>>|</SYS>>|\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>)' AS control
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(9 + length(head) + len(regexp_extract_all(head, control)) + length(text) + len(regexp_extract_all(text, control)))::BIGINT
+    AS formatted_chars
+FROM marked GROUP BY conv_id
 """,
 }
