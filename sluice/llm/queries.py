@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_counts, bpe_duckdb, collocations, license_scan, pareto_mix, parity_join, repetition, reply_trees,
-               rule_ensemble, secret_markov, warc_chunks, winnowing)
+from . import (bpe_counts, bpe_duckdb, collocations, license_scan, pareto_mix, parity_join, prefix_trie, repetition,
+               reply_trees, rule_ensemble, secret_markov, warc_chunks, winnowing)
 from .common import prepare, table
 
 
@@ -77,10 +77,15 @@ def op12_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_trees.chat_query(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return prefix_trie.trie_query(table(spark, sf_dir, "conversations"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_parity_join, op4_repetition, op5_secret_markov,
                             op6_token_counts, op7_winnowing, op8_warc_chunks, op9_pareto_mix, op10_bpe_duckdb,
-                            op11_trie_phrases, op12_reply_trees)}
+                            op11_trie_phrases, op12_reply_trees, op13_prefix_trie)}
 
 #: The other operators' results cannot be stated in SQL; they are tested against brute force.
 SQL: dict[str, str] = {
@@ -161,5 +166,44 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
   sum(9 + length(head) + len(regexp_extract_all(head, control)) + length(text) + len(regexp_extract_all(text, control)))::BIGINT
     AS formatted_chars
 FROM marked GROUP BY conv_id
+""",
+    "op13_prefix_trie": """
+WITH own AS (
+  SELECT conv_id, list({'k': sha256(coalesce(role, '') || chr(1) || coalesce(text, '')), 'b': strlen(coalesce(text, ''))}
+    ORDER BY turn NULLS FIRST) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (
+  SELECT conv_id, t, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+      lambda a, c: list_reduce(list_prepend(xor(a, c), range(8)),
+        lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 9 AS h
+  FROM own
+), rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.t, [])[1:s.h], s.t[s.h + 1:]) AS t
+  FROM shared s LEFT JOIN own b ON b.conv_id = s.base
+), keyed AS (
+  SELECT conv_id, len(t) AS n, t, list_transform(t, lambda x: x.k) AS k FROM rebuilt
+), prefixes AS (
+  SELECT conv_id, n, 0 AS depth, '' AS key, NULL AS up, 0 AS bytes FROM keyed
+  UNION ALL
+  SELECT conv_id, n, d, array_to_string(k[1:d], ''), array_to_string(k[1:d - 1], ''), t[d].b
+  FROM (SELECT *, unnest(range(1, n + 1)) AS d FROM keyed)
+), nodes AS (
+  SELECT key, depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY key, depth
+), children AS (
+  SELECT up AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY up
+), every AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children FROM nodes n LEFT JOIN children c ON c.key = n.key
+), inside AS (
+  SELECT DISTINCT p.key AS top, q.key FROM prefixes p JOIN prefixes q ON q.conv_id = p.conv_id AND q.depth >= p.depth
+), sums AS (
+  SELECT i.top AS key, count(*) FILTER (e.n_children = 0) AS n_leaves, sum((e.n_convs - 1) * e.bytes) AS saved
+  FROM inside i JOIN every e ON e.key = i.key GROUP BY i.top
+)
+SELECT e.conv_id, e.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, e.n_convs::BIGINT AS n_convs,
+  e.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, e.ends_sha256
+FROM every e JOIN sums s ON s.key = e.key LEFT JOIN every p ON e.depth > 0 AND p.key = e.up
 """,
 }
