@@ -46,8 +46,8 @@ TOP = 2000
 COVER_PERCENT = 50           # a longer candidate with this share of the occurrences covers a phrase
 VOCABULARY = 8_000_000       # words numbered in one pass (64 MB of hashes)
 TRIE_PHRASES = 1_500_000     # phrases of one trie, on average
-CHUNK = 4 << 20              # positions a task combines at a time
-HELD_WORDS = 1 << 20
+CHUNK = 2 << 20              # phrases a task combines at a time
+HELD_WORDS = 1 << 18         # distinct words a task combines at a time
 BUCKETS = 8                  # buckets of the candidate filter per shuffle partition
 BLOCK = 1 << 16              # phrases of a trie whose counts meet in one row
 
