@@ -1,5 +1,5 @@
 """Time-series operators: pivot to columns, ratio of two series, dense calendar,
-gap detection, forward fill (two forms) and an as-of lookup.
+gap detection and forward fill (two forms).
 
 Scale notes
 -----------
@@ -10,8 +10,8 @@ observation's successor with ``next_in_order`` (``lead`` per series and year,
 with a one-row-per-year carry across years) and explodes the day range it
 covers.  ``forward_fill_window`` keeps the textbook form (calendar left join
 observations, last non-NULL value over an unpartitioned running frame) for
-comparison and for small inputs.  ``last_non_null_bucketed`` is the running
-last-non-NULL per group windowed per (group, day), for groups that may be hot.
+comparison and for small inputs.  The running last-non-NULL of groups that may be
+hot and the as-of lookup are in ``operators.scan``.
 """
 
 from __future__ import annotations
@@ -130,92 +130,3 @@ def last_non_null(df: DataFrame, value: Column, by: Sequence[str], order: Sequen
     w = (Window.partitionBy(*by).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-
-
-def last_non_null_bucketed(df: DataFrame, value: Column, by: Sequence[str],
-                           order: Sequence[str], bucket: Column, out: str,
-                           max_broadcast_rows: int | None = None) -> DataFrame:
-    """Same result as ``last_non_null`` (ascending ``order`` columns), without
-    sending a hot group through one task.
-
-    ``bucket`` must not decrease along ``order`` (e.g. the day of the leading
-    timestamp).  The running window is partitioned by (group, bucket), so a
-    group holding a large share of the rows is spread over its buckets; a
-    summary with one row per (group, bucket) -- partially aggregated --
-    carries the last value of earlier buckets into each bucket.
-    """
-    from .joins import DEFAULT_BROADCAST_ROWS, sized_side
-
-    keyed = df.withColumn("_bkt", bucket).withColumn("_val", value)
-    local_w = (Window.partitionBy(*by, "_bkt").orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = keyed.withColumn("_local", F.last("_val", ignorenulls=True).over(local_w))
-    present = F.col("_val").isNotNull()
-    summary = keyed.groupBy(*by, "_bkt").agg(
-        F.max_by(F.col("_val"), F.when(present, F.struct(*order))).alias("_bucket_last"))
-    carry_w = (Window.partitionBy(*by).orderBy("_bkt")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*by, "_bkt",
-                           F.last("_bucket_last", ignorenulls=True).over(carry_w).alias("_carry"))
-    carry, small = sized_side(carry, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
-    joined = local.join(F.broadcast(carry) if small else carry, [*by, "_bkt"], "left")
-    return (joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
-                  .drop("_bkt", "_val", "_local", "_carry"))
-
-
-def observation_spans(obs: DataFrame, date_col: str, values: Sequence[str],
-                      by: Sequence[str] = (), start: str = "span_start",
-                      end: str = "span_end") -> DataFrame:
-    """Each observation as a half-open span [its date, next observation date);
-    the last span is open (NULL end).  Successors via ``next_in_order``."""
-    nxt = next_in_order(obs.select(*by, F.col(date_col), *values), date_col, by, "_next")
-    return nxt.select(*by, F.col(date_col).alias(start), F.col("_next").alias(end), *values)
-
-
-def asof_join(left: DataFrame, left_date: str, spans: DataFrame, by: Sequence[str] = (),
-              start: str = "span_start", end: str = "span_end", bucket: str = "month",
-              max_broadcast_rows: int | None = None) -> DataFrame:
-    """Backward as-of lookup: each left row gets the span whose [start, end)
-    holds its date, i.e. the last observation on or before it (NULL if none).
-
-    The range join becomes an equi-join: every span is copied into each
-    ``bucket`` (month by default) it overlaps, the left row takes the bucket of
-    its date, and the join is on (by, bucket) plus the range condition, so a
-    left row only meets the few spans of its bucket.  The open last span of a
-    series is copied into its own bucket only; left dates past that bucket are
-    clamped to it, so no bound on the left side is needed.
-    """
-    from .joins import DEFAULT_BROADCAST_ROWS, sized_side
-
-    trunc = lambda c: F.date_trunc(bucket, c).cast("date")
-    step = {"month": "1 month", "year": "1 year", "week": "7 days", "day": "1 day"}[bucket]
-    stop = F.coalesce(F.date_sub(F.col(end), 1), F.col(start))
-    exploded = spans.withColumn(
-        "_bucket", F.explode(F.sequence(trunc(F.col(start)), trunc(stop),
-                                        F.expr(f"interval {step}"))))
-    limit = max_broadcast_rows or DEFAULT_BROADCAST_ROWS
-    exploded, small = sized_side(exploded, limit)
-
-    if by:
-        last = exploded.groupBy(*by).agg(trunc(F.max(start)).alias("_last_bucket"))
-        last, last_small = sized_side(last, limit)
-        left = left.join(F.broadcast(last) if last_small else last, list(by), "left")
-        clamp = F.col("_last_bucket")
-    else:
-        last_start = exploded.agg(F.max(start)).first()[0]  # one scalar, from the written spans
-        clamp = F.lit(last_start).cast("date")
-    bucket_of = F.when(clamp.isNull(), trunc(F.col(left_date))).otherwise(
-        F.least(trunc(F.col(left_date)), trunc(clamp)))
-    l2 = left.withColumn("_lbucket", bucket_of)
-    if by:
-        l2 = l2.drop("_last_bucket")
-    right = F.broadcast(exploded) if small else exploded
-    rcols = {b: f"_r_{b}" for b in by}
-    for b, r in rcols.items():
-        right = right.withColumnRenamed(b, r)
-    cond = [F.col("_lbucket") == F.col("_bucket")]
-    cond += [F.col(b) == F.col(r) for b, r in rcols.items()]
-    cond += [F.col(left_date) >= F.col(start),
-             F.col(end).isNull() | (F.col(left_date) < F.col(end))]
-    out = l2.join(right, cond, "left")
-    return out.drop("_lbucket", "_bucket", *rcols.values())

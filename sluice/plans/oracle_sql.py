@@ -265,6 +265,12 @@ SQL["q_fx_lookup"] = with_ctes("stg_orders", "fx_daily") + f"""
 SQL["q_asof_rate"] = with_ctes("stg_orders", "ecb_days") + f"""
     SELECT o.order_id, o.purchase_date, e.ecb_date, e.gbp_per_brl
     FROM ({_ORDERS_DAY}) o ASOF LEFT JOIN ecb_days e ON o.purchase_date >= e.ecb_date"""
+SQL["q_asof_by_key"] = """
+    WITH e AS (SELECT event_id, user_id, ts, event_type, CAST(value AS DECIMAL(18,2)) AS value FROM events),
+    bought AS (SELECT user_id, ts, max(value) AS value FROM e WHERE event_type = 'purchase' GROUP BY user_id, ts)
+    SELECT o.event_id, o.user_id, b.ts AS purchase_ts, b.value AS purchase_value
+    FROM (SELECT * FROM e WHERE event_type <> 'purchase') o
+    ASOF LEFT JOIN bought b ON o.user_id = b.user_id AND o.ts >= b.ts"""
 SQL["q_last_ignore_nulls"] = """
     SELECT event_id, user_id,
            last_value(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2)) END

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import INT64, NUMERIC, to_numeric
 from ..functions.timez import local_to_utc, utc_to_local_date, weekday_name
-from ..operators import keyed, quality, runlog, series
+from ..operators import keyed, quality, runlog, scan, series
 from ..operators.joins import join_small
 from ..operators.tables import VersionedTable, high_water_mark_frame, with_audit
 from ..session import new_work_dir
@@ -196,20 +196,26 @@ def q_fx_lookup(spark, d):
 @proof
 def q_asof_rate(spark, d):
     days = fx_daily.cross_rate_days(stg_fx(spark, d))
-    spans = series.observation_spans(days, "ecb_date", ["gbp_per_brl"])
-    out = series.asof_join(_orders_with_day(spark, d), "purchase_date", spans)
-    return out.select("order_id", "purchase_date", F.col("span_start").alias("ecb_date"),
-                      "gbp_per_brl")
+    return scan.asof_join(_orders_with_day(spark, d), "purchase_date", days, "ecb_date", ["gbp_per_brl"]).select(
+        "order_id", "purchase_date", "ecb_date", "gbp_per_brl")
+
+
+@proof
+def q_asof_by_key(spark, d):
+    """Every event that is no purchase with its user's last purchase up to then."""
+    e = raw_tables.table(spark, d, "events").withColumn("value", F.col("value").cast("decimal(18,2)"))
+    bought = e.filter(F.col("event_type") == "purchase").select("user_id", "ts", F.col("value").alias("purchase_value"))
+    others = e.filter(F.col("event_type") != "purchase").select("event_id", "user_id", F.col("ts").alias("event_ts"))
+    return scan.asof_join(others, "event_ts", bought, "ts", ["purchase_value"], by=["user_id"],
+                          out_at="purchase_ts").select("event_id", "user_id", "purchase_ts", "purchase_value")
 
 
 @proof
 def q_last_ignore_nulls(spark, d):
     e = raw_tables.table(spark, d, "events")
     purchase = F.when(F.col("event_type") == "purchase", F.col("value").cast("decimal(18,2)"))
-    # per user, in (ts, event_id) order; the window runs per (user, day) so a
-    # user with a large share of the events is spread over days
-    out = series.last_non_null_bucketed(e, purchase, ["user_id"], ["ts", "event_id"],
-                                        F.to_date("ts"), "last_purchase_value")
+    # per user, in (ts, event_id) order; a user with a large share of the events lies in several parts
+    out = scan.running(e, ["user_id"], ["ts", "event_id"], last={"last_purchase_value": purchase})
     return out.select("event_id", "user_id", "last_purchase_value")
 
 

@@ -72,51 +72,6 @@ def test_pivot_calendar_and_gaps(spark):
     assert empty.count() == 0
 
 
-def test_asof_join_matches_brute_force(spark):
-    obs = spark.createDataFrame(
-        [(D(2018, 1, 5), 1), (D(2018, 2, 20), 2), (D(2018, 2, 21), 3), (D(2018, 5, 1), 4)],
-        "d date, v int")
-    spans = series.observation_spans(obs, "d", ["v"])
-    probe_days = [D(2018, 1, 1) + dt.timedelta(days=i) for i in range(0, 200, 3)]
-    left = spark.createDataFrame([(i, d) for i, d in enumerate(probe_days)], "id int, day date")
-    got = {r["id"]: r["v"] for r in series.asof_join(left, "day", spans).collect()}
-    obs_list = sorted((r["d"], r["v"]) for r in obs.collect())
-    for i, day in enumerate(probe_days):
-        before = [v for d, v in obs_list if d <= day]
-        assert got[i] == (before[-1] if before else None), day
-
-
-def test_asof_join_per_series(spark):
-    obs = spark.createDataFrame(
-        [("x", D(2018, 1, 5), 1), ("x", D(2018, 3, 1), 2), ("y", D(2018, 2, 1), 7)],
-        "s string, d date, v int")
-    spans = series.observation_spans(obs, "d", ["v"], by=["s"])
-    left = spark.createDataFrame(
-        [(1, "x", D(2018, 1, 4)), (2, "x", D(2018, 2, 28)), (3, "x", D(2019, 1, 1)),
-         (4, "y", D(2018, 1, 31)), (5, "y", D(2018, 12, 1)), (6, "z", D(2018, 6, 1))],
-        "id int, s string, day date")
-    got = {r["id"]: r["v"] for r in series.asof_join(left, "day", spans, by=["s"]).collect()}
-    assert got == {1: None, 2: 1, 3: 2, 4: None, 5: 7, 6: None}
-
-
-def test_bucketed_last_non_null_equals_window_form(spark):
-    import random
-
-    rnd = random.Random(7)
-    data = []
-    for i in range(2000):
-        user = "hot" if i % 3 == 0 else f"u{i % 17}"
-        ts = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 60 * 24 * 20))
-        val = rnd.choice([None, None, None, Decimal(rnd.randrange(1, 100))])
-        data.append((i, user, ts, val))
-    df = spark.createDataFrame(data, "id int, user string, ts timestamp_ntz, v decimal(18,2)")
-    plain = series.last_non_null(df, F.col("v"), ["user"], [F.col("ts"), F.col("id")], "last")
-    bucketed = series.last_non_null_bucketed(df, F.col("v"), ["user"], ["ts", "id"],
-                                             F.to_date("ts"), "last")
-    assert rows(plain, "id", "last") == rows(bucketed, "id", "last")
-    assert bucketed.filter("last IS NOT NULL").count() > 1000
-
-
 def test_dense_and_window_forward_fill_agree_on_driver_data(spark):
     import os
 
@@ -130,11 +85,3 @@ def test_dense_and_window_forward_fill_agree_on_driver_data(spark):
     dense = fx_daily.rates_daily(stg)
     assert rows(dense, *cols) == rows(fx_daily.rates_daily_window_form(stg), *cols)
     assert dense.count() > 2000
-
-
-def test_asof_join_with_no_observations(spark):
-    obs = spark.createDataFrame([], "d date, v int")
-    spans = series.observation_spans(obs, "d", ["v"])
-    left = spark.createDataFrame([(1, D(2018, 1, 4))], "id int, day date")
-    got = series.asof_join(left, "day", spans).collect()
-    assert [(r["id"], r["v"]) for r in got] == [(1, None)]
