@@ -2,7 +2,7 @@
 
   bulk-load    --source S --table NAME=PATH ... --landing L --warehouse W --log LOG
   rate-load    --rates PATH --table T --log LOG --currencies GBP,BRL [--today D]
-  rate-stream  --landing FOLDER --table T --checkpoint C
+  rate-stream  --landing FOLDER --table T --checkpoint C [--log LOG]
   build        --warehouse W --source S --rates T --mart M
   freshness    --rates T [--field TIME_PERIOD] [--now TS] [--warn-days 4] [--error-days 6]
   log-report   --log LOG
@@ -72,11 +72,10 @@ def cmd_rate_load(args) -> int:
     from .plans import rate_load
 
     spark = _session(args)
-    try:
-        rates = rate_load.validate_rate_source(spark, args.rates)
-    except Exception as exc:  # noqa: BLE001 - a bad source file is reported, exit 1
-        print(f"FAILED rates: {type(exc).__name__}: {exc}")
-        return 1
+
+    def rates(since):
+        return rate_load.validate_rate_source(spark, args.rates, since=since)
+
     today = dt.date.fromisoformat(args.today) if args.today else dt.date.today()
     try:
         out = rate_load.incremental_load(spark, rates, args.table, args.log,
@@ -95,7 +94,11 @@ def cmd_rate_stream(args) -> int:
 
     spark = _session(args)
     columns = read_header(spark, args.landing)
-    table = run_rate_stream(spark, args.landing, columns, args.table, args.checkpoint)
+    try:
+        table = run_rate_stream(spark, args.landing, columns, args.table, args.checkpoint, log_path=args.log)
+    except Exception as exc:  # noqa: BLE001 - reported, logged by the stream, exit 1
+        print(f"FAILED rates: {type(exc).__name__}: {exc}")
+        return 1
     print(f"rates table at version {table.version()}")
     return 0
 
@@ -191,6 +194,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--landing", required=True)
     s.add_argument("--table", required=True)
     s.add_argument("--checkpoint", required=True)
+    s.add_argument("--log", help="load log: started and success or failed of every micro-batch")
     m = sub.add_parser("build")
     m.add_argument("--warehouse", required=True)
     m.add_argument("--source", required=True)

@@ -232,14 +232,14 @@ class DataCheckError(ValueError):
 
 def require_rows(n: int, what: str) -> None:
     if n == 0:
-        raise DataCheckError(f"{what}: source has no data rows, refusing to replace table")
+        raise DataCheckError(f"{what}: no data rows in the source; the table stays as it is")
 
 
 def require_equal_counts(source_rows: int, loaded_rows: int, what: str) -> None:
     require_rows(source_rows, what)
     if source_rows != loaded_rows:
         raise DataCheckError(
-            f"row count mismatch for {what}: source has {source_rows}, loaded {loaded_rows}")
+            f"{what}: {loaded_rows} rows loaded of {source_rows} in the source (count mismatch)")
 
 
 def require_unique_keys(df: DataFrame, keys: Sequence[str], what: str) -> None:

@@ -9,10 +9,15 @@ Storage layout of a ``VersionedTable`` at ``root``::
 A partitioned table writes ``root/data/<version-id>/slc_part=<value>/`` folders
 and its commit file is a JSON manifest {partition value: folder, schema}.
 
-A write goes to a fresh data folder; only after it is complete and counted is
-the next commit file created (create-if-absent, so two writers cannot both
-commit the same version).  Readers take the highest commit.  A failed write
-leaves the previous version in place and its staged folder is removed.
+A write goes to a fresh data folder and is counted while it is written (one pass);
+only then is the next commit file moved into place, unless it exists.  On file systems
+whose rename refuses an existing target (HDFS, local) two writers cannot both commit a
+version; a store without such a rename needs one writer at a time.  Readers take the
+highest commit.  A failed write leaves the previous version in place and its staged
+folder is removed.
+
+A commit may name the stream batch it holds (``batch``); the manifest carries the last
+batch of every stream on, so a replayed batch is recognised.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -100,22 +105,27 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def applied_batch(self, stream: str) -> int | None:
+        """The last batch of ``stream`` that a commit holds."""
+        return ((self._manifest() or {}).get("applied") or {}).get(stream)
+
+    def holds_batch(self, stream: str, number: int) -> bool:
+        last = self.applied_batch(stream)
+        return last is not None and last >= number
+
     # ------------------------------------------------------------ writing
-    def _write(self, df: DataFrame, name: str, staged: str, partition_by: Sequence[str] = ()) -> dict:
+    def _write(self, df: DataFrame, name: str, staged: str, partition_by: Sequence[str] = ()) -> tuple[dict, int]:
+        """(partition folders, rows), counted by the write itself."""
         if self.partition_expr:
             # rows of a partition value meet before the write: few files per value
-            writer = df.withColumn(_PART, F.expr(self.partition_expr).cast("string"))
-            writer.hint("rebalance", _PART).write.mode("errorifexists").partitionBy(_PART).parquet(staged)
+            out = df.withColumn(_PART, F.expr(self.partition_expr).cast("string")).hint("rebalance", _PART)
+            rows = write_counted(out, staged, [_PART])
             parts = {}
             for folder in fs.list_names(self.spark, staged):
                 if folder.startswith(_PART + "="):
                     parts[unquote(folder[len(_PART) + 1:])] = f"{name}/{folder}"
-            return parts
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(staged)
-        return {}
+            return parts, rows
+        return {}, write_counted(df, staged, partition_by)
 
     def replace(self, df: DataFrame, expected_rows: int | None = None,
                 partition_by: Sequence[str] = ()) -> int:
@@ -128,24 +138,23 @@ class VersionedTable:
                                       base=self.version())
 
     def _write_and_commit(self, df: DataFrame, expected_rows, partition_by, keep: dict,
-                          base: int) -> int:
+                          base: int, batch: tuple[str, int] | None = None) -> int:
         name = uuid.uuid4().hex
         staged = f"{self.root}/{_DATA}/{name}"
         committed = False
         try:
-            parts = self._write(df, name, staged, partition_by)
-            if self.partition_expr:
-                paths = [f"{self.root}/{_DATA}/{p}" for p in parts.values()]
-                written = self.spark.read.schema(df.schema).parquet(*paths).count() if paths else 0
-            else:
-                written = self.spark.read.parquet(staged).count()  # count what was written
+            parts, written = self._write(df, name, staged, partition_by)
             if expected_rows is not None:
                 require_equal_counts(expected_rows, written, self.root)
+            applied = dict((self._manifest() or {}).get("applied") or {})
+            if batch is not None:
+                applied[batch[0]] = batch[1]
+            facts = {"applied": applied} if applied else {}
             if self.partition_expr:
                 body = json.dumps({"parts": {**keep, **parts}, "schema": df.schema.json(),
-                                   "partition_expr": self.partition_expr}, sort_keys=True)
+                                   "partition_expr": self.partition_expr, **facts}, sort_keys=True)
             else:
-                body = name
+                body = json.dumps({"path": name, **facts}) if facts else name
             self._commit(body, base)
             committed = True
             return written
@@ -207,34 +216,46 @@ class VersionedTable:
                 fs.delete(self.spark, f"{commits}/{name}")   # commit file (and its checksum)
         return removed
 
-    def upsert(self, source: DataFrame, keys: Sequence[str],
-               expected_rows: int | None = None) -> int:
+    def upsert(self, source: DataFrame, keys: Sequence[str], expected_rows: int | None = None,
+               batch: tuple[str, int] | None = None) -> int:
         """Create on first write, keyed MERGE afterwards; returns rows written
         (for a partitioned table: rows of the rewritten partitions).  With
         ``expected_rows`` the batch must hold that many (pass a written batch: it is
-        read more than once).  Without ``partition_expr`` a merge rewrites the whole
-        table; give one for anything large."""
+        read more than once).  ``batch`` (stream, number) is recorded with the commit; a
+        batch that a commit already holds is left alone.  Without ``partition_expr`` a
+        merge rewrites the whole table; give one for anything large."""
+        if batch is not None and self.holds_batch(*batch):
+            return 0
         require_unique_keys(source, keys, self.root)
         if expected_rows is not None:
             require_equal_counts(expected_rows, source.count(), self.root)
         base = self.version()
         if base == 0:
-            return self._write_and_commit(source, None, (), keep={}, base=0)
+            return self._write_and_commit(source, None, (), keep={}, base=0, batch=batch)
         if not self.partition_expr:
             merged = merge_by_keys(self.read(), source, keys)
-            return self._write_and_commit(merged, None, (), keep={}, base=base)
+            return self._write_and_commit(merged, None, (), keep={}, base=base, batch=batch)
         touched = [_part_key(r[0]) for r in  # distinct partition values: bounded, small
                    source.select(F.expr(self.partition_expr).cast("string")).distinct().collect()]
         current = self._manifest()["parts"]
         merged = merge_by_keys(self.read(partitions=touched), source, keys)
         keep = {k: v for k, v in current.items() if k not in set(touched)}
-        return self._write_and_commit(merged, None, (), keep=keep, base=base)
+        return self._write_and_commit(merged, None, (), keep=keep, base=base, batch=batch)
+
+
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Write ``df`` as Parquet; the rows are counted in the same pass."""
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
+    return int(seen.get.get("rows") or 0)
 
 
 def _manifest_folders(body: str) -> set[str]:
     """Top-level data folders a commit file refers to."""
     if body.startswith("{"):
-        return {rel.split("/", 1)[0] for rel in json.loads(body)["parts"].values()}
+        facts = json.loads(body)
+        return {facts["path"]} if "path" in facts else {rel.split("/", 1)[0] for rel in facts["parts"].values()}
     return {body}
 
 

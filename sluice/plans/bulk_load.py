@@ -4,8 +4,8 @@ Per table (tables run as concurrent Spark jobs): log 'started' -> land the sourc
 ``landing/<source>/<table>/load_date=<D>/`` (replacing an earlier landing of the
 day) -> count the records of the source itself, independently of the parse ->
 read the landed files all-string, columns by header name, with audit columns -> write a
-new version, check the written count against the source count, commit ->
-log 'success' (or 'failed' with the error).  A failed table does not stop
+new version, counting rows as they are written, check that count against the source's,
+commit -> log 'success' (or 'failed' with the error and the landing folder).  A failed table does not stop
 the others; the job raises at the end if any failed.
 """
 
@@ -20,10 +20,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 
 from ..operators import runlog
-from ..operators.quality import DataCheckError, require_rows
+from ..operators.quality import require_rows
 from ..operators.tables import VersionedTable, with_audit
-from ..sources.csv_files import read_by_header, total_records
-from ..sources.csv_split import ragged_records
+from ..sources.csv_files import name_ragged, read_by_header, total_records
 from ..sources.landing import land_files, landing_dir
 from ..sources.manifest import check_manifest, source_files
 
@@ -64,23 +63,16 @@ def load_table(spark: SparkSession, table: str, src: str, landing_root: str,
     """``quoted_newlines``: fields may hold line breaks (a file is then one task);
     False lets Spark split files by block.  The same values either way."""
     day_dir = landing_dir(landing_root, source, table, load_date)
-    landed = land_files(spark, source_files(spark, src), landing_root, source, table, load_date, base=src)
+    land_files(spark, source_files(spark, src), landing_root, source, table, load_date, base=src)
     src_rows = total_records(spark, src)
     require_rows(src_rows, table)
-    df = with_audit(read_by_header(spark, landed, table, quoted_newlines=quoted_newlines), day_dir)
+    df = with_audit(read_by_header(spark, day_dir, table, quoted_newlines=quoted_newlines), day_dir)
     target = VersionedTable(spark, f"{warehouse_root}/{source}_{table}")
     try:
         loaded = target.replace(df, expected_rows=src_rows)
-    except Exception as exc:
-        if "alformed" not in str(exc):
-            raise
-        # only on failure: name the records whose field count is wrong, with lines
-        ragged = ragged_records(spark, day_dir)
-        bad = ragged.orderBy("file", "line").limit(5).collect()
-        where = "; ".join(f"{r['file'].rsplit('/', 1)[-1]} line {r['line']}: {r['record'][:80]!r}"
-                          for r in bad) + f" ({ragged.count()} in all)"
-        raise DataCheckError(f"{table}: records with a field count other than the header's: "
-                             f"{where}") from exc
+    except Exception:
+        name_ragged(spark, day_dir, table)       # a better error, if ragged records are the reason
+        raise
     return LoadResult(table, "success", src_rows, loaded, day_dir)
 
 
@@ -88,23 +80,25 @@ def _load_logged(spark: SparkSession, table: str, src: str, landing_root: str,
                  warehouse_root: str, log_path: str, source: str, load_date: dt.date,
                  run_id: str, quoted_newlines: Mapping[str, bool]) -> LoadResult:
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    uri = landing_dir(landing_root, source, table, load_date)
     sc = spark.sparkContext
     sc.setJobGroup(f"sluice:{run_id}:{table}", f"load {source}.{table}")   # thread-local
-    runlog.log_event(spark, log_path, run_id, source, table, "started", started)
+
+    def log(status: str, **facts) -> None:
+        runlog.log_event(spark, log_path, run_id, source, table, status, started, **facts)
+
+    log("started")
     try:
         res = load_table(spark, table, src, landing_root, warehouse_root, source, load_date,
                          quoted_newlines.get(table, True))
-        runlog.log_event(spark, log_path, run_id, source, table, "success", started,
-                         uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
-    except KeyboardInterrupt:
+        log("success", uri=res.uri, source_rows=res.source_rows, loaded_rows=res.loaded_rows)
+    except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest
+        res = LoadResult(table, "failed", uri=uri, error=f"{type(exc).__name__}: {exc}")
+        log("failed", uri=uri, error=res.error)
+    except BaseException as exc:
         # an interrupted load is logged as failed instead of leaving a dead run
-        runlog.log_event(spark, log_path, run_id, source, table, "failed", started,
-                         error="KeyboardInterrupt: load interrupted")
+        log("failed", uri=uri, error=f"{type(exc).__name__}: load interrupted")
         raise
-    except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the rest
-        res = LoadResult(table, "failed", error=f"{type(exc).__name__}: {exc}")
-        runlog.log_event(spark, log_path, run_id, source, table, "failed", started,
-                         error=res.error)
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     return res

@@ -514,7 +514,32 @@ SQL["q_incremental_load"] = with_ctes("raw_rates") + """
            OBS_STATUS
     FROM raw_rates WHERE CURRENCY IN ('GBP', 'BRL') AND TIME_PERIOD <= '2001-12-31'"""
 SQL["q_stream_upsert"] = with_ctes("raw_rates") + """
-    SELECT "KEY", CURRENCY, TIME_PERIOD, OBS_VALUE, OBS_STATUS FROM raw_rates"""
+    SELECT "KEY", CURRENCY, TIME_PERIOD,
+           CASE WHEN TIME_PERIOD >= '1997-01-01'
+                THEN CAST(CAST(CAST(OBS_VALUE AS DECIMAL(18,2)) + 0.01 AS DECIMAL(18,2)) AS VARCHAR)
+                ELSE OBS_VALUE END AS OBS_VALUE, OBS_STATUS
+    FROM raw_rates"""
+SQL["q_stream_log"] = with_ctes("raw_rates") + """
+    SELECT status, CASE WHEN status = 'success' THEN n END AS source_rows,
+           CASE WHEN status = 'success' THEN n END AS loaded_rows, true AS one_per_commit
+    FROM (SELECT CAST(count(*) + count_if(TIME_PERIOD >= '1997-01-01') AS BIGINT) AS n FROM raw_rates),
+         (VALUES ('started'), ('success')) s(status)"""
+SQL["q_load_outcomes"] = """
+    SELECT 'customer' AS table_name, 'success' AS status, count(*) AS source_rows, count(*) AS loaded_rows,
+           'tpch/customer/load_date=2024-01-01' AS landing, NULL AS error, true AS timed FROM customer
+    UNION ALL
+    SELECT 'part', 'success', count(*), count(*), 'tpch/part/load_date=2024-01-01', NULL, true FROM part
+    UNION ALL
+    SELECT 'supplier', 'failed', NULL, NULL, 'tpch/supplier/load_date=2024-01-01', CAST(count(*) + 2 AS VARCHAR), true
+    FROM supplier
+    UNION ALL
+    SELECT 'region', 'failed', NULL, NULL, 'tpch/region/load_date=2024-01-01', 'no rows', true"""
+SQL["q_ragged_rows"] = """
+    SELECT line, record FROM (
+        SELECT s_suppkey, 1 + row_number() OVER (ORDER BY s_suppkey) AS line,
+               CASE WHEN s_suppkey % 10 = 0 THEN s_suppkey || ',' || s_name
+                    ELSE s_suppkey || ',' || s_name || ',' || s_nationkey || ',x' END AS record
+        FROM supplier) WHERE s_suppkey % 10 = 0 OR s_suppkey % 15 = 0"""
 
 _STATES = "'created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered', 'unavailable', 'canceled'"
 CTES["stg_customers"] = "SELECT CAST(c_custkey AS VARCHAR) AS customer_id FROM customer"

@@ -569,24 +569,118 @@ def q_incremental_load(spark, d):
     return table.select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
 
 
-@proof
-def q_stream_upsert(spark, d):
-    """Rates landed as one folder per year, consumed by the file stream in
-    several micro-batches, each upserted; the final table."""
+REVISED_FROM = "1997-01-01"          # the second landing revises the rates of this day and later
+
+
+def _streamed_rates(spark, d):
+    """Two landings, each consumed by the file stream in several micro-batches: the rates,
+    one file per year, then revised values (+0.01) from REVISED_FROM on.  Then the last
+    micro-batch is replayed as after a failure between commit and checkpoint.
+    (table, log path)"""
+    from .. import fs
     from ..sources.landing import land_frame, landing_dir
     from ..streaming.rate_stream import run_rate_stream
 
     work = new_work_dir(spark, "stream")
     rates = raw_tables.raw_fx_rates(spark, d)
-    cols = rates.columns
-    land_frame(rates.withColumn("load_date", F.concat(F.substring("TIME_PERIOD", 1, 4),
-                                                      F.lit("-01-01"))),
-               f"{work}/landing", "ecb", "rates", partition_col="load_date")
-    table = run_rate_stream(spark, landing_dir(f"{work}/landing", "ecb", "rates"), cols,
-                            f"{work}/rates", f"{work}/checkpoint", max_files_per_trigger=4)
+    cols, log = rates.columns, f"{work}/log"
+    revised = rates.filter(F.col("TIME_PERIOD") >= REVISED_FROM).withColumn(
+        "OBS_VALUE", (to_numeric("OBS_VALUE") + F.lit(0.01)).cast("decimal(18,2)").cast("string"))
+    folder = landing_dir(f"{work}/landing", "ecb", "rates")
+
+    def consume():
+        return run_rate_stream(spark, folder, cols, f"{work}/rates", f"{work}/checkpoint", max_files_per_trigger=4,
+                               log_path=log)
+
+    for landing, day in ((rates, "-12-31"), (revised, "-12-31-revised")):
+        by_year = landing.withColumn("load_date", F.concat(F.substring("TIME_PERIOD", 1, 4), F.lit(day)))
+        land_frame(by_year.repartition("load_date"), f"{work}/landing", "ecb", "rates", partition_col="load_date")
+        table = consume()
+    batches = [n for n in fs.list_names(spark, f"{work}/checkpoint/commits") if n.isdigit()]
+    last = max(batches, key=int)
+    for name in (last, f".{last}.crc"):       # the checkpoint never heard of the last batch
+        fs.delete(spark, f"{work}/checkpoint/commits/{name}")
+    table = consume()
+    assert [n for n in fs.list_names(spark, f"{work}/checkpoint/commits") if n == last]
+    return table, log
+
+
+@proof
+def q_stream_upsert(spark, d):
+    """The table after two landings (the second revises keys) and a forced replay."""
+    table, _ = _streamed_rates(spark, d)
     return table.read().select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
 
 
+@proof
+def q_stream_log(spark, d):
+    """The stream's log after the same: one started and one success per batch, the
+    records of all files, one commit per batch, nothing for the replay."""
+    table, path = _streamed_rates(spark, d)
+    log = runlog.read_log(spark, path)
+    return log.groupBy("status").agg(
+        F.sum("source_row_count").cast(INT64).alias("source_rows"), F.sum("loaded_row_count").cast(INT64).alias("loaded_rows"),
+        (F.count(F.lit(1)) == F.lit(table.version())).alias("one_per_commit"))
+
+
+@proof
+def q_load_outcomes(spark, d):
+    """The log of a bulk load in which one table has a ragged record and one no records:
+    the latest outcome of each table with its landing folder and the kind of error."""
+    from .bulk_load import BulkLoadFailed, bulk_load
+
+    work = new_work_dir(spark, "outcomes")
+    line = lambda df: F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns])
+    supplier = raw_tables.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    whole = supplier.agg(F.max("s_suppkey").alias("m"))
+    manifest = {}
+    for name in ("customer", "part"):
+        raw_tables.table(spark, d, name).write.options(header="true", escape='"').csv(f"{work}/export/{name}")
+        manifest[name] = f"{work}/export/{name}"
+    # A header and its records in one file: Spark writes them as one sorted column of text.
+    lines = spark.createDataFrame([(0, "s_suppkey,s_nationkey")], "k long, value string").unionByName(
+        supplier.select(F.col("s_suppkey").cast("long").alias("k"), line(supplier).alias("value"))).unionByName(
+        whole.select((F.col("m") + 1).cast("long").alias("k"), F.col("m").cast("string").alias("value")))
+    lines.repartition(1).sortWithinPartitions("k").select("value").write.text(f"{work}/export/supplier")
+    manifest["supplier"] = f"{work}/export/supplier"
+    spark.createDataFrame([("r_regionkey,r_name",)], "value string").coalesce(1).write.text(f"{work}/export/region")
+    manifest["region"] = f"{work}/export/region"
+    try:
+        bulk_load(spark, manifest, f"{work}/landing", f"{work}/warehouse", f"{work}/log", "tpch", load_date=LOAD_DATE)
+    except BulkLoadFailed:
+        pass
+    log = runlog.read_log(spark, f"{work}/log").filter(F.col("status") != "started")
+    message = F.col("error_message")
+    return log.select(
+        "table_name", "status", F.col("source_row_count").alias("source_rows"), F.col("loaded_row_count").alias("loaded_rows"),
+        F.regexp_extract("landing_uri", "(tpch/.*)$", 1).alias("landing"),
+        F.when(message.contains("field count"), F.regexp_extract(message, "line ([0-9]+): '([0-9]+)'", 1))
+         .when(message.contains("no data rows"), F.lit("no rows")).alias("error"),
+        (F.col("duration_seconds") >= 0).alias("timed"))
+
+
+def _ragged_source(spark, d) -> str:
+    """Suppliers as CSV text in the order of their keys; every tenth record lacks a field,
+    every fifteenth has one too many."""
+    s = raw_tables.table(spark, d, "supplier")
+    record = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string"))
+    value = F.when(F.col("s_suppkey") % 10 == 0, F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name")).when(
+        F.col("s_suppkey") % 15 == 0, F.concat(record, F.lit(",x"))).otherwise(record)
+    lines = s.select(F.col("s_suppkey").cast("long").alias("k"), value.alias("value")).unionByName(
+        spark.createDataFrame([(-1, "id,name,nation")], "k long, value string"))
+    path = f"{new_work_dir(spark, 'ragged')}/supplier"
+    lines.repartition(1).sortWithinPartitions("k").select("value").write.text(path)
+    return path
+
+
+@proof
+def q_ragged_rows(spark, d):
+    """Every ragged record of a source with the line it begins on."""
+    from ..sources.csv_files import ragged_rows
+
+    return ragged_rows(spark, _ragged_source(spark, d)).select(F.col("line").cast(INT64).alias("line"), "record")
+
+
 @proof
 def q_build_tests(spark, d):
     """The whole build on the stand-in raw tables: staging views, intermediates,
@@ -606,26 +700,17 @@ def q_build_tests(spark, d):
     return build(spark, raw, new_work_dir(spark, "build-fct"), register_views=False).tests
 
 
-SPLIT_BYTES = 64 * 1024     # small splits, so long multi-line texts cross split boundaries
-
-
 @proof
 def q_csv_split_roundtrip(spark, d):
-    """Every document (whole texts, with their newlines and quotes) landed as
-    CSV and loaded back by the splittable parser, split by split."""
-    from ..sources.csv_split import read_csv_parallel
+    """Every document (whole texts, with their newlines and quotes) landed as CSV and
+    loaded back, counted against the records of the files."""
+    from ..sources.csv_files import read_by_header, total_records
     from ..sources.landing import land_frame
 
     work = new_work_dir(spark, "csv-split")
     docs = raw_tables.table(spark, d, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
     folder = land_frame(docs, work, "corpus", "documents", load_date=LOAD_DATE)
-    key = "spark.sql.files.maxPartitionBytes"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(SPLIT_BYTES))
-    try:
-        t = VersionedTable(spark, f"{work}/loaded")
-        t.replace(read_csv_parallel(spark, folder))
-    finally:
-        spark.conf.set(key, old)
+    t = VersionedTable(spark, f"{work}/loaded")
+    t.replace(read_by_header(spark, folder, "documents"), expected_rows=total_records(spark, folder))
     return t.read()

@@ -9,7 +9,7 @@
   each input split is summarised in its own task (mapInPandas over the split's
   (quotes, blank) pairs, in order); only one small row per split is shuffled,
   and the quote parity is carried from split to split per file.
-* ``ragged_rows`` lists records whose field count differs from the header.
+* ``ragged_rows`` lists records whose field count differs from the header, with lines.
 * ``read_by_header`` reads many files whose headers may order the columns
   differently: columns are matched by name, never by position.
 """
@@ -73,58 +73,95 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return spark.read.options(**opts).schema(string_schema(cols)).csv(path)
 
 
-def header_groups(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header -> its files, from the first non-blank line of every file (one
-    JVM-side scan, one row per file); files without a line are left out."""
-    if len(files) == 1:
-        only = tuple(read_header(spark, files[0]))
-        return {only: list(files)} if only else {}
-    lines = spark.read.text(list(files)).where(
+def _paths(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
+
+
+def _header_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, line): the first non-blank line of every file."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(_paths(path)).where(
         (F.col("_metadata.file_block_start") == 0) & (F.length("value") > 0)).select(
         F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, line in lines.groupBy("file").agg(F.min_by("value", "at")).collect():
-        file, line = unquote(file), line.removeprefix("\ufeff")
+    return lines.groupBy("file").agg(F.min_by("value", "at").alias("line"))
+
+
+def header_groups(spark: SparkSession, path: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> what to read with it: the given paths where all files share a header, else
+    its files.  One row per distinct header line reaches the driver; file names only where
+    headers differ.  Files without a line are left out."""
+    first = _header_lines(spark, path)
+    found = first.groupBy("line").agg(F.min("file").alias("file"), F.count(F.lit(1)).alias("n")).collect()
+    names = {}
+    for r in found:
+        line = r["line"].removeprefix("\ufeff")
         whole = line.count('"') % 2 == 0            # else a name goes on past the line
-        names = next(csv.reader([line])) if whole else read_header(spark, file)
-        groups.setdefault(tuple(names), []).append(file)
+        names[r["line"]] = tuple(next(csv.reader([line])) if whole else read_header(spark, unquote(r["file"])))
+    if len(set(names.values())) <= 1:
+        return {header: _paths(path) for header in names.values()}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for r in first.collect():
+        groups.setdefault(names[r["line"]], []).append(unquote(r["file"]))
     return {h: sorted(groups[h]) for h in sorted(groups)}
 
 
-def read_by_header(spark: SparkSession, files: Sequence[str], what: str, extra_options: dict | None = None,
-                   quoted_newlines: bool = True, may_lack_columns: bool = False,
+def read_by_header(spark: SparkSession, path: str | Sequence[str], what: str, extra_options: dict | None = None,
+                   quoted_newlines: bool = True, may_lack_columns: bool = False, required: Sequence[str] = (),
                    file_column: str | None = None) -> DataFrame:
-    """All-string scan of files, each by its own header; columns meet by name.
-    Files that lack a column of the others are refused, or give NULL there.
+    """All-string scan of files or folders, each file by its own header; columns meet by
+    name.  Files that lack a column of the others are refused, or give NULL there.
     ``file_column`` names a column for the path of each row's file."""
-    groups = header_groups(spark, files)
+    groups = header_groups(spark, path)
     if not groups:
         raise DataCheckError(f"{what}: no header row")
     if len({frozenset(h) for h in groups}) > 1 and not may_lack_columns:
         raise DataCheckError(f"{what}: files with other columns: " + "; ".join(
             f"{', '.join(h)} ({len(of)} file(s), e.g. {of[0].rsplit('/', 1)[-1]})" for h, of in groups.items()))
     out = None
+    options = {"recursiveFileLookup": "true", **(extra_options or {})}
     for header, of in groups.items():
-        part = read_raw_csv(spark, of, header, extra_options=extra_options, quoted_newlines=quoted_newlines)
+        part = read_raw_csv(spark, of, header, required, extra_options=options, quoted_newlines=quoted_newlines)
         if file_column:
             part = part.withColumn(file_column, F.col("_metadata.file_path"))
         out = part if out is None else out.unionByName(part, allowMissingColumns=may_lack_columns)
     return out
 
 
-def ragged_rows(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Records whose field count is not the header's, as raw text."""
+def ragged_rows(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """(file, line, record): records whose field count is not the header's, as raw text,
+    with the line they begin on.
+
+    The records come from Spark's corrupt-record column; their lines from a scan of the
+    text, numbered per split with the lines of the splits before it added.  Of equal
+    first lines in a file the first one is named."""
     cols = list(columns) if columns is not None else read_header(spark, path)
     schema = string_schema(cols).add("_corrupt_record", T.StringType())
     opts = {**CSV_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record",
+            "recursiveFileLookup": "true",
             "enforceSchema": "true"}      # the schema has one column more than the header
-    df = spark.read.options(**opts).schema(schema).csv(path)
+    df = spark.read.options(**opts).schema(schema).csv(_paths(path))
     # referencing the data columns too keeps the full parse (Spark refuses a
     # query on the corrupt-record column alone)
     touches_all = F.length(F.concat_ws("\u0001", *[F.col(c) for c in cols])) >= 0
-    return (df.filter(F.col("_corrupt_record").isNotNull() & touches_all)
-              .select(F.col("_metadata.file_path").alias("file"),
-                      F.col("_corrupt_record").alias("record")))
+    found = df.filter(F.col("_corrupt_record").isNotNull() & touches_all).select(
+        F.col("_metadata.file_path").alias("file"), F.rtrim(F.col("_corrupt_record")).alias("record")).withColumn(
+        "value", F.regexp_extract("record", "^[^\\r\\n]*", 0)).distinct()
+    lines = spark.read.option("recursiveFileLookup", "true").text(_paths(path)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.rtrim("value").alias("value"), F.monotonically_increasing_id().alias("at"))
+    splits = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    hits = lines.join(found, ["file", "value"]).join(splits, ["file", "block"])
+    return hits.groupBy("file", "record").agg(F.min(F.col("at") - F.col("first") + F.col("before") + 1).alias("line"))
+
+
+def name_ragged(spark: SparkSession, path: str | Sequence[str], what: str, most: int = 5) -> None:
+    """After a failed read: raise an error that names ragged records, if there are any."""
+    for header, of in header_groups(spark, path).items():
+        bad = ragged_rows(spark, of, header).orderBy("file", "line").limit(most).collect()
+        if bad:
+            raise DataCheckError(f"{what}: records with a field count other than the header's: " + "; ".join(
+                f"{unquote(r['file']).rsplit('/', 1)[-1]} line {r['line']}: {r['record'][:80]!r}" for r in bad))
 
 
 _SUMMARY = T.StructType([
@@ -137,7 +174,7 @@ _SUMMARY = T.StructType([
 ])
 
 
-def line_facts(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
+def line_facts(spark: SparkSession, path: str | Sequence[str], quote: str = '"') -> DataFrame:
     """One row per text line, in split order: (file, block, quotes, blank).
 
     Quote counts and blank flags are computed JVM-side (codegen); only these
@@ -146,7 +183,7 @@ def line_facts(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """
     value = F.when(F.col("_metadata.file_block_start") == 0,
                    F.regexp_replace("value", "^\\ufeff", "")).otherwise(F.col("value"))
-    return spark.read.option("recursiveFileLookup", "true").text(path).select(
+    return spark.read.option("recursiveFileLookup", "true").text(_paths(path)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         (F.length(value) - F.length(F.replace(value, F.lit(quote), F.lit(""))))
@@ -191,7 +228,7 @@ def _summarise_splits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
             "lines": [state[k][3] for k in order]})
 
 
-def count_records(spark: SparkSession, path: str, has_header: bool = True,
+def count_records(spark: SparkSession, path: str | Sequence[str], has_header: bool = True,
                   quote: str = '"') -> DataFrame:
     """(file, records): data records per file, blank lines not counted.
     ``quote`` is the quote character (doubled inside quoted fields)."""
@@ -207,7 +244,7 @@ def count_records(spark: SparkSession, path: str, has_header: bool = True,
     return per_file.withColumn("records", F.col("records").cast("bigint"))
 
 
-def total_records(spark: SparkSession, path: str, has_header: bool = True,
+def total_records(spark: SparkSession, path: str | Sequence[str], has_header: bool = True,
                   quote: str = '"') -> int:
     row = count_records(spark, path, has_header, quote).agg(F.sum("records")).first()
     return int(row[0] or 0)
