@@ -13,8 +13,19 @@ from __future__ import annotations
 ZONE = "America/Sao_Paulo"
 
 
+def _to_utc(wall: str) -> str:
+    return f"(({wall} AT TIME ZONE '{ZONE}') AT TIME ZONE 'UTC')"
+
+
+def _to_wall(utc: str) -> str:
+    return f"(({utc} AT TIME ZONE 'UTC') AT TIME ZONE '{ZONE}')"
+
+
 def _utc(expr: str) -> str:
-    return f"((CAST({expr} AS TIMESTAMP) AT TIME ZONE '{ZONE}') AT TIME ZONE 'UTC')"
+    """Of the two instants of a repeated wall-clock time the earlier one (the engine takes the later)."""
+    wall = f"CAST({expr} AS TIMESTAMP)"
+    hour_before = f"({_to_utc(wall)} - INTERVAL 1 HOUR)"
+    return f"CASE WHEN {_to_wall(hour_before)} = {wall} THEN {hour_before} ELSE {_to_utc(wall)} END"
 
 
 def _local_date(expr: str) -> str:
@@ -33,15 +44,21 @@ def _ratio9(num: str, den: str) -> str:
 N = "DECIMAL(38,9)"
 
 CTES: dict[str, str] = {
-    "raw_orders": f"""
+    "raw_orders": """
         SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
                o_orderstatus AS order_status,
-               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp,
-               CAST(NULL AS VARCHAR) AS order_approved_at,
-               CAST(NULL AS VARCHAR) AS order_delivered_carrier_date,
-               CAST(NULL AS VARCHAR) AS order_delivered_customer_date,
+               strftime(day, '%Y-%m-%d') || clock AS order_purchase_timestamp,
+               CASE WHEN o_orderkey % 11 <> 0 THEN strftime(day + 1, '%Y-%m-%d') || clock END AS order_approved_at,
+               CASE WHEN o_orderstatus = 'F' THEN strftime(day + CAST(o_orderkey % 7 + 1 AS INTEGER), '%Y-%m-%d') || clock END
+                   AS order_delivered_carrier_date,
+               CASE WHEN o_orderstatus = 'F' THEN strftime(day + CAST(
+                   CASE WHEN o_orderkey % 53 = 0 THEN -1 ELSE o_orderkey % 38 + 7 END AS INTEGER), '%Y-%m-%d') || clock END
+                   AS order_delivered_customer_date,
                strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_estimated_delivery_date
-        FROM orders""",
+        FROM (SELECT *, CAST(o_orderdate AS DATE) AS day,
+                     ' ' || lpad(CAST(s // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0')
+                         || ':' || lpad(CAST(s % 60 AS VARCHAR), 2, '0') AS clock
+              FROM (SELECT *, (o_orderkey * 7919) % 86400 AS s FROM orders))""",
     "stg_orders": f"""
         SELECT order_id, customer_id, order_status,
                {_utc('order_purchase_timestamp')} AS purchased_at,
@@ -189,6 +206,21 @@ def _fct_variant(items_join: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["q_stg_orders"] = with_ctes("stg_orders") + "SELECT * FROM stg_orders"
+SQL["q_local_times"] = with_ctes("raw_orders") + f"""
+    SELECT order_id, wall, wall_kind, at_utc, CASE WHEN wall_kind = 'overlap' THEN later ELSE at_utc END AS at_utc_later,
+           CAST(at_utc AS DATE) AS utc_date, CAST({_to_wall('at_utc')} AS DATE) AS local_date
+    FROM (SELECT order_id, wall, later, CASE WHEN back <> wall THEN 'gap' WHEN again = wall THEN 'overlap' END AS wall_kind,
+                 CASE WHEN again = wall THEN later - INTERVAL 1 HOUR ELSE later END AS at_utc
+          FROM (SELECT *, {_to_wall('later')} AS back, {_to_wall('(later - INTERVAL 1 HOUR)')} AS again
+                FROM (SELECT order_id, wall, {_to_utc('wall')} AS later
+                      FROM (SELECT order_id, CAST(order_purchase_timestamp AS TIMESTAMP) AS wall FROM raw_orders))))"""
+SQL["q_zone_transitions"] = f"""
+    WITH walls AS (SELECT DISTINCT unnest(generate_series(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP),
+                       CAST(o_orderdate AS DATE) + INTERVAL 1410 MINUTE, INTERVAL 30 MINUTE)) AS wall FROM orders),
+    marked AS (SELECT wall, {_to_wall(_to_utc('wall'))} AS back, {_to_wall('(' + _to_utc('wall') + ' - INTERVAL 1 HOUR)')} AS again
+               FROM walls)
+    SELECT CAST(wall AS DATE) AS wall_date, CASE WHEN back <> wall THEN 'gap' ELSE 'overlap' END AS kind, min(wall) AS wall_from
+    FROM marked WHERE back <> wall OR again = wall GROUP BY 1, 2"""
 SQL["q_stg_customers"] = """
     SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_uid,
            lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import INT64, NUMERIC, to_numeric
 from ..functions.timez import local_to_utc, utc_to_local_date, weekday_name
-from ..operators import keyed, quality, runlog, scan, series
+from ..operators import keyed, quality, runlog, scan, series, zones
 from ..operators.joins import join_small
 from ..operators.tables import VersionedTable, high_water_mark_frame, with_audit
 from ..session import new_work_dir
@@ -50,6 +50,34 @@ def q_stg_orders(spark, d):
     return stg_orders(spark, d)
 
 
+def _zone_changes(spark, d):
+    """Transitions of the business zone over the span of the orders (two scalars)."""
+    lo, hi = raw_tables.table(spark, d, "orders").agg(F.to_date(F.min("o_orderdate")), F.to_date(F.max("o_orderdate"))).first()
+    one = dt.timedelta(days=2)
+    return zones.transitions(spark, BUSINESS_ZONE, lo - one, hi + one)
+
+
+@proof
+def q_local_times(spark, d):
+    """Purchase times with their UTC instant by the rule for repeated times, and both dates."""
+    wall = raw_tables.raw_orders(spark, d).select(
+        "order_id", F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("wall"))
+    changes = _zone_changes(spark, d)
+    first = zones.resolve_wall_clock(wall, "wall", BUSINESS_ZONE, changes, "earlier")
+    both = zones.resolve_wall_clock(first.withColumnRenamed("wall_kind", "kind"), "wall", BUSINESS_ZONE, changes, "later",
+                                    out="at_utc_later")
+    return both.select("order_id", "wall", F.col("kind").alias("wall_kind"), "at_utc", "at_utc_later",
+                       F.to_date("at_utc").alias("utc_date"), utc_to_local_date("at_utc", BUSINESS_ZONE).alias("local_date"))
+
+
+@proof
+def q_zone_transitions(spark, d):
+    """Days of the orders on which the zone skips or repeats wall-clock times."""
+    days = raw_tables.table(spark, d, "orders").select(F.to_date("o_orderdate").alias("wall_date")).distinct()
+    changes = _zone_changes(spark, d).select(F.to_date("wall_from").alias("wall_date"), "kind", "wall_from")
+    return changes.join(days, "wall_date", "left_semi")
+
+
 @proof
 def q_stg_customers(spark, d):
     return stg_customers(spark, d)

@@ -1,7 +1,7 @@
 """Raw all-string tables shaped like the order-analytics sources, derived by
 Spark from the driver's test tables (their stand-ins):
 
-* orders      <- ``orders``  (purchase time = order date, local wall clock)
+* orders      <- ``orders``  (purchase = order date and a time of day from the key, local wall clock)
 * order_items <- ``lineitem`` (price = extended price, freight = quantity)
 * payments    <- ``lineitem`` (type = return flag)
 * fx rates    <- ``orders`` on weekdays: status F quotes GBP, O BRL, others USD,
@@ -35,17 +35,32 @@ def _ts_text(c: str):
     return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
 
 
+def _clock(seconds):
+    """'HH:MM:SS' of seconds since midnight."""
+    two = lambda c: F.lpad(c.cast("bigint").cast("string"), 2, "0")
+    return F.concat_ws(":", two(F.floor(seconds / 3600)), two(F.floor(seconds % 3600 / 60)), two(seconds % 60))
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wall-clock times of day follow from the order key (spread over the whole day, so
+    local and UTC dates differ and daylight-saving changes are met).  Approval a day
+    later, none for every 11th key; hand-over to the carrier 1 to 7 days and delivery 7
+    to 44 days after the purchase for finished orders, every 53rd of them (planted) the
+    day before it."""
     o = table(spark, sf_dir, "orders")
-    none = F.lit(None).cast("string")
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    clock = _clock((key * 7919) % 86400)
+    at = lambda days: F.concat(F.date_format(F.date_add(day, days.cast("int")), "yyyy-MM-dd"), F.lit(" "), clock)
+    finished = F.col("o_orderstatus") == "F"
+    delivery = F.when(key % 53 == 0, F.lit(-1)).otherwise(key % 38 + 7)
     return o.select(
         _s("o_orderkey").alias("order_id"),
         _s("o_custkey").alias("customer_id"),
         F.col("o_orderstatus").alias("order_status"),
-        _ts_text("o_orderdate").alias("order_purchase_timestamp"),
-        none.alias("order_approved_at"),
-        none.alias("order_delivered_carrier_date"),
-        none.alias("order_delivered_customer_date"),
+        at(F.lit(0)).alias("order_purchase_timestamp"),
+        F.when(key % 11 != 0, at(F.lit(1))).alias("order_approved_at"),
+        F.when(finished, at(key % 7 + 1)).alias("order_delivered_carrier_date"),
+        F.when(finished, at(delivery)).alias("order_delivered_customer_date"),
         _ts_text("o_orderdate").alias("order_estimated_delivery_date"))
 
 

@@ -51,3 +51,42 @@ def test_orders_model_all_times_and_audit_passthrough(spark):
     assert r["delivered_customer_at"] == dt.datetime(2018, 3, 9, 18, 0)
     assert r["estimated_delivery_date"] == dt.date(2018, 3, 20)
     assert r["_loaded_at"] is not None and "_loaded_at" in stage(df, "orders").columns
+
+
+def test_zone_transitions_and_rules(spark):
+    import datetime as dt
+
+    import pytest
+
+    from sluice.operators import zones
+
+    T = dt.datetime
+    changes = zones.transitions(spark, "America/Sao_Paulo", dt.date(2017, 6, 1), dt.date(2018, 6, 1))
+    got = [(r["kind"], r["at_utc"], r["wall_from"], r["wall_to"]) for r in changes.orderBy("at_utc").collect()]
+    assert got == [("gap", T(2017, 10, 15, 3), T(2017, 10, 15, 0), T(2017, 10, 15, 1)),
+                   ("overlap", T(2018, 2, 18, 2), T(2018, 2, 17, 23), T(2018, 2, 18, 0))]
+    odd = zones.transitions(spark, "Australia/Lord_Howe", dt.date(2019, 1, 1), dt.date(2020, 1, 1)).collect()
+    assert sorted(abs(r["after_s"] - r["before_s"]) for r in odd) == [1800, 1800]       # half an hour
+    walls = [T(2017, 10, 14, 23, 59, 59), T(2017, 10, 15), T(2017, 10, 15, 0, 30), T(2017, 10, 15, 1),
+             T(2018, 2, 17, 22, 59), T(2018, 2, 17, 23), T(2018, 2, 17, 23, 59, 59), T(2018, 2, 18), None]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(walls)], "i int, w timestamp_ntz")
+    res = {rule: {r["i"]: (r["wall_kind"], r["at_utc"]) for r in zones.resolve_wall_clock(
+        df, "w", "America/Sao_Paulo", changes, rule).collect()} for rule in ("earlier", "later")}
+    assert [res["earlier"][i][0] for i in range(9)] == [None, "gap", "gap", None, None, "overlap", "overlap", None, None]
+    assert res["earlier"][2] == ("gap", T(2017, 10, 15, 3, 30)) == res["later"][2]
+    assert res["earlier"][5][1] == T(2018, 2, 18, 1) and res["later"][5][1] == T(2018, 2, 18, 2)
+    assert res["earlier"][4][1] == T(2018, 2, 18, 0, 59) and res["earlier"][7][1] == T(2018, 2, 18, 3)
+    with pytest.raises(Exception, match="no single instant"):
+        zones.resolve_wall_clock(df, "w", "America/Sao_Paulo", changes, "fail").collect()
+    assert zones.resolve_wall_clock(df.where("i in (0, 3, 4, 7)"), "w", "America/Sao_Paulo", changes, "fail").count() == 4
+
+
+def test_utc_date_instead_of_the_local_one_is_caught(spark):
+    """The fact joins rates by the local purchase day; with the UTC day it differs."""
+    from sluice.functions.timez import utc_date, utc_to_local_date
+    from sluice.plans import models
+
+    o = models.stg_orders(spark, "/root/testdata/sf0.001").select(
+        "order_id", utc_date("purchased_at").alias("u"), utc_to_local_date("purchased_at", "America/Sao_Paulo").alias("l"))
+    n = o.count()
+    assert 0.05 * n < o.where("u <> l").count() < 0.2 * n      # purchases after 21 or 22 o'clock
