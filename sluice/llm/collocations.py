@@ -45,7 +45,7 @@ MIN_COUNT = 10
 TOP = 2000
 COVER_PERCENT = 50           # a longer candidate with this share of the occurrences covers a phrase
 VOCABULARY = 8_000_000       # words numbered in one pass (64 MB of hashes)
-TRIE_PHRASES = 1_500_000     # phrases of one trie, on average
+TRIE_PHRASES = 1_000_000     # phrases of one trie, on average
 CHUNK = 2 << 20              # phrases a task combines at a time
 HELD_WORDS = 1 << 18         # distinct words a task combines at a time
 BUCKETS = 8                  # buckets of the candidate filter per shuffle partition
@@ -196,7 +196,7 @@ def _packed(keys: np.ndarray, n_buckets: int, least: int):
     order = np.argsort(bucket, kind="stable")
     keys, times, bucket = keys[order], times[order], bucket[order]
     heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    tails = np.append(heads[1:], len(keys))
+    tails = np.append(heads, len(keys))[1:]
     return pa.RecordBatch.from_arrays(
         [pa.array(np.ones(len(heads), np.int32)), pa.array(bucket[heads]),
          pa.array([keys[a:b].tobytes() + times[a:b].tobytes() for a, b in zip(heads, tails, strict=True)], pa.binary())],
@@ -271,7 +271,8 @@ def _candidates(packed: DataFrame, parts: int, least: int) -> DataFrame:
 class Trie:
     """Double-array trie of phrases of equal length, as byte strings of their numbers.
 
-    ``cell[i]`` is the accepting state of phrase i.  Nodes of many children get a window
+    Accepting states have no children, so their ``base`` holds the phrase's place among
+    the sorted ``phrases`` (which are not sent with the trie).  Nodes of many children get a window
     of their own, others are tried at random places in rounds, the only children fill
     the holes."""
 
@@ -280,7 +281,7 @@ class Trie:
     def __init__(self, phrases: np.ndarray, width: int):
         self.width, self.words = width, phrases.shape[1]
         phrases = phrases[np.lexsort(phrases.T[::-1])]
-        self.phrases = phrases
+        self.phrases = phrases.astype(np.int32)
         shifts = [8 * (width - 1 - b) for b in range(width)]
         digits = np.stack([(phrases[:, w] >> s) & 255 for w in range(self.words) for s in shifts], axis=1).astype(np.int64)
         m, depth = digits.shape
@@ -301,12 +302,15 @@ class Trie:
             self.base[parent] = cells - symbol
             self.check[cells] = parent
             state = np.repeat(cells, np.diff(np.append(heads, m)))
-        self.cell = state
         size = self.end + 256
         self._grow(size)
         self.base, self.check = self.base[:size].copy(), self.check[:size].copy()
+        self.base[state] = np.arange(m)
         del self.used, self.random
 
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "phrases"} | {"n": len(self.phrases)}
+
     def _grow(self, size: int) -> None:
         if size > len(self.used):
             more = max(size, 2 * len(self.used)) - len(self.used)
@@ -363,7 +367,7 @@ class Trie:
         return base[which]
 
     def walk(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(positions, accepting states) of all phrases that begin at a position of the sequence."""
+        """(positions, places in ``phrases``) of all phrases that begin at a position of the sequence."""
         k = self.words
         if len(ids) < k:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -378,7 +382,7 @@ class Trie:
                 step = self.base[state] + ((word >> (8 * (self.width - 1 - b))) & 255)
                 ok = self.check[step] == state
                 at, state, word = at[ok], step[ok], word[ok]
-        return at, state
+        return at, self.base[state]
 
 
 def _count_pass(trie_of, first_no: int, extend: bool, n_buckets: int, least: int):
@@ -387,25 +391,22 @@ def _count_pass(trie_of, first_no: int, extend: bool, n_buckets: int, least: int
 
     def run(batches):
         trie: Trie = trie_of.value
-        total = np.zeros(len(trie.check), np.int64)
-        number = np.full(len(trie.check), -1, np.int64)
-        number[trie.cell] = np.arange(len(trie.cell))
+        n = np.zeros(trie.n, np.int64)
         held = _Filter(n_buckets, least)
         for batch in batches:
             for body in batch.column(0).to_pylist():
                 ids = np.frombuffer(body, np.int32)
-                at, state = trie.walk(ids)
-                total += np.bincount(state, minlength=len(total))
+                at, found = trie.walk(ids)
+                n += np.bincount(found, minlength=len(n))
                 if extend:
                     after = at + trie.words
                     go = after < len(ids)
                     go[go] = ids[after[go]] >= 0
-                    keys = (number[state[go]] + first_no).astype(np.uint64) << np.uint64(32)
+                    keys = (found[go].astype(np.int64) + first_no).astype(np.uint64) << np.uint64(32)
                     if held.add(keys | ids[after[go]].astype(np.uint64)):
                         yield held.out()
         if extend:
             yield held.out()
-        n = total[trie.cell]
         rows = [(0, i // BLOCK, n[i:i + BLOCK].tobytes()) for i in range(0, len(n), BLOCK) if n[i:i + BLOCK].any()]
         if rows:
             yield pa.RecordBatch.from_arrays(
@@ -415,11 +416,11 @@ def _count_pass(trie_of, first_no: int, extend: bool, n_buckets: int, least: int
     return run
 
 
-def _sum_counts(trie_of, first_no: int):
+def _sum_counts(phrases_of, first_no: int):
     """Blocks in order -> (no, w1.., n): the tasks' counts of each phrase summed."""
 
     def out(block, total):
-        phrases = trie_of.value.phrases[block * BLOCK:block * BLOCK + len(total)]
+        phrases = phrases_of.value[block * BLOCK:block * BLOCK + len(total)]
         number = first_no + block * BLOCK + np.arange(len(total))
         columns = [phrases[:, i] for i in range(phrases.shape[1])]
         return pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), *[pa.array(c, pa.int32()) for c in columns],
@@ -454,16 +455,18 @@ def count_phrases(texts: DataFrame, candidates: DataFrame, words: int, width: in
         keys = np.stack([mine.column(c).to_numpy().astype(np.int64) for c in names], axis=1)
         if len(keys) == 0:
             continue
-        trie_of = spark.sparkContext.broadcast(Trie(keys, width))
+        trie = Trie(keys, width)
+        trie_of, phrases_of = spark.sparkContext.broadcast(trie), spark.sparkContext.broadcast(trie.phrases)
         passed = written(texts.mapInArrow(_count_pass(trie_of, first_no, extend, n_buckets, least),
                                           "kind int, bucket int, body binary"), "phrase-pass")
         raw.append(passed)
         sums = passed.where("kind = 0").select("bucket", "body").repartition(parts, "bucket").sortWithinPartitions(
-            "bucket").mapInArrow(_sum_counts(trie_of, first_no), "no long, " + ", ".join(f"{c} int" for c in names) + ", n long")
+            "bucket").mapInArrow(_sum_counts(phrases_of, first_no), "no long, " + ", ".join(f"{c} int" for c in names) + ", n long")
         counted.append(written(sums, "phrase-counts"))
         longer.append(passed)
         first_no += len(keys)
         trie_of.unpersist()
+        phrases_of.unpersist()
     return _union(counted), _union(longer), raw
 
 
