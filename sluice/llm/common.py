@@ -49,17 +49,32 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.folder = path
+    _KEPT.append(path)
     return out
 
 
+#: Folders of tables written by this process and not removed yet.
+_KEPT: list[str] = []
+
+
+def kept() -> list[str]:
+    return list(_KEPT)
+
+
 def discard(*tables: DataFrame) -> None:
-    """Remove tables of ``written`` once their last reader has been written, and let
-    Spark drop the shuffle files of frames that nothing refers to any more."""
-    spark = None
-    for df in tables:
-        spark = df.sparkSession
-        fs.delete(spark, df.folder)
-    if spark is not None:
+    """Remove tables of ``written`` once their last reader has been written."""
+    if tables:
+        sweep(tables[0].sparkSession, [df.folder for df in tables])
+
+
+def sweep(spark: SparkSession, folders: list[str]) -> None:
+    """Remove folders of ``kept``, and let Spark drop the shuffle files of frames that
+    nothing refers to any more (it does so after a collection of the driver's heap)."""
+    for folder in folders:
+        fs.delete(spark, folder)
+        if folder in _KEPT:
+            _KEPT.remove(folder)
+    if folders:
         spark.sparkContext._jvm.java.lang.System.gc()
 
 

@@ -21,12 +21,15 @@ is not empty exists); else they are kept.
 
 Skew and growth.  Equal sets are one class from the start.  Within a block value
 (``key``) classes are not paired with each other: first each meets one of four
-representatives of the key (linear in the rows), links are verified and
-components built.  Only keys that then still hold several components are looked
-at again, exactly: members meet the members of other components of that key whose
-bit sketch and size allow a link (the condition of the join, so other pairs never
-become rows); large keys are dealt over tasks by pairs of chunks.  So no link
-between components is lost, and links inside one cannot change the result.
+representatives of the key (linear in the rows), links are verified and components
+built.  A key that then still holds several components (and more than the two classes
+already compared) is looked at again, exactly: a task goes over its members' pairs with
+``signature``, a parity sketch as long as the set is (so the bound is as sharp for large
+sets as for small ones), but emits at most one pair per member, its closest partner in
+another component.  Verified pairs join components, refuted ones are remembered; rounds
+repeat, for the keys that emitted a pair, until none has one left that may link.  So no link between components is
+lost, rows stay linear in the members, and links inside a component cannot change the
+result.  Tables are removed as soon as their last reader is written.
 
 Contracts: null or wordless text: empty set, linked with nothing.  Fewer words
 than a shingle: the whole sequence is one token.  Null doc_id: such a row has its
@@ -45,14 +48,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, hash_spans, mix, salted_left_join, strings, text_slices, word_bounds, written
+from .common import LOWER, discard, hash_spans, mix, salted_left_join, strings, text_slices, word_bounds, written
 from .graph import components
 
 SPARE = 2
 SKETCH_WORDS = 16         # bit sketch of 1,024 bits, as longs
 CHUNK_KEYS = 1 << 19      # keys a task combines at a time
 BUCKETS = 16              # buckets of keys per shuffle partition
-CHUNK_MEMBERS = 1000      # members of a key that meet in one task
+CHUNK_MEMBERS = 4000      # members of a key that meet in one task; of larger keys pairs of such chunks
+PAIR_WORDS = 1 << 22      # signature words that a task compares at a time
 
 
 @functools.lru_cache(maxsize=8)
@@ -124,6 +128,21 @@ def bit_sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """Parity of the tokens per bit, four bits or more a token (a power of two of bits)."""
+    bits = 1 << max(8, (4 * len(tokens) - 1).bit_length())
+    return np.packbits((np.bincount(((tokens >> np.uint64(20)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+                        ).astype(np.uint8)).tobytes()
+
+
+def folded(sign: bytes, size: int) -> np.ndarray:
+    """A signature cut to ``size`` bytes: halves XORed, as if it had had fewer bits."""
+    out = np.frombuffer(sign, np.uint8)
+    while len(out) > size:
+        out = out[:len(out) // 2] ^ out[len(out) // 2:]
+    return out
+
+
 def class_of(tokens: np.ndarray) -> int | None:
     """Hash of a set (sorted distinct tokens); None if empty."""
     if len(tokens) == 0:
@@ -133,32 +152,34 @@ def class_of(tokens: np.ndarray) -> int | None:
 
 
 def _sketch(size: int):
-    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch"]
+    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch", "signature"]
 
     def run(batches):
         for batch in batches:
             ids, hashed, texts = batch.column(0), batch.column(1), strings(batch.column(2))
             for lo, hi, data, offs in text_slices(texts):
                 hashes, begin = shingle_hashes(data, offs, size)
-                counts, classes, sketches = [], [], []
+                counts, classes, sketches, signs = [], [], [], []
                 for i in range(hi - lo):
                     tokens = np.unique(hashes[begin[i]:begin[i + 1]])
                     n = len(tokens)
                     counts.append(n)
                     classes.append(class_of(tokens))
                     sketches.append(bit_sketch(tokens) if n else None)
+                    signs.append(signature(tokens) if n else None)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), hashed.slice(lo, hi - lo), pa.array(counts, pa.int64()),
-                     pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))], names)
+                     pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                     pa.array(signs, pa.binary())], names)
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch."""
+    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch, signature."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
                        F.col(text).cast("string").alias("text")).mapInArrow(
-        _sketch(shingle), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>")
+        _sketch(shingle), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>, signature binary")
 
 
 _LOW = np.uint64((1 << 48) - 1)
@@ -314,6 +335,61 @@ def _may_link(a: str, b: str, percent: int):
         hamming * (100 + percent) <= (100 - percent) * (n + m))
 
 
+def _closest(percent: int):
+    """Members in order of (key, i, j) -> (key, a, b): each member with its closest one of
+    another component of the group, of the pairs that may link and are not refuted."""
+
+    def pairs(rows):
+        label = np.array([r[2] for r in rows])
+        if (label == label[0]).all():
+            return set()
+        cls, n = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
+        size = min(len(r[4]) for r in rows)
+        signs = np.stack([folded(r[4], size) for r in rows]).view(np.uint64)
+        chunk, (i, j) = np.array([r[6] for r in rows]), rows[0][7:]
+        left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
+        place = {c: k for k, c in enumerate(cls[right].tolist())}
+        found = set()
+        step = max(1, PAIR_WORDS // max(1, len(right) * signs.shape[1]))
+        for lo in range(0, len(left) if len(right) else 0, step):
+            at = left[lo:lo + step]
+            far = np.bitwise_count(signs[at][:, None, :] ^ signs[right][None, :, :]).sum(axis=2, dtype=np.int64)
+            a, b = n[at][:, None], n[right][None, :]
+            room = (100 - percent) * (a + b) - (100 + percent) * far
+            room[(label[at][:, None] == label[right][None, :]) | (100 * np.minimum(a, b) < percent * np.maximum(a, b))] = -1
+            for k, x in enumerate(at.tolist()):
+                for other in rows[x][5] or ():
+                    if other in place:
+                        room[k, place[other]] = -1
+            for axis, mine, others in ((1, at, right), (0, right, at)):
+                pick = room.argmax(axis=axis)
+                for k in np.flatnonzero(room.max(axis=axis) >= 0).tolist():
+                    x, y = int(cls[mine[k]]), int(cls[others[pick[k]]])
+                    found.add((min(x, y), max(x, y)))
+        return found
+
+    def run(batches):
+        held, now = [], None
+
+        def out(rows):
+            found = sorted(pairs(rows))
+            return pa.RecordBatch.from_arrays([pa.array([rows[0][0]] * len(found), pa.int64()),
+                                               *[pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)]], ["key", "a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                group = (row[0], *row[7:])
+                if group != now:
+                    if held:
+                        yield out(held)
+                    held, now = [], group
+                held.append(row)
+        if held:
+            yield out(held)
+
+    return run
+
+
 def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, key: str, text: str) -> DataFrame:
     """(cls, tokens) of the classes in the pairs, from one text of each.
 
@@ -325,9 +401,20 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int
     body = F.col(text).cast("string")
     bodies = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.xxhash64(body).alias("text_hash"),
                          body.alias("text"))
-    found = bodies.join(written(wanted, "parity-wanted"), ["id", "text_hash"]).select("cls", "text").mapInArrow(
+    wanted = written(wanted, "parity-wanted")
+    found = bodies.join(wanted, ["id", "text_hash"]).select("cls", "text").mapInArrow(
         _sets(shingle), "cls long, tokens array<long>")
-    return written(found.dropDuplicates(["cls"]), "parity-sets")
+    out = written(found.dropDuplicates(["cls"]), "parity-sets")
+    discard(wanted)
+    return out
+
+
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int, key: str, text: str) -> DataFrame:
+    """The pairs whose sets link, as a written table."""
+    sets = _sets_of(pairs, classes, docs, shingle, key, text)
+    out = written(verified(pairs, sets, percent), "parity-links")
+    discard(sets)
+    return out
 
 
 def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: str = "doc_id",
@@ -338,8 +425,10 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
     sets_of = rows.where("cls IS NOT NULL")
     classes = written(sets_of.groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("body"),
-        F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"),
+        F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature"),
         *[F.min(F.element_at("sketch", i + 1)).alias(f"s{i}") for i in range(SKETCH_WORDS)]), "parity-classes")
+    whole, rows = rows, written(rows.select("doc_id", "n_shingles", "cls"), "parity-rows")
+    discard(whole)
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
@@ -352,39 +441,57 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
     star = star.join(info.alias("x"), F.col("a") == F.col("x.cls")).join(
         info.alias("y"), F.col("b") == F.col("y.cls")).where(_may_link("x", "y", percent)).select("a", "b")
     star = written(star, "parity-star")
-
-    edges = written(verified(star, _sets_of(star, classes, docs, shingle, key, text), percent), "parity-star-links")
+    edges = _links(star, classes, docs, shingle, percent, key, text)
     labels = components(edges)
+    discard(star)
 
-    # Keys that hold several components.
-    of = members.select("key", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").select(
-        "key", "cls", F.coalesce("label", "cls").alias("label")).dropDuplicates(["key", "cls"])
-    of = written(of, "parity-labelled")
-    open_keys = of.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
-                                      F.count(F.lit(1)).alias("size")).where("lo <> hi").select(
-        "key", F.ceil(F.col("size") / CHUNK_MEMBERS).cast("int").alias("chunks"))
-    inner = of.join(open_keys, "key").join(info, "cls").withColumn(
+    # Keys of three classes or more that hold several components.
+    label = lambda t: t.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
+        "label", F.coalesce("label", "cls"))
+    of = members.select("key", "cls").distinct()
+    sizes = label(of).groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("size"))
+    chunks = F.ceil(F.col("size") / CHUNK_MEMBERS).cast("int")
+    again = of.join(sizes.where("lo <> hi AND size > 2").select("key", chunks.alias("chunks")), "key").withColumn(
         "chunk", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-    # Chunk pair (i, j), i <= j: members of i on the left, of j on the right.
-    every = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    left = inner.withColumn("other", every).where("chunk <= other").withColumn("i", F.col("chunk")).withColumn("j", F.col("other"))
-    right = inner.withColumn("other", every).where("other <= chunk").withColumn("i", F.col("other")).withColumn("j", F.col("chunk"))
-    cross = left.alias("x").join(right.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i"))
-                                 & (F.col("x.j") == F.col("y.j")) & (F.col("x.label") != F.col("y.label"))
-                                 & ((F.col("x.i") != F.col("x.j")) | (F.col("x.cls") < F.col("y.cls")))
-                                 & _may_link("x", "y", percent))
-    cross = written(cross.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(),
-                    "parity-cross")
-    late = written(verified(cross, _sets_of(cross, classes, docs, shingle, key, text), percent), "parity-late-links")
-    labels = components(edges.unionByName(late))
+    # Pairs (i, j) of chunks, i <= j, that a member belongs to; one for all but the largest keys.
+    again = written(again.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
+        "key", "cls", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).join(
+        classes.select("cls", "n", "signature"), "cls"), "parity-open")
+    discard(members)
+    refuted, hits = None, None
+    while True:
+        now = label(again if hits is None else again.join(hits.select("key").distinct(), "key", "left_semi"))
+        if refuted is None:
+            now = now.withColumn("refuted", F.lit(None).cast("array<long>"))
+        else:
+            both = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            now = now.join(both.groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("refuted")), "cls", "left")
+        found = written(now.select("key", "cls", "label", "n", "signature", "refuted", "chunk", "i", "j").repartition(
+            "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_closest(percent), "key long, a long, b long"),
+            "parity-near")
+        if hits is not None:
+            discard(hits)
+        hits = found
+        near = written(hits.select("a", "b").distinct(), "parity-pairs")
+        if near.isEmpty():
+            break
+        late = _links(near, classes, docs, shingle, percent, key, text)
+        wrong = near.join(late, ["a", "b"], "left_anti")
+        refuted = written(wrong if refuted is None else refuted.unionByName(wrong), "parity-refuted")
+        discard(near)
+        if not late.isEmpty():
+            edges = edges.unionByName(late)
+            labels = components(edges)
+    discard(near, hits, again)
 
     # Component names: the smallest doc_id of its classes.  Only classes with copies or
     # links need a look-up; the others are their own component.
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "label", F.coalesce("label", "cls"))
     names = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("_classes"))
-    lookup = named.join(names, "label").where("copies > 1 OR _classes > 1").select(
-        "cls", "component_id", F.col("rep").alias("class_id"))
+    lookup = written(named.join(names, "label").where("copies > 1 OR _classes > 1").select(
+        "cls", "component_id", F.col("rep").alias("class_id")), "parity-names")
+    discard(classes)
     out = salted_left_join(rows.select("doc_id", "n_shingles", "cls"), lookup, "cls", "doc_id")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
                       F.coalesce("class_id", "doc_id").alias("class_id"))
