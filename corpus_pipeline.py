@@ -2,6 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it
 as Parquet to the shared work folder and hands the reread table to the next one.
+A stage's result must be written before the next stage is called: that one removes the
+scratch tables of the stage before it.
 All stages but the last return the columns of ``documents``.  None can be stated in
 SQL as a whole (suffix arrays, shingle components, Markov scores, random order
 sampling), so ``ORACLE_SQL`` is None and the tests hold each stage against its
@@ -10,6 +12,7 @@ operator and brute force.
 
 from __future__ import annotations
 
+import functools
 import os
 import sys
 
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sluice.llm import bpe_duckdb, parity_join, pareto_mix, repetition, secret_markov  # noqa: E402
-from sluice.llm.common import prepare, table, written  # noqa: E402
+from sluice.llm.common import discard, kept, prepare, sweep, table, written  # noqa: E402
 from sluice.llm.queries import tokenizer  # noqa: E402
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -31,17 +34,36 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
 
 
+#: Scratch tables of the last stage.  Its result has been written when the next one begins.
+_scratch: list[str] = []
+
+
+def _stage(fn):
+    """A stage that first removes what the one before it left in the work folder."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        sweep(spark, _scratch)
+        before = set(kept())
+        out = fn(spark, docs, sf_dir)
+        _scratch[:] = [f for f in kept() if f not in before]
+        return out
+
+    return run_stage
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the repetition rules reject."""
-    prepare(spark)
     return repetition.keep_documents(docs.select(*COLUMNS))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near duplicates (5-word shingles,
     Jaccard 0.8): the one with the smallest doc_id (null last, then the smaller
     key).  Documents without words stay; of rows equal in doc_id and text one stays."""
-    prepare(spark)
     rows = _keyed(docs)
     groups = parity_join.link_components(rows, 5, 80, key="_row").select(
         F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
@@ -51,17 +73,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
 
 
+@_stage
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets by a placeholder; n_chars follows the text."""
-    prepare(spark)
     return secret_markov.redact(docs.select(*COLUMNS)).withColumn(
         "n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as many times as the mix takes it (rows equal in doc_id and
     text share out what the mix takes of them together)."""
-    prepare(spark)
     rows = _keyed(docs)
     copies = pareto_mix.mix_documents(rows, key="_row").where("copies > 0").groupBy(
         F.col("doc_id").alias("_row")).agg(F.sum("copies").alias("copies"))
@@ -69,9 +91,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
+@_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and whether decoding gives the text back."""
-    prepare(spark)
     got = bpe_duckdb.encode(docs, tokenizer("byte_bpe_50k.tiktoken"))
     return got.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
                       F.octet_length("decoded").cast("long").alias("decoded_bytes"))
@@ -85,7 +107,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
