@@ -15,16 +15,24 @@ the next minimum is again the same pair (of overlapping occurrences every other
 one is taken, from the left).  The recursion runs ``STEPS`` steps at a time, so
 rows held are bounded by ``STEPS`` times the bytes of a batch.
 
+A recursion takes a step per merge, or per distinct pair, of its longest word, and holds
+the rows of all its steps.  Matches above ``RECURSIVE_BYTES`` (thousands of letters without
+a blank) would so need hours and gigabytes; they are contracted by a heap of adjacent
+pairs over a linked list instead, with the same result and memory in proportion.
+
 Words already encoded are kept in a bounded two-generation cache of the worker.
 
 Null text: encoded as empty (no tokens).  Null doc_id and repeated rows: a row
-each.  Empty table: no rows.  Special-token strings in a text are ordinary text.
+each.  Empty table: no rows.  Special-token strings in a text are ordinary text.  Very
+long texts are a slice of their own.  Other columns are not read, so their names do not
+matter.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import heapq
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +44,7 @@ from .common import hash_spans, strings, text_slices
 STEPS = 24
 BATCH_BYTES = 96 << 10
 LONG_WORD = 64
+RECURSIVE_BYTES = 2048
 CACHE_WORDS = 600_000
 
 #: One step contracts the leftmost minimum-rank pair of every word.
@@ -133,6 +142,7 @@ class Encoder:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM words")
         self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.ranks, self.limit = ranks, cache_words // 2
+        self.token = {rank: token for token, rank in ranks.items()}
         self.young: dict[bytes, tuple] = {}
         self.old: dict[bytes, tuple] = {}
 
@@ -149,7 +159,12 @@ class Encoder:
         if len(self.young) + len(words) > self.limit:
             self.old, self.young = self.young, {}
         short = [w for w in words if len(w) <= LONG_WORD]
-        long = [w for w in words if len(w) > LONG_WORD]
+        long = [w for w in words if LONG_WORD < len(w) <= RECURSIVE_BYTES]
+        for word in words:
+            if len(word) > RECURSIVE_BYTES:
+                ids = self.contract(word)
+                body = b"".join([self.token[i] for i in ids])
+                self.young[word] = (np.array(ids, np.int32).tobytes(), word if body == word else body)
         for group, query in ((short, _ONE), (long, _ALL)):
             batch, size = [], 0
             for w in group:
@@ -161,6 +176,32 @@ class Encoder:
             if batch:
                 self._run(batch, query)
 
+    def contract(self, word: bytes) -> list[int]:
+        """Ids of a word: the leftmost pair of minimum rank merges until there is none."""
+        token, ranks = self.token, self.ranks
+        ids = [int(self.byte_rank[b]) for b in word]
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        last = len(ids)
+
+        def rank(i):
+            j = after[i]
+            return None if j >= last else ranks.get(token[ids[i]] + token[ids[j]])
+
+        heap = [(r, i) for i in range(last) if (r := rank(i)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            if ids[i] < 0 or rank(i) != r:       # one side has merged since
+                continue
+            gone = after[i]
+            ids[i], ids[gone], after[i] = r, -1, after[gone]
+            if after[i] < last:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and (new := rank(k)) is not None:
+                    heapq.heappush(heap, (new, k))
+        return [x for x in ids if x >= 0]
+
     def _run(self, batch: list[bytes], query: str) -> None:
         data = np.frombuffer(b"".join(batch), np.uint8)
         lens = np.array([len(w) for w in batch], np.int64)

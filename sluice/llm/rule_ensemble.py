@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, hash_spans, strings, text_slices, word_bounds, written
+from .common import IS_SPACE, discard, hash_spans, strings, text_slices, word_bounds, written
 
 STATISTICS = ("n_words", "n_chars", "mean_word", "longest_word", "distinct_share", "top_share", "stutter_share",
               "repeat3_share", "symbol_share", "digit_share", "upper_share", "stop_share", "words_per_line",
@@ -237,12 +237,24 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> Model:
 
 
 def train(stats: DataFrame, labels: DataFrame, label: str = "quality", max_labelled: int = MAX_LABELLED) -> Model:
-    """Fit on at most ``max_labelled`` labelled rows that are not held out."""
-    marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.min(label).cast("double").alias("_label")).where(~held_out())
-    rows = stats.dropDuplicates(["doc_id"]).join(marks, "doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(max_labelled).select("_label", *STATISTICS)
-    got = np.array([tuple(r) for r in rows.collect()], np.float64).reshape(-1, len(STATISTICS) + 1)
+    """Fit on at most ``max_labelled`` labelled rows that are not held out: those of the
+    smallest hashes of doc_id.  A bound on the hash, from their number, keeps the others
+    on the executors.  Of a repeated doc_id the smallest statistics count."""
+    marks = written(labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(label).cast("double").alias("_label")).where(~held_out()).withColumn(
+        "_share", F.xxhash64("doc_id") / F.lit(float(1 << 64)) + 0.5), "rule-labels")
+    n = marks.count()
+    rows, share = [], 1.5 * max_labelled / max(1, n)
+    while True:
+        some = marks.where(F.col("_share") < share) if share < 1 else marks
+        rows = stats.join(some, "doc_id").groupBy("doc_id", "_label").agg(
+            F.min(F.struct(*STATISTICS)).alias("s")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).select(
+            "_label", "s.*").collect()
+        if len(rows) >= max_labelled or share >= 1:
+            break
+        share *= 4        # labels without a document, or an unlucky bound
+    discard(marks)
+    got = np.array([tuple(r) for r in rows], np.float64).reshape(-1, len(STATISTICS) + 1)
     return fit(got[:, 1:], got[:, 0])
 
 

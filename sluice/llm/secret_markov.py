@@ -17,10 +17,15 @@ uniform one (``UNIFORM``), so a transition unseen in ordinary runs counts at mos
 a literal array, scored by an aggregate over a run's characters.
 
 Positions: a text splits at the same matches that are extracted, so the start of
-a match is the length of the pieces and matches before it (code points).
+a match is the length of the pieces and matches before it (code points).  Arrays are
+bound once per text (``let``), running sums and maxima go by blocks (``running``), runs
+are split into characters once, and texts are cut by blocks of spans, so a text of very
+many matches or one very long run costs little more than in proportion.
 
 Null text: empty, no spans.  Null doc_id and repeated rows: a row each.  Empty
-table: no rows (and a model that knows only numbers as ordinary).
+table: no rows (and a model that knows only numbers as ordinary).  Very long texts and
+runs are scanned whole.  ``find_secrets`` adds ``base_spans`` and ``spans``; other columns
+stay, whatever their names, and columns of these two names are replaced.
 """
 
 from __future__ import annotations
@@ -45,29 +50,55 @@ UNIFORM = 0.1      # share of the uniform distribution in each row of a model
 PLACEHOLDER = "[secret]"
 
 
+BLOCK = 128
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once (a lambda variable)."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def running(values: Column, combine, zero) -> Column:
+    """Per element the combination of the elements before it, by blocks: those of whole
+    blocks first, then those of its own block."""
+    merge = lambda part: F.aggregate(part, F.lit(zero).cast("long"), combine)
+    starts = lambda n: F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / BLOCK).cast("int") - 1))
+    blocks = lambda v: F.transform(starts(F.size(v)), lambda b: merge(F.slice(v, b * BLOCK + 1, F.lit(BLOCK))))
+    before = lambda bs: F.transform(bs, lambda _, i: merge(F.slice(bs, F.lit(1), i)))
+    place = lambda i: F.floor(i / BLOCK).cast("int")
+    each = lambda v, done: F.transform(v, lambda _, i: combine(
+        F.get(done, place(i)), merge(F.slice(v, place(i) * BLOCK + 1, i % BLOCK))))
+    return let(values, lambda v: let(blocks(v), lambda bs: let(before(bs), lambda done: each(v, done))))
+
+
 def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """array<struct<start, kind_no, end, kind>> of the matches of one kind."""
+    """array<struct<start, kind_no, end, kind, value>> of the matches of one kind."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else matches
-    pieces = F.split(text, pattern, -1)
-    lengths = F.arrays_zip(F.transform(matches, F.length).alias("m"), F.transform(values, F.length).alias("v"),
-                           F.transform(F.slice(pieces, F.lit(1), F.size(matches)), F.length).alias("p"))
-    # Running position, then the end of each match.
-    total = lambda part, n: F.aggregate(F.slice(part, F.lit(1), n), F.lit(0), lambda a, x: a + x["p"] + x["m"])
-    spans = F.transform(lengths, lambda x, i: F.struct(
-        (total(lengths, i) + x["p"]).cast("long").alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"),
-        (total(lengths, i) + x["p"] + x["m"]).cast("long").alias("end"), F.lit(kind).alias("kind"), x["v"].alias("size")))
-    kept = F.transform(F.filter(spans, lambda s: s["size"] >= least), lambda s: s.dropFields("size"))
-    return F.when(text.rlike(pattern), kept).otherwise(_no_spans())
+    zipped = F.arrays_zip(matches.alias("m"), values.alias("v"), F.slice(
+        F.split(text, pattern, -1), F.lit(1), F.size(matches)).alias("p"))
+    length = lambda c: F.length(c).cast("long")
+
+    def place(found):
+        steps = F.transform(found, lambda x: length(x["p"]) + length(x["m"]))
+        at = lambda x, i, before: F.get(before, i) + length(x["p"])
+        return let(running(steps, lambda a, x: a + x, 0), lambda before: F.transform(found, lambda x, i: F.struct(
+            at(x, i, before).alias("start"), F.lit(KINDS.index(kind)).alias("kind_no"),
+            (at(x, i, before) + length(x["m"])).alias("end"), F.lit(kind).alias("kind"), x["v"].alias("value"))))
+
+    spans = F.filter(let(zipped, place), lambda s: F.length(s["value"]) >= least)
+    return F.when(text.rlike(pattern), spans).otherwise(
+        F.array().cast("array<struct<start: bigint, kind_no: int, end: bigint, kind: string, value: string>>"))
 
 
-def _no_spans() -> Column:
-    return F.array().cast("array<struct<start: bigint, kind_no: int, end: bigint, kind: string>>")
+def _bare(spans: Column) -> Column:
+    return F.transform(spans, lambda s: s.dropFields("value"))
 
 
 def _transitions(words: DataFrame) -> DataFrame:
     """(word, n) -> (pair of characters, n)."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substring("word", i, F.lit(2)))
+    pairs = let(F.split("word", ""), lambda c: F.transform(
+        F.sequence(F.lit(0), F.size(c) - 2), lambda i: F.concat(F.get(c, i), F.get(c, i + 1))))
     return words.where(F.length("word") >= 2).select(F.explode(pairs).alias("pair"), "n").groupBy("pair").agg(
         F.sum("n").alias("n"))
 
@@ -107,41 +138,77 @@ def train(docs: DataFrame) -> list[float]:
 def log_ratio(run: Column, model: list[float]) -> Column:
     """Log-likelihood ratio of a run of the alphabet's characters."""
     table = F.array(*[F.lit(round(x, 6)) for x in model])
-    place = lambda i: F.instr(F.lit(ALPHABET), F.substring(run, i, F.lit(1))) - 1
-    return F.aggregate(F.sequence(F.lit(1), F.length(run) - 1), F.lit(0.0),
-                       lambda a, i: a + F.element_at(table, place(i) * len(ALPHABET) + place(i + 1) + 1))
+    places = F.transform(F.split(run, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+    return let(places, lambda p: F.aggregate(
+        F.sequence(F.lit(0), F.size(p) - 2), F.lit(0.0),
+        lambda a, i: a + F.get(table, F.get(p, i) * len(ALPHABET) + F.get(p, i + 1))))
+
+
+def _spans(text: Column, model: list[float], min_ratio: float) -> Column:
+    """struct<base, spans>: base spans and all spans, sorted by start and kind."""
+    base = F.array_sort(F.concat(*[_bare(spans_of(text, *kind)) for kind in BASE]))
+
+    meets = lambda s: lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    def block(base):
+        bounds = lambda part: F.struct(F.get(part, 0)["start"].alias("start"), F.array_max(
+            F.transform(part, lambda b: b["end"])).alias("end"), part.alias("part"))
+        return lambda b: let(F.slice(base, b * BLOCK + 1, F.lit(BLOCK)), bounds)
+
+    def both(base):
+        # Sorted by start: a run is held against the blocks whose bounds it meets.
+        blocks = F.when(F.size(base) > 0, F.transform(F.sequence(
+            F.lit(0), F.ceil(F.size(base) / BLOCK).cast("int") - 1), block(base)))
+        free = lambda bs: F.filter(spans_of(text, "markov", RUN, 0, 20), lambda s: ~F.coalesce(F.exists(
+            bs, lambda b: meets(s)(b) & F.exists(b["part"], meets(s))), F.lit(False)) & (log_ratio(s["value"], model) >= min_ratio))
+        return let(blocks, lambda bs: F.struct(base.alias("base"), F.array_sort(F.concat(base, _bare(free(bs)))).alias("spans")))
+
+    return let(base, both)
 
 
 def find_secrets(docs: DataFrame, model: list[float] | None = None, min_ratio: float = MIN_RATIO) -> DataFrame:
     """``docs`` with ``base_spans`` and ``spans`` (base and Markov), sorted by start and kind."""
     model = train(docs) if model is None else model
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = docs.withColumn("_body", text)
-    body = F.col("_body")
-    for kind, pattern, group, least in BASE:
-        found = found.withColumn(f"_{kind}", spans_of(body, kind, pattern, group, least))
-    found = found.withColumn("base_spans", F.array_sort(F.concat(*[F.col(f"_{k[0]}") for k in BASE])))
-    found = found.withColumn("_runs", spans_of(body, "markov", RUN, 0, 20))
-    code = lambda s: F.substring(body, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
-    free = F.filter("_runs", lambda s: ~F.exists(
-        "base_spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])) & (log_ratio(code(s), model) >= min_ratio))
-    found = found.withColumn("spans", F.array_sort(F.concat("base_spans", free)))
-    return found.drop("_body", "_runs", *[f"_{k[0]}" for k in BASE])
+    names = [c for c in docs.columns if c not in ("base_spans", "spans")]
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+                        _spans(F.coalesce(F.col("text"), F.lit("")), model, min_ratio).alias("found"))
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in names], F.col("found.base").alias("base_spans"),
+                        F.col("found.spans").alias("spans"))
+
+
+def _cut(text: Column, spans: Column) -> Column:
+    """Text with every span (overlapping ones merged) replaced by ``PLACEHOLDER``."""
+    part = lambda t, a, n: F.substring(t, (a + 1).cast("int"), n.cast("int"))
+
+    def whole(spans, before):
+        # A block of spans: the text from the end of the spans before it on, cut once.
+        def block(b):
+            first, size = b * BLOCK, F.least(F.lit(BLOCK), F.size(spans) - b * BLOCK)
+            origin = F.get(before, first)
+            end = F.greatest(F.get(spans, first + size - 1)["start"], origin)
+            return let(part(text, origin, end - origin), lambda t: F.array_join(F.transform(
+                F.sequence(first, first + size - 1), lambda i: F.when(
+                    F.get(spans, i)["start"] >= F.get(before, i), F.concat(part(
+                        t, F.get(before, i) - origin, F.get(spans, i)["start"] - F.get(before, i)), F.lit(PLACEHOLDER))
+                ).otherwise(F.lit(""))), ""))
+
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(spans) / BLOCK).cast("int") - 1), block)
+        last = F.size(spans) - 1
+        rest = F.greatest(F.get(before, last), F.get(spans, last)["end"])
+        return F.concat(F.array_join(blocks, ""), part(text, rest, F.length(text)))
+
+    return let(spans, lambda s: let(running(F.transform(s, lambda x: x["end"]), lambda a, x: F.greatest(a, x), 0),
+                                    lambda before: whole(s, before)))
 
 
 def redact(docs: DataFrame, model: list[float] | None = None, min_ratio: float = MIN_RATIO) -> DataFrame:
-    """``docs`` with every span (overlapping ones merged) replaced by ``PLACEHOLDER``;
-    other texts, nulls included, stay as they are."""
-    names = docs.columns
-    found = find_secrets(docs, model, min_ratio)
-    text = F.col("text")
-    part = lambda a, n: F.substring(text, (a + 1).cast("int"), n.cast("int"))
-    step = lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-        s["end"].alias("at"), F.concat(acc["out"], part(acc["at"], s["start"] - acc["at"]), F.lit(PLACEHOLDER)).alias("out"))
-    ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate("spans", start, step, lambda acc: F.concat(acc["out"], part(acc["at"], F.length(text))))
-    return found.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(text)).select(*names)
+    """``docs`` with every span replaced by ``PLACEHOLDER``; other texts, nulls included,
+    and other columns, whatever their names, stay as they are."""
+    model = train(docs) if model is None else model
+    spans = _spans(F.coalesce(F.col("text"), F.lit("")), model, min_ratio)["spans"]
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), spans.alias("spans"))
+    text = F.when(F.size("spans") > 0, _cut(F.col("row.text"), F.col("spans"))).otherwise(F.col("row.text"))
+    return found.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _joined(spans: str) -> Column:
