@@ -14,8 +14,8 @@ from __future__ import annotations
 
 import operator
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +97,98 @@ def test_accepted_range(df: DataFrame, col: str, min_value=None, max_value=None,
     return df.filter(~ok)
 
 
+# ---------------------------------------------------------------- many tests in one pass
+
+@dataclass(frozen=True)
+class Model:
+    """A model under test.  ``key`` (with ``line``: the pair) is what must be unique; models
+    of one ``family`` share their key, and its ``parent`` must hold every key of the
+    others.  ``counts`` names predicates whose rows are counted, ``sums`` exact amounts.
+    Without ``key`` only rows, counts and sums are taken."""
+
+    name: str
+    df: DataFrame
+    key: str | None = None
+    line: str | None = None
+    family: str | None = None
+    parent: bool = False
+    counts: Mapping[str, Column] = field(default_factory=dict)
+    sums: Mapping[str, Column] = field(default_factory=dict)
+
+
+def model_facts(models: Sequence[Model]) -> DataFrame:
+    """(model, measure, value) from one scan of every model: 'rows'; 'duplicates' (keys seen
+    more than once, NULL keys ignored; pairs with NULL as a value); 'orphans' (rows whose
+    key the family's parent lacks); every named count and sum.
+
+    The models meet in one tagged aggregate by (model, key, line), combined map-side, which
+    is written; a second aggregate by model and one by (family, key) read that table."""
+    from ..functions.casts import NUMERIC
+    from .joins import materialize
+
+    n_counts = max((len(m.counts) for m in models), default=0)
+    n_sums = max((len(m.sums) for m in models), default=0)
+    tagged = None
+    for i, m in enumerate(models):
+        text = lambda c: (F.col(c) if c else F.lit(None)).cast("string")
+        counts = [F.when(p, 1).cast("bigint") for p in m.counts.values()]
+        sums = [c.cast(NUMERIC) for c in m.sums.values()]
+        part = m.df.select(
+            F.lit(i).alias("m"), text(m.key).alias("key"), text(m.line).alias("line"),
+            *[(counts[j] if j < len(counts) else F.lit(None).cast("bigint")).alias(f"c{j}") for j in range(n_counts)],
+            *[(sums[j] if j < len(sums) else F.lit(None).cast(NUMERIC)).alias(f"s{j}") for j in range(n_sums)])
+        tagged = part if tagged is None else tagged.unionByName(part)
+    totals = [F.sum(f"c{j}").alias(f"c{j}") for j in range(n_counts)] + [F.sum(f"s{j}").alias(f"s{j}") for j in range(n_sums)]
+    keys = materialize(tagged.groupBy("m", "key", "line").agg(F.count(F.lit(1)).alias("n"), *totals), "model-keys")
+
+    paired = F.col("m").isin([i for i, m in enumerate(models) if m.line])
+    keyed = F.col("m").isin([i for i, m in enumerate(models) if m.key])
+    per_model = keys.groupBy("m").agg(
+        F.sum("n").alias("rows"), F.count_if(keyed & (F.col("n") > 1) & (paired | F.col("key").isNotNull())).alias("duplicates"), *totals)
+    number = lambda c: F.col(c).cast(NUMERIC)
+    measures = []
+    for i, m in enumerate(models):
+        named = {"rows": "rows", **({"duplicates": "duplicates"} if m.key else {}),
+                 **{name: f"c{j}" for j, name in enumerate(m.counts)}, **{name: f"s{j}" for j, name in enumerate(m.sums)}}
+        measures += [F.when(F.col("m") == i, F.struct(F.lit(m.name).alias("model"), F.lit(k).alias("measure"),
+                                                      F.coalesce(number(c), F.lit(0).cast(NUMERIC)).alias("value")))
+                     for k, c in named.items()]
+    out = per_model.select(F.explode(F.array_compact(F.array(*measures))).alias("x")).select("x.*")
+
+    families = sorted({m.family for m in models if m.family})
+    if families:
+        family = F.lit(None).cast("int")
+        parent = F.lit(False)
+        for i, m in enumerate(models):
+            if m.family:
+                family = F.when(F.col("m") == i, families.index(m.family)).otherwise(family)
+                parent = F.when(F.col("m") == i, m.parent).otherwise(parent)
+        by_key = keys.where(F.col("key").isNotNull()).withColumn("f", family).where("f IS NOT NULL").withColumn("p", parent)
+        children = [i for i, m in enumerate(models) if m.family and not m.parent]
+        known = by_key.groupBy("f", "key").agg(F.max("p").alias("p"), *[
+            F.sum(F.when(F.col("m") == i, F.col("n"))).alias(f"n{i}") for i in children]).where("NOT p")
+        lost = known.agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in children])
+        out = out.unionByName(lost.select(F.explode(F.array(*[F.struct(
+            F.lit(models[i].name).alias("model"), F.lit("orphans").alias("measure"),
+            F.coalesce(number(f"n{i}"), F.lit(0).cast(NUMERIC)).alias("value")) for i in children])).alias("x")).select("x.*"))
+    return out
+
+
+def tests_from_facts(facts: DataFrame, tests: Mapping[str, Callable[[Callable[[str, str], Column]], Column]]) -> DataFrame:
+    """(test_name, failures): every test is an expression over facts, given as a function of
+    ``value(model, measure)``.  The facts (a few per model) become one row."""
+    used: dict[tuple[str, str], str] = {}
+
+    def value(model: str, measure: str) -> Column:
+        name = used.setdefault((model, measure), f"v{len(used)}")
+        return F.col(name)
+
+    parts = [F.struct(F.lit(name).alias("test_name"), expr(value).cast("bigint").alias("failures")) for name, expr in tests.items()]
+    one = facts.agg(*[F.coalesce(F.max(F.when((F.col("model") == m) & (F.col("measure") == k), F.col("value"))),
+                                 F.lit(0)).alias(c) for (m, k), c in used.items()])
+    return one.select(F.explode(F.array(*parts)).alias("x")).select("x.*")
+
+
 # ---------------------------------------------------------------- assertions
 
 def row_count_parity(a: DataFrame, b: DataFrame, problem: str,
@@ -204,6 +296,21 @@ def grade_tests(tests: dict[str, tuple[DataFrame, Severity, str | None]]) -> Dat
     return out
 
 
+def grade_counts(counts: DataFrame, severities: Mapping[str, Severity] | None = None) -> DataFrame:
+    """(test_name, failures) graded: the named severities, the default for all others."""
+    special = dict(severities or {})
+    default = Severity()
+    of = {name: (sev.warn_if, sev.error_if, grade(F.col("failures"), sev)) for name, sev in special.items()}
+    picked = []
+    for i, otherwise in enumerate((F.lit(default.warn_if), F.lit(default.error_if), grade(F.col("failures"), default))):
+        col = otherwise
+        for name, facts in of.items():
+            col = F.when(F.col("test_name") == name, facts[i] if isinstance(facts[i], Column) else F.lit(facts[i])).otherwise(col)
+        picked.append(col)
+    return counts.select("test_name", F.col("failures").cast("bigint").alias("failures"), picked[0].alias("warn_if"),
+                         picked[1].alias("error_if"), picked[2].alias("status"))
+
+
 def freshness(df: DataFrame, field: Column, now, warn_after_days: int,
               error_after_days: int) -> DataFrame:
     """Age of the newest ``field`` value at ``now``: pass / warn / error.

@@ -1,14 +1,14 @@
 """Build the order marts from raw tables and run the whole test suite.
 
     raw (all strings) --stage--> staging views (temp views, nothing stored)
-      -> intermediates composed lazily (daily rates, items / payments per order)
+      -> intermediates (daily rates, items / payments per order) written once
       -> fct_orders written once as a versioned table
-      -> every test reads the written mart or the staging views
+      -> every test reads the written tables or the staging views
 
-Tests are grouped per model: all not_null checks of a model share one scan
-(one aggregate of NULL counts); unique / unique-combination / relationships
-aggregate keys map-side before their shuffle.  Each test yields one count row;
-the union is graded against its thresholds.  Errors block, warnings do not.
+Uniqueness, NULL, range, relationship, count and total tests of all models come from one
+tagged aggregate (``quality.model_facts``): one scan per model, one shuffle of keys that
+are combined map-side.  The results are graded against their thresholds.  Errors block,
+warnings do not.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import to_numeric
 from ..operators import quality
+from ..operators.joins import materialize
 from ..operators.quality import Severity
 from ..operators.tables import VersionedTable
 from . import fx_daily, orders_mart
@@ -57,90 +58,62 @@ class BuildResult:
         return [r["test_name"] for r in self.tests.filter(F.col("status") == "error").collect()]
 
 
-def _count(df: DataFrame, name: str, weight: str | None = None) -> DataFrame:
-    return quality.failure_count(df, name, weight)
-
-
-def not_null_counts(df: DataFrame, model: str, cols: list[str]) -> DataFrame:
-    """One scan of ``df`` -> one (test_name, failures) row per column."""
-    return quality.null_counts(df, cols).select(
-        F.concat(F.lit(f"not_null_{model}_"), F.col("column_name")).alias("test_name"),
-        F.col("null_count").alias("failures"))
+def _nulls(model: str, *cols: str) -> dict:
+    return {f"not_null_{model}_{c}": F.col(c).isNull() for c in cols}
 
 
 def test_suite(stg: dict[str, DataFrame], raw_items: DataFrame, fx: DataFrame,
                items: DataFrame, pays: DataFrame, fct: DataFrame) -> DataFrame:
     """All model tests and singular assertions as one graded table."""
-    tests: list[tuple[DataFrame, Severity]] = []
-    default = Severity()
-
-    def add(df, sev=default):
-        tests.append((df, sev))
-
-    o, it, pa = stg["orders"], stg["order_items"], stg["order_payments"]
-    add(_count(quality.test_unique(o, "order_id"), "unique_stg_orders_order_id"))
-    add(not_null_counts(o, "stg_orders", ["order_id"]))
-    add(_count(quality.test_unique_combination(it, ["order_id", "order_item_id"]),
-               "unique_combination_stg_order_items"))
-    add(not_null_counts(it, "stg_order_items", ["order_id"]))
-    add(_count(quality.test_relationships(it, "order_id", o, "order_id"),
-               "relationships_stg_order_items_order_id", "n_records"))
-    add(_count(quality.test_unique_combination(pa, ["order_id", "payment_sequential"]),
-               "unique_combination_stg_order_payments"))
-    # not_null and accepted_range of the payments fold into one scan
-    add(quality.column_checks(pa, "stg_order_payments", ["order_id", "payment_installments"],
-                              {"payment_installments": (0, 24)}))
-    add(_count(quality.test_relationships(pa, "order_id", o, "order_id"),
-               "relationships_stg_order_payments_order_id", "n_records"))
-    for model, key in (("customers", "customer_id"), ("products", "product_id"),
-                       ("sellers", "seller_id"),
-                       ("product_category_name_translation", "product_category_name")):
-        add(_count(quality.test_unique(stg[model], key), f"unique_stg_{model}_{key}"))
-        add(not_null_counts(stg[model], f"stg_{model}", [key]))
-    fxs = stg["fx_rates"]
-    add(_count(quality.test_unique_combination(fxs, ["currency", "rate_date"]),
-               "unique_combination_stg_fx_rates"))
-    add(_count(quality.test_accepted_values(fxs, "obs_status", ["A"]),
-               "accepted_values_stg_fx_rates_obs_status"))
-    add(_count(quality.test_unique(fx, "rate_date"), "unique_int_fx_rates_daily_rate_date"))
-    add(not_null_counts(fx, "int_fx_rates_daily",
-                        ["rate_date", "gbp_per_brl", "last_ecb_date", "is_forward_filled"]))
-    add(_count(quality.test_unique(items, "order_id"), "unique_int_order_items_by_order_order_id"))
-    add(not_null_counts(items, "int_order_items_by_order", ["order_id", "item_count"]))
-    add(_count(quality.test_unique(pays, "order_id"), "unique_int_order_payments_by_order_order_id"))
-    add(not_null_counts(pays, "int_order_payments_by_order",
-                        ["order_id", "total_paid", "payment_count", "main_payment_type"]))
-    add(_count(quality.test_unique(fct, "order_id"), "unique_fct_orders_order_id"))
-    add(not_null_counts(fct, "fct_orders", ["order_id", "customer_id", "order_status",
-                                            "purchased_at", "gbp_per_brl", "is_fx_forward_filled"]))
-    add(_count(quality.test_relationships(fct, "customer_id", stg["customers"], "customer_id"),
-               "relationships_fct_orders_customer_id", "n_records"))
-    add(_count(quality.test_accepted_values(fct, "order_status", ORDER_STATES),
-               "accepted_values_fct_orders_order_status"))
-    # singular assertions
-    add(_count(quality.row_count_parity(fct, o, "row count"), "assert_fct_orders_has_every_order"))
-    add(_count(fx_daily.fx_sanity(fx, FX_CHECK_YEAR, FX_LOW, FX_HIGH, FX_MAX_STALE_DAYS),
-               "assert_fx_rates_daily_sane"))
-    add(_count(quality.events_out_of_order(o, "purchased_at", "delivered_customer_at"),
-               "assert_no_delivery_before_purchase"))
-    add(_count(orders_mart.paid_vs_gross(fct), "assert_order_paid_matches_gross_revenue"), PAID_VS_GROSS)
-    raw_value = to_numeric("price") + to_numeric("freight_value")
-    add(_count(quality.totals_reconcile(fct, F.col("gross_revenue_brl"), raw_items, raw_value,
-                                        "fct_total", "raw_total"),
-               "assert_revenue_reconciles_to_raw"))
-    add(_count(quality.liveness(pa, F.col("payment_installments") > 1),
-               "assert_some_payments_have_instalments"))
-
-    graded = []
-    for counts, sev in tests:
-        graded.append(counts.select(
-            "test_name", F.col("failures").cast("bigint").alias("failures"),
-            F.lit(sev.warn_if).alias("warn_if"), F.lit(sev.error_if).alias("error_if"),
-            quality.grade(F.col("failures"), sev).alias("status")))
-    out = graded[0]
-    for g in graded[1:]:
-        out = out.unionByName(g)
-    return out
+    Model = quality.Model
+    instalments = F.col("payment_installments")
+    models = [
+        Model("stg_orders", stg["orders"], "order_id", family="order", parent=True, counts={
+            **_nulls("stg_orders", "order_id"),
+            "assert_no_delivery_before_purchase": F.col("delivered_customer_at") < F.col("purchased_at")}),
+        Model("stg_order_items", stg["order_items"], "order_id", "order_item_id", family="order",
+              counts=_nulls("stg_order_items", "order_id")),
+        Model("stg_order_payments", stg["order_payments"], "order_id", "payment_sequential", family="order", counts={
+            **_nulls("stg_order_payments", "order_id", "payment_installments"),
+            "accepted_range_stg_order_payments_payment_installments": ~instalments.between(0, 24),
+            "instalments": instalments > 1}),
+        Model("int_order_items_by_order", items, "order_id", counts=_nulls("int_order_items_by_order", "order_id", "item_count")),
+        Model("int_order_payments_by_order", pays, "order_id", counts=_nulls(
+            "int_order_payments_by_order", "order_id", "total_paid", "payment_count", "main_payment_type")),
+        Model("fct_orders", fct, "order_id", sums={"gross": F.col("gross_revenue_brl")}, counts={
+            **_nulls("fct_orders", "order_id", "customer_id", "order_status", "purchased_at", "gbp_per_brl", "is_fx_forward_filled"),
+            "assert_order_paid_matches_gross_revenue": orders_mart.unpaid()}),
+        Model("fct_orders customers", fct, "customer_id", family="customer"),
+        Model("stg_customers", stg["customers"], "customer_id", family="customer", parent=True,
+              counts=_nulls("stg_customers", "customer_id")),
+        Model("stg_fx_rates", stg["fx_rates"], "currency", "rate_date"),
+        Model("int_fx_rates_daily", fx, "rate_date", counts=_nulls(
+            "int_fx_rates_daily", "rate_date", "gbp_per_brl", "last_ecb_date", "is_forward_filled")),
+        Model("raw_order_items", raw_items, sums={"total": to_numeric("price") + to_numeric("freight_value")}),
+    ]
+    dimensions = (("products", "product_id"), ("sellers", "seller_id"),
+                  ("product_category_name_translation", "product_category_name"))
+    models += [Model(f"stg_{m}", stg[m], k, counts=_nulls(f"stg_{m}", k)) for m, k in dimensions]
+
+    tests = {name: (lambda v, m=m.name, name=name: v(m, name)) for m in models for name in m.counts if name != "instalments"}
+    for m in models:
+        if m.line:
+            tests[f"unique_combination_{m.name}"] = lambda v, m=m.name: v(m, "duplicates")
+        elif m.key and m.name != "fct_orders customers":
+            tests[f"unique_{m.name}_{m.key}"] = lambda v, m=m.name: v(m, "duplicates")
+    for name, key in (("stg_order_items", "order_id"), ("stg_order_payments", "order_id"), ("fct_orders customers", "customer_id")):
+        tests[f"relationships_{name.split()[0]}_{key}"] = lambda v, m=name: v(m, "orphans")
+    tests["assert_fct_orders_has_every_order"] = lambda v: (v("fct_orders", "rows") != v("stg_orders", "rows")).cast("int")
+    tests["assert_revenue_reconciles_to_raw"] = lambda v: (
+        F.abs(v("fct_orders", "gross") - v("raw_order_items", "total")) > 0.01).cast("int")
+    tests["assert_some_payments_have_instalments"] = lambda v: (v("stg_order_payments", "instalments") == 0).cast("int")
+    counted = quality.tests_from_facts(quality.model_facts(models), tests)
+    for df, name in (
+            (quality.test_accepted_values(stg["fx_rates"], "obs_status", ["A"]), "accepted_values_stg_fx_rates_obs_status"),
+            (quality.test_accepted_values(fct, "order_status", ORDER_STATES), "accepted_values_fct_orders_order_status"),
+            (fx_daily.fx_sanity(fx, FX_CHECK_YEAR, FX_LOW, FX_HIGH, FX_MAX_STALE_DAYS), "assert_fx_rates_daily_sane")):
+        counted = counted.unionByName(quality.failure_count(df, name))
+    return quality.grade_counts(counted, {"assert_order_paid_matches_gross_revenue": PAID_VS_GROSS})
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
@@ -165,10 +138,11 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], mart_root: str,
     if register_views:
         for model, df in stg.items():
             df.createOrReplaceTempView(f"stg_{model}")
-    fx = fx_daily.rates_daily(stg["fx_rates"])
-    items = orders_mart.items_by_order(stg["order_items"])
-    pays = orders_mart.payments_by_order(stg["order_payments"])
-    fct = orders_mart.order_fact(stg["orders"], stg["order_items"], stg["order_payments"], fx)
+    # The intermediates are computed once: the fact and their tests read the written tables.
+    fx = materialize(fx_daily.rates_daily(stg["fx_rates"]), "int-fx")
+    items = materialize(orders_mart.items_by_order(stg["order_items"]), "int-items")
+    pays = materialize(orders_mart.payments_by_order(stg["order_payments"]), "int-payments")
+    fct = orders_mart.fact_of(stg["orders"], items, pays, fx)
     mart = VersionedTable(spark, mart_root)
     n = mart.replace(fct)
     tests = test_suite(stg, raw["raw_order_items"], fx, items, pays, mart.read())

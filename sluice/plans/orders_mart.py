@@ -71,16 +71,19 @@ def ranked_payment_types(stg_payments: DataFrame) -> DataFrame:
 
 
 def order_fact(stg_orders: DataFrame, stg_items: DataFrame, stg_payments: DataFrame,
-               fx_daily: DataFrame, items_join: str = "left",
-               zone: str = BUSINESS_ZONE) -> DataFrame:
-    """One row per order with BRL amounts and the gross revenue in GBP at the
-    rate of the local purchase day.  ``items_join='inner'`` is the mutant the
+               fx_daily: DataFrame, items_join: str = "left", zone: str = BUSINESS_ZONE) -> DataFrame:
+    """The order fact from the staged tables.  ``items_join='inner'`` is the mutant the
     row-count parity test must catch."""
+    return fact_of(stg_orders, items_by_order(stg_items), payments_by_order(stg_payments), fx_daily, items_join, zone)
+
+
+def fact_of(stg_orders: DataFrame, items: DataFrame, pays: DataFrame, fx_daily: DataFrame,
+            items_join: str = "left", zone: str = BUSINESS_ZONE) -> DataFrame:
+    """One row per order with BRL amounts and the gross revenue in GBP at the
+    rate of the local purchase day, from items and payments per order."""
     orders = stg_orders.select(
         "order_id", "customer_id", "order_status", "purchased_at",
         utc_to_local_date("purchased_at", zone).alias("purchase_date"))
-    items = items_by_order(stg_items)
-    pays = payments_by_order(stg_payments)
     fx = fx_daily.select("rate_date", "gbp_per_brl", "is_forward_filled")
     joined = (orders.join(items, "order_id", items_join)
                     .join(pays, "order_id", "left"))
@@ -102,9 +105,14 @@ def order_fact(stg_orders: DataFrame, stg_items: DataFrame, stg_payments: DataFr
         "main_payment_type")
 
 
+def unpaid(tolerance: float = 0.01):
+    """Whether an order with items and payments was paid another amount than its gross value."""
+    return ((F.col("item_count") > 0) & (F.col("payment_count") > 0)
+            & (F.abs(F.col("gross_revenue_brl") - F.col("paid_brl")) > tolerance))
+
+
 def paid_vs_gross(fct: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    return (fct.filter((F.col("item_count") > 0) & (F.col("payment_count") > 0)
-                       & (F.abs(F.col("gross_revenue_brl") - F.col("paid_brl")) > tolerance))
+    return (fct.filter(unpaid(tolerance))
                .select("order_id", "order_status", "gross_revenue_brl", "paid_brl",
                        (F.col("paid_brl") - F.col("gross_revenue_brl")).cast(NUMERIC)
                        .alias("difference")))

@@ -358,11 +358,14 @@ def q_test_not_null(spark, d):
     return quality.null_counts(fct_orders(spark, d), orders_mart.FCT_COLUMNS)
 
 
-def _relationship_faults(spark, d):
+def _lost_items(items: DataFrame) -> DataFrame:
     # Orphans are planted in the child key: seventh lines refer to orders that do not exist.
     lost = F.when(F.col("order_item_id").cast("int") == 7, F.concat("order_id", F.lit("-lost"))).otherwise(F.col("order_id"))
-    return quality.test_relationships(stg_items(spark, d).withColumn("order_id", lost), "order_id",
-                                      stg_orders(spark, d), "order_id")
+    return items.withColumn("order_id", lost)
+
+
+def _relationship_faults(spark, d):
+    return quality.test_relationships(_lost_items(stg_items(spark, d)), "order_id", stg_orders(spark, d), "order_id")
 
 
 @proof
@@ -389,25 +392,27 @@ def q_severity(spark, d):
     # The mart is a table: built once, then every test reads the written table.
     mart = VersionedTable(spark, new_work_dir(spark, "mart-fct"))
     mart.replace(fct_orders(spark, d))
-    fct = mart.read()
-    sev = quality.Severity
-    tests = {
-        "assert_order_paid_matches_gross_revenue": (orders_mart.paid_vs_gross(fct), sev(">0", ">350"), None),
-        "assert_no_delivery_before_purchase": (event_order_faults(spark, d), sev(), None),
-        "unique_combination_order_items": (
-            quality.test_unique_combination(stg_items(spark, d), ["order_id", "order_item_id"]),
-            sev(), None),
-        "accepted_range_payment_installments": (_range_faults(spark, d), sev(severity="warn"), None),
-        "relationships_order_items_order_id": (_relationship_faults(spark, d), sev(), "n_records"),
-        "accepted_values_order_status": (
-            quality.test_accepted_values(stg_orders(spark, d), "order_status", ["F", "O"]),
-            sev(), None),
-        "assert_some_payments_have_instalments": (
-            quality.liveness(stg_payments(spark, d), F.col("payment_installments") > 1), sev(), None),
-        "assert_fct_orders_has_every_order": (
-            quality.row_count_parity(fct, stg_orders(spark, d), "row count"), sev(), None),
-    }
-    return quality.grade_tests(tests)
+    fct, items = mart.read(), stg_items(spark, d)
+    sev, model = quality.Severity, quality.Model
+    facts = quality.model_facts([
+        model("orders", stg_orders(spark, d), "order_id", family="order", parent=True),
+        model("items", items, "order_id", "order_item_id"),
+        model("items with lost orders", _lost_items(items), "order_id", family="order"),
+        model("payments", stg_payments(spark, d), counts={
+            "outside": ~F.col("payment_installments").between(0, 24), "instalments": F.col("payment_installments") > 1}),
+        model("fct", fct, counts={"unpaid": orders_mart.unpaid()})])
+    counts = quality.tests_from_facts(facts, {
+        "assert_order_paid_matches_gross_revenue": lambda v: v("fct", "unpaid"),
+        "unique_combination_order_items": lambda v: v("items", "duplicates"),
+        "accepted_range_payment_installments": lambda v: v("payments", "outside"),
+        "relationships_order_items_order_id": lambda v: v("items with lost orders", "orphans"),
+        "assert_some_payments_have_instalments": lambda v: (v("payments", "instalments") == 0).cast("int"),
+        "assert_fct_orders_has_every_order": lambda v: (v("fct", "rows") != v("orders", "rows")).cast("int")})
+    for df, name in ((event_order_faults(spark, d), "assert_no_delivery_before_purchase"),
+                     (quality.test_accepted_values(stg_orders(spark, d), "order_status", ["F", "O"]), "accepted_values_order_status")):
+        counts = counts.unionByName(quality.failure_count(df, name))
+    return quality.grade_counts(counts, {"assert_order_paid_matches_gross_revenue": sev(">0", ">350"),
+                                         "accepted_range_payment_installments": sev(severity="warn")})
 
 
 @proof

@@ -98,3 +98,30 @@ def test_concurrent_log_appends_lose_nothing(spark, tmpdir_path):
         list(pool.map(write, range(12)))
     log = runlog.read_log(spark, path)
     assert log.count() == 12 and log.select("run_id").distinct().count() == 12
+
+
+def test_model_facts_equal_the_single_tests(spark):
+    import random
+
+    rnd = random.Random(4)
+    parents = spark.createDataFrame([(str(i),) for i in [*range(20), 3, 3, 7]] + [(None,)] * 2, "k string")
+    lines = spark.createDataFrame(
+        [(rnd.choice([None, *map(str, range(25))]), rnd.choice([None, "1", "2"]), rnd.randint(-3, 30)) for _ in range(300)],
+        "k string, l string, n int")
+    models = [quality.Model("p", parents, "k", family="f", parent=True, counts={"nulls": F.col("k").isNull()}),
+              quality.Model("c", lines, "k", "l", family="f", counts={"outside": ~F.col("n").between(0, 24)},
+                            sums={"total": F.col("n").cast("decimal(18,2)")}),
+              quality.Model("empty", lines.limit(0), "k", counts={"none": F.col("n") > 0}), quality.Model("rows", lines)]
+    facts = quality.model_facts(models)
+    got = {(r["model"], r["measure"]): int(r["value"]) for r in facts.collect()}
+    assert got["p", "rows"] == 25 and got["p", "nulls"] == 2 and got["rows", "rows"] == 300
+    assert got["p", "duplicates"] == quality.test_unique(parents, "k").count() == 2
+    assert got["c", "duplicates"] == quality.test_unique_combination(lines, ["k", "l"]).count() > 10
+    assert got["c", "orphans"] == quality.test_relationships(lines, "k", parents, "k").agg(F.sum("n_records")).first()[0] > 0
+    assert got["c", "outside"] == quality.test_accepted_range(lines, "n", 0, 24).count()
+    assert got["c", "total"] == lines.agg(F.sum("n")).first()[0]
+    tests = quality.tests_from_facts(facts, {"a": lambda v: v("c", "orphans"), "b": lambda v: v("empty", "none") + v("empty", "rows"),
+                                             "c": lambda v: (v("p", "rows") != v("rows", "rows")).cast("int")})
+    graded = {r["test_name"]: (r["failures"], r["status"]) for r in quality.grade_counts(
+        tests, {"a": quality.Severity(">0", ">100000")}).collect()}
+    assert graded == {"a": (got["c", "orphans"], "warn"), "b": (0, "pass"), "c": (1, "error")}
