@@ -5,25 +5,25 @@ shingles is at least ``percent`` / 100.  Sketching XORs token hashes: a token th
 both sets hold cancels out, so the sketch of A XOR the sketch of B is the sketch
 of their symmetric difference, and
 
-* the number of differing bits of a one-bit-per-token sketch, and
+* the number of differing bits of a one-bit-per-token sketch (``signature``), and
 * the number of differing blocks when tokens are dealt to blocks by their hash
   and each block keeps the XOR of its tokens' 64-bit hashes
 
 are both lower bounds of |A xor B|.  For linked sets |A xor B| is at most
 d = (1 - j) / (1 + j) * (|A| + |B|).  Sizes fall into bands of ratio 1 / j, so
 linked sets lie in the same or in neighbouring bands.  Per band sets are cut into
-d + 1 + spare blocks, with the largest d of the band and the one above it:
-linked sets agree in at least 1 + spare blocks (pigeonhole).  Sets that agree in a
-block are candidates; the bit sketch's Hamming distance drops most pairs that
-cannot link, exact set intersection decides.  Empty blocks say nothing and are
-left out when at most ``spare`` of a set's blocks are empty (then a common block that
-is not empty exists); else they are kept.
-
-Skew and growth.  Equal sets are one class from the start.  Within a block value
-(``key``) classes are not paired with each other: first each meets one of four
-representatives of the key (linear in the rows), links are verified and components
-built.  A key that then still holds several components (and more than the two classes
-already compared) is looked at again, exactly: a task goes over its members' pairs with
+d + 2 + spare blocks, with the largest d of the band and the one above it: linked sets
+agree in at least 2 + spare blocks (pigeonhole).  Empty blocks say nothing and are left
+out when at most ``spare`` of a set's blocks are empty, else they are kept; so linked sets
+share two block values (``key``) or more.  Pairs that do are candidates; the signatures'
+Hamming distance drops most of them, exact set intersection decides.
+
+Skew and growth.  Equal sets are one class from the start.  Within a key classes are
+not paired with each other: first each meets one of four representatives of the key
+(linear in the rows); pairs that met in two keys or more are verified and components
+built.  (Of two linked sets that met in fewer, another common key holds three classes or
+more and is looked at below.)  A key that then still holds several components and three classes
+or more is looked at again, exactly: a task goes over its members' pairs with
 ``signature``, a parity sketch as long as the set is (so the bound is as sharp for large
 sets as for small ones), but emits at most one pair per member, its closest partner in
 another component.  Verified pairs join components, refuted ones are remembered; rounds
@@ -52,7 +52,6 @@ from .common import LOWER, discard, hash_spans, mix, salted_left_join, strings,
 from .graph import components
 
 SPARE = 2
-SKETCH_WORDS = 16         # bit sketch of 1,024 bits, as longs
 CHUNK_KEYS = 1 << 19      # keys a task combines at a time
 BUCKETS = 16              # buckets of keys per shuffle partition
 CHUNK_MEMBERS = 4000      # members of a key that meet in one task; of larger keys pairs of such chunks
@@ -74,7 +73,7 @@ def max_difference(a, b, percent: int):
 
 
 def spare(need: int) -> int:
-    """Blocks beyond the d + 1 of the pigeonhole: more than a set's empty blocks, which
+    """Blocks beyond the d + 2 of the pigeonhole: more than a set's empty blocks, which
     are a few hundredths of all where a block holds three tokens on average."""
     return SPARE + need // 8
 
@@ -85,7 +84,7 @@ def blocks_of_band(band: int, percent: int) -> tuple[int, int]:
     # A pair that only meets here has one set in this band and one in it or the next.
     last = len(low) - 1
     top = int(low[min(band + 1, last)]) - 1 + int(low[min(band + 2, last)]) - 1
-    need = int(max_difference(top, 0, percent)) + 1
+    need = int(max_difference(top, 0, percent)) + 2
     return need + spare(need), spare(need)
 
 
@@ -122,12 +121,6 @@ def block_keys(tokens: np.ndarray, band: int, percent: int) -> np.ndarray:
     return mix(value[use] + mix((use + (band << 24)).astype(np.uint64)))
 
 
-def bit_sketch(tokens: np.ndarray) -> np.ndarray:
-    """Parity of the tokens per bit, as SKETCH_WORDS 64-bit words."""
-    bits = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
-
-
 def signature(tokens: np.ndarray) -> bytes:
     """Parity of the tokens per bit, four bits or more a token (a power of two of bits)."""
     bits = 1 << max(8, (4 * len(tokens) - 1).bit_length())
@@ -152,34 +145,32 @@ def class_of(tokens: np.ndarray) -> int | None:
 
 
 def _sketch(size: int):
-    names = ["doc_id", "text_hash", "n_shingles", "cls", "sketch", "signature"]
+    names = ["doc_id", "text_hash", "n_shingles", "cls", "signature"]
 
     def run(batches):
         for batch in batches:
             ids, hashed, texts = batch.column(0), batch.column(1), strings(batch.column(2))
             for lo, hi, data, offs in text_slices(texts):
                 hashes, begin = shingle_hashes(data, offs, size)
-                counts, classes, sketches, signs = [], [], [], []
+                counts, classes, signs = [], [], []
                 for i in range(hi - lo):
                     tokens = np.unique(hashes[begin[i]:begin[i + 1]])
                     n = len(tokens)
                     counts.append(n)
                     classes.append(class_of(tokens))
-                    sketches.append(bit_sketch(tokens) if n else None)
                     signs.append(signature(tokens) if n else None)
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), hashed.slice(lo, hi - lo), pa.array(counts, pa.int64()),
-                     pa.array(classes, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-                     pa.array(signs, pa.binary())], names)
+                     pa.array(classes, pa.int64()), pa.array(signs, pa.binary())], names)
 
     return run
 
 
 def sketches(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), sketch, signature."""
+    """doc_id, text_hash, n_shingles, cls (hash of the set; null if empty), signature."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("text_hash"),
                        F.col(text).cast("string").alias("text")).mapInArrow(
-        _sketch(shingle), "doc_id long, text_hash long, n_shingles long, cls long, sketch array<long>, signature binary")
+        _sketch(shingle), "doc_id long, text_hash long, n_shingles long, cls long, signature binary")
 
 
 _LOW = np.uint64((1 << 48) - 1)
@@ -326,13 +317,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_verify(percent), "a long, b long")
 
 
-def _may_link(a: str, b: str, percent: int):
-    """Size and Hamming bound of two rows with columns n, s0.. under the aliases."""
-    col = lambda t, c: F.col(f"{t}.{c}")
-    n, m = col(a, "n"), col(b, "n")
-    hamming = sum((F.bit_count(col(a, f"s{i}").bitwiseXOR(col(b, f"s{i}"))) for i in range(SKETCH_WORDS)), F.lit(0))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (
-        hamming * (100 + percent) <= (100 - percent) * (n + m))
+def _near(percent: int):
+    """(a, b, size and signature of each) -> the pairs whose sizes and signatures allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            a, b, n, m, x, y = (c.to_pylist() for c in batch.columns)
+            keep = []
+            for i in range(batch.num_rows):
+                size = min(len(x[i]), len(y[i]))
+                far = int(np.bitwise_count(folded(x[i], size).view(np.uint64) ^ folded(y[i], size).view(np.uint64)).sum())
+                keep.append(100 * min(n[i], m[i]) >= percent * max(n[i], m[i])
+                            and (100 + percent) * far <= (100 - percent) * (n[i] + m[i]))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+    return run
 
 
 def _closest(percent: int):
@@ -425,8 +425,7 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
     sets_of = rows.where("cls IS NOT NULL")
     classes = written(sets_of.groupBy("cls").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")).alias("body"),
-        F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature"),
-        *[F.min(F.element_at("sketch", i + 1)).alias(f"s{i}") for i in range(SKETCH_WORDS)]), "parity-classes")
+        F.min("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies"), F.min("signature").alias("signature")), "parity-classes")
     whole, rows = rows, written(rows.select("doc_id", "n_shingles", "cls"), "parity-rows")
     discard(whole)
 
@@ -436,10 +435,12 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
         parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, cls long, rep long")
     members = written(members, "parity-members")
 
-    info = classes.select("cls", "n", *[f"s{i}" for i in range(SKETCH_WORDS)])
-    star = members.where("cls <> rep").select(F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b")).distinct()
-    star = star.join(info.alias("x"), F.col("a") == F.col("x.cls")).join(
-        info.alias("y"), F.col("b") == F.col("y.cls")).where(_may_link("x", "y", percent)).select("a", "b")
+    pair = (F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b"))
+    star = members.where("cls <> rep").groupBy(*pair).agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
+    of_a = classes.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
+    of_b = classes.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
+    star = star.join(of_a, "a").join(of_b, "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(
+        _near(percent), "a long, b long")
     star = written(star, "parity-star")
     edges = _links(star, classes, docs, shingle, percent, key, text)
     labels = components(edges)
