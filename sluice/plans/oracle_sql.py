@@ -670,3 +670,28 @@ _BUILD = [
 SQL["q_build_tests"] = (with_ctes("fct_orders", "raw_items", "stg_customers", "stg_products",
                                   "stg_sellers", "stg_translation") + "\nUNION ALL\n".join(_BUILD))
 SQL["q_csv_split_roundtrip"] = "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source FROM documents"
+
+SQL["q_headers_by_name"] = with_ctes("raw_rates") + """
+    SELECT "KEY", CURRENCY, TIME_PERIOD, OBS_VALUE, OBS_STATUS FROM raw_rates"""
+SQL["q_missing_sources"] = "SELECT n_name FROM nation WHERE n_nationkey % 2 = 1"
+SQL["q_failed_replace"] = """
+    SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(18,2)) AS s_acctbal, 'refused' AS outcome,
+           CAST(1 AS BIGINT) AS data_folders FROM supplier"""
+SQL["q_empty_window"] = with_ctes("raw_rates") + """
+    SELECT 'failed' AS status, CAST(NULL AS BIGINT) AS source_rows, CAST(NULL AS BIGINT) AS loaded_rows
+    UNION ALL
+    SELECT 'success', count(*), count(*) FROM raw_rates
+    WHERE CURRENCY = 'GBP' OR (CURRENCY = 'BRL' AND TIME_PERIOD < (
+        SELECT strftime(CAST(max(TIME_PERIOD) AS DATE) - INTERVAL 60 DAY, '%Y-%m-%d') FROM raw_rates))
+    UNION ALL SELECT 'success', 0, 0"""
+SQL["q_staging_views"] = with_ctes("stg_orders") + """
+    SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') AS customer_state_code, o.order_status, count(*) AS n_orders,
+           min(o.purchased_at) AS first_purchase
+    FROM stg_orders o JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = o.customer_id GROUP BY 1, 2"""
+SQL["q_text_helpers"] = """
+    SELECT doc_id, array_to_string(list_filter([upper(lang), upper(source), 'GBP'], lambda x: x IS NOT NULL), '|') AS codes,
+           substr(text, 1, 2000) AS clipped, concat_ws('/', source, lang, CAST(doc_id AS VARCHAR)) AS path
+    FROM documents"""
+SQL["q_seconds_between"] = """
+    SELECT e.event_id, (epoch_us(e.ts) - epoch_us(min(e.ts) OVER (PARTITION BY user_id))) / 1000000.0 AS seconds
+    FROM events e"""

@@ -747,3 +747,109 @@ def q_csv_split_roundtrip(spark, d):
     t = VersionedTable(spark, f"{work}/loaded")
     t.replace(read_by_header(spark, folder, "documents"), expected_rows=total_records(spark, folder))
     return t.read()
+
+
+# ---------------------------------------------------------------- load control
+
+@proof
+def q_headers_by_name(spark, d):
+    """Rates landed as two kinds of files whose headers order the columns differently,
+    read by name, with the columns the load requires."""
+    from ..sources.csv_files import read_by_header
+
+    work = new_work_dir(spark, "headers")
+    rates = raw_tables.raw_fx_rates(spark, d)
+    odd = F.substring("TIME_PERIOD", 4, 1).cast("int") % 2 == 1
+    options = {"header": "true", "escape": '"'}
+    rates.filter(odd).write.options(**options).csv(f"{work}/rates/odd")
+    rates.filter(~odd).select(*reversed(rates.columns)).write.options(**options).csv(f"{work}/rates/even")
+    back = read_by_header(spark, f"{work}/rates", "rates", required=rate_load.MERGE_KEYS)
+    return back.select("KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE", "OBS_STATUS")
+
+
+@proof
+def q_missing_sources(spark, d):
+    """A manifest that names one source file per nation, of which those of even keys were
+    exported: the check names the others and nothing is loaded."""
+    from ..sources.manifest import MissingSourceFiles, check_manifest
+
+    work = new_work_dir(spark, "manifest")
+    nations = raw_tables.table(spark, d, "nation").select("n_nationkey", "n_name")
+    exported = nations.filter(F.col("n_nationkey") % 2 == 0).withColumn("nation", F.col("n_nationkey"))
+    exported.write.partitionBy("nation").csv(f"{work}/export")
+    manifest = {r["n_name"]: f"{work}/export/nation={r['n_nationkey']}" for r in nations.collect()}   # one path a table
+    try:
+        check_manifest(spark, manifest)
+        named = ""
+    except MissingSourceFiles as exc:
+        named = str(exc)
+    missing = F.regexp_extract_all(F.lit(named), F.lit("nation=([0-9]+)"), F.lit(1))
+    return nations.filter(F.array_contains(missing, F.col("n_nationkey").cast("string"))).select("n_name")
+
+
+@proof
+def q_failed_replace(spark, d):
+    """A replace whose count differs from its source commits nothing and leaves no folder."""
+    from .. import fs
+
+    t = VersionedTable(spark, new_work_dir(spark, "failed-replace"))
+    sup = _typed_supplier(spark, d)
+    t.replace(sup)
+    try:
+        t.replace(sup.filter(F.col("s_suppkey") % 2 == 0), expected_rows=sup.count())
+        outcome = "replaced"
+    except quality.DataCheckError:
+        outcome = "refused"
+    return t.read().withColumn("outcome", F.lit(outcome)).withColumn(
+        "data_folders", F.lit(len(fs.list_names(spark, f"{t.root}/data"))).cast(INT64))
+
+
+@proof
+def q_empty_window(spark, d):
+    """Three runs of the incremental load: an empty window on the first load is refused, the
+    next loads all rates, one of a known currency without new rates is a success of none."""
+    work = new_work_dir(spark, "empty-window")
+    rates = raw_tables.raw_fx_rates(spark, d)
+    last = rates.agg(F.max("TIME_PERIOD")).first()[0]       # one scalar
+    end = (dt.date.fromisoformat(last) - dt.timedelta(days=60)).isoformat()
+    ended = rates.filter((F.col("CURRENCY") != "BRL") | (F.col("TIME_PERIOD") < end))     # no new rates for two months
+    for today, codes in (("1990-01-01", ["GBP", "BRL"]), (last, ["GBP", "BRL"]), (last, ["BRL"])):
+        try:
+            rate_load.incremental_load(spark, ended, f"{work}/rates", f"{work}/log", codes, dt.date.fromisoformat(today),
+                                       source_uri="rates", default_start="1990-01-01")
+        except quality.DataCheckError:
+            pass
+    log = runlog.read_log(spark, f"{work}/log").filter(F.col("status") != "started")
+    return log.select("status", F.col("source_row_count").alias("source_rows"), F.col("loaded_row_count").alias("loaded_rows"))
+
+
+@proof
+def q_staging_views(spark, d):
+    """Staging models registered as views and queried with SQL: nothing is stored."""
+    stg_orders(spark, d).createOrReplaceTempView("stg_orders")
+    stg_customers(spark, d).createOrReplaceTempView("stg_customers")
+    return spark.sql("""
+        SELECT c.customer_state_code, o.order_status, count(*) AS n_orders, min(o.purchased_at) AS first_purchase
+        FROM stg_orders o JOIN stg_customers c ON c.customer_id = o.customer_id
+        GROUP BY c.customer_state_code, o.order_status""")
+
+
+@proof
+def q_text_helpers(spark, d):
+    """Codes split from a list, clipped texts and joined paths, over the documents."""
+    from ..functions.text import clip_text, path_join, split_codes
+
+    docs = raw_tables.table(spark, d, "documents")
+    listed = F.concat_ws(",", F.col("lang"), F.concat(F.lit(" "), F.col("source")), F.lit(""), F.lit("gbp "))
+    return docs.select("doc_id", F.array_join(split_codes(listed), "|").alias("codes"), clip_text("text", 2000).alias("clipped"),
+                       path_join("source", "lang", F.col("doc_id").cast("string")).alias("path"))
+
+
+@proof
+def q_seconds_between(spark, d):
+    """Fractional seconds from each event's user's first event to the event."""
+    from ..functions.timez import seconds_between
+
+    e = raw_tables.table(spark, d, "events").select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    first = e.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
+    return e.join(first, "user_id").select("event_id", seconds_between("first_ts", "ts").alias("seconds"))

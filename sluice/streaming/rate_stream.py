@@ -11,8 +11,8 @@ runs on a schedule like the batch load.  Each micro-batch is a load of its own:
 
 The commit manifest is the ledger: it holds the last batch of the stream, so a batch
 that Spark replays after a failure between the commit and the checkpoint changes
-nothing and logs nothing.  A batch without rows (files with a header only) is refused
-as long as the table does not exist, and a success with 0 rows later.
+nothing and logs nothing.  A batch without rows (files with a header only) is refused,
+as by the batch load.
 """
 
 from __future__ import annotations
@@ -47,9 +47,7 @@ def _load(batch: DataFrame, staged: str, keys: Sequence[str], what: str, number:
             name_ragged(spark, landing, what)
         raise
     if parsed == 0:
-        if not target.exists():
-            raise DataCheckError(f"{what}: the first landing holds no rates; no table is created from nothing")
-        return 0, 0
+        raise DataCheckError(f"{what}: the landed files hold no rates")
     rows = spark.read.schema(batch.schema).parquet(staged)
     files = [unquote(r[0]) for r in rows.select("_source_uri").distinct().collect()]     # the files of one micro-batch
     in_files = total_records(spark, sorted(files))

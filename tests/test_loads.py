@@ -202,3 +202,55 @@ def test_interrupted_load_is_logged_as_failed(spark, tmpdir_path, monkeypatch):
     log = runlog.read_log(spark, f"{tmpdir_path}/log")
     assert rows(log, "status") == [("failed",), ("started",)]
     assert runlog.dead_runs(log).count() == 0
+
+
+def test_stream_ledger_skips_a_replayed_batch_and_logs_each_batch(spark, tmpdir_path):
+    from sluice.streaming.rate_stream import batch_loader
+
+    head = "KEY,CURRENCY,TIME_PERIOD,OBS_VALUE\n"
+    base, log = f"{tmpdir_path}/landing/ecb/rates", f"{tmpdir_path}/log"
+    cols = ["KEY", "CURRENCY", "TIME_PERIOD", "OBS_VALUE"]
+    args = (spark, base, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ck")
+    write(f"{base}/load_date=2024-01-01/a.csv", head)
+    with pytest.raises(Exception, match="hold no rates"):         # nothing but a header, and no table yet
+        run_rate_stream(*args, log_path=log)
+    write(f"{base}/load_date=2024-01-02/b.csv", head + "k,GBP,2024-01-01,0.86\nk,GBP,2024-01-02,0.87\n")
+    t = run_rate_stream(spark, base, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ck2", log_path=log)
+    assert t.version() == 1
+    stream = next(iter(t._manifest()["applied"]))
+    load = batch_loader(t, stream, log_path=log)
+    again = spark.createDataFrame([("k", "GBP", "2024-01-01", "9", "x")], "KEY string, CURRENCY string, TIME_PERIOD string, "
+                                  "OBS_VALUE string, _source_uri string")
+    load(again, t.applied_batch(stream))                           # a replay: nothing changes, nothing is logged
+    assert t.version() == 1 and rows(t.read(), "OBS_VALUE") == [("0.86",), ("0.87",)]
+    write(f"{base}/load_date=2024-01-03/c.csv", head + "k,GBP,2024-01-02,0.88\nk,GBP\n")
+    with pytest.raises(Exception, match="line 3"):
+        run_rate_stream(spark, base, cols, f"{tmpdir_path}/t", f"{tmpdir_path}/ck2", log_path=log)
+    got = runlog.read_log(spark, log)
+    assert rows(got.groupBy("status").count()) == [("failed", 2), ("started", 3), ("success", 1)]
+    assert rows(got.filter("status = 'success'"), "source_row_count", "loaded_row_count") == [(2, 2)]
+    # a batch load on the same table keeps the ledger
+    t.upsert(t.read().filter("TIME_PERIOD = '2024-01-01'"), ["KEY", "TIME_PERIOD"])
+    assert t.version() == 2 and t.holds_batch(stream, 0)
+
+
+def test_bad_rate_source_is_logged_and_early_landings_stay_closed(spark, tmpdir_path):
+    head = "KEY,CURRENCY,TIME_PERIOD,OBS_VALUE\n"
+    base, log, table = f"{tmpdir_path}/landing", f"{tmpdir_path}/log", f"{tmpdir_path}/t"
+    write(f"{base}/load_date=2024-01-05/a.csv", head + "k,GBP,2024-01-02,0.86\nk,GBP,2024-01-04,0.87\n")
+
+    def load(today):
+        return rate_load.incremental_load(spark, lambda since: rate_load.validate_rate_source(spark, base, since=since),
+                                          table, log, ["GBP"], today, base, default_start="2024-01-01")
+
+    assert load(dt.date(2024, 1, 5))["rows"] == 2
+    write(f"{base}/load_date=2023-01-05/old.csv", "not,a,rate\n1\n")            # an early folder, never opened again
+    write(f"{base}/load_date=2024-01-20/b.csv", head + "k,GBP,2024-01-19,0.88\n")
+    assert load(dt.date(2024, 1, 20))["rows"] == 3
+    assert [p.rsplit("=")[-1] for p in rate_load.landings_since(spark, base, dt.date(2024, 1, 12))] == ["2024-01-20"]
+    write(f"{base}/load_date=2024-01-21/c.csv", head + "k,GBP,2024-01-20\n")
+    with pytest.raises(DataCheckError, match="c.csv line 2"):
+        load(dt.date(2024, 1, 21))
+    got = runlog.read_log(spark, log)
+    assert rows(got.groupBy("status").count()) == [("failed", 1), ("started", 3), ("success", 2)]
+    assert runlog.dead_runs(got).count() == 0
