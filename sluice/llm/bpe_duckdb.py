@@ -45,7 +45,7 @@ STEPS = 24
 BATCH_BYTES = 96 << 10
 LONG_WORD = 64
 RECURSIVE_BYTES = 2048
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 
 #: One step contracts the leftmost minimum-rank pair of every word.
 _ONE = """
@@ -137,7 +137,7 @@ class Encoder:
             "calm": np.array([lowest.get(r, r + 1) > r for r in pairs], bool)})
         words = pa.table({"id": pa.array(list(ranks.values()), pa.int32()),  # noqa: F841
                           "hex": pa.array([t.hex() for t in ranks])})
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM words")
         self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
