@@ -74,8 +74,29 @@ def sweep(spark: SparkSession, folders: list[str]) -> None:
         fs.delete(spark, folder)
         if folder in _KEPT:
             _KEPT.remove(folder)
-    if folders:
-        spark.sparkContext._jvm.java.lang.System.gc()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
+#: Words of 64 bits in a key filter: its broadcast side never has more rows of 16 bytes.
+FILTER_WORDS = 1 << 20
+
+
+def _filter_place(keys: tuple[str, ...]) -> tuple[Column, Column]:
+    h = F.xxhash64(F.lit("filter"), *keys)
+    return (F.pmod(F.shiftright(h, 6), F.lit(FILTER_WORDS)).alias("_word"),
+            F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")).alias("_bit"))
+
+
+def may_be_in(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` with a boolean ``_maybe``: false only where the keys surely are not in
+    ``wanted`` (null keys hash like values).  A bitmap of the wanted keys' hashes, at most
+    ``FILTER_WORDS`` rows whatever the size of either side, is broadcast, so wide rows
+    that are not wanted need no shuffle; an exact join decides about the others."""
+    word, bit = _filter_place(keys)
+    bits = wanted.select(word, bit).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    word, bit = _filter_place(keys)
+    return rows.withColumns({"_word": word, "_bit": bit}).join(F.broadcast(bits), "_word", "left").withColumn(
+        "_maybe", F.coalesce(F.col("_bits").bitwiseAND(F.col("_bit")) != 0, F.lit(False))).drop("_word", "_bit", "_bits")
 
 
 def word_count(text: Column) -> Column:

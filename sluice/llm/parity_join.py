@@ -48,7 +48,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, discard, hash_spans, mix, salted_left_join, strings, text_slices, word_bounds, written
+from .common import (LOWER, discard, hash_spans, may_be_in, mix, salted_left_join, strings, sweep, text_slices, word_bounds,
+                     written)
 from .graph import components
 
 SPARE = 2
@@ -394,14 +395,14 @@ def _sets_of(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int
     """(cls, tokens) of the classes in the pairs, from one text of each.
 
     A text is found by doc_id (null: 0) and the hash of the text; equal rows are
-    dropped again.  The wanted classes are written first, so Spark knows their size:
-    where they are few it does not shuffle the texts."""
+    dropped again.  Texts that a filter of the wanted ones excludes are not shuffled."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(
         classes.select("cls", "body.id", "body.text_hash"), "cls")
     body = F.col(text).cast("string")
     bodies = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(0)).alias("id"), F.xxhash64(body).alias("text_hash"),
                          body.alias("text"))
     wanted = written(wanted, "parity-wanted")
+    bodies = may_be_in(bodies, wanted, "id", "text_hash").where("_maybe").drop("_maybe")
     found = bodies.join(wanted, ["id", "text_hash"]).select("cls", "text").mapInArrow(
         _sets(shingle), "cls long, tokens array<long>")
     out = written(found.dropDuplicates(["cls"]), "parity-sets")
@@ -434,6 +435,7 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
         _blobs(shingle, percent, BUCKETS * parts), "bucket int, dup boolean, body binary").repartition(
         parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_meet, "key long, cls long, rep long")
     members = written(members, "parity-members")
+    sweep(docs.sparkSession, [])      # the keys' shuffle files go before the texts are read again
 
     pair = (F.least("cls", "rep").alias("a"), F.greatest("cls", "rep").alias("b"))
     star = members.where("cls <> rep").groupBy(*pair).agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi")
