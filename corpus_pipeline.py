@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sluice.llm import bpe_duckdb, parity_join, pareto_mix, repetition, secret_markov  # noqa: E402
-from sluice.llm.common import discard, kept, prepare, sweep, table, written  # noqa: E402
+from sluice.llm.common import discard, kept, may_be_in, prepare, salted_left_join, sweep, table, written  # noqa: E402
 from sluice.llm.queries import tokenizer  # noqa: E402
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -65,12 +65,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Jaccard 0.8): the one with the smallest doc_id (null last, then the smaller
     key).  Documents without words stay; of rows equal in doc_id and text one stays."""
     rows = _keyed(docs)
-    groups = parity_join.link_components(rows, 5, 80, key="_row").select(
-        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")).distinct()
-    ids = rows.select("_row", "doc_id").distinct()
-    stay = groups.join(ids, "_row").groupBy("_group").agg(F.min(F.struct(
+    groups = written(parity_join.link_components(rows, 5, 80, key="_row").select(
+        F.col("doc_id").alias("_row"), F.col("component_id").alias("_group")), "near-groups")
+    # Only rows of a group of several can go: the texts of the others are not shuffled.
+    several = groups.groupBy("_group").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    shared = written(salted_left_join(groups, several, "_group", "_row").where("_rows > 1").select(
+        "_row", "_group").distinct(), "near-shared")
+    ids = may_be_in(rows.select("_row", "doc_id"), shared, "_row").where("_maybe").select("_row", "doc_id").distinct()
+    stay = shared.join(ids, "_row").groupBy("_group").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("o")).select(F.col("o._row").alias("_row"))
-    return rows.join(stay, "_row", "left_semi").dropDuplicates(["_row"]).select(*COLUMNS)
+    gone = written(shared.join(stay, "_row", "left_anti").select("_row"), "near-gone")
+    flagged = may_be_in(rows, shared, "_row")
+    return flagged.where("NOT _maybe").select(*COLUMNS).unionByName(flagged.where("_maybe").join(
+        gone, "_row", "left_anti").dropDuplicates(["_row"]).select(*COLUMNS))
 
 
 @_stage
