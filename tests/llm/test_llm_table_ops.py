@@ -18,7 +18,8 @@ import corpus_pipeline  # noqa: E402
 import oracle_check  # noqa: E402
 
 from sluice.llm import graph, parity_join, pareto_mix, queries, warc_chunks  # noqa: E402
-from sluice.llm.common import prepare  # noqa: E402
+from sluice.llm import common  # noqa: E402
+from sluice.llm.common import may_be_in, prepare, written  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -243,24 +244,71 @@ def test_pipeline_stages(spark):
             (8, " ".join(f"u{i}" for i in range(80)) + " " + notes, None), (10, "again and again " * 60, "a"),
             (11, " ".join(f"y{i}" for i in range(300)), "c")]
     docs = docs_of(spark, rows)
-    kept = corpus_pipeline.quality(spark, docs, SF)
+    kept = written(corpus_pipeline.quality(spark, docs, SF), "test-stage")
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 8, 11]
-    alone = corpus_pipeline.near_duplicates(spark, kept, SF)
+    alone = written(corpus_pipeline.near_duplicates(spark, kept, SF), "test-stage")
     assert alone.columns == docs.columns and sorted(r.doc_id for r in alone.collect()) == [1, 8, 11]
-    clean = corpus_pipeline.secrets(spark, alone, SF)
+    clean = written(corpus_pipeline.secrets(spark, alone, SF), "test-stage")
     assert clean.columns == docs.columns
     texts = {r.doc_id: r for r in clean.collect()}
     assert "hunter2" not in texts[8].text and texts[8].n_chars == len(texts[8].text) and texts[1].text == base + " tail"
-    mixed = corpus_pipeline.mix(spark, clean, SF)
+    mixed = written(corpus_pipeline.mix(spark, clean, SF), "test-stage")
     assert mixed.columns == docs.columns and set(r.doc_id for r in mixed.collect()) <= {1, 8, 11}
     encoded = corpus_pipeline.encode(spark, mixed, SF)
     assert all(r.decoded_bytes == len(texts[r.doc_id].text.encode()) for r in encoded.collect())
     nothing = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
-        nothing = stage(spark, nothing, SF)
+        nothing = written(stage(spark, nothing, SF), "test-stage")
     assert nothing.count() == 0
 
 
+@pytest.mark.parametrize("words", [common.FILTER_WORDS, 2])
+def test_key_filter_never_loses_a_wanted_row(spark, monkeypatch, words):
+    """A full filter (two words of 64 bits) lets others through, but never drops a wanted key."""
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
+    rows = spark.createDataFrame([(i if i % 7 else None, f"t{i % 50}") for i in range(600)], "id long, h string")
+    wanted = rows.where("id % 3 = 0 OR id IS NULL").select("id", "h")
+    got = [(r.id, r.h, r._maybe) for r in may_be_in(rows, wanted, "id", "h").collect()]
+    assert sorted(map(str, [g[:2] for g in got])) == sorted(str(tuple(r)) for r in rows.collect())
+    assert all(maybe for i, _, maybe in got if i is None or i % 3 == 0)
+    assert not any(r._maybe for r in may_be_in(rows, wanted.where("false"), "id", "h").collect())
+    assert words == 2 or not all(g[2] for g in got)
+
+
+@pytest.mark.parametrize("words", [common.FILTER_WORDS, 1])
+def test_near_duplicates_stage_equals_brute_force(spark, monkeypatch, words):
+    """All documents of the small table, rows that repeat, null doc_ids and null texts."""
+    monkeypatch.setattr(common, "FILTER_WORDS", words)
+    prepare(spark)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    rows = [tuple(r) for r in docs.collect()]
+    rows += rows[:20] + [(None, *r[1:]) for r in rows[10:30]] + [(r[0] + 9000, None, *r[2:]) for r in rows[:3]]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, docs.schema), SF)
+    distinct = sorted({r[:2] for r in rows}, key=str)
+    sets = [shingles(t, 5) for _, t in distinct]
+    group = list(range(len(distinct)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                group[root(i)] = root(j)
+    members = defaultdict(list)
+    for i in range(len(sets)):
+        members[root(i)].append(distinct[i])
+    least = {k: min((d is None, d or 0) for d, _ in m) for k, m in members.items()}
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert len(kept) == len(set(kept)) == len(members)
+    where = {d: root(i) for i, d in enumerate(distinct)}
+    assert sorted((k[0] is None, k[0] or 0) for k in kept) == sorted(least.values())
+    assert sorted(where[k] for k in kept) == sorted(members)
+
+
 def test_pipeline_runs_on_documents(spark):
     got = corpus_pipeline.run(spark, SF)
     assert got.count() > 0 and [n for n, _ in corpus_pipeline.STAGES][0] == "quality rules"
