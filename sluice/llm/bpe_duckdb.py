@@ -20,7 +20,8 @@ the rows of all its steps.  Matches above ``RECURSIVE_BYTES`` (thousands of lett
 a blank) would so need hours and gigabytes; they are contracted by a heap of adjacent
 pairs over a linked list instead, with the same result and memory in proportion.
 
-Words already encoded are kept in a bounded two-generation cache of the worker.
+Words already encoded are kept in a bounded two-generation cache of the worker; the cache,
+the merge table and the vocabulary go when the worker gets another operator's task.
 
 Null text: encoded as empty (no tokens).  Null doc_id and repeated rows: a row
 each.  Empty table: no rows.  Special-token strings in a text are ordinary text.  Very
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_spans, strings, text_slices
+from .common import hash_spans, strings, text_slices, worker_state
 
 STEPS = 24
 BATCH_BYTES = 96 << 10
@@ -242,9 +243,8 @@ class Encoder:
             i, j = i + n, j + size
 
 
-@functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return worker_state(("bpe_duckdb", path), lambda: Encoder(path))
 
 
 @functools.lru_cache(maxsize=1)

@@ -20,6 +20,25 @@ from ..session import ensure_checkpoint_dir, new_work_dir, ship_package
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
 SLICE_BYTES = 1 << 20
 
+#: What one operator keeps in a Python worker between its tasks.
+_STATE: dict[object, object] = {}
+
+
+def worker_state(key: object, make):
+    """State that later tasks of an operator find again in the same worker."""
+    if key not in _STATE:
+        release_state()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def release_state() -> None:
+    """For the tasks of other operators: Spark hands them the same workers, whose memory
+    would still hold the word caches and tables of the operator before."""
+    _STATE.clear()
+    pa.default_memory_pool().release_unused()
+
+
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)

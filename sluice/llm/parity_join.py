@@ -48,8 +48,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (LOWER, discard, hash_spans, may_be_in, mix, salted_left_join, strings, sweep, text_slices, word_bounds,
-                     written)
+from .common import (LOWER, discard, hash_spans, may_be_in, mix, release_state, salted_left_join, strings, sweep, text_slices,
+                     word_bounds, written)
 from .graph import components
 
 SPARE = 2
@@ -149,6 +149,7 @@ def _sketch(size: int):
     names = ["doc_id", "text_hash", "n_shingles", "cls", "signature"]
 
     def run(batches):
+        release_state()
         for batch in batches:
             ids, hashed, texts = batch.column(0), batch.column(1), strings(batch.column(2))
             for lo, hi, data, offs in text_slices(texts):
@@ -214,6 +215,7 @@ def _blobs(size: int, percent: int, n_buckets: int):
             zip(*rows), (pa.int32(), pa.bool_(), pa.binary()), strict=True)], names)
 
     def run(batches):
+        release_state()
         low = bands(percent)
         keys, cls, held = [], [], 0
         for batch in batches:
@@ -278,6 +280,7 @@ def _meet(batches):
 
 def _sets(size: int):
     def run(batches):
+        release_state()
         for batch in batches:
             for lo, hi, data, offs in text_slices(strings(batch.column(1))):
                 hashes, begin = shingle_hashes(data, offs, size)

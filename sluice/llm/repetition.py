@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, hash_spans, mix, strings, text_slices, word_bounds
+from .common import IS_SPACE, hash_spans, mix, release_state, strings, text_slices, word_bounds
 
 MIN_WORDS = 10
 #: Limits below what the base rules imply (half of the words): just above the largest covered share of a labelled
@@ -203,6 +203,7 @@ def _measure(min_words: int):
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
+        release_state()
         for batch in batches:
             keys, texts = batch.column(0), strings(batch.column(1))
             for lo, hi, data, offs in text_slices(texts):
@@ -238,6 +239,7 @@ def keep_documents(docs: DataFrame, max_covered: float = MAX_COVERED, max_longes
     at = docs.columns.index("text")
 
     def run(batches):
+        release_state()
         for batch in batches:
             for lo, hi, data, offs in text_slices(strings(batch.column(at))):
                 s = slice_statistics(data, offs, min_words)

@@ -1,13 +1,16 @@
 """Operators on single texts against brute force and the tokenizer libraries."""
 
+import gc
 import hashlib
 import re
 import textwrap
+import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from sluice.llm import (bpe_counts, bpe_duckdb, license_scan, repetition, rule_ensemble, secret_markov, winnowing)
+from sluice.llm import (bpe_counts, bpe_duckdb, license_scan, parity_join, repetition, rule_ensemble, secret_markov, winnowing)
 from sluice.llm.common import prepare, word_count
 from sluice.llm.queries import tokenizer
 
@@ -100,6 +103,21 @@ def test_bpe_both_steps_and_small_cache_agree(reference_bpe):
         assert [np.frombuffer(encoder.young[w][0], np.int32).tolist() for w in words] == wanted
 
 
+def test_bpe_state_goes_when_the_worker_gets_another_task():
+    """Workers serve all stages of a pipeline: the word cache must not weigh on the next one."""
+    path = tokenizer("byte_bpe_50k.tiktoken")
+    batch = pa.record_batch([pa.array([1]), pa.array([2]), pa.array(["some words of a text"])], ["doc_id", "text_hash", "text"])
+    for other in (parity_join._sketch(3), parity_join._blobs(3, 90, 16), parity_join._sets(3), repetition._measure(3)):
+        encode = bpe_duckdb._encode_batches(path, pa.int64())
+        first = next(encode(iter([batch.select([0, 2])])))
+        encoder = weakref.ref(bpe_duckdb._encoder(path))
+        assert next(encode(iter([batch.select([0, 2])]))).equals(first) and encoder() is bpe_duckdb._encoder(path)
+        list(other(iter([batch if other.__qualname__.startswith("_sketch") else batch.select([2]) if
+                         other.__qualname__.startswith("_blobs") else batch.select([0, 2])])))
+        gc.collect()
+        assert encoder() is None
+
+
 @pytest.mark.parametrize("which", ["odd", "real"])
 def test_token_counts_equal_the_library(request, which):
     import sentencepiece
