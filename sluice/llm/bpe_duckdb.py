@@ -48,25 +48,26 @@ LONG_WORD = 64
 RECURSIVE_BYTES = 2048
 CACHE_WORDS = 250_000
 
-#: One step contracts the leftmost minimum-rank pair of every word.
+#: One step contracts the leftmost minimum-rank pair of every word: the pair's right row
+#: becomes the merged token, its left row goes.  Places are below 2^12 (``RECURSIVE_BYTES``),
+#: so rank and places of the pair are one number; every word has one row at place 0.
 _ONE = """
 WITH RECURSIVE state AS (
   SELECT 0 AS step, wid, pos, tok, nxt, npos, m.rank
   FROM start LEFT JOIN merges m ON m.pair = (tok::BIGINT << 32 | nxt::BIGINT)
   UNION ALL
   SELECT n.step, n.wid, n.pos, n.tok, n.nxt, n.npos, m.rank FROM (
-    SELECT s.step + 1 AS step, s.wid, s.pos,
-      CASE WHEN s.pos = b.pos THEN b.rank ELSE s.tok END AS tok,
-      CASE WHEN s.pos = b.pos THEN b.after WHEN s.npos = b.pos THEN b.rank ELSE s.nxt END AS nxt,
-      CASE WHEN s.pos = b.pos THEN b.after_pos ELSE s.npos END AS npos
+    SELECT s.step + 1 AS step, s.wid,
+      CASE WHEN s.pos = b.npos THEN b.pos ELSE s.pos END AS pos,
+      CASE WHEN s.pos = b.npos THEN b.rank ELSE s.tok END AS tok,
+      CASE WHEN s.npos = b.pos THEN b.rank ELSE s.nxt END AS nxt, s.npos
     FROM state s JOIN (
-      SELECT a.wid, a.p.pos AS pos, a.p.npos AS npos, a.p.rank AS rank, x.nxt AS after, x.npos AS after_pos
-      FROM (SELECT wid, arg_min({'pos': pos, 'npos': npos, 'rank': rank}, (rank::BIGINT << 32 | pos)) AS p
-            FROM state WHERE rank IS NOT NULL AND step < $steps GROUP BY wid) a
-      JOIN state x ON x.wid = a.wid AND x.pos = a.p.npos) b ON s.wid = b.wid
-    WHERE s.pos <> b.npos) n
+      SELECT wid, (p >> 24)::INT AS rank, ((p >> 12) & 4095)::INT AS pos, (p & 4095)::INT AS npos FROM (
+        SELECT wid, min((rank::BIGINT << 24) | (pos << 12) | npos) AS p
+        FROM state WHERE rank IS NOT NULL AND step < $steps GROUP BY wid)) b ON s.wid = b.wid
+    WHERE s.pos <> b.pos) n
   LEFT JOIN merges m ON m.pair = (n.tok::BIGINT << 32 | n.nxt::BIGINT)
-), last AS (SELECT wid, max(step) AS step FROM state GROUP BY wid)
+), last AS (SELECT wid, max(step) AS step FROM state WHERE pos = 0 GROUP BY wid)
 SELECT wid, pos, tok, nxt, npos, rank FROM state JOIN last USING (wid, step)
 """
 
@@ -102,11 +103,10 @@ SELECT wid, pos, tok, lead(tok) OVER (PARTITION BY wid ORDER BY pos) AS nxt, npo
 FROM state JOIN last USING (wid, step)
 """
 
-_IDS = "SELECT tok FROM final ORDER BY wid, pos"
-#: Decoding: the bytes of a word's tokens in order.
+#: Decoding: the bytes of the tokens of all words in order.
 _WORDS = """
-SELECT wid, count(*) AS n, string_agg(v.hex, '' ORDER BY pos) AS hex
-FROM final JOIN vocabulary v ON v.id = tok GROUP BY wid ORDER BY wid
+SELECT list(tok ORDER BY wid, pos) AS ids, string_agg(v.hex, '' ORDER BY wid, pos) AS hex
+FROM final JOIN vocabulary v ON v.id = tok
 """
 
 
@@ -144,17 +144,20 @@ class Encoder:
         self.byte_rank = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.ranks, self.limit = ranks, cache_words // 2
         self.token = {rank: token for token, rank in ranks.items()}
+        self.token_bytes = np.zeros(max(self.token) + 1, np.int64)
+        self.token_bytes[list(self.token)] = [len(t) for t in self.token.values()]
         self.young: dict[bytes, tuple] = {}
         self.old: dict[bytes, tuple] = {}
 
     def lookup(self, words: list[bytes]) -> list[tuple]:
         """(ids as the bytes of 32-bit numbers, decoded bytes) of each word."""
-        found = [self.young.get(w) or self.old.get(w) for w in words]
-        missing = [w for w, f in zip(words, found, strict=True) if f is None]
+        found = [*map(self.young.get, words)]
+        again = {w: f for w, g in zip(words, found, strict=True) if g is None and (f := self.old.get(w))}
+        missing = [w for w, f in zip(words, found, strict=True) if f is None and w not in again]
+        self.young |= again          # words met again outlive the next change of generations
         if missing:
             self._encode(missing)
-            found = [f or self.young.get(w) or self.old[w] for w, f in zip(words, found, strict=True)]
-        return found
+        return [f or again.get(w) or self.young[w] for w, f in zip(words, found, strict=True)]
 
     def _encode(self, words: list[bytes]) -> None:
         if len(self.young) + len(words) > self.limit:
@@ -228,19 +231,19 @@ class Encoder:
             start = self.con.sql(
                 f"SELECT wid, pos, tok, nxt, npos FROM state_now WHERE wid IN ({open_words})").to_arrow_table()
             self.con.unregister("state_now")
-        self.con.register("final", pa.concat_tables(done))
-        ids = self.con.sql(_IDS).to_arrow_table()
+        final = pa.concat_tables(done)
+        self.con.register("final", final)
         words = self.con.sql(_WORDS).to_arrow_table()
         self.con.unregister("final")
-        flat = ids.column("tok").to_numpy().astype(np.int32).tobytes()
-        hexed = words.column("hex").to_pylist()
-        decoded = bytes.fromhex("".join(hexed))
-        i = j = 0
-        for word, n, digits in zip(batch, words.column("n").to_pylist(), hexed, strict=True):
-            size = len(digits) // 2
-            body = decoded[j:j + size]
-            self.young[word] = (flat[4 * i:4 * (i + n)], word if body == word else body)
-            i, j = i + n, j + size
+        ids = words.column("ids").combine_chunks().values.to_numpy().astype(np.int32)
+        decoded = bytes.fromhex(words.column("hex")[0].as_py())
+        upto = np.cumsum(np.bincount(final.column("wid").to_numpy(), minlength=len(batch)))
+        sizes = np.append(0, np.cumsum(self.token_bytes[ids]))[upto].tolist()
+        flat, i, j = ids.tobytes(), 0, 0
+        for word, n, size in zip(batch, (upto * 4).tolist(), sizes, strict=True):
+            body = decoded[j:size]
+            self.young[word] = (flat[i:n], word if body == word else body)
+            i, j = n, size
 
 
 def _encoder(path: str) -> Encoder:

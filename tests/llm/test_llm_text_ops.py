@@ -103,6 +103,17 @@ def test_bpe_both_steps_and_small_cache_agree(reference_bpe):
         assert [np.frombuffer(encoder.young[w][0], np.int32).tolist() for w in words] == wanted
 
 
+def test_bpe_words_met_again_stay_in_the_cache(reference_bpe):
+    encoder = bpe_duckdb.Encoder(tokenizer("byte_bpe_50k.tiktoken"), cache_words=8)
+    encoded, encode = [], encoder._encode
+    encoder._encode = lambda words: (encoded.extend(words), encode(words))
+    for words in ([b"aq", b"bq", b"cq"], [b"dq", b"eq"], [b"aq"], [b"fq", b"gq", b"hq"], [b"aq", b"hq", b"iq"]):
+        got = [np.frombuffer(e[0], np.int32).tolist() for e in encoder.lookup(words)]
+        assert got == [reference_bpe._core_bpe.encode_single_piece(w) for w in words]
+    assert encoded.count(b"aq") == encoded.count(b"hq") == 1 and len(encoded) == 9
+    assert len(encoder.young) + len(encoder.old) <= 8
+
+
 def test_bpe_state_goes_when_the_worker_gets_another_task():
     """Workers serve all stages of a pipeline: the word cache must not weigh on the next one."""
     path = tokenizer("byte_bpe_50k.tiktoken")
