@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import hash_spans, strings, text_slices, worker_state
 
 STEPS = 24
-BATCH_BYTES = 96 << 10
+BATCH_BYTES = 160 << 10
 LONG_WORD = 64
 RECURSIVE_BYTES = 2048
 CACHE_WORDS = 250_000
@@ -151,13 +151,18 @@ class Encoder:
 
     def lookup(self, words: list[bytes]) -> list[tuple]:
         """(ids as the bytes of 32-bit numbers, decoded bytes) of each word."""
-        found = [*map(self.young.get, words)]
-        again = {w: f for w, g in zip(words, found, strict=True) if g is None and (f := self.old.get(w))}
-        missing = [w for w, f in zip(words, found, strict=True) if f is None and w not in again]
-        self.young |= again          # words met again outlive the next change of generations
+        found, missing = [*map(self.young.get, words)], []
+        for i in [i for i, f in enumerate(found) if f is None]:
+            found[i] = self.old.get(words[i])
+            if found[i] is None:
+                missing.append(i)
+            else:
+                self.young[words[i]] = found[i]      # words met again outlive the next change of generations
         if missing:
-            self._encode(missing)
-        return [f or again.get(w) or self.young[w] for w, f in zip(words, found, strict=True)]
+            self._encode([words[i] for i in missing])
+            for i in missing:
+                found[i] = self.young[words[i]]
+        return found
 
     def _encode(self, words: list[bytes]) -> None:
         if len(self.young) + len(words) > self.limit:
@@ -340,14 +345,14 @@ def _encode_batches(path: str, key_type: pa.DataType):
                 ids = np.frombuffer(b"".join([p[0] for p in pieces]), np.int32)
                 values = _gather(ids, np.cumsum(sizes) - sizes, sizes, which)
                 upto = np.append(0, np.cumsum(sizes[which]))[first]
-                decoded = [p[1] for p in pieces]
-                where = which.tolist()
-                bodies = [b"".join(map(decoded.__getitem__, where[a:b]))
-                          for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                sizes = np.array([len(p[1]) for p in pieces], np.int64)
+                ends = np.append(0, np.cumsum(sizes[which]))[first].astype(np.int32)
+                body = pa.array([p[1] for p in pieces], pa.binary()).take(pa.array(which)).buffers()[2]
+                bodies = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends), body or pa.py_buffer(b"")])
                 yield pa.RecordBatch.from_arrays(
                     [keys.slice(lo, hi - lo).cast(key_type),
                      pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values, pa.int32())),
-                     pa.array(bodies, pa.binary())], ["doc_id", "ids", "decoded"])
+                     bodies], ["doc_id", "ids", "decoded"])
 
     return run
 
