@@ -7,6 +7,8 @@ A null text counts as an empty one unless an operator states otherwise.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -20,6 +22,9 @@ from ..session import ensure_checkpoint_dir, new_work_dir, ship_package
 WORD_RE = "[^\\x20\\x09-\\x0D]+"
 SLICE_BYTES = 1 << 20
 
+#: glibc's malloc_trim, which hands freed memory back; None with another C library.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 #: What one operator keeps in a Python worker between its tasks.
 _STATE: dict[object, object] = {}
 
@@ -34,9 +39,12 @@ def worker_state(key: object, make):
 
 def release_state() -> None:
     """For the tasks of other operators: Spark hands them the same workers, whose memory
-    would still hold the word caches and tables of the operator before."""
+    would still hold the word caches and tables of the operator before, and what the C
+    library keeps of memory that was freed."""
     _STATE.clear()
     pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 IS_SPACE = np.zeros(256, dtype=bool)

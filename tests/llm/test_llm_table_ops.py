@@ -8,6 +8,8 @@ import re
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -98,6 +100,54 @@ def test_large_group_is_dealt_in_chunks(spark, monkeypatch):
     assert got == {rows[i][0]: c for i, c in wanted.items()}
 
 
+def closest_group(n, rng):
+    """Members of one key, in many components: sets that differ in a few tokens of 200."""
+    base = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+    rows = []
+    for i in range(n):
+        own = base.copy()
+        at = rng.choice(200, int(rng.integers(0, 14)), replace=False)
+        own[at] = rng.integers(0, 1 << 62, len(at), dtype=np.uint64)
+        refuted = [i + 5] if i % 4 == 0 else [i - 5] if i % 4 == 1 else None
+        rows.append((7, i, i // 3 * 3, 200, parity_join.signature(own), refuted, 0, 0, 0))
+    return rows
+
+
+def test_closest_pairs_stay_linear_in_a_large_group(monkeypatch):
+    """However the comparisons are sliced: a member's closest partner only, and as a forest
+    fewer pairs than components that connect what all pairs that may link connect."""
+    rows = closest_group(120, np.random.default_rng(3))
+    names = ["key", "cls", "label", "n", "signature", "refuted", "chunk", "i", "j"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if k == 5 else None) for k, c in
+                                           enumerate(zip(*rows[lo:lo + 50], strict=True))], names) for lo in (0, 50, 100)]
+
+    def emitted(forest):
+        return [tuple(p.values())[1:] for b in parity_join._closest(80, forest)(iter(batches)) for p in b.to_pylist()]
+
+    def classes(pairs):
+        up = {r[1]: r[2] for r in rows}
+        for a, b in pairs:
+            old, to = up[a], up[b]
+            up = {c: to if u == old else u for c, u in up.items()}
+        groups = defaultdict(set)
+        for c, u in up.items():
+            groups[u].add(c)
+        return sorted(map(sorted, groups.values()))
+
+    def may(x, y):
+        far = int(np.bitwise_count(np.frombuffer(x[4], np.uint64) ^ np.frombuffer(y[4], np.uint64)).sum())
+        return x[2] != y[2] and 180 * far <= 20 * 400 and y[1] not in (x[5] or ()) and x[1] not in (y[5] or ())
+
+    every = {(x[1], y[1]) for i, x in enumerate(rows) for y in rows[i + 1:] if may(x, y)}
+    whole = emitted(False)
+    monkeypatch.setattr(parity_join, "PAIR_WORDS", 1)      # one member at a time
+    sliced, forest = emitted(False), emitted(True)
+    assert len(every) > 1000 and set(whole) <= every and set(sliced) <= every and set(forest) <= every
+    assert len(whole) <= len(rows) and sliced == whole
+    assert {c for p in sliced for c in p} == {c for p in every for c in p}
+    assert len(forest) < len({r[2] for r in rows}) and classes(forest) == classes(sliced)
+
+
 def test_bands_cover_all_linked_sizes():
     for percent in (50, 80, 90):
         low = parity_join.bands(percent)
