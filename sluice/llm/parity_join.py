@@ -25,13 +25,11 @@ built.  (Of two linked sets that met in fewer, another common key holds three cl
 more and is looked at below.)  A key that then still holds several components and three classes
 or more is looked at again, exactly: a task goes over its members' pairs with
 ``signature``, a parity sketch as long as the set is (so the bound is as sharp for large
-sets as for small ones), but keeps at most one pair per member, its closest partner in
-another component, and of these, while most pairs turn out to link, emits only a forest: the
-closest ones that connect the same components, fewer than the key has components.  Verified
-pairs join components, refuted ones are remembered; rounds repeat, for the keys that emitted
-a pair, until none has one left that may link.  So no link between components is
-lost, rows stay linear in the members (per pair of chunks, for keys beyond
-``CHUNK_MEMBERS``), and links inside a component cannot change the result.  Tables are
+sets as for small ones), but emits at most one pair per member, its closest partner in
+another component.  Verified pairs join components, refuted ones are remembered; rounds
+repeat, for the members of the pairs that a key emitted, until none has one left that may
+link.  So no link between components is lost, rows stay linear in the members (per pair of
+chunks, for keys beyond ``CHUNK_MEMBERS``), and links inside a component cannot change the result.  Tables are
 removed as soon as their last reader is written.
 
 Contracts: null or wordless text: empty set, linked with nothing.  Fewer words
@@ -345,46 +343,27 @@ def _near(percent: int):
     return run
 
 
-def _forest(found: dict, label_of: dict) -> list:
-    """Of pairs {(a, b): closeness} those, closest first, that connect components not
-    connected yet: fewer than there are components, and they connect what all would."""
-    up = {}
-
-    def find(x):
-        while up.get(x, x) != x:
-            up[x] = x = up.get(up[x], up[x])
-        return x
-
-    keep = []
-    for pair in sorted(found, key=lambda p: (-found[p], p)):
-        x, y = (find(label_of[c]) for c in pair)
-        if x != y:
-            up[x] = y
-            keep.append(pair)
-    return keep
-
-
-def _closest(percent: int, forest: bool):
+def _closest(percent: int):
     """Members in order of (key, i, j) -> (key, a, b): each member with its closest one of
-    another component of the group, of the pairs that may link and are not refuted;
-    with ``forest`` only as many of them as connect the same components."""
+    another component of the group, of the pairs that may link and are not refuted.  So
+    the members of the pairs are all that can link with another component."""
 
     def pairs(rows):
         label = np.array([r[2] for r in rows])
         if (label == label[0]).all():
-            return {}
+            return set()
         cls, n = np.array([r[1] for r in rows]), np.array([r[3] for r in rows])
         size = min(len(r[4]) for r in rows)
         signs = np.stack([folded(r[4], size) for r in rows]).view(np.uint64)
         chunk, (i, j) = np.array([r[6] for r in rows]), rows[0][7:]
         left, right = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
         place = {c: k for k, c in enumerate(cls[right].tolist())}
-        found = {}
+        found = set()
 
         def closest(mine, others, pick, best):
             for k in np.flatnonzero(best >= 0).tolist():
                 x, y = int(cls[mine[k]]), int(cls[others[pick[k]]])
-                found[min(x, y), max(x, y)] = int(best[k])
+                found.add((min(x, y), max(x, y)))
 
         # The closest of a left member is known with its slice, that of a right one after all slices.
         over_pick, over_best = np.zeros(len(right), np.int64), np.full(len(right), -1)
@@ -411,8 +390,7 @@ def _closest(percent: int, forest: bool):
         held, now = [], None
 
         def out(rows):
-            found = pairs(rows)
-            found = sorted(_forest(found, {r[1]: r[2] for r in rows}) if forest else found)
+            found = sorted(pairs(rows))
             return pa.RecordBatch.from_arrays([pa.array([rows[0][0]] * len(found), pa.int64()),
                                                *[pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)]], ["key", "a", "b"])
 
@@ -500,16 +478,18 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
         "key", "cls", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")).join(
         classes.select("cls", "n", "signature"), "cls"), "parity-open")
     discard(members)
-    refuted, hits, forest = None, None, True
+    refuted, hits = None, None
     while True:
-        now = label(again if hits is None else again.join(hits.select("key").distinct(), "key", "left_semi"))
+        # Who had no partner finds none later: components only grow, and so do the refuted pairs.
+        now = label(again if hits is None else again.join(hits.select("key", F.explode(F.array("a", "b")).alias("cls")).distinct(),
+                                                          ["key", "cls"], "left_semi"))
         if refuted is None:
             now = now.withColumn("refuted", F.lit(None).cast("array<long>"))
         else:
             both = refuted.unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
             now = now.join(both.groupBy(F.col("a").alias("cls")).agg(F.collect_set("b").alias("refuted")), "cls", "left")
         found = written(now.select("key", "cls", "label", "n", "signature", "refuted", "chunk", "i", "j").repartition(
-            "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_closest(percent, forest), "key long, a long, b long"),
+            "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_closest(percent), "key long, a long, b long"),
             "parity-near")
         if hits is not None:
             discard(hits)
@@ -520,11 +500,8 @@ def link_components(docs: DataFrame, shingle: int = 3, percent: int = 90, key: s
         late = _links(near, classes, docs, shingle, percent, key, text)
         wrong = near.join(late, ["a", "b"], "left_anti")
         refuted = written(wrong if refuted is None else refuted.unionByName(wrong), "parity-refuted")
-        linked = late.count()
-        # Pairs that connect the components suffice while most of them link; else more are tried at once.
-        forest = 2 * linked >= near.count()
         discard(near)
-        if linked:
+        if not late.isEmpty():
             edges = edges.unionByName(late)
             labels = components(edges)
     discard(near, hits, again)

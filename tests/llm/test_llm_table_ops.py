@@ -114,38 +114,29 @@ def closest_group(n, rng):
 
 
 def test_closest_pairs_stay_linear_in_a_large_group(monkeypatch):
-    """However the comparisons are sliced: a member's closest partner only, and as a forest
-    fewer pairs than components that connect what all pairs that may link connect."""
+    """However the comparisons are sliced: each member that may link emits its closest
+    partner only, and so all such members are in the pairs."""
     rows = closest_group(120, np.random.default_rng(3))
     names = ["key", "cls", "label", "n", "signature", "refuted", "chunk", "i", "j"]
-    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if k == 5 else None) for k, c in
-                                           enumerate(zip(*rows[lo:lo + 50], strict=True))], names) for lo in (0, 50, 100)]
-
-    def emitted(forest):
-        return [tuple(p.values())[1:] for b in parity_join._closest(80, forest)(iter(batches)) for p in b.to_pylist()]
-
-    def classes(pairs):
-        up = {r[1]: r[2] for r in rows}
-        for a, b in pairs:
-            old, to = up[a], up[b]
-            up = {c: to if u == old else u for c, u in up.items()}
-        groups = defaultdict(set)
-        for c, u in up.items():
-            groups[u].add(c)
-        return sorted(map(sorted, groups.values()))
+
+    def emitted(rows):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if k == 5 else None) for k, c in
+                                               enumerate(zip(*rows[lo:lo + 50], strict=True))], names) for lo in (0, 50, 100)]
+        return [tuple(p.values())[1:] for b in parity_join._closest(80)(iter(batches)) for p in b.to_pylist()]
 
     def may(x, y):
         far = int(np.bitwise_count(np.frombuffer(x[4], np.uint64) ^ np.frombuffer(y[4], np.uint64)).sum())
-        return x[2] != y[2] and 180 * far <= 20 * 400 and y[1] not in (x[5] or ()) and x[1] not in (y[5] or ())
+        return x[2] != y[2] and 180 * far <= 20 * 400 and y[1] not in (x[5] or ())
 
     every = {(x[1], y[1]) for i, x in enumerate(rows) for y in rows[i + 1:] if may(x, y)}
-    whole = emitted(False)
+    crossed = [(*r[:6], r[1] % 2, 0, 1) for r in rows]      # two chunks that meet
+    across = {p for p in every if p[0] % 2 != p[1] % 2}
+    whole = emitted(rows), emitted(crossed)
     monkeypatch.setattr(parity_join, "PAIR_WORDS", 1)      # one member at a time
-    sliced, forest = emitted(False), emitted(True)
-    assert len(every) > 1000 and set(whole) <= every and set(sliced) <= every and set(forest) <= every
-    assert len(whole) <= len(rows) and sliced == whole
-    assert {c for p in sliced for c in p} == {c for p in every for c in p}
-    assert len(forest) < len({r[2] for r in rows}) and classes(forest) == classes(sliced)
+    assert (emitted(rows), emitted(crossed)) == whole
+    for got, pairs in zip(whole, (every, across), strict=True):
+        assert len(pairs) > 1000 and set(got) <= pairs and len(got) <= len(rows)
+        assert {c for p in got for c in p} == {c for p in pairs for c in p}
 
 
 def test_bands_cover_all_linked_sizes():
